@@ -44,10 +44,9 @@ def vessel_dimensions(dimension: Column) -> tuple[Column, Column]:
 
 def operation_mode(code: Column) -> Column:
     """Berth, Anchor, Maneuver or Cruise; NULL for codes outside the standard."""
-    picked = None
+    picked = F
     for mode in MODES:
-        codes = [c for c, m in MODE_OF_STATUS.items() if m == mode]
-        picked = (picked or F).when(code.isin(codes), mode)
+        picked = picked.when(code.isin([c for c, m in MODE_OF_STATUS.items() if m == mode]), mode)
     return picked
 
 

@@ -1,0 +1,76 @@
+"""Time pieces for keys that hold too many rows for one task.
+
+Windows ordered by time need all rows of a key in one task. A ship (or a place
+holder identity) may hold a large share of the table, so such *hot* keys are cut
+into time pieces, the window runs per (key, piece), and whatever must cross a
+piece border is carried over from a small per-piece summary.
+
+The number of hot keys and of their pieces is bounded by ``MAX_HOT_KEYS``
+whatever the table size, so hot-key lists and summaries are safe to broadcast.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import functions as F
+
+from tidewake.functions.ais import seconds_between
+
+HOT_ROWS = 1_000_000
+MAX_HOT_KEYS = 10_000
+
+PIECE = "_piece"
+HOT = "_hot"
+
+
+def split_hot_keys(df: DataFrame, keys: list[str], ts: str, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Add ``_piece`` (0 for ordinary keys) and ``_hot``.
+
+    A key is hot when it has more than ``hot_rows`` rows and more than one
+    ``MAX_HOT_KEYS``-th of the table. Its time span is cut evenly into twice as
+    many pieces as it has portions of that size. Pieces grow with time, so
+    (piece, time) sorts like time alone. Rows without a time stay in piece 0,
+    where NULLs sort first anyway.
+    """
+    stats = df.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("_n"), F.min(ts).alias("_from"), F.max(ts).alias("_to")
+    )
+    portion = F.greatest(F.lit(float(hot_rows)), F.col("_total") / MAX_HOT_KEYS)
+    total = stats.agg(F.sum("_n").alias("_total"))
+    hot = (
+        stats.crossJoin(F.broadcast(total))
+        .where(F.col("_n") > portion)
+        .select(
+            *[F.col(k).alias(f"_k_{k}") for k in keys],
+            "_from",
+            F.ceil(2 * F.col("_n") / portion).alias("_pieces"),
+            seconds_between(F.col("_from"), F.col("_to")).alias("_span"),
+        )
+    )
+    same_key = [df[k].eqNullSafe(hot[f"_k_{k}"]) for k in keys]
+    share = seconds_between(F.col("_from"), F.col(ts)) / F.col("_span")
+    piece = F.least(F.floor(share * F.col("_pieces")), F.col("_pieces") - 1)
+    return df.join(F.broadcast(hot), same_key, "left").select(
+        *df.columns,
+        F.coalesce(F.when(F.col("_span") > 0, piece).cast("int"), F.lit(0)).alias(PIECE),
+        F.col("_pieces").isNotNull().alias(HOT),
+    )
+
+
+def carry_over(parts: DataFrame, keys: list[str], summary: Column, fold, name: str = "_carry") -> DataFrame:
+    """Join to every row of a hot key what the earlier pieces of that key amount to.
+
+    ``summary`` aggregates one piece, ``fold`` (such as ``F.sum``) merges the
+    summaries of all earlier pieces. Rows of ordinary keys and of first pieces
+    get NULL.
+    """
+    by_piece = [*keys, PIECE]
+    earlier = Window.partitionBy(*keys).orderBy(PIECE).rowsBetween(Window.unboundedPreceding, -1)
+    carried = (
+        parts.where(HOT)
+        .groupBy(*by_piece)
+        .agg(summary.alias("_summary"))
+        .select(*[F.col(c).alias(f"_k_{c}") for c in by_piece], fold("_summary").over(earlier).alias(name))
+    )
+    same_piece = [parts[c].eqNullSafe(carried[f"_k_{c}"]) for c in by_piece]
+    return parts.join(F.broadcast(carried), same_piece, "left").select(*parts.columns, name)

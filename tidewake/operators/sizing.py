@@ -1,0 +1,22 @@
+"""Size checks that decide between broadcast and shuffle."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+BROADCAST_ROWS = 200_000
+
+
+def has_at_most(df: DataFrame, rows: int) -> bool:
+    """Whether ``df`` has no more than ``rows`` rows; reads only as much as it takes to know."""
+    return df.select(F.lit(1)).limit(rows + 1).count() <= rows
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """Mark a lookup side for broadcast after counting it.
+
+    A larger side is returned as it is: the join is then shuffled and adaptive
+    execution splits its hot keys.
+    """
+    return F.broadcast(df) if has_at_most(df, max_rows) else df
