@@ -50,15 +50,23 @@ def operation_mode(code: Column) -> Column:
     return picked
 
 
+_NUMBER_TEXT = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
+
+
+def strip(text: Column) -> Column:
+    """Remove white space of any kind from both ends."""
+    return F.btrim(text, F.lit(" \t\n\r\f\v"))
+
+
 def parse_code(text: Column) -> Column:
     """Whole number in a lenient numeric text (``' 80.7 '`` is 80), else NULL."""
-    number = F.trim(text.cast("string")).try_cast("double")
-    return F.when(~F.isnan(number), number.try_cast("int"))
+    bare = strip(text)
+    return F.when(bare.rlike(_NUMBER_TEXT), bare.try_cast("double").try_cast("int"))
 
 
 def is_blank(text: Column) -> Column:
     """Missing or only white space."""
-    return text.isNull() | (F.trim(text.cast("string")) == "")
+    return text.isNull() | (strip(text) == "")
 
 
 def emission_for_interval(allowed: Column, mode: Column, hours: Column, rates: dict[str, Column]) -> Column:

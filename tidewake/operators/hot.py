@@ -13,6 +13,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidewake.functions.ais import seconds_between
 
@@ -23,6 +24,13 @@ PIECE = "_piece"
 HOT = "_hot"
 
 
+def _gap(df: DataFrame, order: str, start: Column, end: Column) -> Column:
+    """Distance in the ordering column, which is a time or a number."""
+    if isinstance(df.schema[order].dataType, T.NumericType):
+        return (end - start).cast("double")
+    return seconds_between(start, end)
+
+
 def split_hot_keys(df: DataFrame, keys: list[str], ts: str, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Add ``_piece`` (0 for ordinary keys) and ``_hot``.
 
@@ -44,11 +52,11 @@ def split_hot_keys(df: DataFrame, keys: list[str], ts: str, hot_rows: int = HOT_
             *[F.col(k).alias(f"_k_{k}") for k in keys],
             "_from",
             F.ceil(2 * F.col("_n") / portion).alias("_pieces"),
-            seconds_between(F.col("_from"), F.col("_to")).alias("_span"),
+            _gap(df, ts, F.col("_from"), F.col("_to")).alias("_span"),
         )
     )
     same_key = [df[k].eqNullSafe(hot[f"_k_{k}"]) for k in keys]
-    share = seconds_between(F.col("_from"), F.col(ts)) / F.col("_span")
+    share = _gap(df, ts, F.col("_from"), F.col(ts)) / F.col("_span")
     piece = F.least(F.floor(share * F.col("_pieces")), F.col("_pieces") - 1)
     return df.join(F.broadcast(hot), same_key, "left").select(
         *df.columns,

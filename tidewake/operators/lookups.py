@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidewake.functions.ais import is_blank, ne_null_true, parse_code
 from tidewake.operators.sizing import broadcast_if_small
@@ -123,9 +124,10 @@ def enrich_positions(positions: DataFrame, statuses: DataFrame) -> DataFrame:
     side = statuses.select(
         F.col("navigational_status_code").alias("_code"), F.col("navigational_status").alias("_status")
     )
-    joined = positions.join(
-        broadcast_if_small(side), parse_code(F.col("navigational_status_code")) == F.col("_code"), "left"
-    )
+    code = F.col("navigational_status_code")
+    if isinstance(positions.schema["navigational_status_code"].dataType, T.StringType):
+        code = parse_code(code)
+    joined = positions.join(broadcast_if_small(side), code == F.col("_code"), "left")
     status = F.coalesce("navigational_status", F.when(F.col("_code").isNotNull(), F.col("_status")).otherwise("Unknown"))
     return joined.select(*[status.alias(c) if c == "navigational_status" else c for c in positions.columns])
 
