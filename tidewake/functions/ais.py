@@ -69,15 +69,20 @@ def is_blank(text: Column) -> Column:
     return text.isNull() | (strip(text) == "")
 
 
-def emission_for_interval(allowed: Column, mode: Column, hours: Column, rates: dict[str, Column]) -> Column:
-    """``rate[mode] * hours`` where discharge is allowed, 0 where not or where the mode is unknown.
+def rate_of_mode(mode: Column, rates: dict[str, Column]) -> Column:
+    """The emission rate of the current mode; NULL for an unknown mode."""
+    picked = F
+    for name, rate in rates.items():
+        picked = picked.when(mode == name, rate)
+    return picked
+
+
+def emission_for_interval(allowed: Column, mode: Column, hours: Column, rate: Column) -> Column:
+    """``rate * hours`` where discharge is allowed, 0 where not or where the mode is unknown.
 
     A missing rate or interval gives NULL, which sums skip.
     """
-    emitted = F
-    for name, rate in rates.items():
-        emitted = emitted.when(mode == name, rate * hours)
-    return F.when(allowed, emitted.otherwise(F.lit(0.0))).otherwise(F.lit(0.0))
+    return F.when(allowed & mode.isin(*MODES), rate * hours).otherwise(F.lit(0.0))
 
 
 def sum_or_zero(value: Column) -> Column:

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewake.functions.ais import emission_for_interval, sum_or_zero
+from tidewake.functions.ais import MODES, emission_for_interval, rate_of_mode, sum_or_zero
 from tidewake.operators.hot import HOT_ROWS
 from tidewake.operators.spatial import any_site_within, is_inland, nearest_site
 from tidewake.operators.temporal import hours_since_previous
@@ -99,27 +99,22 @@ def pollution(
 ) -> DataFrame:
     """Per report: hours since the ship's previous one, allowed or not, kilograms, country and date.
 
-    Only the columns the result needs travel through the per-ship shuffle; the
-    spatial rules run before it, map-side, on the scanned rows.
+    Only the columns the result needs, with the one emission rate of the current
+    mode, travel through the per-ship shuffle; the spatial rules are map-side.
     """
+    mode = F.col("operation_mode")
+    rates = {name: F.col(f"emission_{name.lower()}") for name in MODES}
     slim = df.select(
         "id", "imo_number", "timestamp_collected", "latitude", "longitude", "operation_mode",
-        "emission_berth", "emission_anchor", "emission_maneuver", "emission_cruise",
+        rate_of_mode(mode, rates).alias("_rate"),
     )
-    placed = with_nearest_port(slim, ports)
-    ruled = discharge_allowed(placed, ports, port_rules, country_rules, land)
-    attributed = ruled.select(
-        "id", "imo_number", "timestamp_collected", "operation_mode", "discharge_allowed",
-        "emission_berth", "emission_anchor", "emission_maneuver", "emission_cruise",
-        F.when(F.col("nearest_nm") <= COUNTRY_RADIUS_NM, F.col("nearest_country"))
-        .otherwise(INTERNATIONAL).alias("country"),
-    )
-    timed = hours_since_previous(attributed, hot_rows=hot_rows)
-    rates = {mode: F.col(f"emission_{mode.lower()}") for mode in ("Berth", "Anchor", "Maneuver", "Cruise")}
-    emitted = emission_for_interval(F.col("discharge_allowed"), F.col("operation_mode"), F.col("time_diff"), rates)
-    return timed.select(
+    timed = hours_since_previous(slim, hot_rows=hot_rows)
+    ruled = discharge_allowed(with_nearest_port(timed, ports), ports, port_rules, country_rules, land)
+    country = F.when(F.col("nearest_nm") <= COUNTRY_RADIUS_NM, F.col("nearest_country")).otherwise(INTERNATIONAL)
+    emitted = emission_for_interval(F.col("discharge_allowed"), mode, F.col("time_diff"), F.col("_rate"))
+    return ruled.select(
         "id", "imo_number", "timestamp_collected", "operation_mode", "discharge_allowed", "time_diff",
-        emitted.alias("pollution"), F.to_date("timestamp_collected").alias("date"), "country",
+        emitted.alias("pollution"), F.to_date("timestamp_collected").alias("date"), country.alias("country"),
     )
 
 
