@@ -5,13 +5,18 @@ holder identity) may hold a large share of the table, so such *hot* keys are cut
 into time pieces, the window runs per (key, piece), and whatever must cross a
 piece border is carried over from a small per-piece summary.
 
-The number of hot keys and of their pieces is bounded by ``MAX_HOT_KEYS``
-whatever the table size, so hot-key lists and summaries are safe to broadcast.
+Hot keys are found by one counting pass before the plan is built. Their list is
+at most ``MAX_HOT_KEYS`` long and their pieces at most three times as many,
+whatever the table size, so both are safe to collect and to broadcast. Without
+hot keys the plan is the plain window.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+import math
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -21,7 +26,6 @@ HOT_ROWS = 1_000_000
 MAX_HOT_KEYS = 10_000
 
 PIECE = "_piece"
-HOT = "_hot"
 
 
 def _gap(df: DataFrame, order: str, start: Column, end: Column) -> Column:
@@ -31,54 +35,79 @@ def _gap(df: DataFrame, order: str, start: Column, end: Column) -> Column:
     return seconds_between(start, end)
 
 
-def split_hot_keys(df: DataFrame, keys: list[str], ts: str, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Add ``_piece`` (0 for ordinary keys) and ``_hot``.
+def find_hot_keys(df: DataFrame, keys: list[str], order: str, hot_rows: int = HOT_ROWS) -> list:
+    """Keys with more than ``hot_rows`` rows: rows of key, count, start and span, largest first.
 
-    A key is hot when it has more than ``hot_rows`` rows and more than one
-    ``MAX_HOT_KEYS``-th of the table. Its time span is cut evenly into twice as
-    many pieces as it has portions of that size. Pieces grow with time, so
-    (piece, time) sorts like time alone. Rows without a time stay in piece 0,
-    where NULLs sort first anyway.
+    Beyond ``MAX_HOT_KEYS`` of them the rest is left whole; each of those holds
+    less than one ``MAX_HOT_KEYS``-th of the table.
     """
     stats = df.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("_n"), F.min(ts).alias("_from"), F.max(ts).alias("_to")
+        F.count(F.lit(1)).alias("_n"), F.min(order).alias("_from"), F.max(order).alias("_to")
     )
-    portion = F.greatest(F.lit(float(hot_rows)), F.col("_total") / MAX_HOT_KEYS)
-    total = stats.agg(F.sum("_n").alias("_total"))
-    hot = (
-        stats.crossJoin(F.broadcast(total))
-        .where(F.col("_n") > portion)
-        .select(
-            *[F.col(k).alias(f"_k_{k}") for k in keys],
-            "_from",
-            F.ceil(2 * F.col("_n") / portion).alias("_pieces"),
-            _gap(df, ts, F.col("_from"), F.col("_to")).alias("_span"),
+    span = _gap(df, order, F.col("_from"), F.col("_to")).alias("_span")
+    hot = stats.where(F.col("_n") > hot_rows).select(*keys, "_n", "_from", span).where("_span > 0")
+    return hot.orderBy(F.desc("_n")).limit(MAX_HOT_KEYS).collect()
+
+
+@dataclass(frozen=True)
+class Pieces:
+    """Rows ready for time-ordered windows: ``df`` partitioned by ``by``."""
+
+    df: DataFrame
+    keys: list[str]
+    split: bool
+
+    @property
+    def by(self) -> list[str]:
+        return [*self.keys, PIECE] if self.split else self.keys
+
+    def window(self, *order: Column | str) -> WindowSpec:
+        return Window.partitionBy(*self.by).orderBy(*order)
+
+    def carry(self, summary: Column, fold) -> "Pieces":
+        """Add ``_carry``: what the earlier pieces of the row's key amount to.
+
+        ``summary`` aggregates one piece and ``fold`` (such as ``F.sum``) merges
+        the summaries of all earlier pieces. First pieces and ordinary keys get
+        NULL.
+        """
+        if not self.split:
+            return Pieces(self.df.withColumn("_carry", F.lit(None)), self.keys, False)
+        earlier = Window.partitionBy(*self.keys).orderBy(PIECE).rowsBetween(Window.unboundedPreceding, -1)
+        carried = (
+            self.df.where(F.col(PIECE) >= 0)
+            .groupBy(*self.by)
+            .agg(summary.alias("_summary"))
+            .select(*[F.col(c).alias(f"_k_{c}") for c in self.by], fold("_summary").over(earlier).alias("_carry"))
         )
-    )
-    same_key = [df[k].eqNullSafe(hot[f"_k_{k}"]) for k in keys]
-    share = _gap(df, ts, F.col("_from"), F.col(ts)) / F.col("_span")
-    piece = F.least(F.floor(share * F.col("_pieces")), F.col("_pieces") - 1)
-    return df.join(F.broadcast(hot), same_key, "left").select(
-        *df.columns,
-        F.coalesce(F.when(F.col("_span") > 0, piece).cast("int"), F.lit(0)).alias(PIECE),
-        F.col("_pieces").isNotNull().alias(HOT),
-    )
+        same_piece = [self.df[c].eqNullSafe(carried[f"_k_{c}"]) for c in self.by]
+        joined = self.df.join(F.broadcast(carried), same_piece, "left").select(*self.df.columns, "_carry")
+        return Pieces(joined, self.keys, True)
 
 
-def carry_over(parts: DataFrame, keys: list[str], summary: Column, fold, name: str = "_carry") -> DataFrame:
-    """Join to every row of a hot key what the earlier pieces of that key amount to.
+def split_hot_keys(df: DataFrame, keys: list[str], order: str, hot_rows: int = HOT_ROWS) -> Pieces:
+    """Cut the rows of hot keys into pieces of equal time, about twice as many as needed.
 
-    ``summary`` aggregates one piece, ``fold`` (such as ``F.sum``) merges the
-    summaries of all earlier pieces. Rows of ordinary keys and of first pieces
-    get NULL.
+    Pieces grow with time, so (piece, time) sorts like time alone. Ordinary keys
+    stay whole as piece -1, rows of hot keys without a time go to piece 0, where
+    NULLs sort first anyway.
     """
-    by_piece = [*keys, PIECE]
-    earlier = Window.partitionBy(*keys).orderBy(PIECE).rowsBetween(Window.unboundedPreceding, -1)
-    carried = (
-        parts.where(HOT)
-        .groupBy(*by_piece)
-        .agg(summary.alias("_summary"))
-        .select(*[F.col(c).alias(f"_k_{c}") for c in by_piece], fold("_summary").over(earlier).alias(name))
+    rows = find_hot_keys(df, keys, order, hot_rows)
+    if not rows:
+        return Pieces(df, keys, False)
+    portion = max(hot_rows, sum(r["_n"] for r in rows) / MAX_HOT_KEYS)
+    schema = T.StructType(
+        [T.StructField(f"_k_{k}", df.schema[k].dataType) for k in keys]
+        + [T.StructField("_from", df.schema[order].dataType), T.StructField("_span", T.DoubleType()),
+           T.StructField("_pieces", T.IntegerType())]
+    )
+    listed = [(*[r[k] for k in keys], r["_from"], r["_span"], math.ceil(2 * r["_n"] / portion)) for r in rows]
+    hot = df.sparkSession.createDataFrame(listed, schema)
+    same_key = [df[k].eqNullSafe(hot[f"_k_{k}"]) for k in keys]
+    share = _gap(df, order, F.col("_from"), F.col(order)) / F.col("_span")
+    piece = F.least(F.floor(share * F.col("_pieces")), F.col("_pieces") - 1).cast("int")
+    joined = df.join(F.broadcast(hot), same_key, "left").select(
+        *df.columns,
+        F.when(F.col("_pieces").isNull(), F.lit(-1)).otherwise(F.coalesce(piece, F.lit(0))).alias(PIECE),
     )
-    same_piece = [parts[c].eqNullSafe(carried[f"_k_{c}"]) for c in by_piece]
-    return parts.join(F.broadcast(carried), same_piece, "left").select(*parts.columns, name)
+    return Pieces(joined, keys, True)

@@ -53,11 +53,23 @@ def drop_prefix(df: DataFrame, prefix: str) -> DataFrame:
 EMISSIONS = ["emission_berth", "emission_anchor", "emission_maneuver", "emission_cruise"]
 
 
-def augment_emissions(df: DataFrame, factors: DataFrame, key: str = "imo_number") -> DataFrame:
-    """Replace the ``emission_*`` columns by the factors of ships that appear with a scrubber."""
+def augment_emissions(
+    df: DataFrame, factors: DataFrame, key: str = "imo_number", flag_is_per_ship: bool = False,
+) -> DataFrame:
+    """Replace the ``emission_*`` columns by the factors of ships that appear with a scrubber.
+
+    One flagged row is enough for a ship. Where ``has_scrubber`` is known to be
+    the same on all rows of a ship, ``flag_is_per_ship`` saves the pass that
+    looks for flagged ships.
+    """
+    wanted = factors.select(F.col(key).cast("bigint").alias(key), *EMISSIONS)
+    bare = drop_prefix(df, "emission_")
+    if flag_is_per_ship:
+        joined = bare.join(broadcast_if_small(wanted, bound=factors), key, "left")
+        return joined.select(*bare.columns, *[F.when(F.col("has_scrubber"), F.col(c)).alias(c) for c in EMISSIONS])
     scrubber_ships = df.where("has_scrubber").select(key).distinct()
-    wanted = factors.select(F.col(key).cast("bigint").alias(key), *EMISSIONS).join(scrubber_ships, key, "left_semi")
-    return drop_prefix(df, "emission_").join(broadcast_if_small(wanted), key, "left")
+    wanted = wanted.join(scrubber_ships, key, "left_semi")
+    return bare.join(broadcast_if_small(wanted, bound=factors), key, "left").select(*bare.columns, *EMISSIONS)
 
 
 def emission_coverage(df: DataFrame, key: str = "imo_number") -> DataFrame:

@@ -13,10 +13,12 @@ def has_at_most(df: DataFrame, rows: int) -> bool:
     return df.select(F.lit(1)).limit(rows + 1).count() <= rows
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
+def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS, bound: DataFrame | None = None) -> DataFrame:
     """Mark a lookup side for broadcast after counting it.
 
-    A larger side is returned as it is: the join is then shuffled and adaptive
-    execution splits its hot keys.
+    ``bound`` is a table known to have at least as many rows that is cheaper to
+    count, such as the ship table for a per-ship aggregate. A larger side is
+    returned as it is: the join is then shuffled and adaptive execution splits
+    its hot keys.
     """
-    return F.broadcast(df) if has_at_most(df, max_rows) else df
+    return F.broadcast(df) if has_at_most(df if bound is None else bound, max_rows) else df

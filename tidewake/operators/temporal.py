@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewake.functions.ais import seconds_between
-from tidewake.operators.hot import HOT_ROWS, PIECE, carry_over, split_hot_keys
+from tidewake.operators.hot import HOT_ROWS, split_hot_keys
 
 
 def hours_since_previous(
@@ -14,11 +14,10 @@ def hours_since_previous(
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Add ``time_diff``: hours since the previous row of the key, NULL for its first row."""
-    parts = split_hot_keys(df, [key], ts, hot_rows)
-    parts = carry_over(parts, [key], F.max(ts), F.max)
-    order = Window.partitionBy(key, PIECE).orderBy(F.col(ts).asc_nulls_first(), tie)
+    pieces = split_hot_keys(df, [key], ts, hot_rows).carry(F.max(ts), F.max)
+    order = pieces.window(F.col(ts).asc_nulls_first(), tie)
     previous = F.coalesce(F.lag(ts).over(order), F.col("_carry"))
-    return parts.withColumn("_previous", previous).select(
+    return pieces.df.withColumn("_previous", previous).select(
         *df.columns, (seconds_between(F.col("_previous"), F.col(ts)) / 3600).alias("time_diff")
     )
 
@@ -30,11 +29,10 @@ def systematic_sample(
 
     The test is ``row_number % every = 1``; with ``every=1`` nothing passes.
     """
-    parts = split_hot_keys(df, keys, ts, hot_rows)
-    parts = carry_over(parts, keys, F.count(F.lit(1)), F.sum)
-    order = Window.partitionBy(*keys, PIECE).orderBy(F.col(ts).asc_nulls_first(), tie)
+    pieces = split_hot_keys(df, keys, ts, hot_rows).carry(F.count(F.lit(1)), F.sum)
+    order = pieces.window(F.col(ts).asc_nulls_first(), tie)
     row_num = F.row_number().over(order) + F.coalesce(F.col("_carry"), F.lit(0))
-    return parts.withColumn("_row_num", row_num).where(F.col("_row_num") % every == 1).select(*df.columns)
+    return pieces.df.withColumn("_row_num", row_num).where(F.col("_row_num") % every == 1).select(*df.columns)
 
 
 def chunk_of(ts, start, days: int):
@@ -63,14 +61,10 @@ def asof_last(
         key, F.col(ts).alias("_t"), F.lit(1).alias("_side"), F.lit(None).alias("_tie"),
         F.lit(None).alias("_seen"), F.struct(*left.columns).alias("_row"),
     )
-    parts = split_hot_keys(seen.unionByName(asked), [key], "_t", hot_rows)
-    parts = carry_over(parts, [key], F.max("_seen"), F.max)
-    order = (
-        Window.partitionBy(key, PIECE).orderBy("_t", "_side", "_tie")
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    last = F.coalesce(F.last("_seen", ignorenulls=True).over(order), F.col("_carry"))
-    found = parts.withColumn("_last", F.when(F.col(key).isNotNull(), last)).where(F.col("_row").isNotNull())
+    pieces = split_hot_keys(seen.unionByName(asked), [key], "_t", hot_rows).carry(F.max("_seen"), F.max)
+    so_far = pieces.window("_t", "_side", "_tie").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    last = F.coalesce(F.last("_seen", ignorenulls=True).over(so_far), F.col("_carry"))
+    found = pieces.df.withColumn("_last", F.when(F.col(key).isNotNull(), last)).where(F.col("_row").isNotNull())
     return found.select(
         *[F.col("_row")[c].alias(c) for c in left.columns],
         F.col("_last.t").alias("asof_ts"),

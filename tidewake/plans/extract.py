@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import math
+from datetime import date
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewake.functions.ais import in_range
+from tidewake.functions.ais import in_range, operation_mode
 from tidewake.operators.hot import HOT_ROWS
-from tidewake.operators.sizing import broadcast_if_small
+from tidewake.operators.lookups import augment_emissions
+from tidewake.operators.sizing import BROADCAST_ROWS, broadcast_if_small
 from tidewake.operators.temporal import chunk_of, systematic_sample
 from tidewake.schemas import EXTRACT_COLUMNS
 
@@ -50,14 +54,22 @@ def sampled_extract(
         chunk_of(F.col("timestamp_collected"), start, chunk_days).alias("chunk"),
     )
     stats = ship_stats(ships, in_time, scrubbers, by=("chunk",))
+    chunks = math.ceil((date.fromisoformat(end[:10]) - date.fromisoformat(start[:10])).days / chunk_days) + 1
     kept = systematic_sample(in_time, ["chunk", "imo_number"], "timestamp_collected", every, "id", hot_rows)
-    return kept.join(broadcast_if_small(stats), ["chunk", "imo_number"]).select(*EXTRACT_COLUMNS)
+    few_stats = broadcast_if_small(stats, BROADCAST_ROWS // chunks, bound=ships)
+    return kept.join(few_stats, ["chunk", "imo_number"]).select(*EXTRACT_COLUMNS)
 
 
 def movement_extract(ships: DataFrame, positions: DataFrame, scrubbers: DataFrame) -> DataFrame:
     """The unsampled form of the extract over all positions, keeping ``id``."""
     stats = ship_stats(ships, positions, scrubbers)
     wanted = [c for c in EXTRACT_COLUMNS if c not in stats.columns]
-    return positions.select("id", "imo_number", *wanted).join(broadcast_if_small(stats), "imo_number").select(
+    return positions.select("id", "imo_number", *wanted).join(broadcast_if_small(stats, bound=ships), "imo_number").select(
         "id", *EXTRACT_COLUMNS
     )
+
+
+def augmented_extract(extract: DataFrame, factors: DataFrame) -> DataFrame:
+    """Add the operation mode and, for scrubber ships, the emission factors."""
+    mode = operation_mode(F.col("navigational_status_code")).alias("operation_mode")
+    return augment_emissions(extract.select("*", mode), factors, flag_is_per_ship=True)
