@@ -61,20 +61,38 @@ SELECT * FROM (VALUES (0,0,0e0,51e0),(0,1,6e0,51e0),(0,2,6e0,54e0),(0,3,0e0,54e0
 """,
     "fx_daily": """
 SELECT CAST(ts AS DATE) AS date, event_type AS country, round(sum(value), 4) AS pollution FROM events GROUP BY CAST(ts AS DATE), event_type
+""",
+    # Land around Hamburg and Bremen: two rectangles.
+    "fx_land": """
+SELECT * FROM (VALUES (0,0,9.7e0,53.4e0),(0,1,10.1e0,53.4e0),(0,2,10.1e0,53.65e0),(0,3,9.7e0,53.65e0),
+ (1,0,8.5e0,53.0e0),(1,1,8.9e0,53.0e0),(1,2,8.9e0,53.25e0),(1,3,8.5e0,53.25e0)) AS t(region_id,seq,lon,lat)
+""",
+    # Reports with a tenth of them stored twice.
+    "fx_duplicated": """
+SELECT * FROM fx_positions UNION ALL
+SELECT id + 1000000000 AS id, imo_number, mmsi, timestamp_collected + INTERVAL '1' HOUR AS timestamp_collected, timestamp_ais,
+ latitude, longitude, destination, sog, cog, navigational_status_code, true_heading FROM fx_positions WHERE id % 10 = 0
 """,
 }
 
-NEEDS = {"fx_positions": ["fx_ports"]}
+NEEDS = {"fx_positions": ["fx_ports"], "fx_duplicated": ["fx_positions"]}
+
+
+def with_views(*names: str, extra: dict[str, tuple[list[str], str]] | None = None) -> str:
+    """``WITH`` clause that defines the views and everything they read, for the oracles."""
+    derived, ordered = extra or {}, {}
 
+    def add(name: str) -> None:
+        if name in ordered:
+            return
+        needs, text = derived[name] if name in derived else (NEEDS.get(name, []), SQL[name])
+        for each in needs:
+            add(each)
+        ordered[name] = f"{name} AS MATERIALIZED ({text.strip()})"
 
-def with_views(*names: str) -> str:
-    """``WITH`` clause that defines the views and what they need, for the oracles."""
-    ordered: list[str] = []
     for name in names:
-        for each in [*NEEDS.get(name, []), name]:
-            if each not in ordered:
-                ordered.append(each)
-    return "WITH " + ",\n".join(f"{n} AS ({SQL[n].strip()})" for n in ordered)
+        add(name)
+    return "WITH " + ",\n".join(ordered.values())
 
 
 class Fixtures:
@@ -89,9 +107,9 @@ class Fixtures:
         if view not in SQL:
             raise AttributeError(name)
         needed = {v: getattr(self, v.removeprefix("fx_")) for v in NEEDS.get(view, [])}
-        text = SQL[view].replace("{", "{{").replace("}", "}}")
-        text = text.replace("FROM events", "FROM {events}")
+        text = SQL[view].replace("{", "{{").replace("}", "}}").replace("FROM events", "FROM {events}")
         for v in needed:
-            text = text.replace(f"JOIN {v} ", f"JOIN {{{v}}} ")
+            for word in ("FROM", "JOIN"):
+                text = text.replace(f"{word} {v} ", f"{word} {{{v}}} ")
         used = {"events": self.events} if "{events}" in text else {}
         return self.spark.sql(text, **used, **needed)
