@@ -239,10 +239,8 @@ def _(fx):
 SELECT f.id, s.primary_port, s.secondary_port FROM fixed f LEFT JOIN split s ON s.d = f.d""")
 def _(fx):
     fixed = dest.apply_rules(dest.map_codes(dest.clean_destination(F.col("destination"))))
-    primary, secondary = dest.split_destination(F.col("d"))
-    return fx.positions.select("id", fixed.alias("d")).select(
-        "id", primary.alias("primary_port"), secondary.alias("secondary_port")
-    )
+    ports = fx.positions.select("id", dest.split_destination(fixed).alias("p"))
+    return ports.select("id", F.col("p.primary").alias("primary_port"), F.col("p.secondary").alias("secondary_port"))
 
 
 @query("normalize_destinations", given("norm") + "SELECT id, destination, secondary_destination FROM norm")

@@ -71,6 +71,15 @@ PROFILE_CORRECTIONS = [
 ]
 
 
+def bind(value: Column, body) -> Column:
+    """``body(value)`` with ``value`` computed once, however often the body uses it.
+
+    Keeps chained text functions linear in size; written out, each step would
+    repeat the text of the steps before it.
+    """
+    return F.get(F.transform(F.array(value), body), 0)
+
+
 def clean_destination(text: Column) -> Column:
     """Upper case with everything but letters A-Z and digits removed."""
     return F.regexp_replace(F.upper(text), "[^A-Z0-9]", "")
@@ -79,7 +88,7 @@ def clean_destination(text: Column) -> Column:
 def map_codes(text: Column, codes: Mapping[str, str] = PORT_CODES) -> Column:
     """Replace a value that equals a code by its name; keep other values."""
     pairs = [F.lit(part) for pair in codes.items() for part in pair]
-    return F.coalesce(F.try_element_at(F.create_map(*pairs), text), text)
+    return bind(text, lambda t: F.coalesce(F.try_element_at(F.create_map(*pairs), t), t))
 
 
 def apply_rules(text: Column, rules: Sequence[tuple[str, str]] = tuple(CORRECTIONS)) -> Column:
@@ -88,15 +97,19 @@ def apply_rules(text: Column, rules: Sequence[tuple[str, str]] = tuple(CORRECTIO
     Most texts match no pattern. One combined test lets those skip the chain:
     a text that matches none of the patterns cannot be changed by any of them.
     """
-    fixed = text
-    for pattern, replacement in rules:
-        fixed = F.regexp_replace(fixed, pattern, replacement)
     any_pattern = "|".join(f"(?:{pattern})" for pattern, _ in rules)
-    return F.when(text.rlike(any_pattern), fixed).otherwise(text)
+
+    def corrected(t: Column) -> Column:
+        fixed = t
+        for pattern, replacement in rules:
+            fixed = F.regexp_replace(fixed, pattern, replacement)
+        return F.when(t.rlike(any_pattern), fixed).otherwise(t)
+
+    return bind(text, corrected)
 
 
-def split_destination(text: Column, codes: Mapping[str, str] = PORT_CODES) -> tuple[Column, Column]:
-    """(primary, secondary) port of a text that may name two ports.
+def split_destination(text: Column, codes: Mapping[str, str] = PORT_CODES) -> Column:
+    """Struct of the primary and the secondary port of a text that may name two ports.
 
     Only texts longer than five characters are split. A text with both ROTT and
     HULL is the Rotterdam-Hull ferry. Otherwise the first listed code inside the
@@ -105,24 +118,32 @@ def split_destination(text: Column, codes: Mapping[str, str] = PORT_CODES) -> tu
     first listed code in the rest; the last one found counts.
     """
     listed = F.array(*[F.struct(F.lit(c).alias("code"), F.lit(n).alias("name")) for c, n in codes.items()])
-    ferry = text.contains("ROTT") & text.contains("HULL")
-
-    primary = F
-    for code, name in codes.items():
-        primary = primary.when(text.contains(code) & (text != name), name)
-
-    hits = F.filter(listed, lambda c: F.contains(text, c["code"]))
-    stop = F.array_position(F.transform(hits, lambda c: c["name"] != text), True)
-    walked = F.when(stop > 0, F.slice(hits, 1, F.greatest(stop.cast("int"), F.lit(1)))).otherwise(hits)
-
-    def found(hit: Column) -> Column:
-        rest = F.replace(text, hit["code"], F.lit(""))
-        return F.get(F.filter(listed, lambda c: F.contains(rest, c["code"])), 0)["name"]
-
-    secondary = F.aggregate(walked, F.lit(None).cast("string"), lambda kept, hit: F.coalesce(found(hit), kept))
-    any_code = text.rlike("|".join(codes))
-    long_text = F.length(text) > 5
-    return (
-        F.when(long_text & ferry, "ROTTERDAM").when(long_text & any_code, primary.otherwise(text)).otherwise(text),
-        F.when(long_text & ferry, "HULL").when(long_text & any_code, secondary),
-    )
+    any_code = "|".join(codes)
+
+    def by_codes(t: Column) -> Column:
+        def found(hit: Column) -> Column:
+            rest = F.replace(t, hit["code"], F.lit(""))
+            return F.get(F.filter(listed, lambda c: F.contains(rest, c["code"])), 0)["name"]
+
+        def walk(hits: Column) -> Column:
+            stop = F.array_position(F.transform(hits, lambda c: c["name"] != t), True).cast("int")
+            walked = F.when(stop > 0, F.slice(hits, 1, F.greatest(stop, F.lit(1)))).otherwise(hits)
+            secondary = F.aggregate(walked, F.lit(None).cast("string"), lambda kept, hit: F.coalesce(found(hit), kept))
+            primary = F.when(stop > 0, F.get(hits, stop - 1)["name"]).otherwise(t)
+            return F.struct(primary.alias("primary"), secondary.alias("secondary"))
+
+        return bind(F.filter(listed, lambda c: F.contains(t, c["code"])), walk)
+
+    def split(t: Column) -> Column:
+        def ports(primary: Column, secondary: Column) -> Column:
+            return F.struct(primary.alias("primary"), secondary.alias("secondary"))
+
+        none = F.lit(None).cast("string")
+        return (
+            F.when(F.length(t) <= 5, ports(t, none))
+            .when(t.contains("ROTT") & t.contains("HULL"), ports(F.lit("ROTTERDAM"), F.lit("HULL")))
+            .when(t.rlike(any_code), by_codes(t))
+            .otherwise(ports(t, none))
+        )
+
+    return bind(text, split)

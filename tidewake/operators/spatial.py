@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewake.functions import geo
 from tidewake.operators.sizing import broadcast_if_small
 
-# Up to this many sites every distance is an expression of its own in generated code.
-MAX_UNROLLED_SITES = 64
+# Up to this many sites every distance is an expression of its own. The limit
+# keeps the generated method small enough (8,000 bytes) for the JVM to compile.
+MAX_UNROLLED_SITES = 48
 
 # Finest cell of the site grid: 1/64 of the earth's radius (about 54 nm); a
 # coarser level doubles the side, and nine doublings cover the whole globe.
@@ -28,9 +31,9 @@ def nearest_site(
 ) -> DataFrame:
     """Add id, payload and distance (``<prefix>nm``) of the nearest site; ties go to the lowest id.
 
-    Rows without a position get NULLs. Straight-line distance on the unit sphere
-    orders sites like great-circle distance and costs no trigonometry per site,
-    so the haversine is computed only once per row. A site list of at most
+    Rows without a position get NULLs. The inner product of unit vectors orders
+    sites like great-circle distance and costs no trigonometry per site, so the
+    haversine is computed only once per row. A site list of at most
     ``max_unrolled`` rows becomes part of the projection; longer lists are
     joined by grid cell.
     """
@@ -52,25 +55,30 @@ def nearest_site(
     )
 
 
+def _inner_products(rows: list) -> list[Column]:
+    """Inner product of the row's unit vector (``_x``, ``_y``, ``_z``) with each site's."""
+    def product(row) -> Column:
+        x, y, z = geo.unit_vector_of(row["latitude"], row["longitude"])
+        return F.col("_x") * F.lit(x) + F.col("_y") * F.lit(y) + F.col("_z") * F.lit(z)
+
+    return [product(row) for row in rows]
+
+
+def _with_solid_vector(df: DataFrame, lat: str, lon: str) -> DataFrame:
+    """Add the unit vector with NaN for NULL, which keeps later arithmetic free of NULL checks."""
+    vector = [F.coalesce(axis, F.lit(float("nan"))) for axis in geo.unit_vector(F.col(lat), F.col(lon))]
+    return df.select("*", *[axis.alias(f"_{n}") for n, axis in zip("xyz", vector)])
+
+
 def _nearest_unrolled(df: DataFrame, rows: list, sites: DataFrame, lat: str, lon: str) -> DataFrame:
     kinds = {f.name: f.dataType for f in sites.schema.fields}
     listed = F.array(*[
         F.struct(*[F.lit(row[c]).cast(kinds[c]).alias(c) for c in sites.columns]) for row in rows
     ])
-    # NaN keeps the arithmetic free of NULL checks; it is taken out again below.
-    vector = [F.coalesce(axis, F.lit(float("nan"))) for axis in geo.unit_vector(F.col(lat), F.col(lon))]
-    placed = df.select("*", *[axis.alias(f"_{n}") for n, axis in zip("xyz", vector)])
-    axes = [F.col("_x"), F.col("_y"), F.col("_z")]
-
-    def squared_chord(row) -> Column:
-        point = geo.unit_vector_of(row["latitude"], row["longitude"])
-        gaps = [axis - F.lit(at) for axis, at in zip(axes, point)]
-        return gaps[0] * gaps[0] + gaps[1] * gaps[1] + gaps[2] * gaps[2]
-
-    measured = placed.withColumn("_chords", F.array(*[squared_chord(row) for row in rows]))
-    first_least = F.array_position("_chords", F.array_min("_chords")).cast("int")
+    measured = _with_solid_vector(df, lat, lon).withColumn("_products", F.array(*_inner_products(rows)))
+    first_best = F.array_position("_products", F.array_max("_products")).cast("int")
     known = F.col(lat).isNotNull() & F.col(lon).isNotNull()
-    return measured.withColumn("_site", F.when(known, F.try_element_at(listed, first_least)))
+    return measured.withColumn("_site", F.when(known, F.try_element_at(listed, first_best)))
 
 
 def _cell_columns(level: Column | int) -> list[Column]:
@@ -139,10 +147,23 @@ def _nearest_by_cell(df: DataFrame, sites: DataFrame, site_id: str, lat: str, lo
     return joined.withColumn("_site", F.array_min(F.transform("_sites", ranked))["site"])
 
 
-def any_site_within(df: DataFrame, sites: DataFrame, nm: float, flag: str, **kwargs) -> DataFrame:
+def any_site_within(
+    df: DataFrame, sites: DataFrame, nm: float, flag: str, lat: str = "latitude", lon: str = "longitude",
+    max_unrolled: int = MAX_UNROLLED_SITES,
+) -> DataFrame:
     """Add ``flag``: whether any site lies at most ``nm`` nautical miles away (no position: false)."""
-    near = nearest_site(df, sites, payload=(), prefix="_near_", **kwargs)
-    return near.select(*df.columns, F.coalesce(F.col("_near_nm") <= nm, F.lit(False)).alias(flag))
+    rows = sites.select("latitude", "longitude").limit(max_unrolled + 1).collect()
+    if not rows:
+        return df.withColumn(flag, F.lit(False))
+    if len(rows) > max_unrolled:
+        numbered = sites.withColumn("_number", F.monotonically_increasing_id())
+        near = nearest_site(df, numbered, "_number", (), "_near_", lat, lon, max_unrolled)
+        return near.select(*df.columns, F.coalesce(F.col("_near_nm") <= nm, F.lit(False)).alias(flag))
+    products = _inner_products(rows)
+    best = F.greatest(*products) if len(products) > 1 else products[0]
+    known = F.col(lat).isNotNull() & F.col(lon).isNotNull()
+    near = known & (best >= F.lit(math.cos(nm / geo.EARTH_RADIUS_NM)))
+    return _with_solid_vector(df, lat, lon).select(*df.columns, near.alias(flag))
 
 
 # ---------------------------------------------------------- points in polygons

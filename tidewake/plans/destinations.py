@@ -18,10 +18,10 @@ def normalize_destinations(
     column: str = "destination",
 ) -> DataFrame:
     """Clean, map and correct ``column``, and add ``secondary_destination``; empty becomes NULL."""
-    fixed = df.withColumn("_fixed", apply_rules(map_codes(clean_destination(F.col(column)), codes), rules))
-    primary, secondary = split_destination(F.col("_fixed"), codes)
-    kept = [F.nullif(primary, F.lit("")).alias(c) if c == column else c for c in df.columns]
-    return fixed.select(*kept, secondary.alias("secondary_destination"))
+    fixed = apply_rules(map_codes(clean_destination(F.col(column)), codes), rules)
+    ports = df.withColumn("_ports", split_destination(fixed, codes))
+    kept = [F.nullif(F.col("_ports.primary"), F.lit("")).alias(c) if c == column else c for c in df.columns]
+    return ports.select(*kept, F.col("_ports.secondary").alias("secondary_destination"))
 
 
 def profile_destinations(df: DataFrame, column: str = "destination") -> DataFrame:

@@ -24,6 +24,8 @@ def get_session(app: str = "tidewake", master: str | None = None, **conf: str) -
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        # Larger generated methods are not compiled by the JVM; run such stages operator by operator.
+        "spark.sql.codegen.hugeMethodLimit": "8000",
         "spark.ui.enabled": "false",
         **conf,
     }
