@@ -7,6 +7,7 @@ from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tidewake.operators.lookups import enrich_positions, resolve_identity
@@ -41,7 +42,8 @@ def _append_log(statics: DataFrame, path: str, batch_id: int) -> None:
 
 def _recent_log(statics: DataFrame, path: str, batch_id: int, since: datetime | None) -> DataFrame:
     """Log rows up to this micro-batch that are not older than ``since``; older days are not read."""
-    schema = statics.schema.add("day", "date").add("batch_id", "int")
+    parts = [T.StructField("day", T.DateType()), T.StructField("batch_id", T.IntegerType())]
+    schema = T.StructType([*statics.schema.fields, *parts])
     log = statics.sparkSession.read.schema(schema).parquet(path).where(F.col("batch_id") <= batch_id)
     if since is not None:
         log = log.where((F.col("day") >= F.lit(since.date())) & (F.col("timestamp_ais") > F.lit(since).cast("timestamp_ntz")))
