@@ -15,6 +15,7 @@ from tidewake.operators.temporal import latest_state, recent
 from tidewake.plans.destinations import normalize_destinations, profile_destinations
 from tidewake.plans.extract import movement_extract
 from tidewake.plans.profile import fill_defaults
+from tidewake.session import materialize
 from tidewake.sources.messages import ingest, parse_messages
 from tidewake.sources.regions import rings_from_vertices
 
@@ -38,10 +39,20 @@ def messages(fx: Fixtures):
     return ingest(fx.messages.withColumnRenamed("event_id", "seq"), region(fx))
 
 
+def stored_messages(fx: Fixtures):
+    """Routed messages as a table, as the collector leaves them."""
+    return materialize(messages(fx).drop("raw"), "messages")
+
+
 def extract(fx: Fixtures):
     return movement_extract(fx.ships, fx.positions, fx.scrubbers)
 
 
+def stored_extract(fx: Fixtures):
+    """The extract as a table, as reports read it."""
+    return materialize(extract(fx), "extract")
+
+
 @query("bbox_filter", given("fx_positions") + """
 SELECT id, latitude, longitude FROM fx_positions
 WHERE latitude BETWEEN 50 AND 61.5 AND longitude BETWEEN -5 AND 13""")

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from checks.registry import query, rounded
-from checks.rows import extract, land, messages, region
+from checks.rows import extract, land, messages, region, stored_extract, stored_messages
 from checks.views import ALLOWED, ISO_ALLOWED, cleaned, given, in_region, polluted, ts
 from tidewake import schemas
 from tidewake.operators import aggregate, lookups, maintain, temporal
@@ -28,8 +28,8 @@ def polluted_rows(fx):
     return pollution_plan.pollution(augmented(fx), fx.ports)
 
 
-def statics(fx):
-    return messages(fx).where(F.col("route") == "static")
+def statics(fx, routed=None):
+    return (messages(fx) if routed is None else routed).where(F.col("route") == "static")
 
 
 def uncorrected_ships(fx):
@@ -238,9 +238,10 @@ IDENTITY = given("named") + "SELECT seq, mmsi, imo_number FROM named"
 
 
 def identity(fx, **kwargs):
-    reports = messages(fx).where(F.col("route") == "position").select("seq", "mmsi", "timestamp_ais")
+    routed = stored_messages(fx)
+    reports = routed.where(F.col("route") == "position").select("seq", "mmsi", "timestamp_ais")
     stored = fx.ships.where("mmsi % 2 = 0")
-    return lookups.resolve_identity(reports, statics(fx), stored, **kwargs).select("seq", "mmsi", "imo_number")
+    return lookups.resolve_identity(reports, statics(fx, routed), stored, **kwargs).select("seq", "mmsi", "imo_number")
 
 
 @query("resolve_identity", IDENTITY)
@@ -429,9 +430,9 @@ SELECT count(*) FILTER (WHERE route IN ('static', 'position', 'no_imo')) AS coll
  round(count(DISTINCT mmsi) FILTER (WHERE route IN ('static', 'position', 'no_imo') AND imo > 0) * 1e0
   / count(DISTINCT mmsi) FILTER (WHERE route IN ('static', 'position', 'no_imo')), 6) AS coverage FROM used""")
 def _(fx):
-    routed = messages(fx)
+    routed = stored_messages(fx)
     reports = routed.where(F.col("route") == "position").drop("imo_number")
-    named = lookups.resolve_identity(reports, statics(fx), fx.ships.where("mmsi % 2 = 0"))
+    named = lookups.resolve_identity(reports, statics(fx, routed), fx.ships.where("mmsi % 2 = 0"))
     everything = routed.where(F.col("route") != "position").unionByName(named)
     return rounded(maintain.coverage_metrics(everything), coverage=6)
 
@@ -529,7 +530,7 @@ UNION ALL SELECT 'flows', concat_ws(' | ', CASE WHEN has_scrubber THEN 'scrubber
 UNION ALL SELECT 'daily_non_scrubber', CAST(CAST(timestamp_collected AS DATE) AS VARCHAR), count(DISTINCT imo_number) FILTER (WHERE NOT has_scrubber) FROM ext GROUP BY 2
 UNION ALL SELECT 'daily_scrubber', CAST(CAST(timestamp_collected AS DATE) AS VARCHAR), count(DISTINCT imo_number) FILTER (WHERE has_scrubber) FROM ext GROUP BY 2""")
 def _(fx):
-    return rounded(movement_report(extract(fx)), value=10)
+    return rounded(movement_report(stored_extract(fx)), value=10)
 
 
 @query("destination_report", given("norm") + """
@@ -576,7 +577,7 @@ SELECT count(*) AS processed, count(*) FILTER (WHERE s.imo_number IS NOT NULL AN
  count(*) FILTER (WHERE s.imo_number IS NULL OR s.done OR coalesce(m.seq > f.seq, FALSE)) AS ignored
 FROM statics m LEFT JOIN {OLD_SHIPS} s ON s.imo_number = m.imo_number LEFT JOIN fixes f ON f.imo_number = m.imo_number""")
 def _(fx):
-    return maintain.correction_counters(uncorrected_ships(fx), statics(fx))
+    return maintain.correction_counters(uncorrected_ships(fx), statics(fx, stored_messages(fx)))
 
 
 @query("guarded_enrichment", given("fx_positions", "fx_nav_status") + """

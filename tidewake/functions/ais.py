@@ -12,7 +12,7 @@ MODE_OF_STATUS = {
 }
 MODES = ("Berth", "Anchor", "Maneuver", "Cruise")
 
-_TIME_TEXT = r"^(\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2})\.(\d+)\s\+(?:[01]\d|2[0-3])[0-5]\d$"
+_TIME_TEXT = r"^(\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}\.\d{1,6})\d*\s\+(?:[01]\d|2[0-3])[0-5]\d$"
 
 
 def parse_ais_timestamp(text: Column) -> Column:
@@ -23,9 +23,7 @@ def parse_ais_timestamp(text: Column) -> Column:
     NULL, including impossible dates.
     """
     bare = F.replace(text, F.lit(" UTC"), F.lit(""))
-    seconds = F.regexp_extract(bare, _TIME_TEXT, 1)
-    micros = F.substring(F.regexp_extract(bare, _TIME_TEXT, 2), 1, 6)
-    return F.when(bare.rlike(_TIME_TEXT), F.concat_ws(".", seconds, micros).try_cast("timestamp_ntz"))
+    return F.regexp_extract(bare, _TIME_TEXT, 1).try_cast("timestamp_ntz")
 
 
 def seconds_between(start: Column, end: Column) -> Column:

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -97,7 +99,10 @@ def apply_rules(text: Column, rules: Sequence[tuple[str, str]] = tuple(CORRECTIO
     Most texts match no pattern. One combined test lets those skip the chain:
     a text that matches none of the patterns cannot be changed by any of them.
     """
-    any_pattern = "|".join(f"(?:{pattern})" for pattern, _ in rules)
+    if all(pattern.startswith("^") for pattern, _ in rules):
+        any_pattern = "^(?:" + "|".join(pattern[1:] for pattern, _ in rules) + ")"
+    else:
+        any_pattern = "|".join(f"(?:{pattern})" for pattern, _ in rules)
 
     def corrected(t: Column) -> Column:
         fixed = t
@@ -118,8 +123,6 @@ def split_destination(text: Column, codes: Mapping[str, str] = PORT_CODES) -> Co
     first listed code in the rest; the last one found counts.
     """
     listed = F.array(*[F.struct(F.lit(c).alias("code"), F.lit(n).alias("name")) for c, n in codes.items()])
-    any_code = "|".join(codes)
-
     def by_codes(t: Column) -> Column:
         def found(hit: Column) -> Column:
             rest = F.replace(t, hit["code"], F.lit(""))
@@ -142,7 +145,7 @@ def split_destination(text: Column, codes: Mapping[str, str] = PORT_CODES) -> Co
         return (
             F.when(F.length(t) <= 5, ports(t, none))
             .when(t.contains("ROTT") & t.contains("HULL"), ports(F.lit("ROTTERDAM"), F.lit("HULL")))
-            .when(t.rlike(any_code), by_codes(t))
+            .when(reduce(or_, [t.contains(code) for code in codes]), by_codes(t))
             .otherwise(ports(t, none))
         )
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidewake.session import materialize
+
 
 def top_values(df: DataFrame, column: str, n: int | None = None) -> DataFrame:
     """Row count per value, most frequent first, ties by value; NULL is no value."""
@@ -100,9 +102,11 @@ def flow_rows(df: DataFrame, top_n: int = 5) -> DataFrame:
 
     Types and destinations are the most frequent of all ships. One pass counts
     the (flag, type, destination) combinations; rankings and flows come from
-    that small cube.
+    that small cube, which is stored.
     """
-    cube = df.groupBy("has_scrubber", "ship_type", "destination").agg(F.count(F.lit(1)).alias("n"))
+    cube = materialize(
+        df.groupBy("has_scrubber", "ship_type", "destination").agg(F.count(F.lit(1)).alias("n")), "flow_cube"
+    )
     return (
         cube.where(F.col("has_scrubber").isNotNull())
         .join(F.broadcast(_top(cube, "ship_type", top_n)), "ship_type", "left_semi")
@@ -115,11 +119,14 @@ def flow_unique_ships(df: DataFrame, flag: bool, top_n: int = 5) -> tuple[DataFr
     """(flows, ranked types, ranked destinations) of distinct ships within one flag group.
 
     Destinations are ranked over primary and secondary values together. Flows to
-    primary and to secondary destinations stay separate rows (``leg``).
+    primary and to secondary destinations stay separate rows (``leg``). The
+    (type, destinations, ship) combinations are counted in one pass and stored.
     """
     group = df.where(F.col("has_scrubber") == flag)
-    cube = group.groupBy("ship_type", "destination", "secondary_destination", "imo_number").agg(
-        F.count(F.lit(1)).alias("n")
+    cube = materialize(
+        group.groupBy("ship_type", "destination", "secondary_destination", "imo_number").agg(
+            F.count(F.lit(1)).alias("n")
+        ), "flow_cube",
     )
     both = cube.select("destination", "n").unionByName(
         cube.select(F.col("secondary_destination").alias("destination"), "n")
@@ -156,7 +163,7 @@ def flow_links(flows: DataFrame, types: DataFrame, destinations: DataFrame) -> t
 
 def profile_flows(df: DataFrame, top_n: int = 5) -> DataFrame:
     """Row counts between the most frequent types and destinations of one group of ships."""
-    cube = df.groupBy("ship_type", "destination").agg(F.count(F.lit(1)).alias("n"))
+    cube = materialize(df.groupBy("ship_type", "destination").agg(F.count(F.lit(1)).alias("n")), "flow_cube")
     return (
         cube.join(F.broadcast(_top(cube, "ship_type", top_n)), "ship_type", "left_semi")
         .join(F.broadcast(_top(cube, "destination", top_n)), "destination", "left_semi")

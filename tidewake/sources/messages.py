@@ -41,11 +41,12 @@ def parse_messages(raw: DataFrame, column: str = "raw") -> DataFrame:
     parsed = raw.withColumn(
         "_m", F.from_json(column, MESSAGE, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"})
     )
+    parsed = parsed.withColumn("_time", parse_ais_timestamp(F.col("_m.MetaData.time_utc")))
     meta, static, report = F.col("_m.MetaData"), F.col("_m.Message.ShipStaticData"), F.col("_m.Message.PositionReport")
     is_static = F.col("_m.MessageType") == "ShipStaticData"
     is_report = F.col("_m.MessageType") == "PositionReport"
     length, width = vessel_dimensions(static["Dimension"])
-    ts = parse_ais_timestamp(meta["time_utc"])
+    ts = F.col("_time")
 
     def text(value: Column) -> Column:
         return F.when(is_static, F.coalesce(value, F.lit("Unknown")))
