@@ -175,10 +175,20 @@ def _(fx):
     return merged.join(fx.positions.select("id", "destination"), "id").select("id", "name", "ship_type", "destination", "port_id", "country")
 
 
-@query("lookup_default", given("fx_ports", "fx_port_bans") + """
-SELECT p.port_id, p.port_name, coalesce(b.scrubber_status, 0) AS scrubber_status FROM fx_ports p LEFT JOIN fx_port_bans b ON b.port_name = p.port_name""")
+BANNED = given("fx_positions", "fx_port_bans") + """
+, banned AS (SELECT p.id, coalesce(b.scrubber_status, 0) AS scrubber_status FROM fx_positions p
+ LEFT JOIN fx_port_bans b ON b.port_name = upper(trim(p.destination)))
+"""
+
+
+def destination_bans(fx):
+    key = F.upper(F.trim("destination"))
+    return lookups.lookup_with_default(fx.positions, key, fx.port_bans, "port_name", {"scrubber_status": 0})
+
+
+@query("lookup_default", BANNED + "SELECT id, scrubber_status FROM banned")
 def _(fx):
-    return tables.ports_with_scrubber_status(fx.ports, fx.port_bans).select("port_id", "port_name", "scrubber_status")
+    return destination_bans(fx).select("id", "scrubber_status")
 
 
 @query("semi_filter", given("fx_positions", "fx_scrubbers") + """
@@ -395,10 +405,9 @@ def _(fx):
     return aggregate.null_census(fx.positions.select("id", "imo_number", "latitude", "destination", "navigational_status_code"))
 
 
-@query("status_distribution", given("fx_ports", "fx_port_bans") + """
-SELECT coalesce(b.scrubber_status, 0) AS scrubber_status, count(*) AS n FROM fx_ports p LEFT JOIN fx_port_bans b ON b.port_name = p.port_name GROUP BY 1""")
+@query("status_distribution", BANNED + "SELECT scrubber_status, count(*) AS n FROM banned GROUP BY scrubber_status")
 def _(fx):
-    return aggregate.code_distribution(tables.ports_with_scrubber_status(fx.ports, fx.port_bans), "scrubber_status")
+    return aggregate.code_distribution(destination_bans(fx), "scrubber_status")
 
 
 @query("unprocessed_counts", given("fx_ships", "fx_ship_type_codes") + """

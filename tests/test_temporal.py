@@ -75,6 +75,19 @@ def test_hot_keys_are_cut_evenly_in_time(skewed):
     assert not hot.split_hot_keys(df, ["imo_number"], "timestamp_collected").split
 
 
+def test_bursts_are_cut_again(spark, same):
+    """All but two of a ship's rows fall into one minute of a year."""
+    rows = [(0, 1, START, None), (9999, 1, START + dt.timedelta(days=365), None)]
+    rows += [(i, 1, START + dt.timedelta(days=100, milliseconds=20 * i), None) for i in range(1, 3000)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    pieces = hot.split_hot_keys(df, ["imo_number"], "timestamp_collected", 100)
+    largest = pieces.df.groupBy(hot.PIECE).count().agg(F.max("count")).first()[0]
+    assert largest <= 200
+    same(temporal.hours_since_previous(df), temporal.hours_since_previous(df, hot_rows=100))
+    sample = temporal.systematic_sample(df, ["imo_number"], "timestamp_collected", 10, hot_rows=100)
+    same(sample, temporal.systematic_sample(df, ["imo_number"], "timestamp_collected", 10))
+
+
 def test_empty_input(skewed):
     df = skewed[0].limit(0)
     assert temporal.hours_since_previous(df).count() == 0

@@ -6,8 +6,8 @@ into time pieces, the window runs per (key, piece), and whatever must cross a
 piece border is carried over from a small per-piece summary.
 
 Hot keys are found by one counting pass before the plan is built. Their list is
-at most ``MAX_HOT_KEYS`` long and their pieces at most three times as many,
-whatever the table size, so both are safe to collect and to broadcast. Without
+at most ``MAX_HOT_KEYS`` long and their pieces at most three times as many per
+cut, whatever the table size, so both are safe to collect and to broadcast. Without
 hot keys the plan is the plain window.
 """
 
@@ -25,6 +25,11 @@ from tidewake.functions.ais import seconds_between
 HOT_ROWS = 1_000_000
 MAX_HOT_KEYS = 10_000
 
+# Pieces that still hold too many rows, because reports come in bursts, are cut
+# again within their own time span, up to this many times in all.
+MAX_CUTS = 3
+_PIECES_PER_CUT = 65_536
+
 PIECE = "_piece"
 
 
@@ -90,24 +95,39 @@ def split_hot_keys(df: DataFrame, keys: list[str], order: str, hot_rows: int = H
 
     Pieces grow with time, so (piece, time) sorts like time alone. Ordinary keys
     stay whole as piece -1, rows of hot keys without a time go to piece 0, where
-    NULLs sort first anyway.
+    NULLs sort first anyway. Only rows of the very same time cannot be parted.
     """
-    rows = find_hot_keys(df, keys, order, hot_rows)
-    if not rows:
+    cut = _cut(df, keys, order, hot_rows)
+    if cut is None:
         return Pieces(df, keys, False)
+    for _ in range(MAX_CUTS - 1):
+        finer = _cut(cut, [*keys, PIECE], order, 2 * hot_rows)
+        if finer is None:
+            break
+        cut = finer
+    return Pieces(cut, keys, True)
+
+
+def _cut(df: DataFrame, by: list[str], order: str, hot_rows: int) -> DataFrame | None:
+    """One round of cutting the groups ``by`` that are too large; None if there are none."""
+    again = PIECE in by
+    rows = find_hot_keys(df.where(F.col(PIECE) >= 0) if again else df, by, order, hot_rows)
+    if not rows:
+        return None
     portion = max(hot_rows, sum(r["_n"] for r in rows) / MAX_HOT_KEYS)
     schema = T.StructType(
-        [T.StructField(f"_k_{k}", df.schema[k].dataType) for k in keys]
+        [T.StructField(f"_k_{k}", df.schema[k].dataType) for k in by]
         + [T.StructField("_from", df.schema[order].dataType), T.StructField("_span", T.DoubleType()),
            T.StructField("_pieces", T.IntegerType())]
     )
-    listed = [(*[r[k] for k in keys], r["_from"], r["_span"], math.ceil(2 * r["_n"] / portion)) for r in rows]
+    listed = [(*[r[k] for k in by], r["_from"], r["_span"], math.ceil(2 * r["_n"] / portion)) for r in rows]
     hot = df.sparkSession.createDataFrame(listed, schema)
-    same_key = [df[k].eqNullSafe(hot[f"_k_{k}"]) for k in keys]
+    same_group = [df[k].eqNullSafe(hot[f"_k_{k}"]) for k in by]
     share = _gap(df, order, F.col("_from"), F.col(order)) / F.col("_span")
-    piece = F.least(F.floor(share * F.col("_pieces")), F.col("_pieces") - 1).cast("int")
-    joined = df.join(F.broadcast(hot), same_key, "left").select(
-        *df.columns,
-        F.when(F.col("_pieces").isNull(), F.lit(-1)).otherwise(F.coalesce(piece, F.lit(0))).alias(PIECE),
-    )
-    return Pieces(joined, keys, True)
+    part = F.coalesce(F.least(F.floor(share * F.col("_pieces")), F.col("_pieces") - 1), F.lit(0)).cast("bigint")
+    if again:
+        piece = F.when(F.col(PIECE) >= 0, F.col(PIECE) * _PIECES_PER_CUT + part).otherwise(F.col(PIECE))
+    else:
+        piece = F.when(F.col("_pieces").isNull(), F.lit(-1)).otherwise(part)
+    kept = [c for c in df.columns if c != PIECE]
+    return df.join(F.broadcast(hot), same_group, "left").select(*kept, piece.cast("bigint").alias(PIECE))

@@ -21,6 +21,9 @@ LEVELS = 9
 
 LATITUDE_BAND = 0.05
 
+# Polygon edges (counted once per latitude band they reach) that may be broadcast.
+MAX_BROADCAST_EDGES = 1_000_000
+
 
 # ---------------------------------------------------------------- nearest site
 
@@ -181,24 +184,27 @@ def ring_edges(rings: DataFrame) -> DataFrame:
     return rings.select("region_id", F.explode(pairs).alias("e")).select("region_id", "e.*")
 
 
-def latitude_index(rings: DataFrame, band: float = LATITUDE_BAND) -> DataFrame:
+def edges_by_band(rings: DataFrame, band: float = LATITUDE_BAND) -> DataFrame:
+    """Every edge once per latitude band it reaches."""
+    south, north = F.least("y1", "y2"), F.greatest("y1", "y2")
+    bands = F.sequence(geo.grid_cell(south, band), geo.grid_cell(north, band))
+    return ring_edges(rings).withColumn("_index_band", F.explode(bands))
+
+
+def latitude_index(edges: DataFrame) -> DataFrame:
     """Edges grouped by latitude band and region.
 
     Only edges that reach into a point's band can touch its horizontal ray, so
     a point has to be compared with those few instead of the whole coast line.
     """
-    edges = ring_edges(rings)
-    south, north = F.least("y1", "y2"), F.greatest("y1", "y2")
-    bands = F.sequence(geo.grid_cell(south, band), geo.grid_cell(north, band))
     per_region = (
-        edges.withColumn("_band", F.explode(bands))
-        .groupBy("_band", "region_id")
+        edges.groupBy("_index_band", "region_id")
         .agg(
             F.min(F.least("x1", "x2")).alias("west"), F.max(F.greatest("x1", "x2")).alias("east"),
             F.collect_list(F.struct("x1", "y1", "x2", "y2")).alias("edges"),
         )
     )
-    return per_region.groupBy("_band").agg(
+    return per_region.groupBy("_index_band").agg(
         F.collect_list(F.struct("region_id", "west", "east", "edges")).alias("_regions")
     )
 
@@ -235,7 +241,8 @@ def within_region(
     With several ``shifts`` the point is moved by each of them in longitude and
     all moved points must be inside.
     """
-    index = broadcast_if_small(latitude_index(rings, band).withColumnRenamed("_band", "_index_band"))
+    edges = edges_by_band(rings, band)
+    index = broadcast_if_small(latitude_index(edges), MAX_BROADCAST_EDGES, bound=edges)
     at_band = geo.grid_cell(F.col(lat), band)
     tests = [_inside(F.col("_regions"), F.col(lat), F.col(lon) + F.lit(s) if s else F.col(lon)) for s in shifts]
     combined = tests[0]

@@ -30,14 +30,13 @@ def write_extract(df: DataFrame, path: str, partition_by: tuple[str, ...] = ("da
                   ts: str = "timestamp_collected") -> None:
     """Parquet partitioned by date, so that later time filters skip whole folders.
 
-    Rows are grouped by date and a spread of hash values before writing: few
-    files per date, and no date that a single task must write alone.
+    Rows are rebalanced by date before writing: adaptive execution merges small
+    dates and splits large ones, so files are even and no date is one task's work.
     """
     if "date" in partition_by and "date" not in df.columns:
         df = df.withColumn("date", F.to_date(ts))
     if partition_by:
-        df = df.withColumn("_spread", F.pmod(F.xxhash64(*df.columns), F.lit(64)))
-        df = df.repartition(*partition_by, "_spread").drop("_spread")
+        df = df.hint("rebalance", *partition_by)
     df.write.mode(mode).partitionBy(*partition_by).parquet(path)
 
 

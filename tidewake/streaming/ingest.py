@@ -183,6 +183,5 @@ def start_dimension_fix(raw: DataFrame, rings: DataFrame, ships: DataFrame, path
 
 def last_version(spark: SparkSession, path: str) -> DataFrame:
     """Newest version of a table that is kept as one folder per micro-batch."""
-    versions = spark.read.parquet(path)
-    newest = versions.agg(F.max("batch_id").alias("_newest"))
-    return versions.join(F.broadcast(newest), F.col("batch_id") == F.col("_newest"), "left_semi").drop("batch_id")
+    newest = spark.read.parquet(path).agg(F.max("batch_id")).first()[0]
+    return spark.read.parquet(f"{path.rstrip('/')}/batch_id={newest}")
