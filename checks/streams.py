@@ -147,6 +147,51 @@ def _(fx):
     return temporal.future_calendar(fx.daily, "country", "date")
 
 
+# The forecast's bookkeeping on a plain model (value of a week ago, lags as ensemble).
+
+BANDS = LAGGED + """
+, ahead AS (SELECT country, date, lag_7 AS prediction, sqrt(((lag_1 - m) ** 2 + (lag_7 - m) ** 2 + (lag_14 - m) ** 2) / 3) AS std
+ FROM (SELECT *, (lag_1 + lag_7 + lag_14) / 3 AS m FROM lagged WHERE lag_14 IS NOT NULL))
+"""
+
+
+def week_ago(fx):
+    features = fc.forecast_features(fx.daily, exclude="error")
+    members = features.unpivot(["country", "date"], ["lag_1", "lag_7", "lag_14"], "member", "prediction")
+    return features, fc.with_band(features.select("country", "date", F.col("lag_7").alias("prediction")), members)
+
+
+@query("ensemble_band", BANDS + """
+SELECT country, date, round(prediction, 4) AS prediction, round(std, 4) AS std, round(prediction - 1.96e0 * std, 4) AS lower,
+ round(prediction + 1.96e0 * std, 4) AS upper FROM ahead""")
+def _(fx):
+    return rounded(week_ago(fx)[1], prediction=4, std=4, lower=4, upper=4)
+
+
+@query("ensemble_with_last_actual", BANDS + """
+SELECT country, date, round(prediction, 4) AS prediction, round(std, 4) AS std, 'forecast' AS kind FROM ahead
+UNION ALL SELECT country, CAST(max(date) AS VARCHAR), round(arg_max(pollution, date), 4), 0, 'actual' FROM fx_daily WHERE country <> 'error' GROUP BY country""")
+def _(fx):
+    extended = fc.with_last_actual(week_ago(fx)[1], fx.daily)
+    return rounded(extended.select("country", "date", "prediction", "std", "kind"), prediction=4, std=4)
+
+
+@query("ensemble_scale", BANDS + """
+, seen AS (SELECT country, max(pollution) AS hi, min(pollution) AS lo FROM lagged WHERE lag_14 IS NOT NULL GROUP BY country),
+band AS (SELECT country, max(prediction) + 1.96e0 * max(std) AS hi, min(prediction) - 1.96e0 * min(std) AS lo FROM ahead GROUP BY country)
+SELECT round(greatest(0, max(greatest(s.hi, b.hi))), 4) AS max_pollution, round(min(least(s.lo, b.lo)), 4) AS min_pollution
+FROM seen s JOIN band b ON b.country = s.country""")
+def _(fx):
+    return rounded(fc.common_scale(*week_ago(fx)), max_pollution=4, min_pollution=4)
+
+
+@query("backtest_errors", LAGGED + """
+SELECT country, round(avg(abs(lag_7 - pollution)), 4) AS mae, round(sqrt(avg((lag_7 - pollution) ** 2)), 4) AS rmse, count(*) AS days
+FROM lagged WHERE lag_14 IS NOT NULL GROUP BY country""")
+def _(fx):
+    return rounded(fc.backtest_by_series(week_ago(fx)[0].withColumn("fitted", F.col("lag_7"))), mae=4, rmse=4)
+
+
 def forecasted(fx):
     return fc.forecast_job(fx.spark, fx.daily, shared_dir(fx.spark, "forests"), trees=20)
 

@@ -149,9 +149,12 @@ def forecast(
     past = trailing_values(daily, series, "date", "pollution", max(LAGS)).where(F.size("trailing") == max(LAGS))
     calendar = future_calendar(daily, series, "date", horizon, offset).join(past, series)
     mean = _recursive(nodes, calendar, [series])
-    spread = _recursive(nodes, calendar, [series, "tree"]).groupBy(series, "date").agg(
-        F.stddev_pop("prediction").alias("std")
-    )
+    return with_band(mean, _recursive(nodes, calendar, [series, "tree"]), series)
+
+
+def with_band(mean: DataFrame, members: DataFrame, series: str = "country") -> DataFrame:
+    """Add the population deviation of the ensemble members and the 95 % band to a mean prediction."""
+    spread = members.groupBy(series, "date").agg(F.stddev_pop("prediction").alias("std"))
     half = F.lit(BAND) * F.col("std")
     return mean.join(spread, [series, "date"]).select(
         series, "date", "prediction", "std", (F.col("prediction") - half).alias("lower"),
