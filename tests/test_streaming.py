@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from checks.rows import region
-from tidewake.operators.lookups import resolve_identity
+from tidewake.operators.lookups import enrich_ships, resolve_identity
 from tidewake.operators.maintain import correct_dimensions, upsert_ships
 from tidewake.operators.temporal import asof_latest_within
 from tidewake.schemas import SHIPS
@@ -94,6 +94,14 @@ def test_minute_metrics_total(spark, fx, slices, tmp_path):
     assert totals["filtered"] == routed.where("route = 'outside'").count()
 
 
+def test_ship_enrichment_stream(spark, fx, tmp_path, same):
+    fx.ships.write.parquet(str(tmp_path / "ships"))
+    stream = spark.readStream.schema(fx.ships.schema).parquet(str(tmp_path / "ships"))
+    run(jobs.start_enrichment(stream, fx.ship_type_codes, str(tmp_path / "out"), str(tmp_path / "cp"), enrich=enrich_ships))
+    expected = enrich_ships(fx.ships, fx.ship_type_codes)
+    same(spark.read.parquet(str(tmp_path / "out")).select(expected.columns), expected)
+
+
 def test_text_source(spark, fx, tmp_path):
     fx.messages.select("raw").write.text(str(tmp_path / "landed"))
     assert read_messages(spark, str(tmp_path / "landed"), streaming=False).count() == fx.messages.count()

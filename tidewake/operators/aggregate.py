@@ -149,14 +149,12 @@ def flow_unique_ships(df: DataFrame, flag: bool, top_n: int = 5) -> tuple[DataFr
 
 def flow_links(flows: DataFrame, types: DataFrame, destinations: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(nodes, links) of a flow diagram: types are numbered first, then destinations, by rank."""
-    n_types = types.agg(F.count(F.lit(1)).alias("_types"))
+    n_types = types.select(F.count(F.lit(1))).scalar()
     nodes = types.select(F.col("ship_type_rank").cast("long").alias("node"), F.upper("ship_type").alias("label"))
-    targets = destinations.crossJoin(F.broadcast(n_types)).select(
-        (F.col("destination_rank") + F.col("_types")).alias("node"), F.col("destination").alias("label")
-    )
-    links = flows.crossJoin(F.broadcast(n_types)).select(
-        F.col("ship_type_rank").cast("long").alias("source"),
-        (F.col("destination_rank") + F.col("_types")).alias("target"), "value", "leg",
+    targets = destinations.select((F.col("destination_rank") + n_types).alias("node"), F.col("destination").alias("label"))
+    links = flows.select(
+        F.col("ship_type_rank").cast("long").alias("source"), (F.col("destination_rank") + n_types).alias("target"),
+        "value", "leg",
     )
     return nodes.unionByName(targets), links
 

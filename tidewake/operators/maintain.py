@@ -91,18 +91,27 @@ def correction_counters(ships: DataFrame, statics: DataFrame, order: str = "seq"
 
 
 def coverage_metrics(messages: DataFrame) -> DataFrame:
-    """Collection counters over routed messages with resolved ``imo_number`` (NULL if unresolved)."""
+    """Collection counters over routed messages with resolved ``imo_number`` (NULL if unresolved).
+
+    Counted per vessel and then over the vessels, in one pass.
+    """
     used = F.col("route").isin("static", "position", "no_imo", "unknown")
-    identified = F.col("imo_number") > 0
-    counts = messages.agg(
-        F.count_if(used).alias("collected"),
-        F.count_if(F.col("route") == "outside").alias("filtered"),
-        F.count_if(F.col("route") == "static").alias("static_data"),
-        F.count_if((F.col("route") == "position") & identified).alias("position_data"),
-        F.count_if(used & ~F.coalesce(identified, F.lit(False))).alias("no_imo"),
+    identified = F.coalesce(F.col("imo_number") > 0, F.lit(False))
+    counters = {
+        "collected": used,
+        "filtered": F.col("route") == "outside",
+        "static_data": F.col("route") == "static",
+        "position_data": (F.col("route") == "position") & identified,
+        "no_imo": used & ~identified,
+    }
+    per_vessel = messages.groupBy("mmsi").agg(
+        *[F.count_if(hit).alias(name) for name, hit in counters.items()],
+        F.coalesce(F.bool_or(used & identified), F.lit(False)).alias("_identified"),
+    )
+    vessel = (F.col("mmsi") != 0) & (F.col("collected") > 0)
+    totals = per_vessel.agg(
+        F.count_if(vessel).alias("unique_vessels"), F.count_if(vessel & F.col("_identified")).alias("vessels_with_imo"),
+        *[F.coalesce(F.sum(name), F.lit(0)).alias(name) for name in counters],
     )
-    vessels = messages.where(used & F.col("mmsi").isNotNull()).groupBy("mmsi").agg(
-        F.bool_or(F.coalesce(identified, F.lit(False))).alias("_identified")
-    ).agg(F.count(F.lit(1)).alias("unique_vessels"), F.count_if("_identified").alias("vessels_with_imo"))
     ratio = F.coalesce(F.try_divide("vessels_with_imo", "unique_vessels"), F.lit(0.0))
-    return counts.crossJoin(F.broadcast(vessels)).withColumn("coverage", ratio)
+    return totals.select(*counters, "unique_vessels", "vessels_with_imo", ratio.alias("coverage"))

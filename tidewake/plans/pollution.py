@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewake.functions.ais import MODES, emission_for_interval, rate_of_mode, sum_or_zero
@@ -131,8 +131,10 @@ def pollution_summary(polluted: DataFrame) -> DataFrame:
     by_country = polluted.groupBy("country").agg(
         sum_or_zero(F.col("pollution")).alias("total_pollution_kg"), sum_or_zero(F.col("time_diff")).alias("_hours")
     )
-    totals = by_country.agg(F.sum("total_pollution_kg").alias("_kg"), F.sum("_hours").alias("total_hours"))
-    rate = F.when(F.col("total_hours") > 0, F.col("_kg") / F.col("total_hours")).otherwise(F.lit(0.0))
-    return by_country.crossJoin(F.broadcast(totals)).select(
-        "country", "total_pollution_kg", "total_hours", rate.alias("avg_hourly_rate_kg_per_hour")
+    # One row per country, so a window over all of them is small; the reports are read once.
+    everywhere = Window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    hours, kilograms = F.sum("_hours").over(everywhere), F.sum("total_pollution_kg").over(everywhere)
+    return by_country.select(
+        "country", "total_pollution_kg", hours.alias("total_hours"),
+        F.when(hours > 0, kilograms / hours).otherwise(F.lit(0.0)).alias("avg_hourly_rate_kg_per_hour"),
     )

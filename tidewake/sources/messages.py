@@ -22,13 +22,17 @@ def read_messages(spark: SparkSession, path: str, streaming: bool = True, max_fi
 
 def read_kafka_messages(spark: SparkSession, servers: str, topic: str, streaming: bool = True,
                         max_offsets: int | None = None, **options: str) -> DataFrame:
-    """Messages of a Kafka topic as column ``raw`` (needs the Kafka connector on the class path)."""
+    """Messages of a Kafka topic as ``raw``, with ``seq`` from their log time and offset.
+
+    Needs the Kafka connector on the class path.
+    """
     reader = (spark.readStream if streaming else spark.read).format("kafka").options(
         **{"kafka.bootstrap.servers": servers, "subscribe": topic}, **options
     )
     if max_offsets:
         reader = reader.option("maxOffsetsPerTrigger", max_offsets)
-    return reader.load().select(F.col("value").cast("string").alias("raw"))
+    order = F.unix_millis("timestamp") * 1_000_000 + F.col("offset") % 1_000_000
+    return reader.load().select(F.col("value").cast("string").alias("raw"), order.alias("seq"))
 
 
 def parse_messages(raw: DataFrame, column: str = "raw") -> DataFrame:

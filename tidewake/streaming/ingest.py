@@ -131,7 +131,7 @@ def minute_metrics(messages: DataFrame, ts: str = "ts", watermark: str = "6 hour
     """
     used = F.col("route").isin("static", "position", "no_imo", "unknown")
     timed = messages.withColumn("_ts", F.col(ts).cast("timestamp")).withWatermark("_ts", watermark)
-    per_vessel = timed.groupBy(F.window("_ts", "1 minute").alias("w"), F.when(used, F.col("mmsi")).alias("vessel")).agg(
+    per_vessel = timed.groupBy(F.window("_ts", "1 minute").alias("w"), F.when(used & (F.col("mmsi") != 0), F.col("mmsi")).alias("vessel")).agg(
         F.count_if(used).alias("collected"), F.count_if(F.col("route") == "outside").alias("filtered"),
         F.count_if(F.col("route") == "static").alias("static_data"),
         F.count_if(F.col("route") == "position").alias("position_data"),
@@ -154,10 +154,14 @@ def running_totals(metrics: DataFrame) -> DataFrame:
     return metrics.agg(*[F.sum(c).alias(c) for c in ("collected", "filtered", "static_data", "position_data")])
 
 
-def start_enrichment(positions: DataFrame, statuses: DataFrame, path: str, checkpoint: str,
-                     once: bool = True) -> StreamingQuery:
-    """Incremental enrichment: new positions get their status text; the checkpoint marks what is done."""
-    writer = enrich_positions(positions, statuses).writeStream.format("parquet").option("path", path)
+def start_enrichment(rows: DataFrame, lookup: DataFrame, path: str, checkpoint: str, once: bool = True,
+                     enrich: Callable[[DataFrame, DataFrame], DataFrame] = enrich_positions) -> StreamingQuery:
+    """Incremental enrichment of positions (status texts) or, with ``enrich_ships``, of ships (type texts).
+
+    The checkpoint marks what is done, so every row is processed once, also where
+    its text stays NULL.
+    """
+    writer = enrich(rows, lookup).writeStream.format("parquet").option("path", path)
     return _trigger(writer.option("checkpointLocation", checkpoint).outputMode("append"), once).start()
 
 
