@@ -259,6 +259,11 @@ def _(fx):
     return normalize_destinations(fx.positions).select("id", "destination", "secondary_destination")
 
 
+@query("normalize_destinations_by_row", given("norm") + "SELECT id, destination, secondary_destination FROM norm")
+def _(fx):
+    return normalize_destinations(fx.positions, max_texts=0).select("id", "destination", "secondary_destination")
+
+
 @query("profile_destinations", given("profiled") + "SELECT id, destination FROM profiled")
 def _(fx):
     return profile_destinations(fx.positions).select("id", "destination")

@@ -9,6 +9,8 @@ from operator import or_
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from tidewake.functions.binding import bind
+
 # Port codes, in the order in which combined texts are searched.
 PORT_CODES = {
     "NLRTM": "ROTTERDAM",
@@ -73,15 +75,6 @@ PROFILE_CORRECTIONS = [
 ]
 
 
-def bind(value: Column, body) -> Column:
-    """``body(value)`` with ``value`` computed once, however often the body uses it.
-
-    Keeps chained text functions linear in size; written out, each step would
-    repeat the text of the steps before it.
-    """
-    return F.get(F.transform(F.array(value), body), 0)
-
-
 def clean_destination(text: Column) -> Column:
     """Upper case with everything but letters A-Z and digits removed."""
     return F.regexp_replace(F.upper(text), "[^A-Z0-9]", "")

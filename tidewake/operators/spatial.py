@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewake.functions import geo
+from tidewake.functions.binding import bind
 from tidewake.operators.sizing import broadcast_if_small
 
 # Up to this many sites every distance is an expression of its own. The limit
@@ -100,8 +101,10 @@ def _nearest_by_cell(df: DataFrame, sites: DataFrame, site_id: str, lat: str, lo
     Cells are cubes of the unit-sphere's space. For each cell with points, take
     the finest level at which the 27 cubes around it hold a site: the nearest
     site is then at most 2 * sqrt(3) sides away, so the 27 cubes two levels up
-    (sides four times as long) hold it. All steps are equi-joins on cells; the
-    number of cells is bounded by the surface of the globe.
+    (sides four times as long) hold it. Of these, a cell keeps the sites that are
+    farther from its centre than the closest one by no more than its diagonal; no
+    point of the cell can be nearer to another. All steps are equi-joins on
+    cells; the number of cells is bounded by the surface of the globe.
     """
     cell = ["_cx", "_cy", "_cz"]
     points = _with_vector(df, lat, lon).select("*", *_cell_columns(0))
@@ -135,10 +138,20 @@ def _nearest_by_cell(df: DataFrame, sites: DataFrame, site_id: str, lat: str, lo
         .select(*[F.col(p).alias(c) for p, c in zip(parent, cell)], "_found")
     )
     wider = around(finest, F.col("_found") + 2)
+    centre = [(F.col(p) + 0.5) * F.lit(FINEST_CELL) - 1 for p in parent]
+    gaps = [F.col("_site")[f"_{n}"] - c for n, c in zip("xyz", centre)]
+    far = F.sqrt(gaps[0] * gaps[0] + gaps[1] * gaps[1] + gaps[2] * gaps[2])
+    # A little more than the diagonal, for rounding.
+    diagonal = math.sqrt(3) * FINEST_CELL * 1.000001
+
+    def closest(found: Column) -> Column:
+        limit = F.array_min(F.transform(found, lambda s: s["far"])) + F.lit(diagonal)
+        return bind(limit, lambda most: F.transform(F.filter(found, lambda s: s["far"] <= most), lambda s: s["site"]))
+
     candidates = (
         wider.join(placed_sites, ["_level", *cell])
-        .groupBy(*parent).agg(F.collect_list("_site").alias("_sites"))
-        .select(*[F.col(p).alias(c) for p, c in zip(parent, cell)], "_sites")
+        .groupBy(*parent).agg(F.collect_list(F.struct(far.alias("far"), F.col("_site").alias("site"))).alias("_found"))
+        .select(*[F.col(p).alias(c) for p, c in zip(parent, cell)], closest(F.col("_found")).alias("_sites"))
     )
     x, y, z = F.col("_x"), F.col("_y"), F.col("_z")
 
