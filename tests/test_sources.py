@@ -86,8 +86,23 @@ def test_extract_is_partitioned_by_date(spark, fx, tmp_path):
     assert stored.count() == fx.positions.count()
 
 
+class Cluster:
+    """Just enough of a session to ask where shared files go."""
+
+    def __init__(self, master, folder=None):
+        self.sparkContext = self
+        self.master, self.applicationId, self.folder = master, f"app-{master}", folder
+        self.conf = {"spark.checkpoint.dir": folder} if folder else {}
+
+    def getCheckpointDir(self):
+        return None
+
+
 def test_shared_dir(spark):
     assert shared_dir(spark, "a") != shared_dir(spark, "a")
+    assert shared_dir(Cluster("yarn", "hdfs://shared/cp/"), "a").startswith("hdfs://shared/cp/a-")
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_dir(Cluster("yarn"), "a")
 
 
 def test_catalog_modes(spark, tmp_path):

@@ -42,7 +42,7 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
     machine-local path would be lost to the other executors of a cluster.
     """
     context = spark.sparkContext
-    base = context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
+    base = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not base:
         if not context.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
