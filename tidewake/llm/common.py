@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -59,7 +60,7 @@ def keep_rows(docs: DataFrame, chosen: DataFrame, id_col: str, text_col: str, re
 def slices(batch: pa.RecordBatch, text_col: str, most: int = SLICE_BYTES):
     """Slices of a batch that hold about ``most`` bytes of text each (more only where one row does)."""
     start, held = 0, 0
-    lengths = [0 if n is None else n for n in pa.compute.binary_length(batch.column(text_col)).to_pylist()]
+    lengths = [0 if n is None else n for n in pc.binary_length(batch.column(text_col)).to_pylist()]
     for i, n in enumerate(lengths):
         if held and held + n > most:
             yield batch.slice(start, i - start)

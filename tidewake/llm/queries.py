@@ -4,13 +4,20 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewake.llm import exact_dedup, mixing, quality
+from tidewake.llm import exact_dedup, mixing, packing, quality
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def vocabulary(name: str) -> str:
+    """Path of a public vocabulary file."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(_documents(spark, sf_dir)).drop("tag")
 
@@ -19,11 +26,15 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(_documents(spark, sf_dir)).drop("copies", "tag")
 
 
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(_documents(spark, sf_dir), vocabulary("byte_bpe_50k.json"))
+
+
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(_documents(spark, sf_dir)).drop("tag")
 
 
-QUERIES = {f.__name__: f for f in (op1_exact_dedup, op3_mixing, op9_quality)}
+QUERIES = {f.__name__: f for f in (op1_exact_dedup, op3_mixing, op4_packing, op9_quality)}
 
 ORACLES = {
     "op1_exact_dedup": exact_dedup.QUERY_SQL,
