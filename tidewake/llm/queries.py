@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewake.llm import exact_dedup, language_id, mixing, packing, quality, token_counts, warc
+from tidewake.llm import exact_dedup, language_id, mixing, packing, quality, token_counts, toxicity, warc
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -34,6 +34,10 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.predict_held_out(_documents(spark, sf_dir)).drop("spans")
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.predict_held_out(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(_documents(spark, sf_dir), vocabulary("word_bpe_49k.json"))
 
@@ -46,7 +50,7 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive_round_trip(spark.read.parquet(f"{sf_dir}/pages.parquet"))
 
 
-QUERIES = {f.__name__: f for f in (op1_exact_dedup, op3_mixing, op4_packing, op5_language_id, op8_token_counts, op9_quality, op10_warc)}
+QUERIES = {f.__name__: f for f in (op1_exact_dedup, op3_mixing, op4_packing, op5_language_id, op7_toxicity, op8_token_counts, op9_quality, op10_warc)}
 
 ORACLES = {
     "op1_exact_dedup": exact_dedup.QUERY_SQL,
