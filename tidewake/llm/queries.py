@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewake.llm import exact_dedup, language_id, mixing, packing, quality, token_counts, toxicity, warc
+from tidewake.llm import exact_dedup, language_id, mixing, near_dedup, packing, quality, substring_dedup, token_counts, toxicity, warc
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -22,6 +22,10 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(_documents(spark, sf_dir)).drop("tag")
 
 
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.substring_dedup(_documents(spark, sf_dir)).drop("spans", "tag")
+
+
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(_documents(spark, sf_dir)).drop("copies", "tag")
 
@@ -34,6 +38,11 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.predict_held_out(_documents(spark, sf_dir)).drop("spans")
 
 
+def op6_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three-word shingles and 85 percent, as asked for; eight registers a band."""
+    return near_dedup.near_dedup(_documents(spark, sf_dir), width=3, percent=85, rows_per_band=8).drop("tag")
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.predict_held_out(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
@@ -50,10 +59,11 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive_round_trip(spark.read.parquet(f"{sf_dir}/pages.parquet"))
 
 
-QUERIES = {f.__name__: f for f in (op1_exact_dedup, op3_mixing, op4_packing, op5_language_id, op7_toxicity, op8_token_counts, op9_quality, op10_warc)}
+QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_substring_dedup, op3_mixing, op4_packing, op5_language_id, op6_near_dedup, op7_toxicity, op8_token_counts, op9_quality, op10_warc)}
 
 ORACLES = {
     "op1_exact_dedup": exact_dedup.QUERY_SQL,
+    "op2_substring_dedup": substring_dedup.QUERY_SQL,
     "op3_mixing": mixing.QUERY_SQL,
     "op9_quality": quality.QUERY_SQL,
     "op10_warc": warc.QUERY_SQL,
