@@ -30,9 +30,16 @@ def text_of(column: str | Column) -> Column:
     return F.coalesce(F.col(column) if isinstance(column, str) else column, F.lit(""))
 
 
+def replaced(text: Column, characters: str, by: str) -> Column:
+    """Each of some characters replaced; a search per character is far cheaper than ``translate``."""
+    for c in characters:
+        text = F.replace(text, F.lit(c), F.lit(by))
+    return text
+
+
 def word_array(text: Column) -> Column:
     """The words ``[^\\x20\\x09-\\x0D]+`` of a text as an array."""
-    return F.array_remove(F.split(F.translate(text, SPACES, " " * len(SPACES)), " ", -1), "")
+    return F.array_remove(F.split(replaced(text, SPACES[1:], " "), " ", -1), "")
 
 
 def text_tag(column: str) -> Column:

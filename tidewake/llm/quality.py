@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewake.llm.common import SPACES, keep_rows, text_of, text_tag, word_array
+from tidewake.llm.common import SPACES, keep_rows, replaced, text_of, text_tag, word_array
 
 SYMBOLS = "#*$%&|<>"
 
@@ -30,7 +30,7 @@ def _let(value: Column, body) -> Column:
 
 
 def _has_word(line: Column) -> Column:
-    return F.translate(line, SPACES, "") != ""
+    return F.ltrim(line, F.lit(SPACES)) != ""
 
 
 def _lines(text: Column) -> Column:
@@ -68,18 +68,19 @@ def repeated_words(words: Column, width: int = 5) -> Column:
 def text_figures(text: Column) -> dict[str, Column]:
     """Words, code points in words, symbols, repeated lines and words in repeated windows."""
     words = word_array(text)
+    dense = replaced(text, SPACES, "")
     return {
         "n_words": F.size(words).cast("bigint"),
-        "word_chars": F.length(F.translate(text, SPACES, "")).cast("bigint"),
-        "n_symbols": (F.length(text) - F.length(F.translate(text, SYMBOLS, ""))).cast("bigint"),
+        "word_chars": F.length(dense).cast("bigint"),
+        "n_symbols": (F.length(text) - F.length(replaced(text, SYMBOLS, ""))).cast("bigint"),
         "n_dup_lines": _let(_lines(text), lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("bigint"),
         "n_repeat_words": repeated_words(words),
     }
 
 
-def _normal(line: Column) -> Column:
-    one_space = F.trim(F.regexp_replace(line, r"[\x20\x09-\x0D]+", " "))
-    return F.translate(F.lower(one_space), "123456789", "000000000")
+def _normal(words: Column) -> Column:
+    """A line with single spaces, in lower case and with all digits alike."""
+    return F.regexp_replace(F.lower(F.array_join(words, " ")), "[1-9]", "0")
 
 
 def removed_lines(
@@ -87,9 +88,9 @@ def removed_lines(
 ) -> DataFrame:
     """Words in removed lines for each (id, tag) that has any: ``id``, ``tag``, ``removed``."""
     def line(x: Column) -> Column:
-        return F.struct(
-            F.substring(F.md5(_normal(x).cast("binary")), 1, 16).alias("h"), F.size(word_array(x)).alias("w"),
-        )
+        return _let(word_array(x), lambda ws: F.struct(
+            F.substring(F.md5(_normal(ws).cast("binary")), 1, 16).alias("h"), F.size(ws).alias("w"),
+        ))
 
     per_document = docs.select(
         F.col(id_col).alias("id"), text_tag(text_col).alias("tag"), F.col(host_col).cast("string").alias("host"),
