@@ -52,10 +52,10 @@ def keep_rows(docs: DataFrame, chosen: DataFrame, id_col: str, text_col: str, re
 
     Rows alike in id and text all come with ``repeated``, else one of them does.
     """
-    (tag,) = fresh(docs, "tag")
-    named = chosen.select(F.col(id_col).alias("_k_id"), F.col("tag").alias("_k_tag"))
+    tag, own_id, own_tag = fresh(docs, "tag", "own_id", "own_tag")
+    named = chosen.select(F.col(id_col).alias(own_id), F.col("tag").alias(own_tag))
     tagged = docs.withColumn(tag, text_tag(text_col))
-    same = tagged[id_col].eqNullSafe(named["_k_id"]) & (tagged[tag] == named["_k_tag"])
+    same = F.col(id_col).eqNullSafe(F.col(own_id)) & (F.col(tag) == F.col(own_tag))
     found = tagged.join(named, same, "left_semi")
     if repeated:
         return found.select(*docs.columns)

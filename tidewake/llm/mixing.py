@@ -103,17 +103,17 @@ def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     Documents without words belong to no share and are left out.
     """
     taken = mix_sources(docs, id_col, text_col, source_col, **options).where("taken > 0")
-    totals = taken.groupBy(F.col(id_col).alias("_k_id"), F.col("tag").alias("_k_tag")).agg(
-        F.sum("copies").alias("_k_copies"), F.count(F.lit(1)).alias("_k_rows")
+    tag, row, copy, own_id, own_tag, copies, rows = fresh(docs, "tag", "row", "copy", "own_id", "own_tag", "copies", "rows")
+    totals = taken.groupBy(F.col(id_col).alias(own_id), F.col("tag").alias(own_tag)).agg(
+        F.sum("copies").alias(copies), F.count(F.lit(1)).alias(rows)
     )
-    tag, row, copy = fresh(docs, "tag", "row", "copy")
     tagged = docs.withColumn(tag, text_tag(text_col))
-    joined = tagged.join(totals, tagged[id_col].eqNullSafe(totals["_k_id"]) & (tagged[tag] == totals["_k_tag"]))
+    joined = tagged.join(totals, F.col(id_col).eqNullSafe(F.col(own_id)) & (F.col(tag) == F.col(own_tag)))
     # Rows alike in id and text share their copies: the first takes what is left over.
     alike = Window.partitionBy(id_col, tag).orderBy(F.lit(0))
     numbered = joined.withColumn(row, F.row_number().over(alike))
-    rest = F.col("_k_copies") % F.col("_k_rows")
-    own = (F.col("_k_copies") - rest) / F.col("_k_rows") + F.when(F.col(row) <= rest, 1).otherwise(0)
+    rest = F.col(copies) % F.col(rows)
+    own = (F.col(copies) - rest) / F.col(rows) + F.when(F.col(row) <= rest, 1).otherwise(0)
     repeated = numbered.withColumn(copy, F.explode(F.array_repeat(F.lit(1), own.cast("int"))))
     return repeated.select(*docs.columns)
 
