@@ -128,7 +128,7 @@ def brute_figures(text):
 def quality_rows():
     rows = odd_rows()
     for i in range(40):
-        rows.append((1000 + i, f"Common line of the Host 12\nown words {i} of a document that has a few more of them {i * 7}", "h"))
+        rows.append((1000 + i, f"Common line of the Host 12\nown words {'abcdefgh'[i % 8] * (i + 1)} of a document that has a few more of them", "h"))
         rows.append((2000 + i, "common   line of the host 93", "h"))
         rows.append((3000 + i, "Common line of the host 55\n" + "common line of the host 19\n" * 3 + "last own words", "h"))
         rows.append((4000, "a copied document with one line that is long enough to pass", "h"))
