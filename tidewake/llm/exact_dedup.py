@@ -23,7 +23,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewake.llm.common import SPACES, keep_rows, text_of, text_tag
+from tidewake.llm.common import SPACES, keep_rows, replaced, text_of, text_tag
 from tidewake.session import materialize
 
 
@@ -40,7 +40,7 @@ def exact_dedup(
     An empty table gives no rows.
     """
     text = text_of(text_col)
-    rest = F.translate(text, SPACES, "").cast("binary")
+    rest = replaced(text, SPACES, "").cast("binary")
     state = docs.select(
         F.col(id_col).alias("id"), F.length(text).alias("len"), text_tag(text_col).alias("tag"),
         F.sha2(rest, 256).alias("sha"), F.lit(0).cast("bigint").alias("grp"), rest.alias("rest"),
@@ -83,7 +83,8 @@ def _split(state: DataFrame, width: int) -> DataFrame:
     # Stored before it is joined: the numbers of the new groups must not change when a task is repeated.
     groups = materialize(groups, "radix-groups")
     doubtful = F.col("next").isNotNull()
-    split = keyed.join(groups, ["grp", "digit", "ended"], "left").select(
+    # Always a shuffle join: the groups grow with the documents, and so the work is alike at every size.
+    split = keyed.join(groups.hint("merge"), ["grp", "digit", "ended"], "left").select(
         "id", "len", "tag", "sha", "n", "best", "next",
         F.when(doubtful, F.expr(f"substring(rest, {width + 1})")).alias("rest"),
     )
