@@ -261,7 +261,7 @@ def _(fx):
 
 @query("normalize_destinations_by_row", given("norm") + "SELECT id, destination, secondary_destination FROM norm")
 def _(fx):
-    return normalize_destinations(fx.positions, max_texts=0).select("id", "destination", "secondary_destination")
+    return normalize_destinations(fx.positions, lookup=False).select("id", "destination", "secondary_destination")
 
 
 @query("profile_destinations", given("profiled") + "SELECT id, destination FROM profiled")

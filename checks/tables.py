@@ -133,7 +133,7 @@ def _(fx):
 @query("sampled_extract_split_keys", SAMPLED)
 def _(fx):
     sampled = extract_plan.sampled_extract(
-        fx.ships, fx.positions, fx.scrubbers, "2024-01-01", "2024-01-27", 7, every=3, hot_rows=5
+        fx.ships, fx.positions, fx.scrubbers, "2024-01-01", "2024-01-27", 7, every=3, partitions=50
     )
     return rounded(sampled, avg_speed=10)
 
@@ -233,7 +233,7 @@ def _(fx):
 
 @query("asof_destination_split_keys", ASOF)
 def _(fx):
-    return asof(fx, hot_rows=20)
+    return asof(fx, partitions=40)
 
 
 @query("latest_recent_destination", given("fx_positions") + """
@@ -261,7 +261,7 @@ def _(fx):
 
 @query("resolve_identity_split_keys", IDENTITY)
 def _(fx):
-    return identity(fx, hot_rows=20)
+    return identity(fx, partitions=40)
 
 
 # -------------------------------------------------------------------- windows
@@ -278,7 +278,7 @@ def _(fx):
 
 @query("time_gap_hours_split_keys", GAPS)
 def _(fx):
-    return rounded(temporal.hours_since_previous(fx.positions, hot_rows=30).select("id", "time_diff"), time_diff=6)
+    return rounded(temporal.hours_since_previous(fx.positions, partitions=40).select("id", "time_diff"), time_diff=6)
 
 
 @query("systematic_sample", given("fx_positions") + """

@@ -1,4 +1,4 @@
-"""Time-ordered operators on skewed keys: split and whole windows agree, and both with brute force."""
+"""Time-ordered operators on skewed keys: any number of ranges gives the same, and brute force agrees."""
 
 import datetime as dt
 import random
@@ -6,7 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from tidewake.operators import aggregate, hot, temporal
+from tidewake.operators import aggregate, ranges, temporal
 
 START = dt.datetime(2024, 1, 1)
 SCHEMA = "id long, imo_number long, timestamp_collected timestamp_ntz, destination string"
@@ -27,11 +27,12 @@ def skewed(spark):
 def test_hours_since_previous(skewed, same):
     df, rows = skewed
     whole = temporal.hours_since_previous(df)
-    same(whole, temporal.hours_since_previous(df, hot_rows=50))
+    same(whole, temporal.hours_since_previous(df, partitions=60))
     last, expected = {}, {}
     for i, ship, at, _ in sorted(rows, key=lambda r: (r[2], r[0])):
         expected[i] = (at - last[ship]).total_seconds() / 3600 if ship in last else None
-        last[ship] = at
+        if ship is not None:
+            last[ship] = at
     found = {r["id"]: r["time_diff"] for r in whole.collect()}
     assert all(found[i] == pytest.approx(e) if e is not None else found[i] is None for i, e in expected.items())
 
@@ -40,7 +41,7 @@ def test_hours_since_previous(skewed, same):
 def test_systematic_sample(skewed, same, every):
     df, rows = skewed
     whole = temporal.systematic_sample(df, ["imo_number"], "timestamp_collected", every)
-    same(whole, temporal.systematic_sample(df, ["imo_number"], "timestamp_collected", every, hot_rows=50))
+    same(whole, temporal.systematic_sample(df, ["imo_number"], "timestamp_collected", every, partitions=60))
     by_ship = {}
     for i, ship, at, _ in sorted(rows, key=lambda r: (r[2], r[0])):
         by_ship.setdefault(ship, []).append(i)
@@ -53,7 +54,7 @@ def test_asof(skewed, same):
     left, right = df.where("id % 3 <> 0"), df.where("id % 3 = 0")
     args = ("imo_number", "timestamp_collected", "id", "destination", 3600.0)
     whole = temporal.asof_latest_within(left, right, *args)
-    same(whole, temporal.asof_latest_within(left, right, *args, hot_rows=50))
+    same(whole, temporal.asof_latest_within(left, right, *args, partitions=60))
     found = {r["id"]: r["recent_destination"] for r in whole.collect()}
     for i, ship, at, _ in rows:
         if i % 3 == 0:
@@ -64,28 +65,41 @@ def test_asof(skewed, same):
         assert found[i] == expected
 
 
-def test_hot_keys_are_cut_evenly_in_time(skewed):
+def largest_piece(df, by):
+    return df.groupBy(*by).count().agg(F.max("count")).first()[0]
+
+
+def test_ranges_are_even(skewed):
+    """A ship with half of the rows covers about half of the ranges, in time order."""
     df, _ = skewed
-    pieces = hot.split_hot_keys(df, ["imo_number"], "timestamp_collected", 100)
-    assert pieces.split
-    cut = pieces.df.groupBy("imo_number").agg(F.count_distinct(hot.PIECE).alias("n"), F.min(hot.PIECE).alias("low"))
-    parts = {r["imo_number"]: (r["n"], r["low"]) for r in cut.collect()}
-    assert parts[1][0] > 10 and parts[1][1] == 0
-    assert all(v == (1, -1) for k, v in parts.items() if k is not None and k >= 100)
-    assert not hot.split_hot_keys(df, ["imo_number"], "timestamp_collected").split
-
-
-def test_bursts_are_cut_again(spark, same):
-    """All but two of a ship's rows fall into one minute of a year."""
-    rows = [(0, 1, START, None), (9999, 1, START + dt.timedelta(days=365), None)]
-    rows += [(i, 1, START + dt.timedelta(days=100, milliseconds=20 * i), None) for i in range(1, 3000)]
+    pieces = ranges.split_by_range(df, ["imo_number"], "timestamp_collected", "id", partitions=30)
+    assert largest_piece(pieces.df, [ranges.PIECE]) <= 300
+    spans = pieces.df.where("imo_number = 1").groupBy(ranges.PIECE).agg(
+        F.min("timestamp_collected").alias("low"), F.max("timestamp_collected").alias("high")).orderBy(ranges.PIECE).collect()
+    assert len(spans) > 10
+    assert all(x.high <= y.low for x, y in zip(spans, spans[1:]))
+
+
+def test_rows_of_one_time_are_cut(spark, same):
+    """All rows of a ship share one time; the id cuts them."""
+    rows = [(i, 1, START, None) for i in range(4000)]
     df = spark.createDataFrame(rows, SCHEMA)
-    pieces = hot.split_hot_keys(df, ["imo_number"], "timestamp_collected", 100)
-    largest = pieces.df.groupBy(hot.PIECE).count().agg(F.max("count")).first()[0]
-    assert largest <= 200
-    same(temporal.hours_since_previous(df), temporal.hours_since_previous(df, hot_rows=100))
-    sample = temporal.systematic_sample(df, ["imo_number"], "timestamp_collected", 10, hot_rows=100)
-    same(sample, temporal.systematic_sample(df, ["imo_number"], "timestamp_collected", 10))
+    pieces = ranges.split_by_range(df, ["imo_number"], "timestamp_collected", "id", partitions=20)
+    assert largest_piece(pieces.df, pieces.by) <= 600
+    sample = temporal.systematic_sample(df, ["imo_number"], "timestamp_collected", 10, partitions=20)
+    assert sorted(r["id"] for r in sample.collect()) == list(range(0, 4000, 10))
+    gaps = temporal.hours_since_previous(df, partitions=20).groupBy("time_diff").count().collect()
+    assert {r["time_diff"]: r["count"] for r in gaps} == {None: 1, 0.0: 3999}
+
+
+def test_many_large_keys(spark):
+    """Every ship is large: no list of hot ones is kept."""
+    df = spark.range(20_000).select(
+        "id", (F.col("id") % 6).alias("imo_number"), F.timestamp_seconds(F.col("id") * 10).cast("timestamp_ntz").alias("timestamp_collected"))
+    pieces = ranges.split_by_range(df, ["imo_number"], "timestamp_collected", "id", partitions=40)
+    assert largest_piece(pieces.df, pieces.by) <= 1200
+    gaps = temporal.hours_since_previous(df, partitions=40)
+    assert {round(r["time_diff"] * 3600) if r["time_diff"] is not None else None for r in gaps.collect()} == {None, 60}
 
 
 def test_empty_input(skewed):

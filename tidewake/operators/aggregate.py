@@ -45,7 +45,7 @@ def global_stats(df: DataFrame) -> DataFrame:
 
 def daily_unique_pivot(df: DataFrame, ts: str = "timestamp_collected") -> DataFrame:
     """Distinct ships per day without and with scrubber, 0 where none."""
-    seen = df.where(F.col("imo_number").isNotNull() & F.col("has_scrubber").isNotNull())
+    seen = df.where(F.col("imo_number").isNotNull() & F.col("has_scrubber").isNotNull() & F.col(ts).isNotNull())
     ship_days = seen.select(F.to_date(ts).alias("date"), "has_scrubber", "imo_number").distinct()
     return ship_days.groupBy("date").agg(
         F.count_if(~F.col("has_scrubber")).alias("non_scrubber"), F.count_if("has_scrubber").alias("scrubber")
@@ -53,8 +53,8 @@ def daily_unique_pivot(df: DataFrame, ts: str = "timestamp_collected") -> DataFr
 
 
 def daily_ship_counts(df: DataFrame, ts: str = "timestamp_collected") -> DataFrame:
-    """Distinct ships per day."""
-    return df.groupBy(F.to_date(ts).alias("date")).agg(F.count_distinct("imo_number").alias("ships"))
+    """Distinct ships per day; rows without a time belong to no day."""
+    return df.where(F.col(ts).isNotNull()).groupBy(F.to_date(ts).alias("date")).agg(F.count_distinct("imo_number").alias("ships"))
 
 
 def null_census(df: DataFrame) -> DataFrame:
@@ -64,7 +64,8 @@ def null_census(df: DataFrame) -> DataFrame:
 
 
 def code_distribution(df: DataFrame, column: str) -> DataFrame:
-    return df.groupBy(column).agg(F.count(F.lit(1)).alias("n"))
+    """Rows per code; NULL is no code."""
+    return df.where(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("n"))
 
 
 def unprocessed_counts(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -178,14 +179,17 @@ def stratified_sample(
 
     Rows are ordered by a hash of (seed, id). The first four hex digits divide a
     stratum into 65,536 cells; counting cells tells which ones are wholly in or
-    out, so only the one cell at the border needs its rows ranked.
+    out, so only the one cell at the border needs its rows ranked. ``row_id``
+    is unique.
     """
     share = F
     for stratum, fraction in fractions.items():
         share = share.when(F.col(column) == stratum, F.lit(float(fraction)))
-    hashed = df.where(F.col(column).isin(list(fractions))).withColumn(
-        "_h", F.md5(F.concat(F.lit(f"{seed}:"), F.col(row_id).cast("string")))
+    hashed = df.where(F.col(column).isin(list(fractions))).select(
+        row_id, column, F.md5(F.concat(F.lit(f"{seed}:"), F.col(row_id).cast("string"))).alias("_h")
     ).withColumn("_cell", F.substring("_h", 1, 4))
+    # Stored: the cells are counted, taken whole and ranked from the ids alone.
+    hashed = materialize(hashed, "strata")
     cells = hashed.groupBy(column, "_cell").agg(F.count(F.lit(1)).alias("_n"))
     by_stratum = Window.partitionBy(column)
     before = by_stratum.orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
@@ -198,4 +202,5 @@ def stratified_sample(
     whole = placed.where(F.col("_left") >= F.col("_n"))
     rank = F.row_number().over(Window.partitionBy(column, "_cell").orderBy("_h", row_id))
     border = placed.where(F.col("_left") < F.col("_n")).withColumn("_rank", rank).where("_rank <= _left")
-    return whole.select(*df.columns).unionByName(border.select(*df.columns))
+    chosen = whole.select(row_id).unionByName(border.select(row_id))
+    return df.where(F.col(column).isin(list(fractions))).join(chosen, row_id, "left_semi").select(*df.columns)

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidewake.functions.ais import is_blank, ne_null_true, parse_code
-from tidewake.operators.sizing import broadcast_if_small
 from tidewake.operators.temporal import asof_last
 
 
@@ -16,7 +15,7 @@ def lookup_with_default(
 ) -> DataFrame:
     """Left join to a reference table; ``values`` maps its columns to what stands for 'not found'."""
     side = ref.select(F.col(ref_key).alias("_ref_key"), *[F.col(v).alias(f"_ref_{v}") for v in values])
-    joined = df.join(broadcast_if_small(side), key == F.col("_ref_key"), "left")
+    joined = df.join(side, key == F.col("_ref_key"), "left")
     found = F.col("_ref_key").isNotNull()
     return joined.select(
         *[c for c in df.columns if c not in values],
@@ -38,12 +37,12 @@ def merge_with_suffix(left: DataFrame, right: DataFrame, on: str, suffix: str =
 
 def semi_filter(df: DataFrame, keys: DataFrame, on: str) -> DataFrame:
     """Rows whose key is in the list."""
-    return df.join(broadcast_if_small(keys.select(on)), on, "left_semi")
+    return df.join(keys.select(on), on, "left_semi")
 
 
 def anti_filter(df: DataFrame, keys: DataFrame, on: str) -> DataFrame:
     """Rows whose key is not in the list; a missing key is not in it."""
-    return df.join(broadcast_if_small(keys.select(on)), on, "left_anti")
+    return df.join(keys.select(on), on, "left_anti")
 
 
 def drop_prefix(df: DataFrame, prefix: str) -> DataFrame:
@@ -65,11 +64,11 @@ def augment_emissions(
     wanted = factors.select(F.col(key).cast("bigint").alias(key), *EMISSIONS)
     bare = drop_prefix(df, "emission_")
     if flag_is_per_ship:
-        joined = bare.join(broadcast_if_small(wanted, bound=factors), key, "left")
+        joined = bare.join(wanted, key, "left")
         return joined.select(*bare.columns, *[F.when(F.col("has_scrubber"), F.col(c)).alias(c) for c in EMISSIONS])
     scrubber_ships = df.where("has_scrubber").select(key).distinct()
     wanted = wanted.join(scrubber_ships, key, "left_semi")
-    return bare.join(broadcast_if_small(wanted, bound=factors), key, "left").select(*bare.columns, *EMISSIONS)
+    return bare.join(wanted, key, "left").select(*bare.columns, *EMISSIONS)
 
 
 def emission_coverage(df: DataFrame, key: str = "imo_number") -> DataFrame:
@@ -83,21 +82,21 @@ def scrubber_split(ships: DataFrame, scrubbers: DataFrame, key: str = "imo_numbe
     side = scrubbers.select(
         F.col(list_key).cast("string").try_cast("bigint").alias("_list_key"), F.col(status).alias("_status")
     )
-    joined = ships.join(broadcast_if_small(side), F.col(key).cast("bigint") == F.col("_list_key"), "left")
+    joined = ships.join(side, F.col(key).cast("bigint") == F.col("_list_key"), "left")
     return joined.select(*ships.columns, F.coalesce("_status", F.lit("Non-Scrubber")).alias("scrubber_status"))
 
 
 def scrubber_flag(ships: DataFrame, scrubbers: DataFrame, key: str = "imo_number") -> DataFrame:
     """Add ``has_scrubber``: the ship is on the list (whose key is text)."""
     listed = scrubbers.select(F.col(key).cast("string").try_cast("bigint").alias("_listed")).distinct()
-    joined = ships.join(broadcast_if_small(listed), F.col(key) == F.col("_listed"), "left")
+    joined = ships.join(listed, F.col(key) == F.col("_listed"), "left")
     return joined.select(*ships.columns, F.col("_listed").isNotNull().alias("has_scrubber"))
 
 
 def category_of_type(df: DataFrame, types: DataFrame) -> DataFrame:
     """Replace ``ship_type`` (a code as text) by the category of the code table."""
     codes = types.select(F.col("type_code").cast("string").alias("_code"), F.col("type").alias("_type"))
-    joined = df.join(broadcast_if_small(codes), F.col("ship_type") == F.col("_code"), "left")
+    joined = df.join(codes, F.col("ship_type") == F.col("_code"), "left")
     return joined.select(*[F.col("_type").alias(c) if c == "ship_type" else c for c in df.columns])
 
 
@@ -111,7 +110,7 @@ def enrich_ships(ships: DataFrame, types: DataFrame) -> DataFrame:
             ships = ships.withColumn(column, F.lit(None).cast("string"))
     codes = types.select(F.col("type_code").alias("_code"), F.col("type").alias("_type"), F.col("remark").alias("_remark"))
     parsed = ships.withColumn("_parsed", parse_code(F.col("ship_type")))
-    joined = parsed.join(broadcast_if_small(codes), F.col("_parsed") == F.col("_code"), "left")
+    joined = parsed.join(codes, F.col("_parsed") == F.col("_code"), "left")
     pending = F.col("type_name").isNull() | F.col("type_remark").isNull()
     name = F.when(F.col("_code").isNotNull(), F.col("_type")).otherwise("Unknown")
     remark = (
@@ -139,7 +138,7 @@ def enrich_positions(positions: DataFrame, statuses: DataFrame) -> DataFrame:
     code = F.col("navigational_status_code")
     if isinstance(positions.schema["navigational_status_code"].dataType, T.StringType):
         code = parse_code(code)
-    joined = positions.join(broadcast_if_small(side), code == F.col("_code"), "left")
+    joined = positions.join(side, code == F.col("_code"), "left")
     status = F.coalesce("navigational_status", F.when(F.col("_code").isNotNull(), F.col("_status")).otherwise("Unknown"))
     return joined.select(*[status.alias(c) if c == "navigational_status" else c for c in positions.columns])
 
@@ -156,7 +155,7 @@ def resolve_identity(positions: DataFrame, statics: DataFrame, stored: DataFrame
         F.min("imo_number").alias("_stored_imo")
     )
     found = asof_last(positions, valid, "mmsi", seq, seq, ["imo_number"], include_equal=False, **kwargs)
-    joined = found.join(broadcast_if_small(known), F.col("mmsi") == F.col("_mmsi"), "left")
+    joined = found.join(known, F.col("mmsi") == F.col("_mmsi"), "left")
     return joined.select(*positions.columns, F.coalesce("asof_imo_number", "_stored_imo").alias("imo_number"))
 
 

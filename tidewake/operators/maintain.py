@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewake.functions.ais import ne_null_true
-from tidewake.operators.sizing import broadcast_if_small
 
 
 def upsert_latest(log: DataFrame, key: str, first: tuple[str, ...], last: tuple[str, ...], order: str) -> DataFrame:
@@ -55,7 +54,7 @@ def correct_dimensions(ships: DataFrame, statics: DataFrame, order: str = "seq")
         ships = ships.withColumns({
             "lw_correction": F.lit(False), "lw_correction_timestamp": F.lit(None).cast("timestamp_ntz")
         })
-    fixes = broadcast_if_small(first_dimensions(statics, order).withColumnRenamed("imo_number", "_imo"))
+    fixes = first_dimensions(statics, order).withColumnRenamed("imo_number", "_imo")
     joined = ships.join(fixes, F.col("imo_number") == F.col("_imo"), "left")
     fix = F.col("_fix").isNotNull() & ne_null_true(F.col("lw_correction"), True)
     new = {
@@ -78,9 +77,7 @@ def correction_counters(ships: DataFrame, statics: DataFrame, order: str = "seq"
         if "lw_correction" in ships.columns else F.lit(False).alias("_done"),
     )
     first = first_dimensions(statics, order).select(F.col("imo_number").alias("_fix_imo"), F.col("_fix.order").alias("_at"))
-    per_ship = broadcast_if_small(
-        corrected_before.join(first, F.col("_imo") == F.col("_fix_imo"), "left").select("_imo", "_done", "_at")
-    )
+    per_ship = corrected_before.join(first, F.col("_imo") == F.col("_fix_imo"), "left").select("_imo", "_done", "_at")
     joined = statics.join(per_ship, F.col("imo_number") == F.col("_imo"), "left")
     known, open_ship = F.col("_imo").isNotNull(), F.col("_imo").isNotNull() & ~F.col("_done")
     return joined.agg(

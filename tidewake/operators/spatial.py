@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from tidewake.functions import geo
 from tidewake.functions.binding import bind
-from tidewake.operators.sizing import broadcast_if_small
 
 # Up to this many sites every distance is an expression of its own. The limit
 # keeps the generated method small enough (8,000 bytes) for the JVM to compile.
@@ -22,9 +21,6 @@ LEVELS = 9
 
 LATITUDE_BAND = 0.05
 
-# Polygon edges (counted once per latitude band they reach) that may be broadcast.
-MAX_BROADCAST_EDGES = 1_000_000
-
 
 # ---------------------------------------------------------------- nearest site
 
@@ -35,13 +31,14 @@ def nearest_site(
 ) -> DataFrame:
     """Add id, payload and distance (``<prefix>nm``) of the nearest site; ties go to the lowest id.
 
-    Rows without a position get NULLs. The inner product of unit vectors orders
-    sites like great-circle distance and costs no trigonometry per site, so the
-    haversine is computed only once per row. A site list of at most
-    ``max_unrolled`` rows becomes part of the projection; longer lists are
-    joined by grid cell.
+    Rows without a position get NULLs, sites without one are passed over. The
+    inner product of unit vectors orders sites like great-circle distance and
+    costs no trigonometry per site, so the haversine is computed only once per
+    row. A site list of at most ``max_unrolled`` rows becomes part of the
+    projection; longer lists are joined by grid cell, with the same result.
     """
     carried = [site_id, *payload, "latitude", "longitude"]
+    sites = placed(sites)
     rows = sites.select(*carried).limit(max_unrolled + 1).collect()
     if not rows:
         kinds = {f.name: f.dataType for f in sites.schema.fields}
@@ -59,6 +56,11 @@ def nearest_site(
     )
 
 
+def placed(sites: DataFrame) -> DataFrame:
+    """Sites that have a position."""
+    return sites.where(F.col("latitude").isNotNull() & F.col("longitude").isNotNull())
+
+
 def _inner_products(rows: list) -> list[Column]:
     """Inner product of the row's unit vector (``_x``, ``_y``, ``_z``) with each site's."""
     def product(row) -> Column:
@@ -159,7 +161,7 @@ def _nearest_by_cell(df: DataFrame, sites: DataFrame, site_id: str, lat: str, lo
         dx, dy, dz = x - s["_x"], y - s["_y"], z - s["_z"]
         return F.struct((dx * dx + dy * dy + dz * dz).alias("far"), s[site_id].alias("id"), s.alias("site"))
 
-    joined = points.join(broadcast_if_small(candidates), cell, "left")
+    joined = points.join(candidates, cell, "left")
     return joined.withColumn("_site", F.array_min(F.transform("_sites", ranked))["site"])
 
 
@@ -167,19 +169,15 @@ def any_site_within(
     df: DataFrame, sites: DataFrame, nm: float, flag: str, lat: str = "latitude", lon: str = "longitude",
     max_unrolled: int = MAX_UNROLLED_SITES,
 ) -> DataFrame:
-    """Add ``flag``: whether any site lies at most ``nm`` nautical miles away (no position: false)."""
-    rows = sites.select("latitude", "longitude").limit(max_unrolled + 1).collect()
-    if not rows:
-        return df.withColumn(flag, F.lit(False))
-    if len(rows) > max_unrolled:
-        numbered = sites.withColumn("_number", F.monotonically_increasing_id())
-        near = nearest_site(df, numbered, "_number", (), "_near_", lat, lon, max_unrolled)
-        return near.select(*df.columns, F.coalesce(F.col("_near_nm") <= nm, F.lit(False)).alias(flag))
-    products = _inner_products(rows)
-    best = F.greatest(*products) if len(products) > 1 else products[0]
-    known = F.col(lat).isNotNull() & F.col(lon).isNotNull()
-    near = known & (best >= F.lit(math.cos(nm / geo.EARTH_RADIUS_NM)))
-    return _with_solid_vector(df, lat, lon).select(*df.columns, near.alias(flag))
+    """Add ``flag``: whether any site lies at most ``nm`` nautical miles away (no position: false).
+
+    That is whether the nearest one does: one haversine decides, whatever the
+    number of sites. Sites without a position are passed over.
+    """
+    numbered = placed(sites).select("latitude", "longitude").distinct()
+    numbered = numbered.withColumn("_number", F.hash("latitude", "longitude"))
+    near = nearest_site(df, numbered, "_number", (), "_near_", lat, lon, max_unrolled)
+    return near.select(*df.columns, F.coalesce(F.col("_near_nm") <= nm, F.lit(False)).alias(flag))
 
 
 # ---------------------------------------------------------- points in polygons
@@ -255,7 +253,7 @@ def within_region(
     all moved points must be inside.
     """
     edges = edges_by_band(rings, band)
-    index = broadcast_if_small(latitude_index(edges), MAX_BROADCAST_EDGES, bound=edges)
+    index = latitude_index(edges)
     at_band = geo.grid_cell(F.col(lat), band)
     tests = [_inside(F.col("_regions"), F.col(lat), F.col(lon) + F.lit(s) if s else F.col(lon)) for s in shifts]
     combined = tests[0]

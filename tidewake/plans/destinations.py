@@ -11,29 +11,24 @@ from tidewake.functions.destinations import (
     CORRECTIONS, PORT_CODES, PROFILE_CODES, PROFILE_CORRECTIONS, apply_rules, clean_destination, map_codes,
     split_destination,
 )
-from tidewake.operators.sizing import has_at_most
-
-
-# Distinct texts up to this number are normalised once each and looked up.
-MAX_LOOKUP_TEXTS = 500_000
 
 
 def normalize_destinations(
     df: DataFrame, codes: Mapping[str, str] = PORT_CODES, rules: Sequence[tuple[str, str]] = tuple(CORRECTIONS),
-    column: str = "destination", max_texts: int = MAX_LOOKUP_TEXTS,
+    column: str = "destination", lookup: bool = True,
 ) -> DataFrame:
     """Clean, map and correct ``column``, and add ``secondary_destination``; empty becomes NULL.
 
     Reports repeat the same texts, so the distinct ones are worked on and joined
-    back by broadcast. With too many of them, and for streams, each row is worked
-    on where it is.
+    back; adaptive execution broadcasts a short list and splits hot texts
+    otherwise. Streams, and rows with ``lookup=False``, are worked on where they are.
     """
     fixed = apply_rules(map_codes(clean_destination(F.col(column)), codes), rules)
     split = split_destination(fixed, codes).alias("_ports")
-    texts = None if df.isStreaming else df.select(column).where(F.col(column).isNotNull()).distinct()
-    if texts is not None and has_at_most(texts, max_texts):
+    if lookup and not df.isStreaming:
+        texts = df.select(column).where(F.col(column).isNotNull()).distinct()
         table = texts.select(F.col(column).alias("_text"), split)
-        ports = df.join(F.broadcast(table), F.col(column) == F.col("_text"), "left")
+        ports = df.join(table, F.col(column) == F.col("_text"), "left")
     else:
         ports = df.select("*", split)
     kept = [F.nullif(F.col("_ports.primary"), F.lit("")).alias(c) if c == column else c for c in df.columns]

@@ -2,16 +2,11 @@
 
 from __future__ import annotations
 
-import math
-from datetime import date
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewake.functions.ais import in_range, operation_mode
-from tidewake.operators.hot import HOT_ROWS
 from tidewake.operators.lookups import augment_emissions
-from tidewake.operators.sizing import BROADCAST_ROWS, broadcast_if_small
 from tidewake.operators.temporal import chunk_of, systematic_sample
 from tidewake.schemas import EXTRACT_COLUMNS
 
@@ -41,7 +36,7 @@ def ship_stats(ships: DataFrame, positions: DataFrame, scrubbers: DataFrame, by:
 
 def sampled_extract(
     ships: DataFrame, positions: DataFrame, scrubbers: DataFrame, start: str, end: str,
-    chunk_days: int = 7, every: int = 1000, hot_rows: int = HOT_ROWS,
+    chunk_days: int = 7, every: int = 1000, partitions: int | None = None,
 ) -> DataFrame:
     """Every ``every``-th position per ship and chunk within ``[start, end)``, with the chunk's ship statistics.
 
@@ -54,17 +49,15 @@ def sampled_extract(
         chunk_of(F.col("timestamp_collected"), start, chunk_days).alias("chunk"),
     )
     stats = ship_stats(ships, in_time, scrubbers, by=("chunk",))
-    chunks = math.ceil((date.fromisoformat(end[:10]) - date.fromisoformat(start[:10])).days / chunk_days) + 1
-    kept = systematic_sample(in_time, ["chunk", "imo_number"], "timestamp_collected", every, "id", hot_rows)
-    few_stats = broadcast_if_small(stats, BROADCAST_ROWS // chunks, bound=ships)
-    return kept.join(few_stats, ["chunk", "imo_number"]).select(*EXTRACT_COLUMNS)
+    kept = systematic_sample(in_time, ["chunk", "imo_number"], "timestamp_collected", every, "id", partitions)
+    return kept.join(stats, ["chunk", "imo_number"]).select(*EXTRACT_COLUMNS)
 
 
 def movement_extract(ships: DataFrame, positions: DataFrame, scrubbers: DataFrame) -> DataFrame:
     """The unsampled form of the extract over all positions, keeping ``id``."""
     stats = ship_stats(ships, positions, scrubbers)
     wanted = [c for c in EXTRACT_COLUMNS if c not in stats.columns]
-    return positions.select("id", "imo_number", *wanted).join(broadcast_if_small(stats, bound=ships), "imo_number").select(
+    return positions.select("id", "imo_number", *wanted).join(stats, "imo_number").select(
         "id", *EXTRACT_COLUMNS
     )
 

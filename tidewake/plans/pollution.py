@@ -9,7 +9,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewake.functions.ais import MODES, emission_for_interval, rate_of_mode, sum_or_zero
-from tidewake.operators.hot import HOT_ROWS
 from tidewake.operators.spatial import any_site_within, is_inland, nearest_site
 from tidewake.operators.temporal import hours_since_previous
 
@@ -85,7 +84,9 @@ def discharge_allowed(
         here = F.col("nearest_country") == rule.country
         if rule.restriction == "distance":
             blocks.append(here & (F.col("nearest_nm") <= rule.distance_nm))
-        elif land is not None:
+        elif land is None:
+            raise ValueError("an inland rule needs the land polygons")
+        else:
             if "_inland" not in df.columns:
                 df = is_inland(df, land, "_inland")
             blocks.append(here & F.col("_inland"))
@@ -95,7 +96,7 @@ def discharge_allowed(
 
 def pollution(
     df: DataFrame, ports: DataFrame, port_rules=PORT_RULES, country_rules=COUNTRY_RULES,
-    land: DataFrame | None = None, hot_rows: int = HOT_ROWS,
+    land: DataFrame | None = None, partitions: int | None = None,
 ) -> DataFrame:
     """Per report: hours since the ship's previous one, allowed or not, kilograms, country and date.
 
@@ -108,7 +109,7 @@ def pollution(
         "id", "imo_number", "timestamp_collected", "latitude", "longitude", "operation_mode",
         rate_of_mode(mode, rates).alias("_rate"),
     )
-    timed = hours_since_previous(slim, hot_rows=hot_rows)
+    timed = hours_since_previous(slim, partitions=partitions)
     ruled = discharge_allowed(with_nearest_port(timed, ports), ports, port_rules, country_rules, land)
     country = F.when(F.col("nearest_nm") <= COUNTRY_RADIUS_NM, F.col("nearest_country")).otherwise(INTERNATIONAL)
     emitted = emission_for_interval(F.col("discharge_allowed"), mode, F.col("time_diff"), F.col("_rate"))
@@ -119,7 +120,8 @@ def pollution(
 
 
 def daily_pollution(polluted: DataFrame) -> DataFrame:
-    return polluted.groupBy("date", "country").agg(sum_or_zero(F.col("pollution")).alias("pollution"))
+    """Kilograms per day and country; reports without a time belong to no day."""
+    return polluted.where(F.col("date").isNotNull()).groupBy("date", "country").agg(sum_or_zero(F.col("pollution")).alias("pollution"))
 
 
 def pollution_by_country(polluted: DataFrame) -> DataFrame:

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from tidewake.functions.geo import STUDY_BOX, within_bbox
 from tidewake.operators.lookups import category_of_type
-from tidewake.operators.sizing import broadcast_if_small
 from tidewake.operators.temporal import first_per_key
 from tidewake.plans.destinations import profile_destinations
 
@@ -25,8 +24,8 @@ def fill_defaults(df: DataFrame, defaults: dict[str, object] = FILL) -> DataFram
 
 def merge_ship_and_port(positions: DataFrame, ships: DataFrame, ports: DataFrame) -> DataFrame:
     """Positions with ship columns and, where the destination names a port, the port's."""
-    ship_side = broadcast_if_small(ships.select("imo_number", "name", "ship_type", "length", "width"))
-    port_side = broadcast_if_small(ports.select("port_id", "port_name", "country"))
+    ship_side = ships.select("imo_number", "name", "ship_type", "length", "width")
+    port_side = ports.select("port_id", "port_name", "country")
     with_ship = positions.join(ship_side, "imo_number", "left")
     return with_ship.join(port_side, with_ship["destination"] == port_side["port_name"], "left")
 

@@ -8,14 +8,27 @@ from pyspark.sql import types as T
 
 
 def read_reference_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Headered CSV with a declared schema; blank fields and the text NaN are NULL."""
-    raw = (
-        spark.read.option("header", True).option("enforceSchema", True)
-        .option("ignoreLeadingWhiteSpace", True).option("ignoreTrailingWhiteSpace", True)
-        .schema(schema).csv(path)
-    )
-    texts = [f.name for f in schema.fields if isinstance(f.dataType, T.StringType)]
-    return raw.withColumns({c: F.when(~F.upper(c).isin("NAN", ""), F.col(c)) for c in texts}) if texts else raw
+    """Headered CSV whose columns are found by name; blank fields and the text NaN are NULL.
+
+    The order of the columns doesn't matter and others may be there; a missing
+    one is an error. Values that don't fit their declared type are NULL.
+    """
+    reader = spark.read.option("header", True).option("ignoreLeadingWhiteSpace", True).option("ignoreTrailingWhiteSpace", True)
+    raw = reader.csv(path)
+    raw = raw.toDF(*[clean_name(c) for c in raw.columns])
+    absent = [f.name for f in schema.fields if f.name not in raw.columns]
+    if absent:
+        raise ValueError(f"{path} lacks columns: {', '.join(absent)}")
+
+    def value(field: T.StructField) -> Column:
+        text = F.when(~F.upper(field.name).isin("NAN", ""), F.col(field.name))
+        if isinstance(field.dataType, T.IntegralType):
+            # Whole numbers may be written with a fraction of zero.
+            number = text.try_cast("double")
+            return F.coalesce(text.try_cast(field.dataType), F.when(number == F.floor(number), number.try_cast(field.dataType)))
+        return text.try_cast(field.dataType)
+
+    return raw.select(*[value(f).alias(f.name) for f in schema.fields])
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
@@ -51,15 +64,30 @@ def clean_column_names(df: DataFrame) -> DataFrame:
 
 
 def coerce_identifier_columns(df: DataFrame, patterns: tuple[str, ...] = ("imo", "mmsi")) -> DataFrame:
-    """Identifier columns become whole numbers with 0 for missing; text ones stay text, 'nan' as ''.
+    """Identifier columns become whole numbers with 0 for missing.
 
-    A numeric column counts as text when it holds values a whole number cannot
-    take; that is known from its type, so no data are read to decide.
+    Values that no whole number can take, infinite or too large ones, turn their
+    column into text, as it is only there that they can be kept; missing values
+    are then ''. Text columns stay as they are. Columns of a type that can hold
+    such values are looked at once, all in one pass.
     """
+    wide = [f.name for f in df.schema.fields if any(p in f.name.lower() for p in patterns)
+            and isinstance(f.dataType, (T.DoubleType, T.FloatType, T.DecimalType))]
+    unfit = set()
+    if wide:
+        def fails(name: str) -> Column:
+            number = F.col(f"`{name}`").cast("double")
+            return F.coalesce(F.bool_or(~F.isnan(number) & number.try_cast("bigint").isNull() & number.isNotNull()), F.lit(False))
+
+        found = df.agg(*[fails(c).alias(f"c{i}") for i, c in enumerate(wide)]).first()
+        unfit = {c for c, bad in zip(wide, found) if bad}
+
     def coerced(field: T.StructField) -> Column:
         column = F.col(f"`{field.name}`")
         if not any(p in field.name.lower() for p in patterns) or not isinstance(field.dataType, T.NumericType):
             return column
+        if field.name in unfit:
+            return F.when(column.isNull() | F.isnan(column.cast("double")), "").otherwise(column.cast("string")).alias(field.name)
         number = F.nanvl(column.cast("double"), F.lit(None)) if isinstance(
             field.dataType, (T.DoubleType, T.FloatType)) else column
         return F.coalesce(number.try_cast("bigint"), F.lit(0)).cast("bigint").alias(field.name)
