@@ -5,13 +5,14 @@ from pyspark.sql.streaming import StreamingQuery
 
 from checks.fixtures import SQL, Fixtures
 from checks.registry import query, rounded
-from checks.rows import region
+from checks.rows import messages, region
 from checks.tables import OLD_SHIPS, uncorrected_ships
 from checks.views import given, polluted, ALLOWED, ts
 from tidewake.operators import temporal
 from tidewake.plans import forecast as fc
 from tidewake.plans.pollution import daily_pollution
 from tidewake.session import shared_dir
+from tidewake.sources.messages import ingest
 from tidewake.streaming import ingest as jobs
 
 
@@ -51,23 +52,28 @@ def _(fx):
     return fx.spark.read.parquet(path).where("route = 'quarantine'").select("seq", "raw", "reject")
 
 
-@query("stream_static_only", given("statics") + f"""
-SELECT seq, imo_number, mmsi, name, length, width, {ts('timestamp_ais')} AS timestamp_ais FROM statics""")
+@query("stream_static_only", given("corrections") + f"""
+SELECT seq, imo_number, mmsi, name, length, width, {ts('timestamp_ais')} AS timestamp_ais FROM corrections""")
 def _(fx):
     path = shared_dir(fx.spark, "statics")
     finish(jobs.start_static_only(raw_messages(fx), region(fx), path, path + "-checkpoint"))
     return fx.spark.read.parquet(path).select("seq", "imo_number", "mmsi", "name", "length", "width", "timestamp_ais")
 
 
-def collected(fx) -> str:
+def collected(fx, keep_unknown=False) -> str:
     path = shared_dir(fx.spark, "collector")
-    finish(jobs.start_collector(raw_messages(fx), region(fx), path, path + "-checkpoint"))
+    finish(jobs.start_collector(raw_messages(fx), region(fx), path, path + "-checkpoint", keep_unknown=keep_unknown))
     return path
 
 
+def kinds(fx):
+    """Schema of ingested messages."""
+    return messages(fx).schema
+
+
 @query("stream_upsert_ships", given("master") + "SELECT * FROM master")
 def _(fx):
-    return jobs.last_version(fx.spark, collected(fx) + "/ships")
+    return jobs.current_ships(fx.spark, collected(fx), kinds(fx))
 
 
 @query("stream_positions", given("unstored", "statics") + """
@@ -80,23 +86,70 @@ def _(fx):
 
 @query("stream_unknown_positions", given("unstored") + "SELECT seq, mmsi, CAST(-1 AS BIGINT) AS imo_number FROM unstored WHERE imo_number IS NULL")
 def _(fx):
-    return fx.spark.read.parquet(collected(fx) + "/unknown_positions").select("seq", "mmsi", "imo_number")
+    unknown = fx.spark.read.parquet(collected(fx, keep_unknown=True) + "/unknown_ships")
+    return unknown.where("sog IS NOT NULL").select("seq", "mmsi", "imo_number")
+
+
+@query("stream_unknown_ships", given("unstored", "routed") + """
+SELECT seq, mmsi, CAST(-1 AS BIGINT) AS imo_number, CAST(NULL AS VARCHAR) AS name FROM unstored WHERE imo_number IS NULL
+UNION ALL SELECT seq, mmsi, coalesce(raw_imo, -1), coalesce(name, 'Unknown') FROM routed WHERE route = 'no_imo'""")
+def _(fx):
+    unknown = fx.spark.read.parquet(collected(fx, keep_unknown=True) + "/unknown_ships")
+    return unknown.select("seq", "mmsi", "imo_number", "name")
+
+
+def in_batches(fx, raw, n):
+    """The same messages as a stream of ``n`` micro-batches, oldest first."""
+    path, last = shared_dir(fx.spark, "landed"), raw.agg(F.max("seq")).first()[0]
+    for i in range(n):
+        part = raw.where((F.col("seq") * n >= i * (last + 1)) & (F.col("seq") * n < (i + 1) * (last + 1)))
+        part.coalesce(1).write.mode("append").parquet(path)
+    return fx.spark.readStream.schema(raw.schema).option("maxFilesPerTrigger", 1).parquet(path)
 
 
-@query("stream_minute_metrics", given("routed") + """
-, timed AS (SELECT r.route, r.mmsi, e.ts FROM routed r JOIN events e ON e.event_id = r.seq)
-SELECT strftime(date_trunc('minute', ts), '%Y-%m-%d %H:%M:%S.%f') AS minute,
- count(*) FILTER (WHERE route IN ('static', 'position', 'no_imo')) AS collected, count(*) FILTER (WHERE route = 'outside') AS filtered,
- count(*) FILTER (WHERE route = 'static') AS static_data, count(*) FILTER (WHERE route = 'position') AS position_data,
- count(DISTINCT mmsi) FILTER (WHERE route IN ('static', 'position', 'no_imo')) AS unique_vessels
-FROM timed GROUP BY date_trunc('minute', ts)
-HAVING date_trunc('minute', ts) + INTERVAL 1 MINUTE <= (SELECT max(ts) FROM events) - INTERVAL 6 HOUR""")
+@query("stream_identity_batches", given("routed", "statics") + """
+, changed AS (SELECT seq, route, raw_imo, mmsi + CASE WHEN seq % 8 >= 4 THEN 100000000 ELSE 0 END AS mmsi FROM routed)
+SELECT p.seq, p.mmsi, (SELECT arg_max(s.raw_imo, s.seq) FROM changed s WHERE s.route = 'static' AND s.mmsi = p.mmsi AND s.seq < p.seq) AS imo_number
+FROM changed p WHERE p.route = 'position'""")
 def _(fx):
-    from tidewake.sources.messages import ingest
+    """Ships change their MMSI back and forth; the newest identity of an MMSI holds over the borders of micro-batches."""
+    text = F.when(F.col("event_id") % 8 >= 4, F.replace("raw", F.lit('"MMSI":2'), F.lit('"MMSI":3'))).otherwise(F.col("raw"))
+    raw = fx.messages.select(F.col("event_id").alias("seq"), text.alias("raw"))
+    path = shared_dir(fx.spark, "collector")
+    finish(jobs.start_collector(in_batches(fx, raw, 3), region(fx), path, path + "-checkpoint", keep_unknown=True))
+    found = fx.spark.read.parquet(path + "/positions").select("seq", "mmsi", "imo_number")
+    lost = fx.spark.read.parquet(path + "/unknown_ships").where("sog IS NOT NULL")
+    return found.unionByName(lost.select("seq", "mmsi", F.lit(None).cast("bigint").alias("imo_number")))
+
+
+METRICS = given("routed", "unstored") + """
+, timed AS (SELECT r.route, r.mmsi, e.ts, CASE r.route WHEN 'position' THEN u.imo_number WHEN 'static' THEN r.raw_imo END AS imo,
+  r.route IN ('static', 'position', 'no_imo') AS used FROM routed r JOIN events e ON e.event_id = r.seq LEFT JOIN unstored u ON u.seq = r.seq)
+"""
+COUNTS = """
+ count(*) FILTER (WHERE used) AS collected, count(*) FILTER (WHERE route = 'outside') AS filtered, count(*) FILTER (WHERE route = 'static') AS static_data,
+ count(*) FILTER (WHERE route = 'position' AND imo > 0) AS position_data, count(*) FILTER (WHERE used AND coalesce(imo, 0) <= 0) AS no_imo,
+ count(DISTINCT mmsi) FILTER (WHERE used) AS unique_vessels, count(DISTINCT mmsi) FILTER (WHERE used AND imo > 0) AS vessels_with_imo,
+ round(coalesce(count(DISTINCT mmsi) FILTER (WHERE used AND imo > 0) * 1e0 / nullif(count(DISTINCT mmsi) FILTER (WHERE used), 0), 0), 6) AS coverage
+"""
+
 
+def measured(fx) -> str:
     path = shared_dir(fx.spark, "metrics")
-    finish(jobs.start_metrics(ingest(raw_messages(fx, with_time=True), region(fx)), path, path + "-checkpoint"))
-    return fx.spark.read.parquet(path)
+    routed = ingest(raw_messages(fx, with_time=True), region(fx))
+    finish(jobs.start_metrics(routed, path, path + "-checkpoint"))
+    return path
+
+
+@query("stream_minute_metrics", METRICS + f"""
+SELECT strftime(date_trunc('minute', ts), '%Y-%m-%d %H:%M:%S.%f') AS minute, {COUNTS} FROM timed GROUP BY date_trunc('minute', ts)""")
+def _(fx):
+    return rounded(jobs.minute_metrics(fx.spark, measured(fx)), coverage=6)
+
+
+@query("stream_running_totals", METRICS + f"SELECT {COUNTS} FROM timed")
+def _(fx):
+    return rounded(jobs.running_totals(fx.spark, measured(fx)), coverage=6)
 
 
 @query("stream_enrich", given("fx_positions", "fx_nav_status") + """
@@ -115,7 +168,7 @@ FROM {OLD_SHIPS} s LEFT JOIN fixes f ON f.imo_number = s.imo_number""")
 def _(fx):
     path = shared_dir(fx.spark, "dimensions")
     finish(jobs.start_dimension_fix(raw_messages(fx), region(fx), uncorrected_ships(fx), path, path + "-checkpoint"))
-    return jobs.last_version(fx.spark, path).select("imo_number", "length", "width", "lw_correction")
+    return jobs.corrected_ships(uncorrected_ships(fx), path, kinds(fx)).select("imo_number", "length", "width", "lw_correction")
 
 
 # ------------------------------------------------------------------- forecast
@@ -192,26 +245,53 @@ def _(fx):
     return rounded(fc.backtest_by_series(week_ago(fx)[0].withColumn("fitted", F.col("lag_7"))), mae=4, rmse=4)
 
 
+# Forests are random; what SQL can say are the rows, the dates, and that values stay among the observed ones.
+
+OBSERVED = given("fx_daily") + """
+, lagged AS (SELECT CAST(date AS VARCHAR) AS date, country, pollution, lag(pollution, 14) OVER (PARTITION BY country ORDER BY date) AS lag_14 FROM fx_daily),
+used AS (SELECT * FROM lagged WHERE lag_14 IS NOT NULL)
+"""
+
+
 def forecasted(fx):
-    return fc.forecast_job(fx.spark, fx.daily, shared_dir(fx.spark, "forests"), trees=20)
+    return fc.forecast_job(fx.daily)
+
+
+def among_observed(fx, values, column):
+    """Whether values lie within the range that the forests have seen."""
+    seen = fc.forecast_features(fx.daily).groupBy("country").agg(F.min("pollution").alias("low"), F.max("pollution").alias("high"))
+    near = F.col(column).between(F.col("low") - 1e-6, F.col("high") + 1e-6)
+    return values.join(seen, "country").withColumn("among_observed", near)
 
 
-@query("forecast_fit")
+@query("forecast_fit", OBSERVED + "SELECT country, date, pollution, TRUE AS among_observed FROM used")
 def _(fx):
-    return forecasted(fx)[1]
+    return among_observed(fx, forecasted(fx)[1], "fitted").select("country", "date", "pollution", "among_observed")
 
 
-@query("forecast_band")
+@query("forecast_band", OBSERVED + """
+, last AS (SELECT country, max(CAST(date AS DATE)) AS last FROM lagged GROUP BY country)
+SELECT country, CAST(CAST(last + CAST(step AS INTEGER) AS DATE) AS VARCHAR) AS date, 'forecast' AS kind, TRUE AS among_observed, TRUE AS in_band FROM last, range(31) r(step)
+UNION ALL SELECT country, CAST(last AS VARCHAR), 'actual', TRUE, TRUE FROM last""")
 def _(fx):
-    return fc.with_last_actual(forecasted(fx)[2], fx.daily)
+    extended = among_observed(fx, fc.with_last_actual(forecasted(fx)[2], fx.daily), "prediction")
+    in_band = (F.col("std") >= 0) & F.col("prediction").between(F.col("lower"), F.col("upper"))
+    return extended.select("country", "date", "kind", "among_observed", in_band.alias("in_band"))
 
 
-@query("forecast_scale")
+@query("forecast_scale", OBSERVED + "SELECT TRUE AS holds_highest, TRUE AS holds_lowest FROM used HAVING count(*) > 0")
 def _(fx):
     features, _, ahead = forecasted(fx)
-    return fc.common_scale(features, ahead)
+    seen = features.agg(F.max("pollution").alias("hi"), F.min("pollution").alias("lo"))
+    scale = fc.common_scale(features, ahead)
+    return scale.crossJoin(seen).select(
+        (F.col("max_pollution") >= F.col("hi")).alias("holds_highest"), (F.col("min_pollution") <= F.col("lo")).alias("holds_lowest"))
 
 
-@query("forecast_backtest")
+@query("forecast_backtest", OBSERVED + """
+SELECT country, count(*) AS days, TRUE AS better_than_mean FROM used GROUP BY country""")
 def _(fx):
-    return fc.backtest_by_series(forecasted(fx)[1])
+    fitted = forecasted(fx)[1]
+    spread = fitted.groupBy("country").agg(F.stddev_pop("pollution").alias("spread"))
+    errors = fc.backtest_by_series(fitted).join(spread, "country")
+    return errors.select("country", "days", (F.col("rmse") < F.col("spread")).alias("better_than_mean"))

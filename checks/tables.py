@@ -16,6 +16,7 @@ from tidewake.plans.destinations import normalize_destinations
 from tidewake.plans.report import destination_report, movement_report
 from tidewake.session import shared_dir
 from tidewake.sources import files, tables
+from tidewake.sources.messages import identified_statics
 
 ISO = pollution_plan.ISO_COUNTRY_RULES
 
@@ -578,15 +579,15 @@ SELECT s.imo_number, CASE WHEN f.imo_number IS NOT NULL AND NOT s.done THEN f.le
  CASE WHEN f.imo_number IS NOT NULL AND NOT s.done THEN {ts('f.timestamp_ais')} END AS lw_correction_timestamp
 FROM {OLD_SHIPS} s LEFT JOIN fixes f ON f.imo_number = s.imo_number""")
 def _(fx):
-    return maintain.correct_dimensions(uncorrected_ships(fx), statics(fx)).drop("mmsi")
+    return maintain.correct_dimensions(uncorrected_ships(fx), identified_statics(messages(fx))).drop("mmsi")
 
 
-@query("correction_counters", given("fixes", "statics", "fx_ships") + f"""
+@query("correction_counters", given("fixes", "corrections", "fx_ships") + f"""
 SELECT count(*) AS processed, count(*) FILTER (WHERE s.imo_number IS NOT NULL AND NOT s.done AND m.seq = f.seq) AS corrected,
  count(*) FILTER (WHERE s.imo_number IS NULL OR s.done OR coalesce(m.seq > f.seq, FALSE)) AS ignored
-FROM statics m LEFT JOIN {OLD_SHIPS} s ON s.imo_number = m.imo_number LEFT JOIN fixes f ON f.imo_number = m.imo_number""")
+FROM corrections m LEFT JOIN {OLD_SHIPS} s ON s.imo_number = m.imo_number LEFT JOIN fixes f ON f.imo_number = m.imo_number""")
 def _(fx):
-    return maintain.correction_counters(uncorrected_ships(fx), statics(fx, stored_messages(fx)))
+    return maintain.correction_counters(uncorrected_ships(fx), identified_statics(stored_messages(fx)))
 
 
 @query("guarded_enrichment", given("fx_positions", "fx_nav_status") + """

@@ -157,9 +157,12 @@ DERIVED: dict[str, tuple[list[str], str]] = {
   max(CASE WHEN rn = 1 THEN length END) AS length, max(CASE WHEN rn = 1 THEN width END) AS width,
   arg_max(max_draught, seq) AS max_draught
  FROM (SELECT *, row_number() OVER (PARTITION BY imo_number ORDER BY seq DESC) AS rn FROM statics) GROUP BY imo_number"""),
-    "fixes": (["statics"], """
+    "corrections": (["prs"], f"""
+ SELECT *, raw_imo AS imo_number FROM prs WHERE j IS NOT NULL AND {in_region('latitude', 'longitude')}
+  AND message_type = 'ShipStaticData' AND raw_imo <> 0"""),
+    "fixes": (["corrections"], """
  SELECT imo_number, length, width, timestamp_ais, seq FROM
-  (SELECT *, row_number() OVER (PARTITION BY imo_number ORDER BY seq) AS rn FROM statics WHERE length IS NOT NULL OR width IS NOT NULL)
+  (SELECT *, row_number() OVER (PARTITION BY imo_number ORDER BY seq) AS rn FROM corrections WHERE length IS NOT NULL OR width IS NOT NULL)
  WHERE rn = 1"""),
 }
 

@@ -1,9 +1,10 @@
 """Shape of the physical plans, and the forecast."""
 
 import datetime as dt
+import statistics
 
-import pandas as pd
 import pytest
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from tidewake.functions import geo
@@ -11,7 +12,6 @@ from tidewake.operators import lookups, spatial, temporal
 from tidewake.plans import forecast as fc
 from tidewake.plans import pollution as pp
 from tidewake.plans.destinations import normalize_destinations
-from tidewake.session import shared_dir
 
 
 def plan(df):
@@ -45,12 +45,14 @@ def stored(spark, fx, tmp_path):
     return spark.read.parquet(str(tmp_path / "positions")), ports
 
 
-def test_pollution_shuffles_once_per_ship_and_once_per_day(spark, stored):
+def test_pollution_reads_the_ranges_and_little_else(spark, stored):
+    """Reports are read from their stored time ranges: the window's shuffle, the daily one, and the summary's two small ones."""
     positions, ports = stored
     daily = pp.daily_pollution(pp.pollution(positions, ports))
     text = plan(daily)
-    assert text.count("Exchange hashpartitioning") == 2
-    assert "NestedLoop" not in text and "SortMergeJoin" not in text
+    assert text.count("Exchange hashpartitioning") <= 4
+    assert "NestedLoop" not in text and "CartesianProduct" not in text
+    assert all("/ranges-" in part.split("\n")[0] for part in text.split("FileScan parquet")[1:])
     scan = text.split("FileScan parquet")[1].split("\n")[0]
     assert "destination" not in scan and "true_heading" not in scan
 
@@ -60,7 +62,7 @@ def test_generated_methods_stay_compilable(spark, stored):
     builds = [
         lambda: spatial.nearest_site(positions, ports),
         lambda: pp.daily_pollution(pp.pollution(positions, ports)),
-        lambda: normalize_destinations(positions, max_texts=0).where("destination IS NOT NULL").groupBy("destination").count(),
+        lambda: normalize_destinations(positions, lookup=False).where("destination IS NOT NULL").groupBy("destination").count(),
     ]
     for build in builds:
         assert max(method_sizes(spark, build)) < 8000
@@ -73,9 +75,11 @@ def test_box_reaches_the_scan(spark, stored):
     assert "GreaterThanOrEqual(latitude,51.0)" in text and "LessThanOrEqual(longitude,9.0)" in text
 
 
-def test_windows_need_one_shuffle(stored):
+def test_windows_are_cut_by_range(stored):
+    """No window runs over a whole key: rows are windowed per (key, range), only summaries per key."""
     text = plan(temporal.hours_since_previous(stored[0]).select("id", "time_diff"))
-    assert text.count("Exchange") == 1
+    windows = [line for line in text.split("\n") if "- Window [" in line]
+    assert len(windows) == 2 and sum("_piece" in w.split("], [")[1] for w in windows) == 1
 
 
 def test_country_rules_as_published_never_apply(spark, fx):
@@ -96,7 +100,7 @@ def daily(spark):
 
 @pytest.fixture(scope="module")
 def job(spark, daily):
-    return fc.forecast_job(spark, daily, shared_dir(spark, "forests"), trees=7)
+    return fc.forecast_job(daily, trees=7)
 
 
 def test_forecast_shape(job, daily):
@@ -111,29 +115,27 @@ def test_forecast_shape(job, daily):
 
 
 def test_forecast_repeats_under_seed(spark, daily, job):
-    again = fc.forecast_job(spark, daily, shared_dir(spark, "forests"), trees=7)[2]
+    again = fc.forecast_job(daily, trees=7)[2]
     assert sorted(map(tuple, again.collect())) == sorted(map(tuple, job[2].collect()))
 
 
 def test_recursion_follows_the_lag_rule():
-    # One tree: left leaf if lag_7 <= 50, right leaf otherwise.
-    nodes = pd.DataFrame({
-        "tree": [0, 0, 0], "node": [0, 1, 2], "left": [1, -1, -1], "right": [2, -1, -1],
-        "feature": [4, -1, -1], "threshold": [50.0, None, None], "value": [0.0, 10.0, 90.0],
-    })
+    # 10 where lag_7 is at most 50, 90 otherwise.
     past = [float(v) for v in (0, 0, 0, 0, 0, 0, 0, 40, 60, 40, 60, 40, 60, 40)]
-    days = pd.DataFrame({"step": range(10), "day_of_week": 0, "month": 1, "day": 1, "trailing": [past] * 10})
-    assert fc._recursion(nodes, days) == [10, 90, 10, 90, 10, 90, 10, 10, 90, 10]
+    calendar = [{"step": i, "day_of_week": 0, "month": 1, "day": 1} for i in range(10)]
+    assert fc.recursion(lambda x: 10.0 if x[4] <= 50 else 90.0, calendar, past) == [10, 90, 10, 90, 10, 90, 10, 10, 90, 10]
 
 
-def test_walk_equals_model(spark, daily, job):
+def test_forecast_uses_the_fitted_model(daily):
     features = fc.forecast_features(daily)
     models = fc.fit_forests(features, trees=5)
-    nodes = fc.forest_nodes(spark, models, shared_dir(spark, "forests")).where("country = 'NL'").toPandas()
-    nodes = nodes.astype({"node": int, "left": int, "right": int, "feature": int})
-    predict = fc._walk_trees(nodes)
-    for row in fc.in_sample_fit(models, features).where("country = 'NL'").join(features, ["country", "date"]).collect():
-        assert predict([row[c] for c in fc.FEATURES]).mean() == pytest.approx(row["fitted"])
+    first = fc.forecast(models, daily.where("country <> 'INTERNATIONAL'"), offset=1).where("country = 'NL'").orderBy("date").first()
+    past = [r["pollution"] for r in daily.where("country = 'NL'").orderBy("date").collect()]
+    day = first["date"]
+    vector = [float(day.weekday()), float(day.month), float(day.day), past[-1], past[-7], past[-14]]
+    assert first["prediction"] == pytest.approx(models["NL"].predict(Vectors.dense(vector)))
+    trees = [t.predict(Vectors.dense(vector)) for t in models["NL"].trees]
+    assert first["std"] == pytest.approx(statistics.pstdev(trees))
 
 
 def test_scale_and_errors(job):

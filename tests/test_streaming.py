@@ -5,11 +5,12 @@ from pyspark.sql import functions as F
 
 from checks.rows import region
 from tidewake.operators.lookups import enrich_ships, resolve_identity
-from tidewake.operators.maintain import correct_dimensions, upsert_ships
+from tidewake.operators.maintain import correct_dimensions, correction_counters, upsert_ships
 from tidewake.operators.temporal import asof_latest_within
 from tidewake.schemas import SHIPS
-from tidewake.sources.messages import ingest, read_messages
+from tidewake.sources.messages import identified_statics, ingest, read_messages
 from tidewake.streaming import ingest as jobs
+from tidewake.streaming.versions import Changes
 
 
 @pytest.fixture(scope="module")
@@ -44,12 +45,12 @@ def test_routing_equals_batch(spark, fx, slices, tmp_path, same):
 def test_collector_over_several_batches(spark, fx, slices, tmp_path, same):
     messages, stream = slices
     path = str(tmp_path / "out")
-    progress = run(jobs.start_collector(stream(), region(fx), path, str(tmp_path / "cp")))
+    progress = run(jobs.start_collector(stream(), region(fx), path, str(tmp_path / "cp"), keep_unknown=True))
     assert progress["batchId"] >= 3
     routed = ingest(messages, region(fx))
     statics = routed.where("route = 'static'")
     ships = upsert_ships(statics)
-    same(jobs.last_version(spark, path + "/ships").select(ships.columns), ships)
+    same(jobs.current_ships(spark, path, routed.schema).select(ships.columns), ships)
 
     reports = routed.where("route = 'position'").drop("imo_number")
     named = resolve_identity(reports, statics, ships.limit(0))
@@ -57,7 +58,7 @@ def test_collector_over_several_batches(spark, fx, slices, tmp_path, same):
         named.where("imo_number IS NOT NULL"), statics, "imo_number", "timestamp_ais", "seq", "destination", 5 * 3600,
     ).select("seq", "imo_number", F.col("recent_destination").alias("destination"))
     assert same(spark.read.parquet(path + "/positions").select("seq", "imo_number", "destination"), found) > 0
-    unknown = spark.read.parquet(path + "/unknown_positions")
+    unknown = spark.read.parquet(path + "/unknown_ships").where("sog IS NOT NULL")
     assert unknown.count() == named.where("imo_number IS NULL").count()
 
 
@@ -65,9 +66,10 @@ def test_repeated_batch_leaves_no_duplicates(spark, fx, slices, tmp_path):
     routed = ingest(slices[0], region(fx))
     commit = jobs.commit_batch(str(tmp_path))
     commit(routed, 0)
-    counts = [spark.read.parquet(f"{tmp_path}/{t}").count() for t in ("static_log", "ships", "positions")]
+    tables = ("static_log", "ships/changes", "identities/changes", "positions")
+    counts = [spark.read.parquet(f"{tmp_path}/{t}").count() for t in tables]
     commit(routed, 0)
-    assert counts == [spark.read.parquet(f"{tmp_path}/{t}").count() for t in ("static_log", "ships", "positions")]
+    assert counts == [spark.read.parquet(f"{tmp_path}/{t}").count() for t in tables]
 
 
 def test_dimension_fix_over_several_batches(spark, fx, slices, tmp_path, same):
@@ -75,23 +77,97 @@ def test_dimension_fix_over_several_batches(spark, fx, slices, tmp_path, same):
     ships = fx.ships.select("imo_number", "mmsi", "length", "width")
     path = str(tmp_path / "out")
     run(jobs.start_dimension_fix(stream(), region(fx), ships, path, str(tmp_path / "cp")))
-    # The first version starts from the plain table, so correction columns exist from then on.
-    statics = ingest(messages, region(fx)).where("route = 'static'")
+    statics = identified_statics(ingest(messages, region(fx)))
     expected = correct_dimensions(ships, statics)
-    same(jobs.last_version(spark, path).select(expected.columns), expected)
+    same(jobs.corrected_ships(ships, path, messages_schema(fx)).select(expected.columns), expected)
+
+
+def messages_schema(fx):
+    return ingest(fx.messages.withColumnRenamed("event_id", "seq"), region(fx)).schema
 
 
 def test_minute_metrics_total(spark, fx, slices, tmp_path):
+    """Every minute is written, and a repeated or late message is not lost."""
     messages, stream = slices
     timed = ingest(stream(), region(fx)).withColumn("ts", F.lit("2024-01-01").cast("timestamp") + F.make_dt_interval(secs=F.col("seq") * 3))
     path = str(tmp_path / "out")
-    run(jobs.start_metrics(timed, path, str(tmp_path / "cp"), watermark="0 seconds"))
-    written = spark.read.parquet(path)
-    routed = ingest(messages, region(fx)).where(F.col("seq") * 3 < 2940)
-    totals = jobs.running_totals(written.where("minute < '2024-01-01 00:49:00'")).first()
+    run(jobs.start_metrics(timed, path, str(tmp_path / "cp")))
+    routed = ingest(messages, region(fx))
+    totals = jobs.running_totals(spark, path).first()
+    minutes = jobs.minute_metrics(spark, path).agg(*[F.sum(c).alias(c) for c in jobs.COUNTERS], F.count("minute").alias("n")).first()
+    assert minutes["n"] == 50
+    for c in jobs.COUNTERS:
+        assert minutes[c] == totals[c]
     assert totals["static_data"] == routed.where("route = 'static'").count()
-    assert totals["position_data"] == routed.where("route = 'position'").count()
     assert totals["filtered"] == routed.where("route = 'outside'").count()
+    assert totals["position_data"] + totals["no_imo"] == routed.where("route IN ('position', 'no_imo')").count()
+    assert 0 < totals["vessels_with_imo"] <= totals["unique_vessels"]
+
+
+def changes(path):
+    schema = "key long, value string"
+    return Changes(str(path), spark_schema(schema), lambda rows: rows.groupBy("key").agg(F.max_by("value", "batch_id").alias("value")), every=3)
+
+
+def spark_schema(text):
+    from pyspark.sql.types import StructType
+
+    return StructType.fromDDL(text)
+
+
+def test_changes_over_many_batches(spark, tmp_path):
+    table, state = changes(tmp_path), {}
+    for n in range(10):
+        assert dict(map(tuple, table.before(spark, n).collect())) == state
+        new = {n % 4: f"v{n}", 100 + n: "x"} if n != 5 else {}
+        table.commit(spark.createDataFrame(list(new.items()), table.schema), n)
+        table.commit(spark.createDataFrame(list(new.items()), table.schema), n)
+        state |= new
+    assert dict(map(tuple, table.current(spark).collect())) == state
+
+
+def test_identity_holds_over_batches(spark, fx, tmp_path):
+    """A ship changes its MMSI; a report with the new one finds it in a later batch."""
+    def static(seq, mmsi):
+        return (seq, f'{{"MessageType":"ShipStaticData","MetaData":{{"MMSI":{mmsi},"latitude":52.0,"longitude":2.0,"time_utc":"2024-01-01 00:00:0{seq}.1 +0000 UTC"}},'
+                     f'"Message":{{"ShipStaticData":{{"ImoNumber":1000}}}}}}')
+
+    report = (3, '{"MessageType":"PositionReport","MetaData":{"MMSI":222,"latitude":52.0,"longitude":2.0,"time_utc":"2024-01-01 00:00:09.1 +0000 UTC"},'
+                 '"Message":{"PositionReport":{"Sog":1}}}')
+    commit = jobs.commit_batch(str(tmp_path))
+    for n, row in enumerate([static(1, 111), static(2, 222), report]):
+        commit(ingest(spark.createDataFrame([row], "seq long, raw string"), region(fx)), n)
+    assert [r["imo_number"] for r in spark.read.parquet(f"{tmp_path}/positions").collect()] == [1000]
+    ships = jobs.current_ships(spark, str(tmp_path), messages_schema(fx)).collect()
+    assert [(r["imo_number"], r["mmsi"]) for r in ships] == [(1000, 111)]
+
+
+def test_correction_needs_no_time(spark, fx, tmp_path):
+    raw = '{"MessageType":"ShipStaticData","MetaData":{"MMSI":1,"latitude":52.0,"longitude":2.0,"time_utc":"bad"},"Message":{"ShipStaticData":{"ImoNumber":1000,"Dimension":{"A":5,"B":6}}}}'
+    routed = ingest(spark.createDataFrame([(1, raw)], "seq long, raw string"), region(fx))
+    assert routed.first()["route"] == "quarantine"
+    ships = spark.createDataFrame([(1000, 1, 1, 1)], "imo_number long, mmsi long, length int, width int")
+    fixed = correct_dimensions(ships, identified_statics(routed)).first()
+    assert (fixed["length"], fixed["width"], fixed["lw_correction"]) == (11, None, True)
+    assert tuple(correction_counters(ships, identified_statics(routed)).first()) == (1, 1, 0)
+
+
+def test_mistyped_fields_cost_only_themselves(spark, fx):
+    rows = [
+        '{"MessageType":"PositionReport","MetaData":{"MMSI":"5","latitude":"52.5","longitude":2.0,"time_utc":"2024-01-01 00:00:00.1 +0000 UTC"},'
+        '"Message":{"PositionReport":{"TrueHeading":90.0,"NavigationalStatus":"5","Sog":"x","Cog":1}}}',
+        '{"MessageType":"ShipStaticData","MetaData":{"MMSI":6,"latitude":52.5,"longitude":2,"time_utc":"2024-01-01 00:00:00.1 +0000 UTC"},'
+        '"Message":{"ShipStaticData":{"ImoNumber":7,"Type":"70","Name":null,"Dimension":{"A":1.5,"B":20,"C":"3","D":4}}}}',
+        '{"MessageType":"ShipStaticData","MetaData":{"MMSI":6,"latitude":52.5,"longitude":2,"time_utc":"2024-01-01 00:00:00.1 +0000 UTC"},'
+        '"Message":{"ShipStaticData":{"ImoNumber":8,"Dimension":5}}}',
+        '[1]', '{"a":',
+    ]
+    out = ingest(spark.createDataFrame(list(enumerate(rows)), "seq long, raw string"), region(fx)).orderBy("seq").collect()
+    assert [r["reject"] for r in out] == [None, None, None, "no_type", "malformed"]
+    a, b, c = out[:3]
+    assert (a["mmsi"], a["latitude"], a["true_heading"], a["navigational_status_code"], a["sog"], a["cog"]) == (5, 52.5, 90, 5, None, 1.0)
+    assert (b["ship_type"], b["name"], b["destination"], b["length"], b["width"]) == ("70", None, "Unknown", 22, 7)
+    assert (c["imo_number"], c["name"], c["length"]) == (8, "Unknown", None)
 
 
 def test_ship_enrichment_stream(spark, fx, tmp_path, same):

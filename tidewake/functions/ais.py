@@ -35,9 +35,12 @@ def epoch_seconds(ts: Column) -> Column:
     return seconds_between(F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), ts.cast("timestamp_ntz"))
 
 
-def vessel_dimensions(dimension: Column) -> tuple[Column, Column]:
-    """(length, width) from antenna distances; NULL as soon as one part is missing."""
-    return (dimension["A"] + dimension["B"]).cast("int"), (dimension["C"] + dimension["D"]).cast("int")
+def vessel_dimensions(dimension: Column | dict[str, Column]) -> tuple[Column, Column]:
+    """(length, width) from antenna distances, rounded; NULL as soon as one part is missing."""
+    def total(a: str, b: str) -> Column:
+        return F.round(dimension[a] + dimension[b]).try_cast("int")
+
+    return total("A", "B"), total("C", "D")
 
 
 def operation_mode(code: Column) -> Column:

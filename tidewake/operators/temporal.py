@@ -112,6 +112,7 @@ def first_per_key(df: DataFrame, key: list[str], order: list[str]) -> DataFrame:
     return picked.select(*[c if c in key else F.col("_first")[c].alias(c) for c in df.columns])
 
 
+# The columns that make two reports the same.
 REPORT_KEYS = [
     "imo_number", "timestamp_ais", "latitude", "longitude", "destination", "sog", "cog",
     "navigational_status", "rate_of_turn",

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 
-import numpy as np
-import pandas as pd
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.linalg import Vectors
 from pyspark.ml.regression import RandomForestRegressionModel, RandomForestRegressor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,17 +30,19 @@ def _assemble(features: DataFrame) -> DataFrame:
 
 
 def fit_forests(
-    features: DataFrame, series: str = "country", trees: int = 100, seed: int = 42, max_depth: int = 10,
-    parallelism: int = 4,
+    features: DataFrame, series: str = "country", trees: int = 100, seed: int = 42, max_depth: int = 30,
+    max_bins: int = 1024, parallelism: int = 4,
 ) -> dict[str, RandomForestRegressionModel]:
     """One random forest per series, each fitted as Spark jobs; several are in flight at a time.
 
     Series are countries: the loop grows with their number, not with the reports.
+    Trees grow as deep as Spark allows (30 levels), and with a bin per value up
+    to 1,024 days, so that splits are as fine as the data.
     """
     assembled = _assemble(features).select(series, "features", "pollution").persist()
     names = [row[0] for row in assembled.select(series).distinct().orderBy(series).collect()]
     forest = RandomForestRegressor(
-        labelCol="pollution", numTrees=trees, seed=seed, maxDepth=max_depth, featureSubsetStrategy="all",
+        labelCol="pollution", numTrees=trees, seed=seed, maxDepth=max_depth, maxBins=max_bins, featureSubsetStrategy="all",
     )
     try:
         with ThreadPoolExecutor(parallelism) as pool:
@@ -62,94 +64,49 @@ def in_sample_fit(models: dict[str, RandomForestRegressionModel], features: Data
     return fitted
 
 
-def forest_nodes(spark: SparkSession, models: dict[str, RandomForestRegressionModel], path: str,
-                 series: str = "country") -> DataFrame:
-    """The split nodes of all trees as a table: series, tree, node, feature, threshold, children, prediction.
+def recursion(predict: Callable[[list[float]], float], calendar: list, trailing: list[float]) -> list[float]:
+    """Day by day predictions, each feeding the lags of the later ones.
 
-    Saved models keep their nodes in a table of their own, which is read back.
+    Observed values come first, then the own predictions: lag k of step i is
+    entry i - k of that line.
     """
-    parts = []
-    for index, (name, model) in enumerate(models.items()):
-        target = f"{path.rstrip('/')}/forest_{index}"
-        model.write().overwrite().save(target)
-        node = F.col("nodeData")
-        parts.append(spark.read.parquet(f"{target}/data").select(
-            F.lit(name).alias(series), F.col("treeID").alias("tree"), node["id"].alias("node"),
-            node["split"]["featureIndex"].alias("feature"),
-            F.get(node["split"]["leftCategoriesOrThreshold"], 0).alias("threshold"),
-            node["leftChild"].alias("left"), node["rightChild"].alias("right"), node["prediction"].alias("value"),
-        ))
-    nodes = parts[0]
-    for part in parts[1:]:
-        nodes = nodes.unionByName(part)
-    return nodes
-
-
-def _walk_trees(nodes: pd.DataFrame):
-    """A function from a feature vector to the predictions of all given trees."""
-    tables = []
-    for _, tree in nodes.groupby("tree", sort=True):
-        tree = tree.sort_values("node")
-        tables.append(tuple(tree[c].to_numpy() for c in ("left", "right", "feature", "threshold", "value")))
-
-    def predict(features: list[float]) -> np.ndarray:
-        values = np.empty(len(tables))
-        for i, (left, right, feature, threshold, value) in enumerate(tables):
-            node = 0
-            while left[node] >= 0:
-                node = left[node] if features[feature[node]] <= threshold[node] else right[node]
-            values[i] = value[node]
-        return values
-
-    return predict
-
-
-def _recursion(nodes: pd.DataFrame, days: pd.DataFrame) -> list[float]:
-    """Day by day predictions (mean over the trees), each feeding the lags of the later ones."""
-    predict, past = _walk_trees(nodes), list(days["trailing"].iloc[0])
-    known, out = len(past), []
-    for day in days.sort_values("step").itertuples():
-        # Observed values first, then own predictions: lag k of step i is entry i - k of that row.
-        line = past + out
-        lags = [line[known + day.step - k] for k in LAGS]
-        out.append(float(predict([day.day_of_week, day.month, day.day, *lags]).mean()))
-    return out
-
-
-def _recursive(nodes: DataFrame, calendar: DataFrame, keys: list[str]) -> DataFrame:
-    """Run the recursion per group of trees; a group is one tree or one forest and a month of days."""
-    series = keys[0]
-    trees = nodes.withColumn("_part", F.lit("tree"))
-    days = calendar.withColumn("_part", F.lit("day"))
-    if len(keys) > 1:
-        days = days.join(F.broadcast(nodes.select(*keys).distinct()), series)
-    both = trees.unionByName(days, allowMissingColumns=True)
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        is_tree = pdf["_part"] == "tree"
-        own = pdf[is_tree].astype({"node": int, "left": int, "right": int, "feature": int})
-        future = pdf[~is_tree].sort_values("step").astype({"step": int})
-        made = {key: pdf[key].iloc[0] for key in keys}
-        return pd.DataFrame({**made, "date": future["date"], "prediction": _recursion(own, future)})
-
-    kinds = {f.name: f.dataType.simpleString() for f in both.schema.fields}
-    schema = ", ".join(f"{k} {kinds[k]}" for k in keys) + ", date date, prediction double"
-    return both.groupBy(*keys).applyInPandas(run, schema)
+    line, known = list(trailing), len(trailing)
+    for day in calendar:
+        lags = [line[known + day["step"] - k] for k in LAGS]
+        line.append(predict([float(day["day_of_week"]), float(day["month"]), float(day["day"]), *lags]))
+    return line[known:]
 
 
 def forecast(
-    nodes: DataFrame, daily: DataFrame, series: str = "country", horizon: int = HORIZON, offset: int = 0,
+    models: dict[str, RandomForestRegressionModel], daily: DataFrame, series: str = "country", horizon: int = HORIZON,
+    offset: int = 0,
 ) -> DataFrame:
     """(series, date, prediction, std, lower, upper) for ``horizon`` days.
 
     The first day is the last observed one (``offset=0``), whose lags are then a
     day late; ``offset=1`` starts on the day after. ``std`` is the population
-    deviation between the trees, each of which runs its own recursion.
+    deviation between the trees, each of which runs its own recursion. Each day
+    needs the one before, so the fitted models predict vector by vector; there
+    are as many series as countries and ``horizon`` days of each.
     """
     past = trailing_values(daily, series, "date", "pollution", max(LAGS)).where(F.size("trailing") == max(LAGS))
-    calendar = future_calendar(daily, series, "date", horizon, offset).join(past, series)
-    mean = _recursive(nodes, calendar, [series])
-    return with_band(mean, _recursive(nodes, calendar, [series, "tree"]), series)
+    calendar = future_calendar(daily, series, "date", horizon, offset).join(past, series).where(F.col(series).isin(list(models)))
+    days: dict[str, list] = {}
+    for row in calendar.orderBy(series, "step").collect():
+        days.setdefault(row[series], []).append(row)
+    mean, members = [], []
+    for name, ahead in days.items():
+        def run(model) -> list[float]:
+            return recursion(lambda x: float(model.predict(Vectors.dense(x))), ahead, ahead[0]["trailing"])
+
+        mean += [(name, day["date"], value) for day, value in zip(ahead, run(models[name]))]
+        for number, tree in enumerate(models[name].trees):
+            members += [(name, number, day["date"], value) for day, value in zip(ahead, run(tree))]
+    spark, kind = daily.sparkSession, daily.schema[series].dataType.simpleString()
+    return with_band(
+        spark.createDataFrame(mean, f"{series} {kind}, date date, prediction double"),
+        spark.createDataFrame(members, f"{series} {kind}, tree int, date date, prediction double"), series,
+    )
 
 
 def with_band(mean: DataFrame, members: DataFrame, series: str = "country") -> DataFrame:
@@ -203,11 +160,10 @@ def backtest_by_series(fitted: DataFrame, series: str = "country") -> DataFrame:
     )
 
 
-def forecast_job(spark: SparkSession, daily: DataFrame, path: str, trees: int = 100, seed: int = 42,
-                 horizon: int = HORIZON, offset: int = 0) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(features, in-sample fit, forecast) of a daily pollution table; forests are kept under ``path``."""
+def forecast_job(daily: DataFrame, trees: int = 100, seed: int = 42, horizon: int = HORIZON,
+                 offset: int = 0) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(features, in-sample fit, forecast) of a daily pollution table."""
     features = forecast_features(daily)
     models = fit_forests(features, trees=trees, seed=seed)
-    nodes = forest_nodes(spark, models, path)
     known = daily.where(F.col("country") != "INTERNATIONAL")
-    return features, in_sample_fit(models, features), forecast(nodes, known, horizon=horizon, offset=offset)
+    return features, in_sample_fit(models, features), forecast(models, known, horizon=horizon, offset=offset)

@@ -10,6 +10,7 @@ from tidewake.operators.lookups import category_of_type
 from tidewake.operators.temporal import first_per_key
 from tidewake.plans.destinations import profile_destinations
 
+# What stands for missing fields.
 FILL = {
     "destination": "Unknown", "sog": 0, "cog": 0, "navigational_status": "Unknown", "rate_of_turn": 0,
     "port_name": "Unknown", "country": "Unknown", "latitude_y": 0, "longitude_y": 0,

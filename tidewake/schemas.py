@@ -36,26 +36,17 @@ PORT_BANS = _struct(port_name=_TEXT, scrubber_status=_INT)
 NAV_STATUS = _struct(navigational_status_code=_INT, navigational_status=_TEXT)
 DAILY_POLLUTION = _struct(date=T.DateType(), country=_TEXT, pollution=_REAL)
 
+# The columns of the extract.
 EXTRACT_COLUMNS = [
     "imo_number", "name", "ship_type", "has_scrubber", "position_count", "avg_speed", "first_seen", "last_seen",
     "unique_destinations", "latitude", "longitude", "sog", "cog", "navigational_status_code",
     "timestamp_collected", "destination",
 ]
 
+# Messages as they are on the wire: every field as text, so that none can spoil the others.
+_FIELDS = T.MapType(_TEXT, _TEXT)
 MESSAGE = _struct(
-    MessageType=_TEXT,
-    MetaData=_struct(MMSI=_LONG, latitude=_REAL, longitude=_REAL, time_utc=_TEXT),
-    Message=_struct(
-        ShipStaticData=_struct(
-            ImoNumber=_LONG, Name=_TEXT, Type=_INT,
-            Dimension=_struct(A=_INT, B=_INT, C=_INT, D=_INT),
-            MaximumStaticDraught=_REAL, Destination=_TEXT,
-        ),
-        PositionReport=_struct(
-            Sog=_REAL, Cog=_REAL, NavigationalStatus=_INT, RateOfTurn=_REAL, TrueHeading=_INT,
-        ),
-    ),
-    _corrupt_record=_TEXT,
+    MessageType=_TEXT, MetaData=_FIELDS, Message=_struct(ShipStaticData=_FIELDS, PositionReport=_FIELDS),
 )
 
 # The 16 navigational status codes of the AIS standard.

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewake.functions.ais import parse_ais_timestamp, vessel_dimensions
+from tidewake.functions.geo import as_number
 from tidewake.operators.spatial import within_region
 from tidewake.schemas import MESSAGE
 
@@ -31,7 +32,11 @@ def read_kafka_messages(spark: SparkSession, servers: str, topic: str, streaming
     )
     if max_offsets:
         reader = reader.option("maxOffsetsPerTrigger", max_offsets)
-    order = F.unix_millis("timestamp") * 1_000_000 + F.col("offset") % 1_000_000
+    # Log time, partition and offset as one number: no two messages share it.
+    order = (
+        F.unix_millis("timestamp").cast("decimal(13,0)") * F.lit("1000000000000000000000000").cast("decimal(25,0)")
+        + F.col("partition").cast("decimal(5,0)") * F.lit("10000000000000000000").cast("decimal(20,0)") + F.col("offset")
+    ).cast("decimal(38,0)")
     return reader.load().select(F.col("value").cast("string").alias("raw"), order.alias("seq"))
 
 
@@ -39,43 +44,57 @@ def parse_messages(raw: DataFrame, column: str = "raw") -> DataFrame:
     """Flat fields of both message types beside the other columns, and ``reject``.
 
     ``reject`` says why a message cannot be used (malformed, no_type,
-    no_position, bad_time) or is NULL. Missing fields are NULL, a missing name
-    or destination of a ship message is 'Unknown'.
+    no_position, bad_time) or is NULL; malformed is only what is no JSON. Fields
+    are read as text first and then cast one by one, so a field of another type
+    costs at most itself. Missing fields are NULL, a missing name or destination
+    of a ship message is 'Unknown'.
     """
-    parsed = raw.withColumn(
-        "_m", F.from_json(column, MESSAGE, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"})
-    )
-    parsed = parsed.withColumn("_time", parse_ais_timestamp(F.col("_m.MetaData.time_utc")))
+    parsed = raw.withColumn("_m", F.from_json(column, MESSAGE))
     meta, static, report = F.col("_m.MetaData"), F.col("_m.Message.ShipStaticData"), F.col("_m.Message.PositionReport")
+    parsed = parsed.withColumn("_time", parse_ais_timestamp(meta["time_utc"]))
     is_static = F.col("_m.MessageType") == "ShipStaticData"
     is_report = F.col("_m.MessageType") == "PositionReport"
-    length, width = vessel_dimensions(static["Dimension"])
+    sides = F.from_json(static["Dimension"], "map<string,string>")
+    length, width = vessel_dimensions({side: number(sides[side]) for side in "ABCD"})
     ts = F.col("_time")
 
-    def text(value: Column) -> Column:
-        return F.when(is_static, F.coalesce(value, F.lit("Unknown")))
+    def text(name: str) -> Column:
+        # A field that is there but null stays null.
+        absent = ~F.coalesce(F.map_contains_key(static, name), F.lit(False))
+        return F.when(is_static, F.when(absent, F.lit("Unknown")).otherwise(static[name]))
 
     fields = {
-        "message_type": F.col("_m.MessageType"), "mmsi": meta["MMSI"],
-        "latitude": meta["latitude"], "longitude": meta["longitude"], "timestamp_ais": ts,
-        "raw_imo": F.when(is_static, static["ImoNumber"]), "name": text(static["Name"]),
-        "ship_type": F.when(is_static, static["Type"].cast("string")),
+        "message_type": F.col("_m.MessageType"), "mmsi": whole(meta["MMSI"]),
+        "latitude": number(meta["latitude"]), "longitude": number(meta["longitude"]), "timestamp_ais": ts,
+        "raw_imo": F.when(is_static, whole(static["ImoNumber"])), "name": text("Name"),
+        "ship_type": F.when(is_static, static["Type"]),
         "length": F.when(is_static, length), "width": F.when(is_static, width),
-        "max_draught": F.when(is_static, static["MaximumStaticDraught"]),
-        "destination": text(static["Destination"]),
-        "sog": F.when(is_report, report["Sog"]), "cog": F.when(is_report, report["Cog"]),
-        "navigational_status_code": F.when(is_report, report["NavigationalStatus"]),
-        "rate_of_turn": F.when(is_report, report["RateOfTurn"]),
-        "true_heading": F.when(is_report, report["TrueHeading"]),
+        "max_draught": F.when(is_static, number(static["MaximumStaticDraught"])),
+        "destination": text("Destination"),
+        "sog": F.when(is_report, number(report["Sog"])), "cog": F.when(is_report, number(report["Cog"])),
+        "navigational_status_code": F.when(is_report, whole(report["NavigationalStatus"]).try_cast("int")),
+        "rate_of_turn": F.when(is_report, number(report["RateOfTurn"])),
+        "true_heading": F.when(is_report, whole(report["TrueHeading"]).try_cast("int")),
     }
     reject = (
-        F.when(F.col("_m").isNull() | F.col("_m._corrupt_record").isNotNull(), "malformed")
+        F.when(F.col(column).isNull() | F.try_parse_json(F.col(column)).isNull(), "malformed")
         .when(F.col("_m.MessageType").isNull(), "no_type")
-        .when(meta["latitude"].isNull() | meta["longitude"].isNull(), "no_position")
-        .when(ts.isNull(), "bad_time")
+        .when(F.col("latitude").isNull() | F.col("longitude").isNull(), "no_position")
+        .when(F.col("timestamp_ais").isNull(), "bad_time")
     )
     kept = [c for c in raw.columns if c != column]
-    return parsed.select(*kept, column, *[v.alias(k) for k, v in fields.items()], reject.alias("reject"))
+    flat = parsed.select(*kept, column, "_m", *[v.alias(k) for k, v in fields.items()])
+    return flat.withColumn("reject", reject).drop("_m")
+
+
+def number(text: Column) -> Column:
+    """A field as a number, whichever JSON type it has; NULL if it is none."""
+    return as_number(text)
+
+
+def whole(text: Column) -> Column:
+    """A field as a whole number; fractions are rounded."""
+    return F.coalesce(text.try_cast("bigint"), F.round(as_number(text)).try_cast("bigint"))
 
 
 def route_messages(df: DataFrame, keep_unknown: bool = False) -> DataFrame:
@@ -108,3 +127,10 @@ def ingest(raw: DataFrame, rings: DataFrame, keep_unknown: bool = False, column:
     """Parse, test the region and route; the same for streams and tables. Raw text is kept only in quarantine."""
     routed = route_messages(within_region(parse_messages(raw, column), rings), keep_unknown)
     return routed.withColumn(column, F.when(F.col("route") == "quarantine", F.col(column)))
+
+
+def identified_statics(ingested: DataFrame) -> DataFrame:
+    """Ship messages with an identity inside the region, whether or not their time is legal."""
+    usable = F.col("reject").isNull() | (F.col("reject") == "bad_time")
+    named = (F.col("message_type") == "ShipStaticData") & F.col("raw_imo").isNotNull() & (F.col("raw_imo") != 0)
+    return ingested.where(usable & F.col("in_region") & named)

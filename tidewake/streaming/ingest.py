@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,9 +10,12 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tidewake.operators.lookups import enrich_positions, resolve_identity
-from tidewake.operators.maintain import correct_dimensions, upsert_ships
+from tidewake.operators.maintain import SHIP_FIRST, SHIP_LAST, correct_dimensions, first_dimensions, upsert_latest, upsert_ships
 from tidewake.operators.temporal import asof_latest_within
-from tidewake.sources.messages import ingest
+from tidewake.schemas import UNKNOWN_SHIPS
+from tidewake.session import materialize
+from tidewake.sources.messages import identified_statics, ingest
+from tidewake.streaming.versions import Changes
 
 DESTINATION_AGE_SECONDS = 5 * 3600
 COMMIT_PERIOD = "10 seconds"
@@ -40,14 +42,17 @@ def _append_log(statics: DataFrame, path: str, batch_id: int) -> None:
     writer.partitionBy("day", "batch_id").parquet(path)
 
 
-def _recent_log(statics: DataFrame, path: str, batch_id: int, since: datetime | None) -> DataFrame:
-    """Log rows up to this micro-batch that are not older than ``since``; older days are not read."""
+def _log_around(statics: DataFrame, path: str, batch_id: int, reports: DataFrame) -> DataFrame:
+    """Log rows up to this micro-batch, of the days and ships that its reports look back on."""
+    age = F.make_dt_interval(secs=F.lit(DESTINATION_AGE_SECONDS))
+    days = reports.where(F.col("timestamp_ais").isNotNull()).select(F.explode(
+        F.sequence(F.to_date(F.col("timestamp_ais") - age), F.to_date("timestamp_ais"))).alias("day")).distinct()
+    # Days of one micro-batch's reports.
+    wanted = [r["day"] for r in days.collect()]
     parts = [T.StructField("day", T.DateType()), T.StructField("batch_id", T.IntegerType())]
     schema = T.StructType([*statics.schema.fields, *parts])
-    log = statics.sparkSession.read.schema(schema).parquet(path).where(F.col("batch_id") <= batch_id)
-    if since is not None:
-        log = log.where((F.col("day") >= F.lit(since.date())) & (F.col("timestamp_ais") > F.lit(since).cast("timestamp_ntz")))
-    return log.select(*statics.columns)
+    log = statics.sparkSession.read.schema(schema).parquet(path).where((F.col("batch_id") <= batch_id) & F.col("day").isin(wanted))
+    return log.join(reports.select("imo_number").distinct(), "imo_number", "left_semi").select(*statics.columns)
 
 
 def start_routing(raw: DataFrame, rings: DataFrame, path: str, checkpoint: str, keep_unknown: bool = False,
@@ -63,95 +68,159 @@ def start_routing(raw: DataFrame, rings: DataFrame, path: str, checkpoint: str,
 
 
 def start_static_only(raw: DataFrame, rings: DataFrame, path: str, checkpoint: str, once: bool = True) -> StreamingQuery:
-    """Second stream over the same source that keeps only identified ship messages."""
-    statics = ingest(raw, rings).where(F.col("route") == "static").select(*STATIC_COLUMNS)
+    """Second stream over the same source that keeps only identified ship messages, also those without a legal time."""
+    statics = identified_statics(ingest(raw, rings)).select(*STATIC_COLUMNS)
     writer = statics.writeStream.format("parquet").option("path", path)
     return _trigger(writer.option("checkpointLocation", checkpoint).outputMode("append"), once).start()
 
 
-def commit_batch(path: str) -> Callable[[DataFrame, int], None]:
-    """Micro-batch commit: static log, ship master and looked-up positions under ``path``.
+def ship_changes(path: str, kinds: T.StructType) -> Changes:
+    """The ship master: first MMSI, last name, type and dimensions."""
+    schema = T.StructType([kinds[c] for c in ("imo_number", *SHIP_FIRST, *SHIP_LAST)])
+    return Changes(path, schema, lambda rows: upsert_latest(rows, "imo_number", SHIP_FIRST, SHIP_LAST, "batch_id"))
+
+
+def identity_changes(path: str, kinds: T.StructType) -> Changes:
+    """The newest identity of each MMSI, by the order of the messages."""
+    schema = T.StructType([kinds[c] for c in ("mmsi", "imo_number", "seq")])
+    return Changes(path, schema, newest_identity)
+
+
+def newest_identity(rows: DataFrame) -> DataFrame:
+    known = rows.where(F.col("mmsi").isNotNull() & (F.col("imo_number") != 0))
+    newest = F.max(F.struct("seq", "imo_number")).alias("_newest")
+    return known.groupBy("mmsi").agg(newest).select("mmsi", "_newest.imo_number", "_newest.seq")
+
+
+def identify(batch: DataFrame, batch_id: int, identities: Changes) -> DataFrame:
+    """Positions of a routed micro-batch with their identity; the batch's own identities are kept for later ones.
+
+    The newest ship message before the position counts, in this batch or any
+    earlier one, so results don't depend on where batches end.
+    """
+    statics = batch.where(F.col("route") == "static").select("seq", "mmsi", "imo_number")
+    identities.commit(newest_identity(statics), batch_id)
+    reports = batch.where(F.col("route") == "position").drop("imo_number")
+    return resolve_identity(reports, statics, identities.before(batch.sparkSession, batch_id))
+
+
+def commit_batch(path: str, keep_unknown: bool = False) -> Callable[[DataFrame, int], None]:
+    """Micro-batch commit: static log, ship master, identities and looked-up positions under ``path``.
 
     A position gets its identity from the newest ship message before it (by
-    ``seq``) in the batch, else from the ship master before the batch, and its
-    destination from the last ship message up to its own time in the log. Every
-    output folder carries the batch id and is overwritten when a batch is
-    repeated, so a restart leaves no duplicates. Each version of the ship master
-    (one row per ship) is built from the one before; older ones may be removed.
+    ``seq``) and its destination from the last ship message up to its own time
+    in the log. With ``keep_unknown`` what has no identity, ship messages and
+    positions alike, goes to ``unknown_ships``. Every output folder carries the
+    batch id and is overwritten when a batch is repeated, so a restart leaves
+    no duplicates.
     """
-    def folder(table: str, batch_id: int) -> str:
-        return f"{path.rstrip('/')}/{table}/batch_id={batch_id}"
+    base = path.rstrip("/")
 
-    log_path = f"{path.rstrip('/')}/static_log"
+    def folder(table: str, batch_id: int) -> str:
+        return f"{base}/{table}/batch_id={batch_id}"
 
     def commit(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
         batch = batch.persist()
         try:
             statics = batch.where(F.col("route") == "static").select(*STATIC_COLUMNS)
-            _append_log(statics, log_path, batch_id)
-            before = spark.read.parquet(folder("ships", batch_id - 1)) if batch_id else None
-            ships = upsert_ships(statics, before)
-            ships.write.mode("overwrite").parquet(folder("ships", batch_id))
-
-            stored = before if before is not None else ships.limit(0)
-            reports = batch.where(F.col("route") == "position").select(*REPORT_COLUMNS)
-            named = resolve_identity(reports, statics, stored)
-            oldest = reports.agg(F.min("timestamp_ais")).first()[0]
-            since = oldest and oldest - timedelta(seconds=DESTINATION_AGE_SECONDS)
-            fresh = _recent_log(statics, log_path, batch_id, since)
-            located = asof_latest_within(
-                named.where(F.col("imo_number").isNotNull()), fresh, "imo_number", "timestamp_ais", "seq",
-                "destination", DESTINATION_AGE_SECONDS,
-            ).withColumnRenamed("recent_destination", "destination")
+            _append_log(statics, f"{base}/static_log", batch_id)
+            ship_changes(f"{base}/ships", statics.schema).commit(upsert_ships(statics), batch_id)
+            named = materialize(identify(batch, batch_id, identity_changes(f"{base}/identities", statics.schema)), "named")
+            located = named.where(F.col("imo_number").isNotNull()).select(*REPORT_COLUMNS, "imo_number")
+            if located.isEmpty():
+                located = located.withColumn("destination", F.lit(None).cast("string"))
+            else:
+                fresh = _log_around(statics, f"{base}/static_log", batch_id, located)
+                located = asof_latest_within(
+                    located, fresh, "imo_number", "timestamp_ais", "seq", "destination", DESTINATION_AGE_SECONDS,
+                ).withColumnRenamed("recent_destination", "destination")
             located.write.mode("overwrite").parquet(folder("positions", batch_id))
-            unknown = named.where(F.col("imo_number").isNull()).withColumn("imo_number", F.lit(-1).cast("bigint"))
-            unknown.write.mode("overwrite").parquet(folder("unknown_positions", batch_id))
+            if keep_unknown:
+                lost = named.where(F.col("imo_number").isNull()).withColumn("imo_number", F.lit(-1).cast("bigint"))
+                nameless = batch.where(F.col("route") == "unknown")
+                columns = ["seq", *[c for c in UNKNOWN_SHIPS.fieldNames()]]
+                unknown = nameless.select(*columns).unionByName(lost.select(*columns))
+                unknown.write.mode("overwrite").parquet(folder("unknown_ships", batch_id))
         finally:
             batch.unpersist()
 
     return commit
 
 
-def start_collector(raw: DataFrame, rings: DataFrame, path: str, checkpoint: str, once: bool = True) -> StreamingQuery:
+def start_collector(raw: DataFrame, rings: DataFrame, path: str, checkpoint: str, once: bool = True,
+                    keep_unknown: bool = False) -> StreamingQuery:
     """The whole collector: routing, ship master, identity and destination lookups per micro-batch.
 
     ``raw`` needs a ``seq`` column that orders the messages.
     """
-    writer = ingest(raw, rings).writeStream.foreachBatch(commit_batch(path))
+    writer = ingest(raw, rings, keep_unknown).writeStream.foreachBatch(commit_batch(path, keep_unknown))
     return _trigger(writer.option("checkpointLocation", checkpoint), once).start()
 
 
-def minute_metrics(messages: DataFrame, ts: str = "ts", watermark: str = "6 hours") -> DataFrame:
-    """Per minute: messages collected and filtered, static, position, distinct vessels.
+def current_ships(spark: SparkSession, path: str, kinds: T.StructType) -> DataFrame:
+    """The collector's ship master after its last batch; ``kinds`` is the schema of its messages."""
+    return ship_changes(f"{path.rstrip('/')}/ships", kinds).current(spark)
 
-    Counts are first taken per (minute, vessel), then per minute: exact distinct
-    vessels, and no minute is counted by a single task. Messages later than the
-    watermark are left out.
-    """
+
+COUNTERS = ("collected", "filtered", "static_data", "position_data", "no_imo")
+
+
+def metric_parts(messages: DataFrame, ts: str = "ts") -> DataFrame:
+    """Counts per minute of arrival and vessel; such parts of any batches can be added up."""
     used = F.col("route").isin("static", "position", "no_imo", "unknown")
-    timed = messages.withColumn("_ts", F.col(ts).cast("timestamp")).withWatermark("_ts", watermark)
-    per_vessel = timed.groupBy(F.window("_ts", "1 minute").alias("w"), F.when(used & (F.col("mmsi") != 0), F.col("mmsi")).alias("vessel")).agg(
+    known = F.coalesce(F.col("imo_number") > 0, F.lit(False))
+    vessel = F.when(used & (F.col("mmsi") != 0), F.col("mmsi"))
+    return messages.groupBy(F.date_trunc("minute", ts).cast("timestamp_ntz").alias("minute"), vessel.alias("vessel")).agg(
         F.count_if(used).alias("collected"), F.count_if(F.col("route") == "outside").alias("filtered"),
         F.count_if(F.col("route") == "static").alias("static_data"),
-        F.count_if(F.col("route") == "position").alias("position_data"),
-    )
-    per_minute = per_vessel.groupBy(F.window(F.window_time("w"), "1 minute").alias("w")).agg(
-        *[F.sum(c).alias(c) for c in ("collected", "filtered", "static_data", "position_data")],
-        F.count("vessel").alias("unique_vessels"),
+        F.count_if((F.col("route") == "position") & known).alias("position_data"),
+        F.count_if(used & ~known).alias("no_imo"), F.coalesce(F.bool_or(used & known), F.lit(False)).alias("identified"),
     )
-    return per_minute.select(F.col("w.start").cast("timestamp_ntz").alias("minute"), *per_minute.columns[1:])
 
 
-def start_metrics(messages: DataFrame, path: str, checkpoint: str, ts: str = "ts", watermark: str = "6 hours",
-                  once: bool = True) -> StreamingQuery:
-    writer = minute_metrics(messages, ts, watermark).writeStream.format("parquet").option("path", path)
-    return _trigger(writer.option("checkpointLocation", checkpoint).outputMode("append"), once).start()
+def start_metrics(messages: DataFrame, path: str, checkpoint: str, ts: str = "ts", once: bool = True) -> StreamingQuery:
+    """Minute metrics of routed messages: every micro-batch writes its parts, nothing is waited for or left out.
+
+    Identities are kept beside them, so that positions count as the collector
+    counts them.
+    """
+    base = path.rstrip("/")
+
+    def commit(batch: DataFrame, batch_id: int) -> None:
+        batch = batch.persist()
+        try:
+            kinds = T.StructType([batch.schema[c] for c in ("mmsi", "imo_number", "seq")])
+            named = identify(batch, batch_id, identity_changes(f"{base}/identities", kinds))
+            rest = batch.where(~F.col("route").eqNullSafe("position"))
+            parts = metric_parts(rest.unionByName(named.select(*rest.columns)), ts)
+            parts.write.mode("overwrite").parquet(f"{base}/parts/batch_id={batch_id}")
+        finally:
+            batch.unpersist()
+
+    return _trigger(messages.writeStream.foreachBatch(commit).option("checkpointLocation", checkpoint), once).start()
 
 
-def running_totals(metrics: DataFrame) -> DataFrame:
-    """Totals over all minutes that the metrics stream has written."""
-    return metrics.agg(*[F.sum(c).alias(c) for c in ("collected", "filtered", "static_data", "position_data")])
+def minute_metrics(spark: SparkSession, path: str) -> DataFrame:
+    """Per minute: the counters, distinct vessels, those with an identity, and their share."""
+    parts = spark.read.parquet(f"{path.rstrip('/')}/parts")
+    per_vessel = parts.groupBy("minute", "vessel").agg(
+        *[F.sum(c).alias(c) for c in COUNTERS], F.bool_or("identified").alias("identified"))
+    per_minute = per_vessel.groupBy("minute").agg(
+        *[F.sum(c).alias(c) for c in COUNTERS], F.count("vessel").alias("unique_vessels"),
+        F.count_if(F.col("vessel").isNotNull() & F.col("identified")).alias("vessels_with_imo"),
+    )
+    return per_minute.withColumn("coverage", F.coalesce(F.try_divide("vessels_with_imo", "unique_vessels"), F.lit(0.0)))
+
+
+def running_totals(spark: SparkSession, path: str) -> DataFrame:
+    """One row: the counters, vessels and coverage over everything written so far."""
+    parts = spark.read.parquet(f"{path.rstrip('/')}/parts")
+    per_vessel = parts.groupBy("vessel").agg(*[F.sum(c).alias(c) for c in COUNTERS], F.bool_or("identified").alias("identified"))
+    totals = per_vessel.agg(
+        *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in COUNTERS], F.count("vessel").alias("unique_vessels"),
+        F.count_if(F.col("vessel").isNotNull() & F.col("identified")).alias("vessels_with_imo"),
+    )
+    return totals.withColumn("coverage", F.coalesce(F.try_divide("vessels_with_imo", "unique_vessels"), F.lit(0.0)))
 
 
 def start_enrichment(rows: DataFrame, lookup: DataFrame, path: str, checkpoint: str, once: bool = True,
@@ -165,14 +234,27 @@ def start_enrichment(rows: DataFrame, lookup: DataFrame, path: str, checkpoint:
     return _trigger(writer.option("checkpointLocation", checkpoint).outputMode("append"), once).start()
 
 
-def dimension_batch(path: str, ships: DataFrame) -> Callable[[DataFrame, int], None]:
-    """Correct ship dimensions per micro-batch; each batch writes the next version of the ship table."""
-    def version(n: int) -> str:
-        return f"{path.rstrip('/')}/batch_id={n}"
+def dimension_changes(path: str, kinds: T.StructType) -> Changes:
+    """Corrections made so far: the first one of each ship."""
+    fields = [T.StructField("imo_number", kinds["imo_number"].dataType), T.StructField("length", T.IntegerType()),
+              T.StructField("width", T.IntegerType()), T.StructField("timestamp_ais", T.TimestampNTZType()), T.StructField("seq", kinds["seq"].dataType)]
+    columns = [f.name for f in fields[1:]]
 
+    def first(rows: DataFrame) -> DataFrame:
+        picked = rows.groupBy("imo_number").agg(F.min_by(F.struct(*columns), "batch_id").alias("_first"))
+        return picked.select("imo_number", "_first.*")
+
+    return Changes(path, T.StructType(fields), first)
+
+
+def dimension_batch(path: str, ships: DataFrame) -> Callable[[DataFrame, int], None]:
+    """Corrections of a micro-batch: first dimensions of ships in ``ships`` that no batch has corrected yet."""
     def correct(batch: DataFrame, batch_id: int) -> None:
-        before = batch.sparkSession.read.parquet(version(batch_id - 1)) if batch_id else ships
-        correct_dimensions(before, batch).write.mode("overwrite").parquet(version(batch_id))
+        fixes = dimension_changes(path, batch.schema)
+        done = fixes.before(batch.sparkSession, batch_id).select("imo_number")
+        first = first_dimensions(batch).select("imo_number", "_fix.length", "_fix.width", F.col("_fix.at").alias("timestamp_ais"), F.col("_fix.order").alias("seq"))
+        known = ships.select("imo_number").distinct()
+        fixes.commit(first.join(done, "imo_number", "left_anti").join(known, "imo_number", "left_semi"), batch_id)
 
     return correct
 
@@ -180,12 +262,11 @@ def dimension_batch(path: str, ships: DataFrame) -> Callable[[DataFrame, int], N
 def start_dimension_fix(raw: DataFrame, rings: DataFrame, ships: DataFrame, path: str, checkpoint: str,
                         once: bool = True) -> StreamingQuery:
     """One-time correction of length and width from the static-only stream."""
-    statics = ingest(raw, rings).where(F.col("route") == "static").select(*STATIC_COLUMNS)
+    statics = identified_statics(ingest(raw, rings)).select(*STATIC_COLUMNS)
     writer = statics.writeStream.foreachBatch(dimension_batch(path, ships))
     return _trigger(writer.option("checkpointLocation", checkpoint), once).start()
 
 
-def last_version(spark: SparkSession, path: str) -> DataFrame:
-    """Newest version of a table that is kept as one folder per micro-batch."""
-    newest = spark.read.parquet(path).agg(F.max("batch_id")).first()[0]
-    return spark.read.parquet(f"{path.rstrip('/')}/batch_id={newest}")
+def corrected_ships(ships: DataFrame, path: str, kinds: T.StructType) -> DataFrame:
+    """``ships`` with all corrections made so far; ``kinds`` is the schema of the messages."""
+    return correct_dimensions(ships, dimension_changes(path, kinds).current(ships.sparkSession))

@@ -1,0 +1,61 @@
+"""Tables that streams keep as one folder of changes per micro-batch."""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+
+@dataclass(frozen=True)
+class Changes:
+    """A keyed table under ``path`` that grows by micro-batches.
+
+    A batch writes only the rows it changes, to a folder with its number, which
+    is overwritten when the batch is repeated. After every ``every`` batches the
+    merged table is written as well, so at most ``every`` folders of changes are
+    read at a time; folders older than the last merged table may be removed.
+    ``merge`` makes one row per key from rows with their ``batch_id``.
+    """
+
+    path: str
+    schema: T.StructType
+    merge: Callable[[DataFrame], DataFrame]
+    every: int = 50
+
+    def _folder(self, kind: str, batch_id: int) -> str:
+        return f"{self.path.rstrip('/')}/{kind}/batch_id={batch_id}"
+
+    def _read(self, spark: SparkSession, kind: str, batches: list[int]) -> DataFrame:
+        reader = spark.read.schema(T.StructType([*self.schema.fields, T.StructField("batch_id", T.IntegerType())]))
+        reader = reader.option("basePath", f"{self.path.rstrip('/')}/{kind}")
+        return reader.parquet(*[self._folder(kind, n) for n in batches])
+
+    def before(self, spark: SparkSession, batch_id: int) -> DataFrame:
+        """The table as it was before a batch."""
+        merged = (batch_id - 1) // self.every * self.every
+        parts = [self._read(spark, "merged", [merged])] if merged >= self.every else []
+        later = list(range(merged + 1 if parts else 0, batch_id))
+        if later:
+            parts.append(self._read(spark, "changes", later))
+        if not parts:
+            return spark.createDataFrame([], self.schema)
+        rows = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+        return self.merge(rows).select(*self.schema.fieldNames())
+
+    def commit(self, changed: DataFrame, batch_id: int) -> None:
+        changed.select(*self.schema.fieldNames()).write.mode("overwrite").parquet(self._folder("changes", batch_id))
+        if batch_id and batch_id % self.every == 0:
+            spark = changed.sparkSession
+            earlier = self.before(spark, batch_id).withColumn("batch_id", F.lit(batch_id - 1))
+            rows = earlier.unionByName(self._read(spark, "changes", [batch_id]))
+            self.merge(rows).select(*self.schema.fieldNames()).write.mode("overwrite").parquet(self._folder("merged", batch_id))
+
+    def current(self, spark: SparkSession) -> DataFrame:
+        """The table after the last batch; only folder names are read to find it."""
+        schema = T.StructType([*self.schema.fields, T.StructField("batch_id", T.IntegerType())])
+        last = spark.read.schema(schema).parquet(f"{self.path.rstrip('/')}/changes").agg(F.max("batch_id")).first()[0]
+        return self.before(spark, 0 if last is None else last + 1)
