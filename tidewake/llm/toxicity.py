@@ -26,7 +26,7 @@ from tidewake.session import materialize
 
 BUCKETS = 1 << 20
 GRAM = 4
-SLICE = 1 << 20
+SLICE = 1 << 19
 
 # Names that may be swapped for each other within a line.
 IDENTITY_TERMS = (
@@ -71,28 +71,23 @@ def _bucket(mixed: np.ndarray) -> np.ndarray:
     return ((mixed ^ (mixed >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9) >> np.uint64(44)).astype(np.int64)
 
 
-def counterfactuals(text: str, terms=IDENTITY_TERMS) -> list[tuple[str, str]]:
-    """Sentences of a text that name a group, each with the sentence after one swap."""
+def swaps(text: str, terms=IDENTITY_TERMS) -> list[tuple[str, str]]:
+    """(name, what it may be swapped for) for every name of a group in the text's sentences."""
     line_of = {t: [o for o in line if o != t] for line in terms for t in line}
-    out = []
-    for sentence in re.split(r"[.!?\n]+", text.lower()):
-        words = re.findall(r"\w+|\W+", sentence)
-        for i, w in enumerate(words):
-            for other in line_of.get(w, ()):
-                out.append((sentence, "".join(words[:i] + [other] + words[i + 1:])))
-    return out
+    return [(w, other) for w in re.findall(r"\w+", text.lower()) if w in line_of for other in line_of[w]]
 
 
 def _swap_changes(texts: list[str], table: np.ndarray, terms) -> list[list[int]]:
-    """For each swap in the texts the features it adds (positive) and takes away (negative), buckets from 1."""
-    pairs = [p for t in texts for p in counterfactuals(t, terms)]
-    if not pairs:
-        return []
-    of, bucket = features([s for p in pairs for s in p], table)
+    """For each swap in the texts the features it adds (positive) and takes away (negative), buckets from 1.
+
+    A swap changes the features of the name alone; it counts once per text.
+    """
     changes = []
-    for i in range(len(pairs)):
-        had, has = set(bucket[of == 2 * i].tolist()), set(bucket[of == 2 * i + 1].tolist())
-        changes.append([b + 1 for b in sorted(has - had)] + [-b - 1 for b in sorted(had - has)])
+    for text in texts:
+        for name, other in sorted(set(swaps(text, terms))):
+            of, bucket = features([name, other], table)
+            had, has = set(bucket[of == 0].tolist()), set(bucket[of == 1].tolist())
+            changes.append([b + 1 for b in sorted(has - had)] + [-b - 1 for b in sorted(had - has)])
     return changes
 
 
@@ -107,19 +102,28 @@ def fit_logistic(
     ridge, and the mean squared score change over all swaps.
     """
     toxic = labels == 1
-    flat, sizes = np.concatenate(rows) if rows else np.empty(0, np.int64), np.array([len(r) for r in rows])
-    of = np.repeat(np.arange(len(rows)), sizes)
-    n1 = np.bincount(flat[toxic[of]], minlength=2 * BUCKETS).astype(float)
-    n0 = np.bincount(flat[~toxic[of]], minlength=2 * BUCKETS).astype(float)
+
+    def blocks():
+        """(row, bucket) of a thousand rows at a time."""
+        for i in range(0, len(rows), 1000):
+            part = rows[i:i + 1000]
+            yield np.repeat(np.arange(i, i + len(part), dtype=np.int32), [len(x) for x in part]), np.concatenate(part)
+
+    counts = np.zeros((2, 2 * BUCKETS), np.int32)
+    for of, flat in blocks():
+        for label in (0, 1):
+            counts[label] += np.bincount(flat[toxic[of] == label], minlength=2 * BUCKETS).astype(np.int32)
     big1, big0 = max(toxic.sum(), 1), max((~toxic).sum(), 1)
+    often = np.flatnonzero(counts.sum(axis=0) >= min_rows)
+    n0, n1 = counts[:, often].astype(float)
     odds = np.log((n1 + 0.5) / (big1 + 1)) - np.log((n0 + 0.5) / (big0 + 1))
-    sure = np.where(n1 + n0 >= min_rows, np.abs(odds) / np.sqrt(1 / (n1 + 0.5) + 1 / (n0 + 0.5)), 0)
-    chosen = np.sort(np.argsort(-sure, kind="stable")[:most])
-    chosen = chosen[sure[chosen] > 3]
-    column = np.full(2 * BUCKETS, -1)
+    sure = np.abs(odds) / np.sqrt(1 / (n1 + 0.5) + 1 / (n0 + 0.5))
+    best = np.argsort(-sure, kind="stable")[:most]
+    chosen = np.sort(often[best[sure[best] > 3]])
+    column = np.full(2 * BUCKETS, -1, np.int32)
     column[chosen] = np.arange(len(chosen))
-    use = column[flat] >= 0
-    r, c = of[use], column[flat[use]]
+    held = [(of[use], column[flat[use]]) for of, flat in blocks() for use in [column[flat] >= 0]]
+    r, c = (np.concatenate([x[k] for x in held]) if held else np.empty(0, np.int32) for k in (0, 1))
     pairs = [(i, column[abs(b) - 1], np.sign(b)) for i, change in enumerate(changes) for b in change if column[abs(b) - 1] >= 0]
     pi, pc, ps = (np.array(x) for x in zip(*pairs)) if pairs else (np.empty(0, int),) * 3
     n, n_swaps, y = max(len(rows), 1), max(len(changes), 1), toxic.astype(float)
