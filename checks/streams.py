@@ -12,7 +12,7 @@ from tidewake.operators import temporal
 from tidewake.plans import forecast as fc
 from tidewake.plans.pollution import daily_pollution
 from tidewake.session import shared_dir
-from tidewake.sources.messages import ingest
+from tidewake.sources.messages import ingest, read_messages
 from tidewake.streaming import ingest as jobs
 
 
@@ -60,6 +60,15 @@ def _(fx):
     return fx.spark.read.parquet(path).select("seq", "imo_number", "mmsi", "name", "length", "width", "timestamp_ais")
 
 
+@query("stream_text_routes", given("routed") + "SELECT route, count(*) AS n FROM routed GROUP BY route")
+def _(fx):
+    """Messages landed as text files, one per line."""
+    path = shared_dir(fx.spark, "landed")
+    fx.messages.select("raw").write.text(path)
+    finish(jobs.start_routing(read_messages(fx.spark, path, max_files=2), region(fx), path + "-routed", path + "-checkpoint"))
+    return fx.spark.read.parquet(path + "-routed").groupBy("route").agg(F.count(F.lit(1)).alias("n"))
+
+
 def collected(fx, keep_unknown=False) -> str:
     path = shared_dir(fx.spark, "collector")
     finish(jobs.start_collector(raw_messages(fx), region(fx), path, path + "-checkpoint", keep_unknown=keep_unknown))

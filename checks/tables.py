@@ -8,15 +8,16 @@ from checks.rows import extract, land, messages, region, stored_extract, stored_
 from checks.views import ALLOWED, ISO_ALLOWED, cleaned, given, in_region, polluted, ts
 from tidewake import schemas
 from tidewake.operators import aggregate, lookups, maintain, temporal
-from tidewake.operators.spatial import keep_region
+from tidewake.operators.spatial import keep_region, within_region
 from tidewake.plans import extract as extract_plan
 from tidewake.plans import pollution as pollution_plan
 from tidewake.plans import profile
 from tidewake.plans.destinations import normalize_destinations
-from tidewake.plans.report import destination_report, movement_report
+from tidewake.plans.report import destination_report, latest_positions, movement_report
 from tidewake.session import shared_dir
 from tidewake.sources import files, tables
 from tidewake.sources.messages import identified_statics
+from tidewake.sources.regions import read_rings
 
 ISO = pollution_plan.ISO_COUNTRY_RULES
 
@@ -321,6 +322,14 @@ def _(fx):
     return temporal.oldest_unprocessed(fx.ships, pending, ["imo_number"], 25).select("imo_number", "ship_type")
 
 
+@query("work_queue_distinct", given("fx_ships") + """
+SELECT DISTINCT ON (length) imo_number, length FROM fx_ships WHERE ship_type IS NULL OR trim(ship_type) = '' ORDER BY length, imo_number LIMIT 10""")
+def _(fx):
+    pending = F.col("ship_type").isNull() | (F.trim("ship_type") == "")
+    waiting = fx.ships.where("imo_number IS NOT NULL")
+    return temporal.oldest_unprocessed(waiting, pending, ["length", "imo_number"], 10, distinct=["length"]).select("imo_number", "length")
+
+
 @query("work_queue_positions", given("fx_positions") + """
 SELECT id, imo_number FROM fx_positions WHERE navigational_status_code IS NULL ORDER BY timestamp_ais, id LIMIT 50""")
 def _(fx):
@@ -399,11 +408,17 @@ def _(fx):
     return rounded(aggregate.global_stats(fx.positions), avg_speed=10)
 
 
+POSITION_COLUMNS = (
+    "id", "imo_number", "mmsi", "timestamp_collected", "timestamp_ais", "latitude", "longitude", "destination", "sog", "cog",
+    "navigational_status_code", "true_heading",
+)
+
+
 @query("null_census", given("fx_positions") + " UNION ALL ".join(
     f"SELECT '{c}' AS column_name, count(*) FILTER (WHERE {c} IS NULL) AS nulls FROM fx_positions"
-    for c in ("id", "imo_number", "latitude", "destination", "navigational_status_code")))
+    for c in POSITION_COLUMNS))
 def _(fx):
-    return aggregate.null_census(fx.positions.select("id", "imo_number", "latitude", "destination", "navigational_status_code"))
+    return aggregate.null_census(fx.positions)
 
 
 @query("status_distribution", BANNED + "SELECT scrubber_status, count(*) AS n FROM banned GROUP BY scrubber_status")
@@ -411,12 +426,15 @@ def _(fx):
     return aggregate.code_distribution(destination_bans(fx), "scrubber_status")
 
 
-@query("unprocessed_counts", given("fx_ships", "fx_ship_type_codes") + """
-SELECT count(*) AS total_records, count(*) FILTER (WHERE t.type_code IS NOT NULL AND t.remark IS NULL) AS unprocessed_records FROM fx_ships s
+@query("unprocessed_counts", given("fx_ships", "fx_ship_type_codes", "fx_positions") + """
+SELECT 'positions' AS kind, count(*) AS total_records, count(*) FILTER (WHERE id % 3 <> 0) AS unprocessed_records FROM fx_positions
+UNION ALL SELECT 'ships', count(*) AS total_records, count(*) FILTER (WHERE t.type_code IS NOT NULL AND t.remark IS NULL) AS unprocessed_records FROM fx_ships s
 LEFT JOIN fx_ship_type_codes t ON t.type_code = CAST(trunc(TRY_CAST(trim(s.ship_type) AS DOUBLE)) AS INTEGER)""")
 def _(fx):
     enriched = lookups.enrich_ships(fx.ships, fx.ship_type_codes)
-    return aggregate.unprocessed_counts(enriched, ["type_name", "type_remark"])
+    partly = fx.positions.withColumn("navigational_status", F.when(F.col("id") % 3 == 0, "done"))
+    ships = aggregate.unprocessed_counts(enriched, ["type_name", "type_remark"]).withColumn("kind", F.lit("ships"))
+    return ships.unionByName(aggregate.unprocessed_counts(partly, ["navigational_status"]).withColumn("kind", F.lit("positions")))
 
 
 @query("retention_audit", given("fx_positions") + f"""
@@ -470,8 +488,8 @@ flows AS (SELECT l.leg, l.ship_type, l.destination, tt.rk AS s, td.rk AS t, coun
 """
 
 
-def flows(fx):
-    return aggregate.flow_unique_ships(normalize_destinations(extract(fx)), True)
+def flows(fx, flag=True):
+    return aggregate.flow_unique_ships(normalize_destinations(extract(fx)), flag)
 
 
 @query("flow_unique_ships", FLOWS + "SELECT leg, ship_type, destination, value FROM flows")
@@ -484,6 +502,12 @@ def _(fx):
     return aggregate.flow_links(*flows(fx))[1]
 
 
+@query("flow_links_without_scrubber", FLOWS.replace("FROM next WHERE has_scrubber", "FROM next WHERE NOT has_scrubber") + """
+SELECT s AS source, t + (SELECT count(*) FROM tt) AS target, value, leg FROM flows""")
+def _(fx):
+    return aggregate.flow_links(*flows(fx, False))[1]
+
+
 @query("flow_nodes", FLOWS + """
 SELECT rk AS node, upper(ship_type) AS label FROM tt UNION ALL SELECT rk + (SELECT count(*) FROM tt), destination FROM td""")
 def _(fx):
@@ -518,6 +542,24 @@ def _(fx):
     return aggregate.profile_flows(kept)
 
 
+@query("profile_flow_links", PROFILE + """
+, flagged AS (SELECT o.*, s.imo_number % 3 = 0 AS has_scrubber FROM one o JOIN fx_ships s ON s.imo_number = o.imo_number),
+kept AS (SELECT * FROM flagged WHERE destination IS DISTINCT FROM 'FISHING' AND ship_type IS DISTINCT FROM 'Other'),
+tt AS (SELECT has_scrubber, ship_type, row_number() OVER (PARTITION BY has_scrubber ORDER BY count(*) DESC, ship_type) - 1 AS rk FROM kept WHERE ship_type IS NOT NULL GROUP BY has_scrubber, ship_type QUALIFY rk < 5),
+td AS (SELECT has_scrubber, destination, row_number() OVER (PARTITION BY has_scrubber ORDER BY count(*) DESC, destination) - 1 AS rk FROM kept WHERE destination IS NOT NULL GROUP BY has_scrubber, destination QUALIFY rk < 5)
+SELECT k.has_scrubber, tt.rk AS source, td.rk + (SELECT count(*) FROM tt x WHERE x.has_scrubber = k.has_scrubber) AS target, count(*) AS value FROM kept k
+JOIN tt ON tt.ship_type = k.ship_type AND tt.has_scrubber = k.has_scrubber JOIN td ON td.destination = k.destination AND td.has_scrubber = k.has_scrubber GROUP BY ALL""")
+def _(fx):
+    kept = lookups.exclude_rows(one_per_ship(fx), {"destination": "FISHING", "ship_type": "Other"})
+    flagged = kept.withColumn("has_scrubber", F.col("imo_number") % 3 == 0)
+
+    def links(flag):
+        tables_ = aggregate.profile_flow_tables(flagged.where(F.col("has_scrubber") == flag))
+        return aggregate.flow_links(*tables_)[1].select(F.lit(flag).alias("has_scrubber"), "source", "target", "value")
+
+    return links(True).unionByName(links(False))
+
+
 @query("stratified_sample", given("ext") + """
 , hashed AS (SELECT id, ship_type, row_number() OVER (PARTITION BY ship_type ORDER BY md5(concat('42:', CAST(id AS VARCHAR))), id) AS rn,
  count(*) OVER (PARTITION BY ship_type) AS n FROM ext WHERE ship_type IN ('70', '80.0'))
@@ -667,3 +709,100 @@ def _(fx):
     name = "tidewake_" + path.rsplit("-", 1)[1]
     tables.save_table(lookups.merge_with_suffix(fx.scrubbers, fx.ships.select("imo_number", "name"), "imo_number"), name, path=path)
     return fx.spark.read.table(name)
+
+
+@query("latest_positions", given("ext") + """
+SELECT imo_number, bool_or(has_scrubber) AS has_scrubber, arg_max(latitude, (timestamp_collected, id)) FILTER (WHERE latitude IS NOT NULL) AS latitude,
+ arg_max(longitude, (timestamp_collected, id)) FILTER (WHERE longitude IS NOT NULL) AS longitude FROM ext GROUP BY imo_number""")
+def _(fx):
+    with_flag, without = latest_positions(extract(fx))
+    columns = ["imo_number", "has_scrubber", "latitude", "longitude"]
+    return with_flag.select(*columns).unionByName(without.select(*columns))
+
+
+@query("table_preview", given("fx_ships") + "SELECT count(*) AS total, least(count(*), 5) AS shown FROM fx_ships")
+def _(fx):
+    path = shared_dir(fx.spark, "ships_table")
+    name = "tidewake_" + path.rsplit("-", 1)[1]
+    tables.save_table(fx.ships, name, path=path)
+    total, preview = tables.verify_table(fx.spark, name, 5)
+    return preview.agg(F.lit(total).cast("bigint").alias("total"), F.count(F.lit(1)).alias("shown"))
+
+
+@query("region_from_geojson", given("fx_positions") + f"SELECT id, {in_region('latitude', 'longitude')} AS in_region FROM fx_positions")
+def _(fx):
+    """The region written as a GeoJSON file and read back."""
+    corner = F.sort_array(F.collect_list(F.struct("seq", "lon", "lat")))
+    ring = F.transform(corner, lambda p: F.array(p["lon"], p["lat"]))
+    shapes = fx.region.groupBy("region_id").agg(F.array(ring).alias("coordinates")).select(
+        F.struct(F.struct(F.lit("Polygon").alias("type"), "coordinates").alias("geometry")).alias("feature"))
+    file = shapes.agg(F.to_json(F.struct(F.lit("FeatureCollection").alias("type"), F.collect_list("feature").alias("features"))).alias("value"))
+    path = shared_dir(fx.spark, "geojson")
+    file.coalesce(1).write.text(path)
+    return within_region(fx.positions, read_rings(fx.spark, path)).select("id", "in_region")
+
+
+def reference_folder(fx):
+    """Reference tables as CSV, with reordered and upper-case headers."""
+    path = shared_dir(fx.spark, "reference")
+    files.write_csv(fx.ship_type_codes.select("remark", "type", "type_code"), path + "/ship_type_codes.csv")
+    ports = fx.ports.select("country", "port_name", "latitude", "longitude", "port_id")
+    files.write_csv(ports.toDF(*[c.upper() for c in ports.columns]), path + "/ports.csv")
+    files.write_csv(fx.port_bans, path + "/port_bans.csv")
+    return path
+
+
+@query("reference_tables", given("fx_ports", "fx_port_bans") + """
+SELECT p.port_id, p.port_name, p.country, p.latitude, coalesce(b.scrubber_status, 0) AS scrubber_status FROM fx_ports p LEFT JOIN fx_port_bans b ON b.port_name = p.port_name""")
+def _(fx):
+    path = reference_folder(fx)
+    prefix = "tidewake_" + path.rsplit("-", 1)[1] + "_"
+    tables.load_reference_tables(fx.spark, path, "update", prefix, path + "/tables")
+    return fx.spark.read.table(prefix + "ports").select("port_id", "port_name", "country", "latitude", "scrubber_status")
+
+
+@query("reference_tables_audit", given("fx_ship_type_codes") + """
+SELECT 'nulls' AS kind, 'type_code' AS name, 0 AS n UNION ALL SELECT 'nulls', 'type', 0 UNION ALL SELECT 'nulls', 'remark', count(*) FILTER (WHERE remark IS NULL) FROM fx_ship_type_codes
+UNION ALL SELECT 'type_code', CAST(type_code AS VARCHAR), count(*) FROM fx_ship_type_codes GROUP BY type_code""")
+def _(fx):
+    read = files.read_reference_csv(fx.spark, reference_folder(fx) + "/ship_type_codes.csv", schemas.SHIP_TYPE_CODES)
+    return tables.load_audit(read, "type_code")
+
+
+@query("load_if_absent", given("fx_ships") + "SELECT imo_number, 'recreated' AS made FROM fx_ships WHERE length > 100 UNION ALL SELECT imo_number, 'kept' FROM fx_ships")
+def _(fx):
+    def loaded(second_mode, label):
+        path = shared_dir(fx.spark, "loaded")
+        name = "tidewake_" + path.rsplit("-", 1)[1]
+        tables.load_if_absent(fx.spark, name, lambda: fx.ships.select("imo_number"), path=path)
+        tables.load_if_absent(fx.spark, name, lambda: fx.ships.where("length > 100").select("imo_number"), second_mode, path)
+        return fx.spark.read.table(name).withColumn("made", F.lit(label))
+
+    return loaded("update", "kept").unionByName(loaded("recreate", "recreated"))
+
+
+@query("exported_tables", given("fx_ships") + "SELECT imo_number, name, length FROM fx_ships WHERE length > 100")
+def _(fx):
+    """A table of a database of its own, exported with all others there and read back."""
+    path, before = shared_dir(fx.spark, "exported"), fx.spark.catalog.currentDatabase()
+    name = "tidewake_" + path.rsplit("-", 1)[1]
+    fx.spark.sql(f"CREATE DATABASE {name} LOCATION '{path}/database'")
+    try:
+        fx.spark.catalog.setCurrentDatabase(name)
+        tables.save_table(fx.ships.where("length > 100").select("imo_number", "name", "length"), "ships")
+        tables.export_all_tables(fx.spark, f"{path}/files")
+    finally:
+        fx.spark.catalog.setCurrentDatabase(before)
+    kinds = T.StructType([f for f in schemas.SHIPS.fields if f.name in ("imo_number", "name", "length")])
+    return files.read_reference_csv(fx.spark, f"{path}/files/ships", kinds).select("imo_number", "name", "length")
+
+
+@query("port_coordinates", given("fx_ports") + """
+SELECT upper(port_name) AS port_name, arg_max(latitude, port_id) AS latitude, upper(arg_max(country, port_id)) AS country FROM
+ (SELECT port_id, port_name, country, latitude FROM fx_ports UNION ALL SELECT port_id + 100, lower(port_name), lower(country), latitude + 1 FROM fx_ports WHERE port_id % 2 = 0)
+GROUP BY upper(port_name)""")
+def _(fx):
+    again = fx.ports.where("port_id % 2 = 0").select(
+        (F.col("port_id") + 100).alias("port_id"), F.lower("port_name").alias("port_name"), F.lower("country").alias("country"),
+        (F.col("latitude") + 1).alias("latitude"), "longitude")
+    return tables.port_coordinates(fx.ports.unionByName(again)).select("port_name", "latitude", "country")

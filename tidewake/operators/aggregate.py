@@ -105,9 +105,13 @@ def flow_rows(df: DataFrame, top_n: int = 5) -> DataFrame:
     the (flag, type, destination) combinations; rankings and flows come from
     that small cube, which is stored.
     """
-    cube = materialize(
+    return flows_of_cube(materialize(
         df.groupBy("has_scrubber", "ship_type", "destination").agg(F.count(F.lit(1)).alias("n")), "flow_cube"
-    )
+    ), top_n)
+
+
+def flows_of_cube(cube: DataFrame, top_n: int = 5) -> DataFrame:
+    """The same from counts ``n`` per flag, type and destination."""
     return (
         cube.where(F.col("has_scrubber").isNotNull())
         .join(F.broadcast(_top(cube, "ship_type", top_n)), "ship_type", "left_semi")
@@ -162,12 +166,15 @@ def flow_links(flows: DataFrame, types: DataFrame, destinations: DataFrame) -> t
 
 def profile_flows(df: DataFrame, top_n: int = 5) -> DataFrame:
     """Row counts between the most frequent types and destinations of one group of ships."""
+    return profile_flow_tables(df, top_n)[0].select("ship_type", "destination", "value")
+
+
+def profile_flow_tables(df: DataFrame, top_n: int = 5) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(flows, ranked types, ranked destinations) by rows, ready for :func:`flow_links`."""
     cube = materialize(df.groupBy("ship_type", "destination").agg(F.count(F.lit(1)).alias("n")), "flow_cube")
-    return (
-        cube.join(F.broadcast(_top(cube, "ship_type", top_n)), "ship_type", "left_semi")
-        .join(F.broadcast(_top(cube, "destination", top_n)), "destination", "left_semi")
-        .select("ship_type", "destination", F.col("n").alias("value"))
-    )
+    types, destinations = _top(cube, "ship_type", top_n), _top(cube, "destination", top_n)
+    flows = cube.join(F.broadcast(types), "ship_type").join(F.broadcast(destinations), "destination")
+    return flows.withColumnsRenamed({"n": "value"}).withColumn("leg", F.lit("profile")), types, destinations
 
 
 # -------------------------------------------------------------------- sampling

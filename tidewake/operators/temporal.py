@@ -158,9 +158,12 @@ def future_calendar(df: DataFrame, series: str, date: str, horizon: int = 31, of
     )
 
 
-def oldest_unprocessed(df: DataFrame, pending, order: list[str], n: int) -> DataFrame:
-    """Work queue: the first ``n`` rows that still await processing."""
-    return df.where(pending).orderBy(*order).limit(n)
+def oldest_unprocessed(df: DataFrame, pending, order: list[str], n: int, distinct: list[str] | None = None) -> DataFrame:
+    """Work queue: the first ``n`` rows that still await processing, one for each value of ``distinct``."""
+    waiting = df.where(pending)
+    if distinct:
+        waiting = first_per_key(waiting, distinct, [*order, *[c for c in df.columns if c not in order]])
+    return waiting.orderBy(*order).limit(n)
 
 
 def recent(df: DataFrame, ts: str, as_of, days: int) -> DataFrame:

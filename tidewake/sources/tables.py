@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewake import schemas
+from tidewake.operators.aggregate import code_distribution, null_census
 from tidewake.operators.lookups import lookup_with_default
 from tidewake.sources.files import read_reference_csv, write_csv
 
@@ -78,6 +79,21 @@ def ports_with_scrubber_status(ports: DataFrame, bans: DataFrame) -> DataFrame:
     return lookup_with_default(ports, F.col("port_name"), bans, "port_name", {"scrubber_status": 0})
 
 
+def port_coordinates(ports: DataFrame, order: str = "port_id") -> DataFrame:
+    """One row per upper-case port name with upper-case country; of equal names the last one (by ``order``) counts."""
+    named = ports.where(F.col("port_name").isNotNull()).withColumns({"port_name": F.upper("port_name"), "country": F.upper("country")})
+    rest = [c for c in ports.columns if c != "port_name"]
+    last = named.groupBy("port_name").agg(F.max_by(F.struct(*rest), order).alias("_last"))
+    return last.select(*["port_name" if c == "port_name" else F.col("_last")[c].alias(c) for c in ports.columns])
+
+
+def load_audit(df: DataFrame, code: str) -> DataFrame:
+    """What loading a reference table reports: NULLs per column and rows per value of ``code``."""
+    nulls = null_census(df).select(F.lit("nulls").alias("kind"), F.col("column_name").alias("name"), F.col("nulls").alias("n"))
+    codes = code_distribution(df, code).select(F.lit(code).alias("kind"), F.col(code).cast("string").alias("name"), "n")
+    return nulls.unionByName(codes)
+
+
 def load_reference_tables(spark: SparkSession, directory: str, mode: str = "update", prefix: str = "",
                           path: str | None = None) -> list[str]:
     """Load ship types, ports with their ban status, and navigational statuses as catalog tables.
