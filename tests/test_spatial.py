@@ -7,6 +7,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from tidewake.functions import geo
 from tidewake.functions.geo import EARTH_RADIUS_NM
 from tidewake.operators.spatial import any_site_within, is_inland, keep_region, nearest_site, within_region
 from tidewake.plans.pollution import PortRule, CountryRule, discharge_allowed
@@ -138,3 +139,36 @@ def test_discharge_rules(spark, rings):
     )
     rows = discharge_allowed(df, ports, rules, countries, rings).orderBy("id").collect()
     assert [r["discharge_allowed"] for r in rows] == [c[3] for c in cases]
+
+
+@pytest.mark.parametrize("unrolled", [0, 48])
+@pytest.mark.parametrize("nm", [3, 12])
+def test_border_of_a_radius(spark, unrolled, nm):
+    """The haversine decides, for any number of sites: at the distance itself a point is within, below it not."""
+    sites = spark.createDataFrame([(1, "X", 52.0, 4.0), (2, "X", None, 4.0), (3, "X", 40.0, 4.0)], "port_id int, country string, latitude double, longitude double")
+    points = spark.range(40).select("id", (52.0 + nm / 60 + (F.col("id") - 20) * 1e-9).alias("latitude"), F.lit(4.0).alias("longitude"))
+    away = geo.haversine_nm(F.col("latitude"), F.col("longitude"), F.lit(52.0), F.lit(4.0))
+    rows = any_site_within(points, sites, nm, "near", max_unrolled=unrolled).withColumn("inside", away <= nm).collect()
+    assert all(r["near"] == r["inside"] for r in rows) and len(rows) == 40
+    exact = points.select(away).first()[0]
+    at = any_site_within(points.where("id = 0"), sites, exact, "near", max_unrolled=unrolled).first()
+    assert at["near"]
+
+
+def test_many_sites_in_one_place(spark):
+    """5,000 sites within a few miles: every point still finds its own nearest one."""
+    rng = random.Random(8)
+    sites = [(i, "X", 52 + rng.random() * 0.2, 4 + rng.random() * 0.2) for i in range(5000)]
+    points = [(i, 52 + rng.random() * 0.2, 4 + rng.random() * 0.2) for i in range(60)]
+    found = nearest_site(
+        spark.createDataFrame(points, "id int, latitude double, longitude double"),
+        spark.createDataFrame(sites, "port_id int, country string, latitude double, longitude double"),
+    ).collect()
+    for r in found:
+        def away(s):
+            a, b = math.radians(r["latitude"]), math.radians(s[2])
+            h = math.sin((b - a) / 2) ** 2 + math.cos(a) * math.cos(b) * math.sin(math.radians(s[3] - r["longitude"]) / 2) ** 2
+            return math.asin(math.sqrt(h))
+
+        best = min(sites, key=away)
+        assert r["nearest_port_id"] == best[0] or math.isclose(away(best), away(sites[r["nearest_port_id"]]), rel_tol=1e-9)

@@ -1,5 +1,7 @@
 """Streams in several micro-batches against the batch operators."""
 
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -206,3 +208,15 @@ def test_upsert_keeps_first_mmsi_and_lets_nulls_overwrite(spark):
         "seq long, imo_number long, mmsi long, name string, ship_type string, length int, width int, max_draught double",
     )
     assert tuple(upsert_ships(log).select(SHIPS.fieldNames()).first()) == (7, 11, "NEW", None, None, 9, None)
+
+
+def test_trigger_of_ten_seconds(spark, fx, slices, tmp_path):
+    """The running form commits by itself, a file per micro-batch."""
+    query = jobs.start_routing(slices[1](), region(fx), str(tmp_path / "out"), str(tmp_path / "cp"), once=False)
+    try:
+        deadline = time.monotonic() + 60
+        while query.lastProgress is None and time.monotonic() < deadline:
+            time.sleep(0.5)
+        assert query.isActive and query.lastProgress["numInputRows"] > 0
+    finally:
+        query.stop()

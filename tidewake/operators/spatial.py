@@ -14,10 +14,10 @@ from tidewake.functions.binding import bind
 # keeps the generated method small enough (8,000 bytes) for the JVM to compile.
 MAX_UNROLLED_SITES = 48
 
-# Finest cell of the site grid: 1/64 of the earth's radius (about 54 nm); a
-# coarser level doubles the side, and nine doublings cover the whole globe.
-FINEST_CELL = 1 / 64
-LEVELS = 9
+# Finest cell of the site grid: 1/512 of the earth's radius (about 7 nm); a
+# coarser level doubles the side, and twelve doublings cover the whole globe.
+FINEST_CELL = 1 / 512
+LEVELS = 12
 
 LATITUDE_BAND = 0.05
 

@@ -37,16 +37,18 @@ def get_session(app: str = "tidewake", master: str | None = None, **conf: str) -
 def shared_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh folder under the cluster's shared checkpoint folder.
 
-    ``spark.checkpoint.dir`` names the shared folder. Only a local-mode session
-    without that setting (tests) gets a folder of its own, because a
-    machine-local path would be lost to the other executors of a cluster.
+    ``spark.checkpoint.dir`` names the shared folder. A session without that
+    setting gets one folder of its own if it runs in this process alone (tests);
+    elsewhere that is an error, because the other machines couldn't see it.
     """
     context = spark.sparkContext
     base = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not base:
         if not context.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        base = _own_dirs.setdefault(context.applicationId, tempfile.mkdtemp(prefix="tidewake-"))
+        if context.applicationId not in _own_dirs:
+            _own_dirs[context.applicationId] = tempfile.mkdtemp(prefix="tidewake-")
+        base = _own_dirs[context.applicationId]
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex[:12]}"
 
 
