@@ -12,9 +12,11 @@ registers, and registers of similar sets are often equal.
    copies that is the text they come from. So a bucket makes a star, not pairs.
 3. Pairs are scored by the joint likelihood of their registers and the set sizes,
    and those that may reach the threshold are confirmed on their full sets.
-4. Links are joined to components. Members of a bucket that are still in another
-   component than the rest of it are compared with that rest, in blocks, so no
-   link between components is lost to the stars.
+4. Links are joined to components. Pairs of a bucket in different components
+   are then looked at in blocks, so no link between components is lost to the
+   stars. Members close to a common hub are compared exactly by what sets them
+   apart from it, a small part of their sets; for the others registers tell which
+   pairs are worth confirming. Only links or such pairs become rows.
 """
 
 from __future__ import annotations
@@ -154,28 +156,40 @@ def _estimated(pairs: DataFrame, classes: DataFrame, threshold: float) -> DataFr
 
 
 def _confirmed(pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str, width: int, percent: int) -> DataFrame:
-    """Links (``a``, ``b``): pairs whose full shingle sets reach the threshold.
+    """Pairs compared on their full shingle sets: ``a``, ``b``, ``n_a``, ``n_b``, ``apart`` and ``linked``.
 
-    Texts are fetched by id; a row of that id with another set is passed over.
+    ``apart`` has the shingles that only one of the two sets has. Texts are
+    fetched by id; a row of that id with another set is passed over.
     """
     texts = docs.select(F.col(id_col).alias("t_id"), text_of(text_col).alias("text"))
     a, b = texts.toDF("t_a", "text_a"), texts.toDF("t_b", "text_b")
     both = pairs.join(a, F.col("id_a") == F.col("t_a")).join(b, F.col("id_b") == F.col("t_b")).select("a", "b", "text_a", "text_b")
-    schema = T.StructType([T.StructField("a", T.BinaryType()), T.StructField("b", T.BinaryType())])
+    schema = T.StructType([
+        T.StructField("a", T.BinaryType()), T.StructField("b", T.BinaryType()), T.StructField("n_a", T.LongType()),
+        T.StructField("n_b", T.LongType()), T.StructField("apart", T.BinaryType()), T.StructField("linked", T.BooleanType()),
+    ])
 
     def run(batches):
         for whole in batches:
             for batch in slices(whole, "text_a", 1 << 20):
                 ids_a, ids_b = batch.column("a").to_pylist(), batch.column("b").to_pylist()
                 lows = [[t.lower() for t in texts_as_bytes(batch.column(c))] for c in ("text_a", "text_b")]
-                links = []
+                rows = []
                 for i, (x, y) in enumerate(zip(*(shingle_sets(t, width) for t in lows))):
-                    shared = len(np.intersect1d(x, y, assume_unique=True))
-                    if 100 * shared >= percent * (len(x) + len(y) - shared) and _digest(x) == ids_a[i] and _digest(y) == ids_b[i]:
-                        links.append(i)
-                yield batch.select(schema.names).take(pa.array(links, pa.int64()))
+                    if _digest(x) == ids_a[i] and _digest(y) == ids_b[i]:
+                        apart = np.setxor1d(x, y, assume_unique=True)
+                        rows.append((ids_a[i], ids_b[i], len(x), len(y), apart.tobytes(), bool(_alike(len(x), len(y), len(apart), percent))))
+                columns = list(zip(*rows)) or [()] * len(schema)
+                kinds = (pa.binary(), pa.binary(), pa.int64(), pa.int64(), pa.binary(), pa.bool_())
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], names=schema.names)
+
+    return materialize(both.mapInArrow(run, schema), "near-compared")
+
 
-    return materialize(both.mapInArrow(run, schema).distinct(), "near-links")
+def _alike(n_a, n_b, apart, percent: int):
+    """Whether sets of these sizes that differ in ``apart`` elements reach the threshold."""
+    shared = (n_a + n_b - apart) // 2
+    return 100 * shared >= percent * (shared + apart)
 
 
 def components(links: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -200,51 +214,107 @@ def components(links: DataFrame, nodes: DataFrame) -> DataFrame:
         state = state.drop("was")
 
 
-def _apart(members: DataFrame, roots: DataFrame, classes: DataFrame, threshold: float) -> DataFrame:
-    """Pairs of one bucket that are in different components and may be similar, apart from those with its hub.
+def _beside_hubs(stars: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
+    """Links between members of one star that are in different components, one for each member and component.
 
-    Only buckets with a member outside the hub's component are looked at, and
-    in them only pairs with such a member. Their members are numbered and laid
-    into blocks; a task compares two blocks by their registers.
+    With ``x`` and ``y`` both compared with hub ``h``, the elements that set them
+    apart are those of ``x`` against ``h`` or ``y`` against ``h`` but not both.
     """
-    rooted = members.join(roots.select("set_id", F.col("root.set").alias("root")), "set_id", "left").withColumn("root", F.coalesce("root", "set_id"))
-    hub_root = rooted.where("set_id = hub").select("band", "key", F.col("root").alias("hub_root"))
-    marked = rooted.join(hub_root, ["band", "key"]).withColumn("outside", F.col("root") != F.col("hub_root"))
-    open_ = marked.where("outside").groupBy("band", "key").agg(F.count(F.lit(1)).alias("n_out")).where("n_out > 0")
-    rows = marked.where("members > 2 AND set_id != hub").join(open_, ["band", "key"]).join(
-        classes.select("set_id", "n", "registers"), "set_id")
-    # Blocks by a hash of the set: no window over a whole bucket.
-    blocks = F.ceil(F.col("members") / F.lit(BLOCK // 2))
+    rooted = stars.select(F.col("a").alias("set_id"), F.col("b").alias("hub"), F.col("n_a").alias("n"), "apart").join(
+        roots.select("set_id", F.col("root.set").alias("root")), "set_id", "left").withColumn("root", F.coalesce("root", "set_id"))
+    hub_roots = roots.select(F.col("set_id").alias("hub"), F.col("root.set").alias("hub_root"))
+    marked = rooted.join(hub_roots, "hub", "left").withColumn("outside", F.col("root") != F.coalesce("hub_root", "hub"))
+    sizes = marked.groupBy("hub").agg(F.count(F.lit(1)).alias("members"), F.max("outside").alias("open")).where("open AND members > 1")
+    rows = marked.join(sizes, "hub")
+    item = F.struct("set_id", "root", "n", "apart")
+    laid = rows.withColumn("block", _block("members")).groupBy("hub", "outside", "block").agg(F.collect_list(item).alias("items"))
+    laid = materialize(laid, "near-stars")
+    left = laid.where("outside").select("hub", F.col("block").alias("p"), F.col("items").alias("left"))
+    right = laid.select("hub", F.col("outside").alias("both_out"), F.col("block").alias("q"), F.col("items").alias("right"))
+    joined = left.join(right, "hub").where(~F.col("both_out") | (F.col("p") <= F.col("q"))).select("left", "right")
+
+    def compare(left: pa.StructArray, right: pa.StructArray) -> list:
+        mine, other = _Items(left), _Items(right)
+        parts = [np.frombuffer(x, np.uint64) for x in other.values("apart")]
+        flat, owner = np.concatenate(parts), np.repeat(np.arange(len(parts)), [len(x) for x in parts])
+        sizes, found = np.array([len(x) for x in parts]), []
+        for k, raw in enumerate(mine.values("apart")):
+            own = np.frombuffer(raw, np.uint64)
+            at = np.minimum(np.searchsorted(own, flat), max(len(own) - 1, 0))
+            same = np.bincount(owner[own[at] == flat], minlength=len(parts)) if len(own) else 0
+            hit = _alike(mine.n[k], other.n, len(own) + sizes - 2 * same, percent) & (other.root != mine.root[k])
+            firsts = np.unique(other.root[hit], return_index=True)[1]
+            found += [(mine.ids[k], other.ids[j]) for j in np.flatnonzero(hit)[firsts].tolist()]
+        return found
+
+    return joined.mapInArrow(_by_blocks(compare), _PAIR)
+
+
+def _apart(members: DataFrame, stars: DataFrame, roots: DataFrame, classes: DataFrame, threshold: float) -> DataFrame:
+    """Pairs of one bucket in different components that may be similar, unless both are close to the bucket's hub.
+
+    One of such a pair is far from the hub. Members are laid into blocks; a task
+    compares two blocks by their registers.
+    """
+    rooted = members.where("set_id != hub AND members > 2").join(
+        roots.select("set_id", F.col("root.set").alias("root")), "set_id", "left").withColumn("root", F.coalesce("root", "set_id"))
+    close = stars.select(F.col("a").alias("set_id"), F.col("b").alias("hub"), F.lit(True).alias("close")).distinct()
+    marked = rooted.join(close, ["set_id", "hub"], "left").withColumn("far", F.col("close").isNull())
+    open_ = marked.groupBy("band", "key").agg(F.max("far").alias("open"), F.min("root").alias("r1"), F.max("root").alias("r2")).where("open AND r1 != r2")
+    rows = marked.join(open_.select("band", "key"), ["band", "key"]).join(classes.select("set_id", "n", "registers"), "set_id")
     item = F.struct("set_id", "root", "n", "registers")
-    laid = rows.withColumn("block", F.pmod(F.xxhash64("set_id"), blocks)).groupBy("band", "key", "outside", "block").agg(F.collect_list(item).alias("items"))
+    laid = rows.withColumn("block", _block("members")).groupBy("band", "key", "far", "block").agg(F.collect_list(item).alias("items"))
     laid = materialize(laid, "near-blocks")
-    left = laid.where("outside").select("band", "key", F.col("block").alias("p"), F.col("items").alias("left"))
-    right = laid.select("band", "key", F.col("outside").alias("both_out"), F.col("block").alias("q"), F.col("items").alias("right"))
-    joined = left.join(right, ["band", "key"]).where(~F.col("both_out") | (F.col("p") <= F.col("q"))).select("left", "right")
-    schema = T.StructType([T.StructField("a", T.BinaryType()), T.StructField("b", T.BinaryType())])
+    left = laid.where("far").select("band", "key", F.col("block").alias("p"), F.col("items").alias("left"))
+    right = laid.select("band", "key", F.col("far").alias("both_far"), F.col("block").alias("q"), F.col("items").alias("right"))
+    joined = left.join(right, ["band", "key"]).where(~F.col("both_far") | (F.col("p") <= F.col("q"))).select("left", "right")
+
+    def compare(left: pa.StructArray, right: pa.StructArray) -> list:
+        mine, other = _Items(left), _Items(right)
+        a, b = (np.frombuffer(b"".join(x.values("registers")), np.uint8).reshape(-1, REGISTERS) for x in (mine, other))
+        found = []
+        for k, own in enumerate(mine.ids):
+            # Equal registers alone give a cheap bound before the likelihood is worked out.
+            rest = np.flatnonzero((other.root != mine.root[k]) & ((b == a[k]).mean(axis=1) >= threshold - MARGIN - 0.1))
+            if len(rest):
+                one = np.full(len(rest), float(mine.n[k]))
+                near = joint_estimate(np.repeat(a[k:k + 1], len(rest), axis=0), b[rest], one, other.n[rest].astype(float)) >= threshold - MARGIN
+                found += [(min(own, other.ids[j]), max(own, other.ids[j])) for j in rest[near].tolist()]
+        return found
+
+    return joined.mapInArrow(_by_blocks(compare), _PAIR).distinct()
+
+
+_PAIR = T.StructType([T.StructField("a", T.BinaryType()), T.StructField("b", T.BinaryType())])
+
+
+def _block(members: str):
+    """Block of a member, by a hash of its set: about half of ``BLOCK`` in each, without a window over the group."""
+    return F.pmod(F.xxhash64("set_id"), F.ceil(F.col(members) / F.lit(BLOCK // 2)))
+
+
+class _Items:
+    """Members of a block."""
+
+    def __init__(self, items: pa.StructArray):
+        self.items = items
+        self.ids, self.n = self.values("set_id"), items.field("n").to_numpy()
+        self.root = np.array(self.values("root"), dtype="S16")
+
+    def values(self, name: str) -> list:
+        return self.items.field(name).to_pylist()
 
-    def columns(items: pa.Array):
-        get = lambda c: items.field(c).to_pylist()
-        return get("set_id"), np.array([hash(r) for r in get("root")]), np.array(get("n"), float), np.frombuffer(
-            b"".join(get("registers")), np.uint8).reshape(-1, REGISTERS)
 
+def _by_blocks(compare):
+    """Rows of two lists of members to the pairs that ``compare`` finds between them."""
     def run(batches):
         for batch in batches:
             for i in range(batch.num_rows):
-                ids, root, n, regs = columns(batch.column("left")[i].values)
-                ids2, root2, n2, regs2 = columns(batch.column("right")[i].values)
-                found = []
-                for k, mine in enumerate(ids):
-                    # Equal registers alone give a cheap bound before the likelihood is worked out.
-                    rest = np.flatnonzero((root2 != root[k]) & ((regs2 == regs[k]).mean(axis=1) >= threshold - MARGIN - 0.1))
-                    if len(rest):
-                        one = np.full(len(rest), n[k])
-                        near = joint_estimate(np.repeat(regs[k:k + 1], len(rest), axis=0), regs2[rest], one, n2[rest]) >= threshold - MARGIN
-                        found += [(mine, ids2[j]) if mine < ids2[j] else (ids2[j], mine) for j in rest[near].tolist()]
+                found = compare(batch.column("left")[i].values, batch.column("right")[i].values)
                 if found:
-                    yield pa.RecordBatch.from_arrays([pa.array(x, pa.binary()) for x in zip(*found)], names=schema.names)
+                    yield pa.RecordBatch.from_arrays([pa.array(x, pa.binary()) for x in zip(*found)], names=_PAIR.names)
 
-    return joined.mapInArrow(run, schema).distinct()
+    return run
 
 
 def near_dedup(
@@ -266,13 +336,15 @@ def near_dedup(
     classes = rows.where("n > 0").groupBy("set_id").agg(F.min("id").alias("rep"), first.alias("f")).select("set_id", "rep", "f.*")
     classes = materialize(classes, "near-classes")
     members = _with_hubs(_buckets(classes, rows_per_band))
-    stars = members.where("set_id != hub").select(F.least("set_id", "hub").alias("a"), F.greatest("set_id", "hub").alias("b")).distinct()
-    links = _confirmed(_estimated(stars, classes, threshold), docs, id_col, text_col, width, percent)
+    tried = members.where("set_id != hub").select(F.col("set_id").alias("a"), F.col("hub").alias("b")).distinct()
+    stars = _confirmed(_estimated(tried, classes, threshold), docs, id_col, text_col, width, percent)
+    links = stars.where("linked").select("a", "b")
     roots = components(links, classes)
-    more = materialize(_apart(members, roots, classes, threshold), "near-apart")
+    beside = _beside_hubs(stars, roots, percent)
+    apart = _confirmed(_estimated(_apart(members, stars, roots, classes, threshold), classes, threshold), docs, id_col, text_col, width, percent)
+    more = materialize(beside.unionByName(apart.where("linked").select("a", "b")), "near-more")
     if not more.isEmpty():
-        links = links.unionByName(_confirmed(_estimated(more, classes, threshold), docs, id_col, text_col, width, percent))
-        roots = components(links, classes)
+        roots = components(links.unionByName(more), classes)
     known = classes.join(roots, "set_id", "left").select("set_id", F.coalesce("root.id", "rep").alias("component"))
     joined = rows.select("id", "tag", "n", "set_id").join(known, "set_id", "left")
     component = F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("id"))
