@@ -55,10 +55,11 @@ class Ranges:
 
 
 def split_by_range(df: DataFrame, keys: list[str], *order: Column | str, partitions: int | None = None) -> Ranges:
-    """Partition the rows by (keys, order) into as many ranges as the session has shuffle partitions.
+    """Partition the rows by (keys, order) into the session's shuffle partitions; small neighbours are merged.
 
-    ``order`` should end in a column that tells rows of one time apart.
+    ``order`` should end in a column that tells rows of one time apart. With
+    ``partitions`` the number of ranges is fixed.
     """
-    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(n, *keys, *order).withColumn(PIECE, F.spark_partition_id())
-    return Ranges(materialize(ranged, "ranges"), keys)
+    by = [*keys, *order]
+    ranged = df.repartitionByRange(partitions, *by) if partitions else df.repartitionByRange(*by)
+    return Ranges(materialize(ranged.withColumn(PIECE, F.spark_partition_id()), "ranges"), keys)
