@@ -282,20 +282,27 @@ def _mark(window: int, schema: T.StructType, id_type: pa.DataType):
         known, visits = _shared_runs(table, notes, window)
         told = notes.filter(pa.compute.greater_equal(notes.column("run"), 0))
         least = {r: np.frombuffer(x, np.int64) for r, x in zip(told.column("run").to_pylist(), told.column("first").to_pylist())}
-        own = [x[1] for x in known.values()]
+        own, sizes = [x[1] for x in known.values()], [key.count(b" ") + 1 for key in known]
         ids, n_words, n_removed, digests, spans, tags = [], [], [], [], [], []
         for part, keys, words, bounds, places in visits:
-            change = np.zeros(len(words) + 1, np.int32)
+            # Windows to mark: those that the shards told of, window by window, and whole runs
+            # that a smaller document of this bucket has.
+            told, firsts, limits, whole, until = [], [], [], [], []
             for d, s, r in places:
                 other = least.get(r)
                 if other is not None:
-                    gone = np.flatnonzero(other < keys[d])
-                    np.add.at(change, s + gone, 1)
-                    np.add.at(change, s + gone + window, -1)
+                    told.append(other)
+                    firsts.append(s)
+                    limits.append(keys[d])
                 elif own[r] < keys[d]:
-                    # All windows of the run are in a smaller document of this bucket.
-                    change[s] += 1
-                    change[s + _size(known, r)] -= 1
+                    whole.append(s)
+                    until.append(s + sizes[r])
+            change = np.bincount(np.array(whole, np.int64), minlength=len(words) + 1) - np.bincount(np.array(until, np.int64), minlength=len(words) + 1)
+            if told:
+                counts = np.array([len(x) for x in told])
+                at = np.repeat(np.array(firsts) - (np.cumsum(counts) - counts), counts) + np.arange(counts.sum())
+                at = at[np.concatenate(told) < np.repeat(np.array(limits), counts)]
+                change += np.bincount(at, minlength=len(words) + 1) - np.bincount(at + window, minlength=len(words) + 1)
             covered = np.cumsum(change[:-1]) > 0
             for d in range(len(keys)):
                 a, b = int(bounds[d]), int(bounds[d + 1])
@@ -314,12 +321,6 @@ def _mark(window: int, schema: T.StructType, id_type: pa.DataType):
             "kept_sha256": pa.array(digests), "spans": pa.array(spans, pa.list_(span)), "tag": pa.array(tags, pa.int64()),
         })
 
-    def _size(known: dict, number: int) -> int:
-        if not sizes or sizes[0] is not known:
-            sizes[:] = [known, [key.count(b" ") + 1 for key in known]]
-        return sizes[1][number]
-
-    sizes: list = []
     return run
 
 
