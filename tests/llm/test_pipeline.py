@@ -1,12 +1,16 @@
 """The pipeline's stages on their own inputs, and the queries against the contract's columns."""
 
 import collections
+import zlib
+
+import pytest
+from tokenizers import Tokenizer
 
 import corpus_pipeline
 from tests.conftest import SMALL
-from tests.llm.helpers import linked, words
+from tests.llm.helpers import documents, linked, odd_rows, words
 from tests.llm.test_models_and_quality import brute_figures
-from tests.llm.test_tokens_and_warc import check_packing
+from tests.llm.test_tokens_and_warc import WORD_BPE, check_packing
 from tidewake.llm.queries import ORACLES, QUERIES
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -41,12 +45,66 @@ def test_stages(spark):
     check_packing(corpus_pipeline.pack(spark, once, SMALL).collect(), [(i, rows[3][i]) for i in copies])
 
 
+@pytest.mark.parametrize("rows", [odd_rows(), []])
+def test_stages_on_odd_documents(spark, rows):
+    """Nulls, empty and long texts, repeated rows, no rows, and columns with the names that operators use."""
+    docs = documents(spark, rows)
+    columns = docs.columns
+    for name, stage in corpus_pipeline.STAGES:
+        docs = stage(spark, docs, SMALL).cache()
+        assert (docs.count() > 0) == bool(rows), name
+        assert docs.columns == columns or name == "packing"
+
+
 def test_run(spark):
     out = corpus_pipeline.run(spark, SMALL)
     assert out.columns == ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"] and out.count() > 200
     assert corpus_pipeline.ORACLE_SQL is None
 
 
+def small(spark, table):
+    return spark.read.parquet(f"{SMALL}/{table}.parquet").collect()
+
+
+def test_packing_query(spark):
+    check_packing(QUERIES["op4_packing"](spark, SMALL).collect(), [(r.doc_id, r.text) for r in small(spark, "documents")])
+
+
+def test_near_query(spark):
+    rows = [(r.doc_id, r.text) for r in small(spark, "documents")]
+    out = QUERIES["op6_near_dedup"](spark, SMALL)
+    assert out.columns == ["doc_id", "n_shingles", "component_id", "kept"]
+    assert sorted((r.doc_id, r.n_shingles, r.component_id, r.kept) for r in out.collect()) == sorted(
+        (i, n, c, i == c) for i, n, c in linked(rows, 3, 85))
+
+
+def test_token_query(spark):
+    full = Tokenizer.from_file(WORD_BPE)
+    out = QUERIES["op8_token_counts"](spark, SMALL)
+    assert out.columns == ["doc_id", "n_bytes", "n_tokens", "over_limit"]
+    got = {r.doc_id: (r.n_bytes, r.n_tokens, r.over_limit) for r in out.collect()}
+    for r in small(spark, "documents"):
+        n = len(full.encode(r.text or "", add_special_tokens=False).ids)
+        assert got[r.doc_id] == (len((r.text or "").encode()), n, n > 2048)
+
+
+def test_model_queries(spark):
+    """Columns, folds and ranges; what is learned doesn't look at the held-out rows' labels."""
+    docs = {r.doc_id: r for r in small(spark, "documents")}
+    language = QUERIES["op5_language_id"](spark, SMALL)
+    assert language.columns == ["doc_id", "held_out", "lang_pred", "score"]
+    for r in language.collect():
+        assert r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0) and 0 <= r.score <= 1
+        assert r.lang_pred in {d.lang for d in docs.values()} | {"und"}
+    toxic = QUERIES["op7_toxicity"](spark, SMALL)
+    assert toxic.columns == ["doc_id", "held_out", "score", "predicted"]
+    rows = toxic.collect()
+    assert len(rows) == len(docs)
+    for r in rows:
+        assert r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 3 == 1) and 0 <= r.score <= 1
+        assert r.predicted == int(r.score >= 0.7)
+
+
 def test_queries_are_complete():
     assert sorted(QUERIES, key=lambda n: int(n[2:].split("_")[0])) == list(QUERIES)
     assert [n[: n.index("_")] for n in QUERIES] == [f"op{i}" for i in range(1, 11)]
