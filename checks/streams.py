@@ -7,10 +7,9 @@ from checks.fixtures import SQL, Fixtures
 from checks.registry import query, rounded
 from checks.rows import messages, region
 from checks.tables import OLD_SHIPS, uncorrected_ships
-from checks.views import given, polluted, ALLOWED, ts
+from checks.views import given, ts
 from tidewake.operators import temporal
 from tidewake.plans import forecast as fc
-from tidewake.plans.pollution import daily_pollution
 from tidewake.session import shared_dir
 from tidewake.sources.messages import ingest, read_messages
 from tidewake.streaming import ingest as jobs

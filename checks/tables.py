@@ -5,7 +5,7 @@ from pyspark.sql import types as T
 
 from checks.registry import query, rounded
 from checks.rows import extract, land, messages, region, stored_extract, stored_messages
-from checks.views import ALLOWED, ISO_ALLOWED, cleaned, given, in_region, polluted, ts
+from checks.views import ALLOWED, ISO_ALLOWED, given, in_region, polluted, ts
 from tidewake import schemas
 from tidewake.operators import aggregate, lookups, maintain, temporal
 from tidewake.operators.spatial import keep_region, within_region
