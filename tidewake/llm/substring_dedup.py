@@ -31,6 +31,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -84,7 +85,7 @@ class Runs:
 
 def _visits(table: pa.Table):
     """Slices of a bucket in a fixed order: (ids, texts)."""
-    order = pa.compute.sort_indices(table, sort_keys=[("id", "ascending"), ("tag", "ascending")])
+    order = pc.sort_indices(table, sort_keys=[("id", "ascending"), ("tag", "ascending")])
     for batch in table.take(order).combine_chunks().to_batches():
         for part in slices(batch, "text", 1 << 20):
             ids = np.array([NO_ID if x is None else x for x in part.column("id").to_pylist()], np.int64)
@@ -168,7 +169,7 @@ def _shared_runs(table: pa.Table, notes: pa.Table, window: int):
     Returns {words: [number, least id, route]} and, per slice, (rows, ids, words, bounds, places), a
     place being (document, first word, run number).
     """
-    lists = notes.filter(pa.compute.equal(notes.column("run"), -1))
+    lists = notes.filter(pc.equal(notes.column("run"), -1))
     anchors = np.concatenate([np.frombuffer(x, np.uint64) for x in lists.column("first").to_pylist()] or [np.empty(0, np.uint64)])
     marks = np.concatenate([np.frombuffer(x, bool) for x in lists.column("second").to_pylist()] or [np.empty(0, bool)])
     order = np.argsort(anchors)
@@ -280,7 +281,7 @@ def _mark(window: int, schema: T.StructType, id_type: pa.DataType):
             columns = (id_type, pa.int64(), pa.int64(), pa.string(), pa.list_(span), pa.int64())
             return pa.table({f.name: pa.array([], t) for f, t in zip(schema, columns)})
         known, visits = _shared_runs(table, notes, window)
-        told = notes.filter(pa.compute.greater_equal(notes.column("run"), 0))
+        told = notes.filter(pc.greater_equal(notes.column("run"), 0))
         least = {r: np.frombuffer(x, np.int64) for r, x in zip(told.column("run").to_pylist(), told.column("first").to_pylist())}
         own, sizes = [x[1] for x in known.values()], [key.count(b" ") + 1 for key in known]
         ids, n_words, n_removed, digests, spans, tags = [], [], [], [], [], []

@@ -19,6 +19,7 @@ import unicodedata
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -133,7 +134,7 @@ def count_tokens(
         for large in batches:
             for batch in slices(large, "text"):
                 texts = batch.column("text")
-                sizes = pa.compute.binary_length(texts).cast(pa.int64())
+                sizes = pc.binary_length(texts).cast(pa.int64())
                 counts = pa.array(counter.counts(texts.to_pylist()), pa.int64())
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id"), sizes, counts], names=schema.names)
 
