@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewake.llm.common import SPACES, keep_rows, replaced, text_of, text_tag, word_array
+from tidewake.session import materialize
 
 SYMBOLS = "#*$%&|<>"
 
@@ -89,7 +90,7 @@ def removed_lines(
     """Words in removed lines for each (id, tag) that has any: ``id``, ``tag``, ``removed``."""
     def line(x: Column) -> Column:
         return _let(word_array(x), lambda ws: F.struct(
-            F.substring(F.md5(_normal(ws).cast("binary")), 1, 16).alias("h"), F.size(ws).alias("w"),
+            F.unhex(F.substring(F.md5(_normal(ws).cast("binary")), 1, 16)).alias("h"), F.size(ws).alias("w"),
         ))
 
     per_document = docs.select(
@@ -101,6 +102,8 @@ def removed_lines(
     rows = per_document.select("id", "tag", "host", alike.alias("alike"), F.posexplode("lines").alias("at", "line")).select(
         "id", "tag", "host", "alike", "at", F.col("line.h").alias("h"), F.col("line.w").alias("w")
     )
+    # Hashes of all lines, without their texts: counted and looked up.
+    rows = materialize(rows, "lines")
     texts = rows.select("host", "h", "alike", "tag").distinct()
     kinds = texts.groupBy("host", "h", "alike").agg(F.count(F.lit(1)).alias("texts"))
     counted = kinds.groupBy("host", "h").agg(F.count(F.lit(1)).alias("kinds"), F.sum("texts").alias("texts"))
