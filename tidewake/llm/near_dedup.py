@@ -25,7 +25,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -224,8 +224,10 @@ def _beside_hubs(stars: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
         roots.select("set_id", F.col("root.set").alias("root")), "set_id", "left").withColumn("root", F.coalesce("root", "set_id"))
     hub_roots = roots.select(F.col("set_id").alias("hub"), F.col("root.set").alias("hub_root"))
     marked = rooted.join(hub_roots, "hub", "left").withColumn("outside", F.col("root") != F.coalesce("hub_root", "hub"))
+    # Stored step by step: joins that end in a file can be split where a hub has many members.
+    marked = materialize(marked, "near-marked")
     sizes = marked.groupBy("hub").agg(F.count(F.lit(1)).alias("members"), F.max("outside").alias("open")).where("open AND members > 1")
-    rows = marked.join(sizes, "hub")
+    rows = materialize(marked.join(sizes, "hub"), "near-sized")
     item = F.struct("set_id", "root", "n", "apart")
     laid = rows.withColumn("block", _block("members")).groupBy("hub", "outside", "block").agg(F.collect_list(item).alias("items"))
     laid = materialize(laid, "near-stars")
@@ -340,12 +342,16 @@ def near_dedup(
     stars = _confirmed(_estimated(tried, classes, threshold), docs, id_col, text_col, width, percent)
     links = stars.where("linked").select("a", "b")
     roots = components(links, classes)
-    beside = _beside_hubs(stars, roots, percent)
-    apart = _confirmed(_estimated(_apart(members, stars, roots, classes, threshold), classes, threshold), docs, id_col, text_col, width, percent)
-    more = materialize(beside.unionByName(apart.where("linked").select("a", "b")), "near-more")
+    more = materialize(_beside_hubs(stars, roots, percent), "near-beside")
+    open_ = materialize(_estimated(_apart(members, stars, roots, classes, threshold), classes, threshold), "near-apart")
+    if not open_.isEmpty():
+        apart = _confirmed(open_, docs, id_col, text_col, width, percent)
+        more = more.unionByName(apart.where("linked").select("a", "b"))
     if not more.isEmpty():
         roots = components(links.unionByName(more), classes)
     known = classes.join(roots, "set_id", "left").select("set_id", F.coalesce("root.id", "rep").alias("component"))
+    # Stored, so that the join below has nothing but shuffles under it and large classes can be split.
+    known = materialize(known, "near-components")
     joined = rows.select("id", "tag", "n", "set_id").join(known, "set_id", "left")
     component = F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("id"))
     return joined.select(
