@@ -44,7 +44,7 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
     context = spark.sparkContext
     base = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not base:
-        if not context.master.startswith("local"):
+        if context.master != "local" and not context.master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         if context.applicationId not in _own_dirs:
             _own_dirs[context.applicationId] = tempfile.mkdtemp(prefix="tidewake-")
