@@ -806,3 +806,16 @@ def _(fx):
         (F.col("port_id") + 100).alias("port_id"), F.lower("port_name").alias("port_name"), F.lower("country").alias("country"),
         (F.col("latitude") + 1).alias("latitude"), "longitude")
     return tables.port_coordinates(fx.ports.unionByName(again)).select("port_name", "latitude", "country")
+
+
+@query("import_wide_ports", given("fx_ports", "fx_port_bans") + """
+SELECT CAST(p.port_id AS INTEGER) AS world_port_index_number, p.port_name, p.country, p.latitude, coalesce(b.scrubber_status, 0) AS scrubber_status
+FROM fx_ports p LEFT JOIN fx_port_bans b ON b.port_name = p.port_name""")
+def _(fx):
+    path = shared_dir(fx.spark, "wide_ports")
+    wide = fx.ports.select(
+        F.col("port_id").alias("World Port Index (Number)"), F.col("port_name").alias("PORT_NAME"), F.col("country").alias("COUNTRY"),
+        F.col("latitude").alias("LATITUDE"), F.col("longitude").alias("LONGITUDE"), F.lit(None).cast("string").alias("Remark, other"))
+    files.write_csv(wide, path)
+    ports = tables.import_ports(fx.spark, path, fx.port_bans)
+    return ports.select("world_port_index_number", "port_name", "country", "latitude", "scrubber_status")

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tidewake import schemas
 from tidewake.operators.aggregate import code_distribution, null_census
 from tidewake.operators.lookups import lookup_with_default
-from tidewake.sources.files import read_reference_csv, write_csv
+from tidewake.sources.files import clean_column_names, read_reference_csv, write_csv
 
 
 def load_table(spark: SparkSession, name: str, require: tuple[str, ...] = ()) -> DataFrame:
@@ -79,6 +79,20 @@ def ports_with_scrubber_status(ports: DataFrame, bans: DataFrame) -> DataFrame:
     return lookup_with_default(ports, F.col("port_name"), bans, "port_name", {"scrubber_status": 0})
 
 
+def import_ports(spark: SparkSession, path: str, bans: DataFrame | None = None) -> DataFrame:
+    """A wide port file with all its columns under cleaned names, and the ban status (0 where none is known).
+
+    Column types are inferred, as such files have many columns and a few dozen rows.
+    """
+    raw = clean_column_names(
+        spark.read.option("header", True).option("inferSchema", True).option("nullValue", "NaN")
+        .option("ignoreLeadingWhiteSpace", True).option("ignoreTrailingWhiteSpace", True).csv(path)
+    )
+    if "port_name" not in raw.columns:
+        raise ValueError(f"{path} lacks the column port_name")
+    return ports_with_scrubber_status(raw, bans) if bans is not None else raw.withColumn("scrubber_status", F.lit(0))
+
+
 def port_coordinates(ports: DataFrame, order: str = "port_id") -> DataFrame:
     """One row per upper-case port name with upper-case country; of equal names the last one (by ``order``) counts."""
     named = ports.where(F.col("port_name").isNotNull()).withColumns({"port_name": F.upper("port_name"), "country": F.upper("country")})
