@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from checks import expected
 from checks.fixtures import Fixtures, with_views
 from checks.registry import query, rounded
 from checks.views import cleaned, corrected, given, haversine, in_region, inland, mapped, mode, ts
@@ -235,13 +236,13 @@ def _(fx):
 
 
 @query("map_destination_codes", given("fx_positions") + f"""
-SELECT id, {mapped(cleaned('destination'), dest.PORT_CODES)} AS destination FROM fx_positions""")
+SELECT id, {mapped(cleaned('destination'), expected.PORT_CODES)} AS destination FROM fx_positions""")
 def _(fx):
     return fx.positions.select("id", dest.map_codes(dest.clean_destination(F.col("destination"))).alias("destination"))
 
 
 @query("destination_rules", given("fx_positions") + f"""
-SELECT id, {corrected(cleaned('destination'), dest.CORRECTIONS)} AS destination FROM fx_positions""")
+SELECT id, {corrected(cleaned('destination'), expected.CORRECTIONS)} AS destination FROM fx_positions""")
 def _(fx):
     return fx.positions.select("id", dest.apply_rules(dest.clean_destination(F.col("destination"))).alias("destination"))
 

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from checks.fixtures import with_views
-from tidewake.functions.destinations import CORRECTIONS, PORT_CODES, PROFILE_CODES, PROFILE_CORRECTIONS
+from checks.expected import CORRECTIONS, PORT_CODES, PROFILE_CODES, PROFILE_CORRECTIONS
 
 
 def ts(column: str) -> str:
