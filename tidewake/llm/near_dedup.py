@@ -123,7 +123,7 @@ def _buckets(classes: DataFrame, rows_per_band: int) -> DataFrame:
     bands = REGISTERS // rows_per_band
     keys = F.transform(F.sequence(F.lit(0), F.lit(bands - 1)), lambda i: F.substring("registers", i * rows_per_band + 1, F.lit(rows_per_band)))
     rows = classes.select("set_id", F.posexplode(keys).alias("band", "key"))
-    shared = rows.groupBy("band", "key").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
+    shared = materialize(rows.groupBy("band", "key").agg(F.count(F.lit(1)).alias("members")).where("members > 1"), "near-shared")
     return materialize(rows.join(shared, ["band", "key"]), "near-buckets")
 
 
@@ -132,6 +132,8 @@ def _with_hubs(members: DataFrame) -> DataFrame:
     shares = members.groupBy("set_id").agg(F.sum("members").alias("shares"))
     ranked = members.join(shares, "set_id")
     hubs = ranked.groupBy("band", "key").agg(F.max_by("set_id", F.struct("shares", "set_id")).alias("hub"))
+    # Stored, so that the join can be split where a bucket has many members.
+    hubs = materialize(hubs, "near-bucket-hubs")
     return materialize(members.join(hubs, ["band", "key"]), "near-hubs")
 
 
