@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewake.functions.ais import parse_ais_timestamp, vessel_dimensions
-from tidewake.functions.geo import as_number
 from tidewake.operators.spatial import within_region
 from tidewake.schemas import MESSAGE
 
@@ -49,13 +48,15 @@ def parse_messages(raw: DataFrame, column: str = "raw") -> DataFrame:
     costs at most itself. Missing fields are NULL, a missing name or destination
     of a ship message is 'Unknown'.
     """
-    parsed = raw.withColumn("_m", F.from_json(column, MESSAGE))
+    parsed = raw.withColumn("_m", F.from_json(column, MESSAGE, {"columnNameOfCorruptRecord": "_corrupt_record"}))
     meta, static, report = F.col("_m.MetaData"), F.col("_m.Message.ShipStaticData"), F.col("_m.Message.PositionReport")
-    parsed = parsed.withColumn("_time", parse_ais_timestamp(meta["time_utc"]))
+    # Columns of their own, so that each is worked out once.
+    parsed = parsed.withColumns({
+        "_time": parse_ais_timestamp(meta["time_utc"]), "_sides": F.from_json(static["Dimension"], "map<string,string>"),
+    })
     is_static = F.col("_m.MessageType") == "ShipStaticData"
     is_report = F.col("_m.MessageType") == "PositionReport"
-    sides = F.from_json(static["Dimension"], "map<string,string>")
-    length, width = vessel_dimensions({side: number(sides[side]) for side in "ABCD"})
+    length, width = vessel_dimensions({side: number(F.col("_sides")[side]) for side in "ABCD"})
     ts = F.col("_time")
 
     def text(name: str) -> Column:
@@ -77,7 +78,8 @@ def parse_messages(raw: DataFrame, column: str = "raw") -> DataFrame:
         "true_heading": F.when(is_report, whole(report["TrueHeading"]).try_cast("int")),
     }
     reject = (
-        F.when(F.col(column).isNull() | F.try_parse_json(F.col(column)).isNull(), "malformed")
+        # Most messages fit the schema; only of the others it has to be known whether they are JSON at all.
+        F.when(F.col(column).isNull() | (F.col("_m._corrupt_record").isNotNull() & F.try_parse_json(F.col(column)).isNull()), "malformed")
         .when(F.col("_m.MessageType").isNull(), "no_type")
         .when(F.col("latitude").isNull() | F.col("longitude").isNull(), "no_position")
         .when(F.col("timestamp_ais").isNull(), "bad_time")
@@ -89,12 +91,12 @@ def parse_messages(raw: DataFrame, column: str = "raw") -> DataFrame:
 
 def number(text: Column) -> Column:
     """A field as a number, whichever JSON type it has; NULL if it is none."""
-    return as_number(text)
+    return F.nanvl(text.try_cast("double"), F.lit(None))
 
 
 def whole(text: Column) -> Column:
     """A field as a whole number; fractions are rounded."""
-    return F.coalesce(text.try_cast("bigint"), F.round(as_number(text)).try_cast("bigint"))
+    return F.coalesce(text.try_cast("bigint"), F.round(number(text)).try_cast("bigint"))
 
 
 def route_messages(df: DataFrame, keep_unknown: bool = False) -> DataFrame:
