@@ -167,3 +167,36 @@ def test_quality_rows_that_stay(spark):
     assert out.columns == docs.columns
     assert out.count() == quality.quality(docs).where("kept").count()
     assert quality.quality(docs.limit(0)).count() == 0
+
+
+def thin_rows(shared=8, own=1, pages=60, host="thin"):
+    """Pages of a host that share lines of six words and have few lines of three words of their own."""
+    common = [" ".join(f"{host}{'abcdefghij'[k]}{x}" for x in "uvwxyz") for k in range(shared)]
+    return [
+        (5000 + i, "\n".join(common + [" ".join("klm"[k] * (i + 1) + x for x in "uvw") for k in range(own)]), host) for i in range(pages)
+    ]
+
+
+@pytest.mark.parametrize("shared, own", [(8, 1), (10, 1), (8, 2)])
+def test_thin_pages_are_depleted(spark, shared, own):
+    """Every distinct document counts, also where pages share nearly all of their lines."""
+    pages = documents(spark, thin_rows(shared, own))
+    out = quality.quality(pages).collect()
+    assert len(out) == 60 and all(not r.base_failed and r.n_line_words == 6 * shared and not r.kept for r in out)
+    assert quality.drop_low_quality(pages).count() == 0
+    # Twenty distinct documents, each in two spellings, are not more than twenty.
+    few = thin_rows(shared, own, 20, "few")
+    few += [(i + 1000, t.replace(" ", "  ").upper(), s) for i, t, s in few]
+    assert all(r.kept and r.n_line_words == 0 for r in quality.quality(documents(spark, few)).collect())
+
+
+def test_query_spares_near_copies(spark):
+    """The query's SQL counts near copies once, so pages of 8 shared lines and 1 of their own stay."""
+    docs = documents(spark, thin_rows())
+    con = duckdb.connect()
+    con.register("documents", docs.select("doc_id", "text", "source").toPandas())
+    relation = con.sql(quality.QUERY_SQL)
+    out = quality.quality(docs, near_copies_once=True)
+    rows = out.select(*relation.columns).collect()
+    assert collections.Counter(map(tuple, rows)) == collections.Counter(relation.fetchall())
+    assert all(r.kept and r.n_line_words == 0 for r in rows)

@@ -4,10 +4,11 @@ Lines are normalised (white space, letter case, digits) and hashed. A line that
 more than ``max_documents`` distinct documents of a host carry is boilerplate of
 that host and is removed; a document of which too little is left is rejected.
 
-Copies must not turn a document's own lines into boilerplate: that is for the
-deduplication stages to see. So equal texts count once, documents alike in their
-smallest and in their largest line hash count once, and a line most of whose
-documents are such near copies is left alone.
+Documents with equal normalised lines count once. Near copies count each: a page
+of boilerplate with one line of its own and a copy with one line edited look
+alike. With ``near_copies_once`` documents alike in their smallest and in their
+largest line hash count once, and a line most of whose documents are such near
+copies is left alone; so is the boilerplate of hosts whose pages hold little else.
 
 Everything is DataFrame expressions. Line rows carry hashes rather than texts,
 and all counts combine on the map side, so a line that a third of all documents
@@ -85,7 +86,7 @@ def _normal(words: Column) -> Column:
 
 
 def removed_lines(
-    docs: DataFrame, id_col: str, text_col: str, host_col: str, max_documents: int,
+    docs: DataFrame, id_col: str, text_col: str, host_col: str, max_documents: int, near_copies_once: bool = False,
 ) -> DataFrame:
     """Words in removed lines for each (id, tag) that has any: ``id``, ``tag``, ``removed``."""
     def line(x: Column) -> Column:
@@ -98,16 +99,19 @@ def removed_lines(
         F.transform(_lines(text_of(text_col)), line).alias("lines"),
     )
     hashes = F.transform("lines", lambda x: x["h"])
-    alike = F.concat(F.array_min(hashes), F.array_max(hashes))
-    rows = per_document.select("id", "tag", "host", alike.alias("alike"), F.posexplode("lines").alias("at", "line")).select(
-        "id", "tag", "host", "alike", "at", F.col("line.h").alias("h"), F.col("line.w").alias("w")
+    document = F.concat(F.array_min(hashes), F.array_max(hashes)) if near_copies_once else F.xxhash64(hashes)
+    rows = per_document.select("id", "tag", "host", document.alias("document"), F.posexplode("lines").alias("at", "line")).select(
+        "id", "tag", "host", "document", "at", F.col("line.h").alias("h"), F.col("line.w").alias("w")
     )
     # Hashes of all lines, without their texts: counted and looked up.
     rows = materialize(rows, "lines")
-    texts = rows.select("host", "h", "alike", "tag").distinct()
-    kinds = texts.groupBy("host", "h", "alike").agg(F.count(F.lit(1)).alias("texts"))
-    counted = kinds.groupBy("host", "h").agg(F.count(F.lit(1)).alias("kinds"), F.sum("texts").alias("texts"))
-    common = counted.where((F.col("kinds") > max_documents) & (2 * F.col("kinds") > F.col("texts")))
+    if near_copies_once:
+        texts = rows.select("host", "h", "document", "tag").distinct()
+        documents = texts.groupBy("host", "h", "document").agg(F.count(F.lit(1)).alias("texts"))
+    else:
+        documents = rows.select("host", "h", "document").distinct().withColumn("texts", F.lit(1))
+    counted = documents.groupBy("host", "h").agg(F.count(F.lit(1)).alias("documents"), F.sum("texts").alias("texts"))
+    common = counted.where((F.col("documents") > max_documents) & (2 * F.col("documents") > F.col("texts")))
     named = common.select(F.col("host").alias("c_host"), F.col("h").alias("c_h"))
     hit = rows.join(named, (rows["h"] == named["c_h"]) & rows["host"].eqNullSafe(named["c_host"]), "left_semi")
     # Rows alike in id and text repeat their lines: count each place once.
@@ -118,6 +122,7 @@ def removed_lines(
 def quality(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source",
     min_words: int = 10, max_repeat_percent: int = 20, max_documents: int = 20, min_left_percent: int = 20,
+    near_copies_once: bool = False,
 ) -> DataFrame:
     """One row per document: id, the figures, ``base_failed``, ``n_line_words``, ``kept`` and ``tag``.
 
@@ -129,7 +134,7 @@ def quality(
     figures = docs.select(F.col(id_col).alias(id_col), text_tag(text_col).alias("tag"), *[
         c.alias(name) for name, c in text_figures(text_of(text_col)).items()
     ])
-    lines = removed_lines(docs, id_col, text_col, host_col, max_documents).select(
+    lines = removed_lines(docs, id_col, text_col, host_col, max_documents, near_copies_once).select(
         F.col("id").alias("_k_id"), F.col("tag").alias("_k_tag"), "removed"
     )
     joined = figures.join(lines, figures[id_col].eqNullSafe(lines["_k_id"]) & (figures["tag"] == lines["_k_tag"]), "left")
