@@ -17,8 +17,8 @@ from tidewake.session import shared_dir
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop documents that fail the base rules or consist of their source's boilerplate lines."""
-    return quality.drop_low_quality(docs)
+    """Remove their source's boilerplate lines; drop documents that fail the base rules or consist of such lines."""
+    return quality.clean_documents(docs, size_col="n_chars")
 
 
 def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

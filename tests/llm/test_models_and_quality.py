@@ -6,6 +6,7 @@ import duckdb
 import numpy as np
 import pytest
 
+import corpus_pipeline
 from tests.conftest import SMALL
 from tests.llm.helpers import documents, odd_rows, words
 from tidewake.llm import language_id, quality, toxicity
@@ -200,3 +201,37 @@ def test_query_spares_near_copies(spark):
     rows = out.select(*relation.columns).collect()
     assert collections.Counter(map(tuple, rows)) == collections.Counter(relation.fetchall())
     assert all(r.kept and r.n_line_words == 0 for r in rows)
+
+
+def own_line(i, n):
+    """Different words, also with all digits alike."""
+    return " ".join("abcdefghijklmnopqrstuvwxyzäöüßéñ"[i] + "no"[k % 2] * (k + 1) for k in range(n))
+
+
+def test_cleaned_texts(spark):
+    """Lines above the limit go wherever they stand, repeated rows included; all else stays as it is."""
+    shared = "a line that\tall pages of the host share"
+    rows, want = odd_rows(), {}
+    for i in range(30):
+        body = own_line(i, 120)
+        parts = [["", body, "  ", shared.upper(), body[::-1], ""], [shared, body], [body, shared, " " + shared], [body]][i % 4]
+        want[7000 + i] = "\n".join(x for x in parts if " ".join(x.lower().split()) != " ".join(shared.split()))
+        rows += [(7000 + i, "\n".join(parts), "h")] * (1 + i % 2)
+    docs = documents(spark, rows)
+    out = quality.clean_documents(docs, size_col="n_chars")
+    assert out.columns == docs.columns and out.dtypes == docs.dtypes
+    rows = out.collect()
+    assert collections.Counter(r.doc_id for r in rows if (r.doc_id or 0) >= 7000) == {i: 1 + i % 2 for i in want}
+    assert all(r.text == want[r.doc_id] and r.n_chars == len(r.text) for r in rows if (r.doc_id or 0) >= 7000)
+    # Other rows are those that the rules keep, untouched; so is everything else of a row.
+    def rest(frame):
+        return collections.Counter(map(tuple, frame.where("doc_id is null or doc_id < 7000").collect()))
+    assert rest(out) == rest(quality.drop_low_quality(docs))
+    assert all(tuple(r)[5:] == ("t", "i", "s", "k", "b", "r", "x") for r in rows)
+    assert quality.clean_documents(docs.limit(0)).count() == 0
+
+
+def test_pipeline_removes_lines(spark):
+    rows = [(i, "the common line of all pages here\n" + own_line(i, 30), "h") for i in range(25)]
+    out = corpus_pipeline.STAGES[0][1](spark, documents(spark, rows), SMALL).collect()
+    assert {r.doc_id: (r.text, r.n_chars) for r in out} == {i: (t.split("\n")[1], len(t.split("\n")[1])) for i, t, _ in rows}

@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewake.llm.common import SPACES, keep_rows, replaced, text_of, text_tag, word_array
+from tidewake.llm.common import SPACES, fresh, keep_rows, replaced, text_of, text_tag, word_array
 from tidewake.session import materialize
 
 SYMBOLS = "#*$%&|<>"
@@ -88,20 +88,20 @@ def _normal(words: Column) -> Column:
 def removed_lines(
     docs: DataFrame, id_col: str, text_col: str, host_col: str, max_documents: int, near_copies_once: bool = False,
 ) -> DataFrame:
-    """Words in removed lines for each (id, tag) that has any: ``id``, ``tag``, ``removed``."""
-    def line(x: Column) -> Column:
+    """Removed lines for each (id, tag) that has any: ``id``, ``tag``, words ``removed`` and ascending places ``removed_at``."""
+    def line(x: Column, at: Column) -> Column:
         return _let(word_array(x), lambda ws: F.struct(
-            F.unhex(F.substring(F.md5(_normal(ws).cast("binary")), 1, 16)).alias("h"), F.size(ws).alias("w"),
+            F.unhex(F.substring(F.md5(_normal(ws).cast("binary")), 1, 16)).alias("h"), F.size(ws).alias("w"), at.alias("at"),
         ))
 
     per_document = docs.select(
         F.col(id_col).alias("id"), text_tag(text_col).alias("tag"), F.col(host_col).cast("string").alias("host"),
-        F.transform(_lines(text_of(text_col)), line).alias("lines"),
+        F.filter(F.transform(F.split(text_of(text_col), "\n", -1), line), lambda x: x["w"] > 0).alias("lines"),
     )
     hashes = F.transform("lines", lambda x: x["h"])
     document = F.concat(F.array_min(hashes), F.array_max(hashes)) if near_copies_once else F.xxhash64(hashes)
-    rows = per_document.select("id", "tag", "host", document.alias("document"), F.posexplode("lines").alias("at", "line")).select(
-        "id", "tag", "host", "document", "at", F.col("line.h").alias("h"), F.col("line.w").alias("w")
+    rows = per_document.select("id", "tag", "host", document.alias("document"), F.explode("lines").alias("line")).select(
+        "id", "tag", "host", "document", F.col("line.at").alias("at"), F.col("line.h").alias("h"), F.col("line.w").alias("w")
     )
     # Hashes of all lines, without their texts: counted and looked up.
     rows = materialize(rows, "lines")
@@ -115,8 +115,24 @@ def removed_lines(
     named = common.select(F.col("host").alias("c_host"), F.col("h").alias("c_h"))
     hit = rows.join(named, (rows["h"] == named["c_h"]) & rows["host"].eqNullSafe(named["c_host"]), "left_semi")
     # Rows alike in id and text repeat their lines: count each place once.
-    repeats = F.count(F.lit(1)) / F.size(F.collect_set("at"))
-    return hit.groupBy("id", "tag").agg((F.sum("w") / repeats).cast("bigint").alias("removed"))
+    places = F.collect_set("at")
+    repeats = F.count(F.lit(1)) / F.size(places)
+    return hit.groupBy("id", "tag").agg((F.sum("w") / repeats).cast("bigint").alias("removed"), F.array_sort(places).alias("removed_at"))
+
+
+def without_lines(text: Column, places: Column) -> Column:
+    """The text without the lines at the given ascending places, counted from 0; blank lines stay."""
+    def rest(x: Column) -> Column:
+        def before(end: Column, k: Column) -> Column:
+            start = F.coalesce(F.get(x["ends"], k - 1), F.lit(-1)) + 1
+            return F.slice(x["lines"], start + 1, end - start)
+
+        return F.array_join(F.flatten(F.transform(x["ends"], before)), "\n")
+
+    def ends(lines: Column) -> Column:
+        return F.struct(lines.alias("lines"), F.concat(places, F.array(F.size(lines))).alias("ends"))
+
+    return _let(_let(F.split(text, "\n", -1), ends), rest)
 
 
 def quality(
@@ -124,9 +140,10 @@ def quality(
     min_words: int = 10, max_repeat_percent: int = 20, max_documents: int = 20, min_left_percent: int = 20,
     near_copies_once: bool = False,
 ) -> DataFrame:
-    """One row per document: id, the figures, ``base_failed``, ``n_line_words``, ``kept`` and ``tag``.
+    """One row per document: id, the figures, ``base_failed``, ``n_line_words``, ``kept``, ``removed_at`` and ``tag``.
 
-    ``n_line_words`` are the words in removed lines. A document is kept if it
+    ``n_line_words`` are the words in removed lines, ``removed_at`` their places
+    among all lines of the text, from 0 (null if there are none). A document is kept if it
     passes the base rules and at least ``min_left_percent`` of its words are
     outside removed lines. A null text counts as empty, a null host is a host
     of its own. An empty table gives no rows.
@@ -135,7 +152,7 @@ def quality(
         c.alias(name) for name, c in text_figures(text_of(text_col)).items()
     ])
     lines = removed_lines(docs, id_col, text_col, host_col, max_documents, near_copies_once).select(
-        F.col("id").alias("_k_id"), F.col("tag").alias("_k_tag"), "removed"
+        F.col("id").alias("_k_id"), F.col("tag").alias("_k_tag"), "removed", "removed_at"
     )
     joined = figures.join(lines, figures[id_col].eqNullSafe(lines["_k_id"]) & (figures["tag"] == lines["_k_tag"]), "left")
     removed = F.coalesce("removed", F.lit(0)).cast("bigint")
@@ -143,16 +160,38 @@ def quality(
     left = F.col("n_words") - F.col("n_line_words")
     return joined.withColumns({"base_failed": failed, "n_line_words": removed}).select(
         id_col, "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "n_line_words",
-        (~F.col("base_failed") & (100 * left >= min_left_percent * F.col("n_words"))).alias("kept"), "tag",
+        (~F.col("base_failed") & (100 * left >= min_left_percent * F.col("n_words"))).alias("kept"), "removed_at", "tag",
     )
 
 
 def drop_low_quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source", **rules) -> DataFrame:
-    """The rows of ``docs`` that the rules keep, with all their columns."""
+    """The rows of ``docs`` that the rules keep, with all their columns and whole texts."""
     decided = quality(docs, id_col, text_col, host_col, **rules)
     return keep_rows(docs, decided.where("kept"), id_col, text_col, repeated=True)
 
 
+def clean_documents(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source", size_col: str | None = None, **rules,
+) -> DataFrame:
+    """The rows of ``docs`` that the rules keep, their texts without the removed lines, other columns as they are.
+
+    ``size_col`` names a column with the length of the text; it is counted anew where lines go.
+    """
+    tag, own_id, own_tag, at = fresh(docs, "tag", "own_id", "own_tag", "removed_at")
+    decided = quality(docs, id_col, text_col, host_col, **rules).where("kept")
+    # Rows alike in id and text have one decision.
+    named = decided.select(F.col(id_col).alias(own_id), F.col("tag").alias(own_tag), F.col("removed_at").alias(at))
+    named = named.dropDuplicates([own_id, own_tag])
+    tagged = docs.withColumn(tag, text_tag(text_col))
+    found = tagged.join(named, F.col(id_col).eqNullSafe(F.col(own_id)) & (F.col(tag) == F.col(own_tag)))
+    cut = F.col(at).isNotNull()
+    cleaned = found.withColumn(text_col, F.when(cut, without_lines(F.col(text_col), F.col(at))).otherwise(F.col(text_col)))
+    if size_col is not None:
+        size = F.length(text_col).cast(docs.schema[size_col].dataType)
+        cleaned = cleaned.withColumn(size_col, F.when(cut, size).otherwise(F.col(size_col)))
+    return cleaned.select(*docs.columns)
+
+
 QUERY_SQL = r"""
 WITH d AS (
   SELECT row_number() OVER () AS rid, doc_id, source, coalesce(text, '') AS text FROM documents

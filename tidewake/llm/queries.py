@@ -53,7 +53,7 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near copies count once, as in the query's SQL."""
-    return quality.quality(_documents(spark, sf_dir), near_copies_once=True).drop("tag")
+    return quality.quality(_documents(spark, sf_dir), near_copies_once=True).drop("removed_at", "tag")
 
 
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
