@@ -1,16 +1,20 @@
 """The pipeline's stages on their own inputs, and the queries against the contract's columns."""
 
 import collections
+import re
 import zlib
 
+import duckdb
+import numpy as np
 import pytest
 from tokenizers import Tokenizer
 
 import corpus_pipeline
 from tests.conftest import SMALL
 from tests.llm.helpers import documents, linked, odd_rows, words
-from tests.llm.test_models_and_quality import brute_figures
-from tests.llm.test_tokens_and_warc import WORD_BPE, check_packing
+from tests.llm.test_models_and_quality import brute_figures, own_line, thin_rows
+from tests.llm.test_tokens_and_warc import BYTE_BPE, WORD_BPE, check_packing
+from tidewake.llm import mixing
 from tidewake.llm.queries import ORACLES, QUERIES
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -45,6 +49,57 @@ def test_stages(spark):
     check_packing(corpus_pipeline.pack(spark, once, SMALL).collect(), [(i, rows[3][i]) for i in copies])
 
 
+def brute_quality(rows):
+    """Rows (id, text, source) that stay, without lines of more than 20 distinct documents of a source."""
+    def normal(line):
+        return re.sub("[1-9]", "0", " ".join(words(line)).lower())
+
+    carriers, out = collections.defaultdict(set), []
+    for _, t, s in rows:
+        lines = tuple(normal(x) for x in (t or "").split("\n") if words(x))
+        for x in lines:
+            carriers[s, x].add(lines)
+    for i, t, s in rows:
+        n, _, _, _, repeated = brute_figures(t)
+        lines = (t or "").split("\n")
+        gone = [bool(words(x)) and len(carriers[s, normal(x)]) > 20 for x in lines]
+        removed = sum(len(words(x)) for x, g in zip(lines, gone) if g)
+        if n >= 10 and 100 * repeated <= 20 * n and 100 * (n - removed) >= 20 * n:
+            out.append((i, "\n".join(x for x, g in zip(lines, gone) if not g) if any(gone) else t, s))
+    return out
+
+
+def test_stages_row_for_row(spark):
+    """Quality by brute force, mixing by its SQL and packing on the rows as the mix repeats them."""
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet").select(*COLUMNS)
+    extra = [(10**6 + i, t, s) for i, t, s in thin_rows()]
+    extra += [(2 * 10**6 + i, f"A common line of page {10 + i}\n" + own_line(i, 40), "lined") for i in range(30)]
+    docs = docs.unionByName(spark.createDataFrame([(i, t, "en", s, len(t)) for i, t, s in extra], docs.schema))
+    stages = dict(corpus_pipeline.STAGES)
+    good = stages["quality"](spark, docs, SMALL).cache()
+    want = brute_quality([(r.doc_id, r.text, r.source) for r in docs.collect()])
+    assert collections.Counter((r.doc_id, r.text, r.source) for r in good.collect()) == collections.Counter(want)
+    assert sum(s == "lined" and "common" not in t for _, t, s in want) == 30 and not any(s == "thin" for _, _, s in want)
+
+    mixed = stages["mixing"](spark, good, SMALL).cache()
+    con = duckdb.connect()
+    con.register("documents", good.select("doc_id", "text", "source").toPandas())
+    copies = {i: taken // size for i, size, _, _, taken in con.sql(mixing.QUERY_SQL).fetchall() if taken}
+    known = {r.doc_id: tuple(r) for r in good.collect()}
+    assert collections.Counter(map(tuple, mixed.collect())) == collections.Counter({known[i]: n for i, n in copies.items()})
+
+    full = Tokenizer.from_file(BYTE_BPE)
+    ids = {i: np.array(full.encode(known[i][1], add_special_tokens=False).ids + [0], "<u4") for i in copies}
+    times, filled = {i: np.zeros(len(x), int) for i, x in ids.items()}, collections.Counter()
+    for p in stages["packing"](spark, mixed, SMALL).collect():
+        assert p.doc_tokens == len(ids[p.doc_id])
+        assert p.ids_crc32 == zlib.crc32(ids[p.doc_id][p.start:p.start + p.length].tobytes())
+        times[p.doc_id][p.start:p.start + p.length] += 1
+        filled[p.sequence_id] += p.length
+    assert all((times[i] == n).all() for i, n in copies.items())
+    assert sorted(filled) == list(range(len(filled))) and all(filled[k] == 1024 for k in range(len(filled) - 1))
+
+
 @pytest.mark.parametrize("rows", [odd_rows(), []])
 def test_stages_on_odd_documents(spark, rows):
     """Nulls, empty and long texts, repeated rows, no rows, and columns with the names that operators use."""
