@@ -106,13 +106,20 @@ def _(fx):
     return unknown.select("seq", "mmsi", "imo_number", "name")
 
 
+# Files of a micro-batch, each written by a task of its own.
+BATCH_FILES = 8
+
+
 def in_batches(fx, raw, n):
-    """The same messages as a stream of ``n`` micro-batches, oldest first."""
+    """The same messages as a stream of ``n`` micro-batches, oldest first, each in the same number of files."""
     path, last = shared_dir(fx.spark, "landed"), raw.agg(F.max("seq")).first()[0]
-    for i in range(n):
-        part = raw.where((F.col("seq") * n >= i * (last + 1)) & (F.col("seq") * n < (i + 1) * (last + 1)))
-        part.coalesce(1).write.mode("append").parquet(path)
-    return fx.spark.readStream.schema(raw.schema).option("maxFilesPerTrigger", 1).parquet(path)
+    parts = [raw.where((F.col("seq") * n >= i * (last + 1)) & (F.col("seq") * n < (i + 1) * (last + 1))) for i in range(n)]
+    # No file is empty, and so left out, if some task deals out a row to each: sure with this many rows.
+    enough = BATCH_FILES * raw.rdd.getNumPartitions()
+    files = BATCH_FILES if all(p.count() >= enough for p in parts) else 1
+    for part in parts:
+        part.repartition(files).write.mode("append").parquet(path)
+    return fx.spark.readStream.schema(raw.schema).option("maxFilesPerTrigger", files).parquet(path)
 
 
 @query("stream_identity_batches", given("routed", "statics") + """

@@ -220,3 +220,19 @@ def test_trigger_of_ten_seconds(spark, fx, slices, tmp_path):
         assert query.isActive and query.lastProgress["numInputRows"] > 0
     finally:
         query.stop()
+
+
+def test_batches_are_written_by_several_tasks(fx):
+    """Each micro-batch has its own range of messages in several files; few messages go into one file."""
+    from checks.streams import BATCH_FILES, in_batches
+
+    for count, files in ((3000, BATCH_FILES), (6, 1), (3 * BATCH_FILES - 1, 1)):
+        raw, seen = fx.spark.range(count, numPartitions=1).withColumnRenamed("id", "seq"), []
+
+        def take(batch, _):
+            rows = batch.select("seq", F.input_file_name().alias("file")).collect()
+            seen.append((len({r.file for r in rows}), sorted(r.seq for r in rows)))
+
+        in_batches(fx, raw, 3).writeStream.foreachBatch(take).trigger(availableNow=True).start().awaitTermination()
+        assert [f for f, _ in seen] == [files] * 3
+        assert [x for _, xs in seen for x in xs] == list(range(count))
