@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewake.llm import exact_dedup, language_id, mixing, near_dedup, packing, quality, substring_dedup, token_counts, toxicity, warc
+from tidewake.llm import exact_dedup, language_id, mixing, near_dedup, packing, quality, simhash_dedup, substring_dedup, token_counts, toxicity, warc
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -60,7 +60,11 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive_round_trip(spark.read.parquet(f"{sf_dir}/pages.parquet"))
 
 
-QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_substring_dedup, op3_mixing, op4_packing, op5_language_id, op6_near_dedup, op7_toxicity, op8_token_counts, op9_quality, op10_warc)}
+def op11_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_dedup.simhash_dedup(_documents(spark, sf_dir))
+
+
+QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_substring_dedup, op3_mixing, op4_packing, op5_language_id, op6_near_dedup, op7_toxicity, op8_token_counts, op9_quality, op10_warc, op11_simhash_dedup)}
 
 ORACLES = {
     "op1_exact_dedup": exact_dedup.QUERY_SQL,
