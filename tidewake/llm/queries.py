@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewake.llm import exact_dedup, language_id, mixing, near_dedup, packing, quality, simhash_dedup, substring_dedup, token_counts, toxicity, warc
+from tidewake.llm import conversation_repair, exact_dedup, language_id, merkle, mixing, near_dedup, packing, quality, simhash_dedup, substring_dedup, token_counts, toxicity, warc
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -52,8 +52,7 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Near copies count once, as in the query's SQL."""
-    return quality.quality(_documents(spark, sf_dir), near_copies_once=True).drop("removed_at", "tag")
+    return quality.quality(_documents(spark, sf_dir)).drop("removed_at", "tag")
 
 
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -64,7 +63,17 @@ def op11_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_dedup.simhash_dedup(_documents(spark, sf_dir))
 
 
-QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_substring_dedup, op3_mixing, op4_packing, op5_language_id, op6_near_dedup, op7_toxicity, op8_token_counts, op9_quality, op10_warc, op11_simhash_dedup)}
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = merkle.merkle_manifest(_documents(spark, sf_dir), merkle.DOCUMENT, current=merkle.tampered_documents())
+    return found.drop("proof")
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    return conversation_repair.repair_conversations(conversation_repair.damaged(conversations), named=conversations)
+
+
+QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_substring_dedup, op3_mixing, op4_packing, op5_language_id, op6_near_dedup, op7_toxicity, op8_token_counts, op9_quality, op10_warc, op11_simhash_dedup, op12_merkle_manifest, op13_conversation_repair)}
 
 ORACLES = {
     "op1_exact_dedup": exact_dedup.QUERY_SQL,
@@ -72,4 +81,6 @@ ORACLES = {
     "op3_mixing": mixing.QUERY_SQL,
     "op9_quality": quality.QUERY_SQL,
     "op10_warc": warc.QUERY_SQL,
+    "op12_merkle_manifest": merkle.QUERY_SQL,
+    "op13_conversation_repair": conversation_repair.QUERY_SQL,
 }
