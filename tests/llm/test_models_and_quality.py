@@ -10,6 +10,7 @@ import corpus_pipeline
 from tests.conftest import SMALL
 from tests.llm.helpers import documents, odd_rows, words
 from tidewake.llm import language_id, quality, toxicity
+from tidewake.llm.queries import ORACLES, QUERIES
 
 
 def test_viterbi_is_best():
@@ -191,16 +192,18 @@ def test_thin_pages_are_depleted(spark, shared, own):
     assert all(r.kept and r.n_line_words == 0 for r in quality.quality(documents(spark, few)).collect())
 
 
-def test_query_spares_near_copies(spark):
-    """The query's SQL counts near copies once, so pages of 8 shared lines and 1 of their own stay."""
-    docs = documents(spark, thin_rows())
+def test_query_depletes_thin_pages(spark, tmp_path):
+    """The registered query itself: 400 pages of eight shared lines and one of their own lose those lines and are rejected; its SQL agrees."""
+    docs = documents(spark, thin_rows(pages=400) + thin_rows(10, 2, 400, "wide") + odd_rows())
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    out = QUERIES["op9_quality"](spark, str(tmp_path))
     con = duckdb.connect()
     con.register("documents", docs.select("doc_id", "text", "source").toPandas())
-    relation = con.sql(quality.QUERY_SQL)
-    out = quality.quality(docs, near_copies_once=True)
+    relation = con.sql(ORACLES["op9_quality"])
     rows = out.select(*relation.columns).collect()
     assert collections.Counter(map(tuple, rows)) == collections.Counter(relation.fetchall())
-    assert all(r.kept and r.n_line_words == 0 for r in rows)
+    found = [r for r in rows if (r.doc_id or 0) >= 5000]
+    assert len(found) == 800 and not any(r.kept for r in found) and {r.n_line_words for r in found} == {48, 60}
 
 
 def own_line(i, n):

@@ -6,9 +6,7 @@ that host and is removed; a document of which too little is left is rejected.
 
 Documents with equal normalised lines count once. Near copies count each: a page
 of boilerplate with one line of its own and a copy with one line edited look
-alike. With ``near_copies_once`` documents alike in their smallest and in their
-largest line hash count once, and a line most of whose documents are such near
-copies is left alone; so is the boilerplate of hosts whose pages hold little else.
+alike.
 
 Everything is DataFrame expressions. Line rows carry hashes rather than texts,
 and all counts combine on the map side, so a line that a third of all documents
@@ -85,9 +83,7 @@ def _normal(words: Column) -> Column:
     return F.regexp_replace(F.lower(F.array_join(words, " ")), "[1-9]", "0")
 
 
-def removed_lines(
-    docs: DataFrame, id_col: str, text_col: str, host_col: str, max_documents: int, near_copies_once: bool = False,
-) -> DataFrame:
+def removed_lines(docs: DataFrame, id_col: str, text_col: str, host_col: str, max_documents: int) -> DataFrame:
     """Removed lines for each (id, tag) that has any: ``id``, ``tag``, words ``removed`` and ascending places ``removed_at``."""
     def line(x: Column, at: Column) -> Column:
         return _let(word_array(x), lambda ws: F.struct(
@@ -98,20 +94,14 @@ def removed_lines(
         F.col(id_col).alias("id"), text_tag(text_col).alias("tag"), F.col(host_col).cast("string").alias("host"),
         F.filter(F.transform(F.split(text_of(text_col), "\n", -1), line), lambda x: x["w"] > 0).alias("lines"),
     )
-    hashes = F.transform("lines", lambda x: x["h"])
-    document = F.concat(F.array_min(hashes), F.array_max(hashes)) if near_copies_once else F.xxhash64(hashes)
+    document = F.xxhash64(F.transform("lines", lambda x: x["h"]))
     rows = per_document.select("id", "tag", "host", document.alias("document"), F.explode("lines").alias("line")).select(
         "id", "tag", "host", "document", F.col("line.at").alias("at"), F.col("line.h").alias("h"), F.col("line.w").alias("w")
     )
     # Hashes of all lines, without their texts: counted and looked up.
     rows = materialize(rows, "lines")
-    if near_copies_once:
-        texts = rows.select("host", "h", "document", "tag").distinct()
-        documents = texts.groupBy("host", "h", "document").agg(F.count(F.lit(1)).alias("texts"))
-    else:
-        documents = rows.select("host", "h", "document").distinct().withColumn("texts", F.lit(1))
-    counted = documents.groupBy("host", "h").agg(F.count(F.lit(1)).alias("documents"), F.sum("texts").alias("texts"))
-    common = counted.where((F.col("documents") > max_documents) & (2 * F.col("documents") > F.col("texts")))
+    documents = rows.select("host", "h", "document").distinct()
+    common = documents.groupBy("host", "h").agg(F.count(F.lit(1)).alias("documents")).where(F.col("documents") > max_documents)
     named = common.select(F.col("host").alias("c_host"), F.col("h").alias("c_h"))
     hit = rows.join(named, (rows["h"] == named["c_h"]) & rows["host"].eqNullSafe(named["c_host"]), "left_semi")
     # Rows alike in id and text repeat their lines: count each place once.
@@ -138,7 +128,6 @@ def without_lines(text: Column, places: Column) -> Column:
 def quality(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source",
     min_words: int = 10, max_repeat_percent: int = 20, max_documents: int = 20, min_left_percent: int = 20,
-    near_copies_once: bool = False,
 ) -> DataFrame:
     """One row per document: id, the figures, ``base_failed``, ``n_line_words``, ``kept``, ``removed_at`` and ``tag``.
 
@@ -151,7 +140,7 @@ def quality(
     figures = docs.select(F.col(id_col).alias(id_col), text_tag(text_col).alias("tag"), *[
         c.alias(name) for name, c in text_figures(text_of(text_col)).items()
     ])
-    lines = removed_lines(docs, id_col, text_col, host_col, max_documents, near_copies_once).select(
+    lines = removed_lines(docs, id_col, text_col, host_col, max_documents).select(
         F.col("id").alias("_k_id"), F.col("tag").alias("_k_tag"), "removed", "removed_at"
     )
     joined = figures.join(lines, figures[id_col].eqNullSafe(lines["_k_id"]) & (figures["tag"] == lines["_k_tag"]), "left")
@@ -205,12 +194,12 @@ WITH d AS (
 ), covered AS (
   SELECT rid, count(DISTINCT i + k) AS n_repeat_words FROM twice, (SELECT unnest(range(0, 5)) AS k) GROUP BY rid
 ), l AS (
-  SELECT rid, source, text, substr(md5(regexp_replace(lower(trim(regexp_replace(x, '[\x20\x09-\x0D]+', ' ', 'g'))), '[1-9]', '0', 'g')), 1, 16) AS h,
-    len(regexp_extract_all(x, '[^\x20\x09-\x0D]+')) AS n FROM (SELECT rid, source, text, unnest(lines) AS x FROM w)
+  SELECT rid, source, place, substr(md5(regexp_replace(lower(trim(regexp_replace(x, '[\x20\x09-\x0D]+', ' ', 'g'))), '[1-9]', '0', 'g')), 1, 16) AS h,
+    len(regexp_extract_all(x, '[^\x20\x09-\x0D]+')) AS n FROM (SELECT rid, source, unnest(lines) AS x, unnest(range(len(lines))) AS place FROM w)
 ), a AS (
-  SELECT *, min(h) OVER (PARTITION BY rid) || max(h) OVER (PARTITION BY rid) AS alike FROM l
+  SELECT l.*, document FROM l JOIN (SELECT rid, md5(string_agg(h, '' ORDER BY place)) AS document FROM l GROUP BY rid) USING (rid)
 ), common AS (
-  SELECT source, h FROM a GROUP BY source, h HAVING count(DISTINCT alike) > 20 AND 2 * count(DISTINCT alike) > count(DISTINCT text)
+  SELECT source, h FROM a GROUP BY source, h HAVING count(DISTINCT document) > 20
 ), removed AS (
   SELECT a.rid, sum(n) AS removed FROM a JOIN common c ON a.h = c.h AND a.source IS NOT DISTINCT FROM c.source GROUP BY a.rid
 ), f AS (
