@@ -150,10 +150,16 @@ class Manifest:
 _POINTER = ("up_tree", "up_level", "up_place")
 
 
+# Level that roots point to. Their tree and place stay their own, so that they spread over the tasks of a join.
+NOWHERE = -1
+
+
 def _pointed(nodes: DataFrame) -> DataFrame:
     """Point to the parent; roots point nowhere."""
-    up = {"up_tree": F.col("tree"), "up_level": F.col("level") + 1, "up_place": F.shiftright("place", 1)}
-    return nodes.withColumns({name: F.when(~F.col("last"), value) for name, value in up.items()})
+    return nodes.withColumns({
+        "up_tree": F.col("tree"), "up_level": F.when(F.col("last"), NOWHERE).otherwise(F.col("level") + 1),
+        "up_place": F.when(F.col("last"), F.col("place")).otherwise(F.shiftright("place", 1)),
+    })
 
 
 def build(rows: DataFrame) -> Manifest:
@@ -181,12 +187,10 @@ def _jumped(left: DataFrame, right: DataFrame) -> DataFrame:
         F.col("tree").alias("r_tree"), F.col("level").alias("r_level"), F.col("place").alias("r_place"),
         *[F.col(c).alias(f"r_{c}") for c in _POINTER], F.col("segment").alias("r_segment"),
     )
-    going = left.where(F.col("up_tree").isNotNull())
     met = (F.col("up_tree") == F.col("r_tree")) & (F.col("up_level") == F.col("r_level")) & (F.col("up_place") == F.col("r_place"))
-    moved = going.join(ahead, met).withColumns({
-        "segment": F.concat("segment", "r_segment"), **{c: F.col(f"r_{c}") for c in _POINTER},
+    return left.join(ahead, met, "left").withColumns({
+        "segment": F.concat("segment", F.coalesce("r_segment", F.lit(b""))), **{c: F.coalesce(f"r_{c}", c) for c in _POINTER},
     }).select(*left.columns)
-    return moved.unionByName(left.where(F.col("up_tree").isNull()))
 
 
 def proofs(manifest: Manifest) -> DataFrame:
