@@ -224,7 +224,9 @@ def _repaired(keyed: DataFrame, edits: DataFrame) -> DataFrame:
     """Edits with the role and text they leave: both null for deleted rows."""
     # Equal rows have one text; rows of one conversation lie wherever their keys do.
     texts = keyed.select("key", F.struct("role", "text").alias("own")).groupBy("key").agg(F.first("own").alias("own"))
-    met = edits.join(texts.withColumnRenamed("key", "t_key"), F.col("key") == F.col("t_key"), "left")
+    # Inserts have no text; a key of their own spreads them.
+    spread = edits.withColumn("key", F.coalesce("key", F.encode(F.concat_ws(":", "conv", "at", "sub"), "utf-8")))
+    met = spread.join(texts.withColumnRenamed("key", "t_key"), F.col("key") == F.col("t_key"), "left")
     gone = F.col("edit") == grammar.DELETE
     return met.select(
         "conv", "at", "sub", "edit", "cost", F.when(~gone, F.coalesce("new_role", "own.role")).alias("role"),
