@@ -3,6 +3,7 @@
 import datetime as dt
 import statistics
 
+import numpy as np
 import pytest
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
@@ -45,14 +46,14 @@ def stored(spark, fx, tmp_path):
     return spark.read.parquet(str(tmp_path / "positions")), ports
 
 
-def test_pollution_reads_the_ranges_and_little_else(spark, stored):
-    """Reports are read from their stored time ranges: the window's shuffle, the daily one, and the summary's two small ones."""
+def test_pollution_exchanges_its_reports_once(spark, stored):
+    """Reports go through one exchange, by ship, and their days and countries through another; few columns are read."""
     positions, ports = stored
     daily = pp.daily_pollution(pp.pollution(positions, ports))
     text = plan(daily)
-    assert text.count("Exchange hashpartitioning") <= 4
+    assert text.count("Exchange hashpartitioning") == 2 and "rangepartitioning" not in text
     assert "NestedLoop" not in text and "CartesianProduct" not in text
-    assert all("/ranges-" in part.split("\n")[0] for part in text.split("FileScan parquet")[1:])
+    assert text.count("FileScan parquet") == 1
     scan = text.split("FileScan parquet")[1].split("\n")[0]
     assert "destination" not in scan and "true_heading" not in scan
 
@@ -75,9 +76,9 @@ def test_box_reaches_the_scan(spark, stored):
     assert "GreaterThanOrEqual(latitude,51.0)" in text and "LessThanOrEqual(longitude,9.0)" in text
 
 
-def test_windows_are_cut_by_range(stored):
-    """No window runs over a whole key: rows are windowed per (key, range), only summaries per key."""
-    text = plan(temporal.hours_since_previous(stored[0]).select("id", "time_diff"))
+def test_large_keys_are_cut(stored):
+    """Rows are windowed per (key, piece); over whole keys run only the summaries, of one row a piece."""
+    text = plan(temporal.hours_since_previous(stored[0], piece_rows=5).select("id", "time_diff"))
     windows = [line for line in text.split("\n") if "- Window [" in line]
     assert len(windows) == 2 and sum("_piece" in w.split("], [")[1] for w in windows) == 1
 
@@ -104,8 +105,8 @@ def job(spark, daily):
 
 
 def test_forecast_shape(job, daily):
-    features, fitted, ahead = job
-    assert features.count() == 2 * 31 and fitted.count() == 2 * 31
+    ahead = job.ahead()
+    assert job.features.count() == 2 * 31 and job.fitted().count() == 2 * 31
     rows = ahead.orderBy("country", "date").collect()
     assert len(rows) == 2 * 31 and {r["country"] for r in rows} == {"NL", "DE"}
     assert rows[0]["date"] == dt.date(2024, 2, 14)
@@ -115,31 +116,64 @@ def test_forecast_shape(job, daily):
 
 
 def test_forecast_repeats_under_seed(spark, daily, job):
-    again = fc.forecast_job(daily, trees=7)[2]
-    assert sorted(map(tuple, again.collect())) == sorted(map(tuple, job[2].collect()))
+    again = fc.forecast_job(daily, trees=7).ahead()
+    assert sorted(map(tuple, again.collect())) == sorted(map(tuple, job.ahead().collect()))
 
 
 def test_recursion_follows_the_lag_rule():
-    # 10 where lag_7 is at most 50, 90 otherwise.
+    # One tree: 10 where lag_7 is at most 50, 90 otherwise.
     past = [float(v) for v in (0, 0, 0, 0, 0, 0, 0, 40, 60, 40, 60, 40, 60, 40)]
-    calendar = [{"step": i, "day_of_week": 0, "month": 1, "day": 1} for i in range(10)]
-    assert fc.recursion(lambda x: 10.0 if x[4] <= 50 else 90.0, calendar, past) == [10, 90, 10, 90, 10, 90, 10, 10, 90, 10]
+    calendar = np.array([(i, 0, 1, 1) for i in range(10)])
+    lines = fc.recursion(lambda x: np.where(x[:, 4] <= 50, 10.0, 90.0), 1, calendar, past)
+    assert lines[:, 0].tolist() == lines[:, 1].tolist() == [10, 90, 10, 90, 10, 90, 10, 10, 90, 10]
 
 
-def test_forecast_uses_the_fitted_model(daily):
-    features = fc.forecast_features(daily)
-    models = fc.fit_forests(features, trees=5)
-    first = fc.forecast(models, daily.where("country <> 'INTERNATIONAL'"), offset=1).where("country = 'NL'").orderBy("date").first()
-    past = [r["pollution"] for r in daily.where("country = 'NL'").orderBy("date").collect()]
-    day = first["date"]
-    vector = [float(day.weekday()), float(day.month), float(day.day), past[-1], past[-7], past[-14]]
-    assert first["prediction"] == pytest.approx(models["NL"].predict(Vectors.dense(vector)))
-    trees = [t.predict(Vectors.dense(vector)) for t in models["NL"].trees]
-    assert first["std"] == pytest.approx(statistics.pstdev(trees))
+def driver_loop(model, past, first, offset, horizon=31):
+    """Day by day, vector by vector, with the model's own ``predict``."""
+    line = list(past)
+    for step in range(horizon):
+        day = first + dt.timedelta(days=offset + step)
+        lags = [line[len(past) + step - k] for k in fc.LAGS]
+        line.append(model.predict(Vectors.dense([day.weekday(), day.month, day.day, *lags])))
+    return line[len(past):]
+
+
+@pytest.mark.parametrize("offset", [0, 1])
+def test_forecast_equals_the_models_own_predictions(job, daily, offset):
+    """Every tree runs its own recursion, the mean of all trees another; values agree with a loop over the fitted models."""
+    found = job.ahead(offset=offset).collect()
+    for country, model in job.models.items():
+        past = [r["pollution"] for r in daily.where(F.col("country") == country).orderBy("date").collect()]
+        rows = sorted((r for r in found if r["country"] == country), key=lambda r: r["date"])
+        own = (past[-14:], dt.date(2024, 2, 14), offset)
+        assert [r["prediction"] for r in rows] == pytest.approx(driver_loop(model, *own), abs=1e-9)
+        trees = zip(*(driver_loop(tree, *own) for tree in model.trees))
+        assert [r["std"] for r in rows] == pytest.approx([statistics.pstdev(values) for values in trees], abs=1e-9)
+        assert len({len(t._call_java("toDebugString")) for t in model.trees}) > 1  # the trees differ
+
+
+def test_forecast_loops_over_nothing_on_the_driver(job, monkeypatch):
+    """No prediction and no rows on the driver: the plan is a grouped map over nodes and calendars."""
+    from pyspark.ml.regression import DecisionTreeRegressionModel, RandomForestRegressionModel
+    from pyspark.sql.classic.dataframe import DataFrame as Frame
+
+    def never(*_):
+        raise AssertionError("on the driver")
+
+    for model in (DecisionTreeRegressionModel, RandomForestRegressionModel):
+        monkeypatch.setattr(model, "predict", never, raising=False)
+    monkeypatch.setattr(Frame, "collect", never)
+    ahead = job.ahead()
+    assert "FlatMapCoGroupsInPandas" in ahead._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_one_series_or_none(daily):
+    short = daily.where("country = 'NL'").limit(10)
+    assert fc.forecast_job(short, trees=2).models == {}
 
 
 def test_scale_and_errors(job):
-    features, fitted, ahead = job
+    features, fitted, ahead = job.features, job.fitted(), job.ahead()
     scale = fc.common_scale(features, ahead).first()
     assert scale["max_pollution"] >= ahead.agg(F.max("prediction")).first()[0]
     assert scale["min_pollution"] <= features.agg(F.min("pollution")).first()[0]

@@ -1,18 +1,31 @@
-"""Daily pollution forecast per series: random forests, recursive prediction, uncertainty bands."""
+"""Daily pollution forecast per series: random forests, recursive prediction, uncertainty bands.
+
+Fitted forests become a table of tree nodes. The recursion over the horizon runs
+in the executors, one task per series: each tree carries its own line of
+predictions, and one more line carries the mean of all trees.
+"""
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass, field
 
+import numpy as np
+import pandas as pd
+from pyspark import cloudpickle
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.linalg import Vectors
 from pyspark.ml.regression import RandomForestRegressionModel, RandomForestRegressor
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewake.operators.temporal import future_calendar, lag_features, trailing_values
+from tidewake.session import shared_dir
+
+# Python workers may not have the library on their path.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 LAGS = (1, 7, 14)
 FEATURES = ["day_of_week", "month", "day", "lag_1", "lag_7", "lag_14"]
@@ -31,10 +44,12 @@ def _assemble(features: DataFrame) -> DataFrame:
 
 def fit_forests(
     features: DataFrame, series: str = "country", trees: int = 100, seed: int = 42, max_depth: int = 30,
-    max_bins: int = 1024, parallelism: int = 4,
+    max_bins: int = 1024, parallelism: int = 4, bootstrap: bool = True,
 ) -> dict[str, RandomForestRegressionModel]:
     """One random forest per series, each fitted as Spark jobs; several are in flight at a time.
 
+    Without ``bootstrap`` every tree sees all rows, so the fit is the same under any seed.
+
     Series are countries: the loop grows with their number, not with the reports.
     Trees grow as deep as Spark allows (30 levels), and with a bin per value up
     to 1,024 days, so that splits are as fine as the data.
@@ -42,7 +57,7 @@ def fit_forests(
     assembled = _assemble(features).select(series, "features", "pollution").persist()
     names = [row[0] for row in assembled.select(series).distinct().orderBy(series).collect()]
     forest = RandomForestRegressor(
-        labelCol="pollution", numTrees=trees, seed=seed, maxDepth=max_depth, maxBins=max_bins, featureSubsetStrategy="all",
+        labelCol="pollution", numTrees=trees, seed=seed, maxDepth=max_depth, maxBins=max_bins, featureSubsetStrategy="all", bootstrap=bootstrap,
     )
     try:
         with ThreadPoolExecutor(parallelism) as pool:
@@ -64,17 +79,62 @@ def in_sample_fit(models: dict[str, RandomForestRegressionModel], features: Data
     return fitted
 
 
-def recursion(predict: Callable[[list[float]], float], calendar: list, trailing: list[float]) -> list[float]:
-    """Day by day predictions, each feeding the lags of the later ones.
+def forest_nodes(spark: SparkSession, models: dict[str, RandomForestRegressionModel], series: str = "country", kind: str = "string") -> DataFrame:
+    """All nodes of the forests: series, ``tree``, ``id``, ``prediction``, ``left``, ``right`` (-1 at leaves), ``feature`` and ``threshold``.
+
+    The executors write them, as Spark's saved form of the models, to the shared folder.
+    """
+    base = shared_dir(spark, "forests")
+    names = list(models.items())
+    for number, (_, model) in enumerate(names):
+        model.save(f"{base}/number={number}")
+    nodes = spark.read.option("basePath", base).parquet(f"{base}/number=*/data")
+    named = spark.createDataFrame([(k, name) for k, (name, _) in enumerate(names)], f"number int, {series} {kind}")
+    return nodes.join(named, "number").select(
+        series, F.col("treeID").alias("tree"), "nodeData.id", "nodeData.prediction", F.col("nodeData.leftChild").alias("left"),
+        F.col("nodeData.rightChild").alias("right"), F.col("nodeData.split.featureIndex").alias("feature"),
+        F.get("nodeData.split.leftCategoriesOrThreshold", F.lit(0)).alias("threshold"),
+    )
+
+
+class Forest:
+    """Trees as flat arrays: children of all nodes, and where each tree's root is."""
+
+    def __init__(self, nodes: pd.DataFrame):
+        nodes = nodes.sort_values(["tree", "id"])
+        trees, first = np.unique(nodes["tree"].to_numpy(), return_index=True)
+        # Nodes of a tree are numbered from 0 without gaps.
+        start = np.repeat(first, np.diff(np.append(first, len(nodes))))
+        self.roots, self.value = first, nodes["prediction"].to_numpy()
+        self.left, self.right = (start + nodes[c].to_numpy() for c in ("left", "right"))
+        self.inner = nodes["left"].to_numpy() >= 0
+        self.feature, self.threshold = nodes["feature"].to_numpy(), nodes["threshold"].to_numpy()
+
+    def __call__(self, vectors: np.ndarray) -> np.ndarray:
+        """Each tree's value for its own vector, [tree, feature]."""
+        at, lane = self.roots, np.arange(len(self.roots))
+        while (going := self.inner[at]).any():
+            # Leaves have no feature; any will do, since they stay.
+            seen = vectors[lane, np.maximum(self.feature[at], 0)]
+            at = np.where(going, np.where(seen <= self.threshold[at], self.left[at], self.right[at]), at)
+        return self.value[at]
+
+
+def recursion(forest: Callable[[np.ndarray], np.ndarray], trees: int, calendar: np.ndarray, trailing: np.ndarray) -> np.ndarray:
+    """Day by day predictions [day, line]: a line for each tree and a last one for their mean, each feeding its own lags.
+
+    ``forest`` maps one vector per tree to one value per tree.
 
-    Observed values come first, then the own predictions: lag k of step i is
-    entry i - k of that line.
+    Observed values come first, then a line's own predictions: lag k of step i is
+    entry i - k. ``calendar`` has step, weekday, month and day.
     """
-    line, known = list(trailing), len(trailing)
-    for day in calendar:
-        lags = [line[known + day["step"] - k] for k in LAGS]
-        line.append(predict([float(day["day_of_week"]), float(day["month"]), float(day["day"]), *lags]))
-    return line[known:]
+    known = len(trailing)
+    lines = np.tile(np.asarray(trailing, float)[:, None], (1, trees + 1))
+    for step, *date in calendar:
+        lags = lines[[known + int(step) - k for k in LAGS]]
+        vectors = np.concatenate([np.tile(np.asarray(date, float)[:, None], (1, trees + 1)), lags]).T
+        lines = np.vstack([lines, np.append(forest(vectors[:-1]), forest(np.tile(vectors[-1], (trees, 1))).mean())])
+    return lines[known:]
 
 
 def forecast(
@@ -85,38 +145,36 @@ def forecast(
 
     The first day is the last observed one (``offset=0``), whose lags are then a
     day late; ``offset=1`` starts on the day after. ``std`` is the population
-    deviation between the trees, each of which runs its own recursion. Each day
-    needs the one before, so the fitted models predict vector by vector; there
-    are as many series as countries and ``horizon`` days of each.
+    deviation between the trees, each of which runs its own recursion. A task
+    has the forest, the last two weeks and the calendar of one series.
     """
+    kind = daily.schema[series].dataType.simpleString()
+    nodes = forest_nodes(daily.sparkSession, models, series, kind)
     past = trailing_values(daily, series, "date", "pollution", max(LAGS)).where(F.size("trailing") == max(LAGS))
-    calendar = future_calendar(daily, series, "date", horizon, offset).join(past, series).where(F.col(series).isin(list(models)))
-    days: dict[str, list] = {}
-    for row in calendar.orderBy(series, "step").collect():
-        days.setdefault(row[series], []).append(row)
-    mean, members = [], []
-    for name, ahead in days.items():
-        def run(model) -> list[float]:
-            return recursion(lambda x: float(model.predict(Vectors.dense(x))), ahead, ahead[0]["trailing"])
-
-        mean += [(name, day["date"], value) for day, value in zip(ahead, run(models[name]))]
-        for number, tree in enumerate(models[name].trees):
-            members += [(name, number, day["date"], value) for day, value in zip(ahead, run(tree))]
-    spark, kind = daily.sparkSession, daily.schema[series].dataType.simpleString()
-    return with_band(
-        spark.createDataFrame(mean, f"{series} {kind}, date date, prediction double"),
-        spark.createDataFrame(members, f"{series} {kind}, tree int, date date, prediction double"), series,
-    )
+    calendar = future_calendar(daily, series, "date", horizon, offset).join(past, series)
+
+    def ahead(nodes: pd.DataFrame, days: pd.DataFrame) -> pd.DataFrame:
+        if nodes.empty or days.empty:
+            return pd.DataFrame({series: [], "date": [], "prediction": [], "std": []})
+        days = days.sort_values("step")
+        forest = Forest(nodes)
+        lines = recursion(forest, len(forest.roots), days[["step", "day_of_week", "month", "day"]].to_numpy(), days["trailing"].iloc[0])
+        return pd.DataFrame({series: days[series], "date": days["date"], "prediction": lines[:, -1], "std": lines[:, :-1].std(axis=1)})
+
+    found = nodes.groupBy(series).cogroup(calendar.groupBy(series)).applyInPandas(ahead, f"{series} {kind}, date date, prediction double, std double")
+    return banded(found)
+
+
+def banded(found: DataFrame) -> DataFrame:
+    """Add the 95 % band around ``prediction``."""
+    half = F.lit(BAND) * F.col("std")
+    return found.withColumns({"lower": F.col("prediction") - half, "upper": F.col("prediction") + half})
 
 
 def with_band(mean: DataFrame, members: DataFrame, series: str = "country") -> DataFrame:
     """Add the population deviation of the ensemble members and the 95 % band to a mean prediction."""
     spread = members.groupBy(series, "date").agg(F.stddev_pop("prediction").alias("std"))
-    half = F.lit(BAND) * F.col("std")
-    return mean.join(spread, [series, "date"]).select(
-        series, "date", "prediction", "std", (F.col("prediction") - half).alias("lower"),
-        (F.col("prediction") + half).alias("upper"),
-    )
+    return banded(mean.join(spread, [series, "date"]).select(series, "date", "prediction", "std"))
 
 
 def with_last_actual(forecasted: DataFrame, daily: DataFrame, series: str = "country") -> DataFrame:
@@ -160,10 +218,22 @@ def backtest_by_series(fitted: DataFrame, series: str = "country") -> DataFrame:
     )
 
 
-def forecast_job(daily: DataFrame, trees: int = 100, seed: int = 42, horizon: int = HORIZON,
-                 offset: int = 0) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(features, in-sample fit, forecast) of a daily pollution table."""
-    features = forecast_features(daily)
-    models = fit_forests(features, trees=trees, seed=seed)
-    known = daily.where(F.col("country") != "INTERNATIONAL")
-    return features, in_sample_fit(models, features), forecast(models, known, horizon=horizon, offset=offset)
+@dataclass(frozen=True)
+class ForecastJob:
+    """Fitted forests of a daily pollution table. The fit and the forecast are only worked out when asked for."""
+
+    daily: DataFrame
+    features: DataFrame
+    models: dict[str, RandomForestRegressionModel] = field(repr=False)
+
+    def fitted(self) -> DataFrame:
+        return in_sample_fit(self.models, self.features)
+
+    def ahead(self, horizon: int = HORIZON, offset: int = 0) -> DataFrame:
+        return forecast(self.models, self.daily, horizon=horizon, offset=offset)
+
+
+def forecast_job(daily: DataFrame, exclude: str = "INTERNATIONAL", **forest) -> ForecastJob:
+    """Forests for all countries of a daily pollution table but the excluded one; ``forest`` goes to ``fit_forests``."""
+    features = forecast_features(daily, exclude=exclude)
+    return ForecastJob(daily.where(F.col("country") != exclude), features, fit_forests(features, **forest))
