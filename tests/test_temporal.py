@@ -1,4 +1,4 @@
-"""Time-ordered operators on skewed keys: any number of ranges gives the same, and brute force agrees."""
+"""Time-ordered operators on skewed keys: pieces of any size give the same, and brute force agrees."""
 
 import datetime as dt
 import random
@@ -27,7 +27,7 @@ def skewed(spark):
 def test_hours_since_previous(skewed, same):
     df, rows = skewed
     whole = temporal.hours_since_previous(df)
-    same(whole, temporal.hours_since_previous(df, partitions=60))
+    same(whole, temporal.hours_since_previous(df, piece_rows=40))
     last, expected = {}, {}
     for i, ship, at, _ in sorted(rows, key=lambda r: (r[2], r[0])):
         expected[i] = (at - last[ship]).total_seconds() / 3600 if ship in last else None
@@ -41,7 +41,7 @@ def test_hours_since_previous(skewed, same):
 def test_systematic_sample(skewed, same, every):
     df, rows = skewed
     whole = temporal.systematic_sample(df, ["imo_number"], "timestamp_collected", every)
-    same(whole, temporal.systematic_sample(df, ["imo_number"], "timestamp_collected", every, partitions=60))
+    same(whole, temporal.systematic_sample(df, ["imo_number"], "timestamp_collected", every, piece_rows=40))
     by_ship = {}
     for i, ship, at, _ in sorted(rows, key=lambda r: (r[2], r[0])):
         by_ship.setdefault(ship, []).append(i)
@@ -54,7 +54,7 @@ def test_asof(skewed, same):
     left, right = df.where("id % 3 <> 0"), df.where("id % 3 = 0")
     args = ("imo_number", "timestamp_collected", "id", "destination", 3600.0)
     whole = temporal.asof_latest_within(left, right, *args)
-    same(whole, temporal.asof_latest_within(left, right, *args, partitions=60))
+    same(whole, temporal.asof_latest_within(left, right, *args, piece_rows=40))
     found = {r["id"]: r["recent_destination"] for r in whole.collect()}
     for i, ship, at, _ in rows:
         if i % 3 == 0:
@@ -69,14 +69,15 @@ def largest_piece(df, by):
     return df.groupBy(*by).count().agg(F.max("count")).first()[0]
 
 
-def test_ranges_are_even(skewed):
-    """A ship with half of the rows covers about half of the ranges, in time order."""
+def test_pieces_are_even(skewed):
+    """A ship with half of the rows is cut into many pieces, in time order; small ones are left whole."""
     df, _ = skewed
-    pieces = ranges.split_by_range(df, ["imo_number"], "timestamp_collected", "id", partitions=30)
-    assert largest_piece(pieces.df, [ranges.PIECE]) <= 300
+    pieces = ranges.split_large_keys(df, ["imo_number"], "timestamp_collected", "id", piece_rows=100)
+    assert pieces.df.count() == 3000 and largest_piece(pieces.df, pieces.by) <= 100
+    assert pieces.df.where("imo_number > 10").select(ranges.PIECE).distinct().collect() == [(-1,)]
     spans = pieces.df.where("imo_number = 1").groupBy(ranges.PIECE).agg(
         F.min("timestamp_collected").alias("low"), F.max("timestamp_collected").alias("high")).orderBy(ranges.PIECE).collect()
-    assert len(spans) > 10
+    assert len(spans) > 15
     assert all(x.high <= y.low for x, y in zip(spans, spans[1:]))
 
 
@@ -84,24 +85,53 @@ def test_rows_of_one_time_are_cut(spark, same):
     """All rows of a ship share one time; the id cuts them."""
     rows = [(i, 1, START, None) for i in range(4000)]
     df = spark.createDataFrame(rows, SCHEMA)
-    pieces = ranges.split_by_range(df, ["imo_number"], "timestamp_collected", "id", partitions=20)
-    assert largest_piece(pieces.df, pieces.by) <= 600
-    sample = temporal.systematic_sample(df, ["imo_number"], "timestamp_collected", 10, partitions=20)
+    pieces = ranges.split_large_keys(df, ["imo_number"], "timestamp_collected", "id", piece_rows=200)
+    assert largest_piece(pieces.df, pieces.by) <= 300
+    sample = temporal.systematic_sample(df, ["imo_number"], "timestamp_collected", 10, piece_rows=200)
     assert sorted(r["id"] for r in sample.collect()) == list(range(0, 4000, 10))
-    gaps = temporal.hours_since_previous(df, partitions=20).groupBy("time_diff").count().collect()
+    gaps = temporal.hours_since_previous(df, piece_rows=200).groupBy("time_diff").count().collect()
     assert {r["time_diff"]: r["count"] for r in gaps} == {None: 1, 0.0: 3999}
 
 
 def test_many_large_keys(spark):
-    """Every ship is large: no list of hot ones is kept."""
+    """Every ship is large."""
     df = spark.range(20_000).select(
         "id", (F.col("id") % 6).alias("imo_number"), F.timestamp_seconds(F.col("id") * 10).cast("timestamp_ntz").alias("timestamp_collected"))
-    pieces = ranges.split_by_range(df, ["imo_number"], "timestamp_collected", "id", partitions=40)
-    assert largest_piece(pieces.df, pieces.by) <= 1200
-    gaps = temporal.hours_since_previous(df, partitions=40)
+    pieces = ranges.split_large_keys(df, ["imo_number"], "timestamp_collected", "id", piece_rows=500)
+    assert largest_piece(pieces.df, pieces.by) <= 750
+    gaps = temporal.hours_since_previous(df, piece_rows=500)
     assert {round(r["time_diff"] * 3600) if r["time_diff"] is not None else None for r in gaps.collect()} == {None, 60}
 
 
+def test_number_of_pieces_is_bounded(spark, monkeypatch):
+    """Pieces grow with the table: what is broadcast does not."""
+    monkeypatch.setattr(ranges, "LEAST_ROWS", 10)
+    monkeypatch.setattr(ranges, "MOST_PIECES", 8)
+    for n in (1_000, 30_000):
+        df = spark.range(n).select("id", F.lit(1).alias("imo_number"), F.lit(None).cast("timestamp_ntz").alias("timestamp_collected"))
+        pieces = ranges.split_large_keys(df, ["imo_number"], "timestamp_collected", "id")
+        assert 4 <= pieces.df.select(ranges.PIECE).distinct().count() <= 3 * 8
+        sample = temporal.systematic_sample(df, ["imo_number"], "timestamp_collected", 10)
+        assert sample.agg(F.sum("id")).first()[0] == sum(range(0, n, 10))
+
+
+@pytest.mark.parametrize("piece_rows", [None, 40])
+def test_one_exchange_of_the_rows(skewed, piece_rows):
+    """Rows go through one hash exchange, by key and piece, whether keys are cut or not."""
+    df, _ = skewed
+    left, right = df.where("id % 3 <> 0"), df.where("id % 3 = 0")
+    for found in (
+        temporal.hours_since_previous(df, piece_rows=piece_rows),
+        temporal.systematic_sample(df, ["imo_number"], "timestamp_collected", 7, piece_rows=piece_rows),
+        temporal.asof_latest_within(left, right, "imo_number", "timestamp_collected", "id", "destination", 3600.0, piece_rows=piece_rows),
+    ):
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        exchanges = [x for x in plan.splitlines() if "Exchange hashpartitioning" in x]
+        # Where keys are cut, the summaries of their pieces are exchanged as well: by piece, and then by key.
+        assert "rangepartitioning" not in plan and len(exchanges) == (1 if piece_rows is None else 3), plan
+        assert piece_rows is None or sum("_piece" in x for x in exchanges) == 2
+
+
 def test_empty_input(skewed):
     df = skewed[0].limit(0)
     assert temporal.hours_since_previous(df).count() == 0

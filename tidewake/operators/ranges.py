@@ -1,14 +1,15 @@
-"""Time-ordered windows whose keys may span many tasks.
-
-Windows ordered by time need the rows of a key together, but a ship (or a place
-holder identity) may hold a large share of the table, at one single time even.
-So rows are range partitioned by (key, time, tie): partitions are even whatever
-the keys are, and a key covers one partition or a run of them. The window runs
-per (key, partition), and what must cross a border is carried over from a
-summary with one row per (key, partition).
-
-The partitioned rows are stored once in the shared folder, because the summary
-and the window must see the same borders, also after a lost executor.
+"""Time-ordered windows over keys of any size, with one exchange of the rows.
+
+A window ordered by time needs the rows of a key together, and a hash exchange by
+key does that. A ship (or a place holder identity) may hold a large share of the
+table, though, at one single time even. Such a key is cut into pieces that
+follow each other in time, at borders taken from a sample of its rows, and the exchange is
+by (key, piece). What must cross a border is carried over from a
+summary with one row per piece of a cut key.
+
+The number of pieces is bounded whatever the size of the table, since a piece grows
+with it; so borders and summaries are small enough to broadcast. Any borders
+give the same result, they only decide how even the pieces are.
 """
 
 from __future__ import annotations
@@ -22,13 +23,21 @@ from tidewake.session import materialize
 
 PIECE = "_piece"
 
+# A key is cut if it has more rows than this and more than a MOST_PIECES-th of the table.
+LEAST_ROWS = 1_000_000
+MOST_PIECES = 50_000
+
+# Rows sampled for a piece's borders.
+SAMPLES = 32
+
 
 @dataclass(frozen=True)
 class Ranges:
-    """Rows ready for time-ordered windows: each key is cut into pieces that follow each other."""
+    """Rows ready for time-ordered windows: large keys are cut into pieces 0, 1, ... that follow each other, others are piece -1."""
 
     df: DataFrame
     keys: list[str]
+    cut: bool = True
 
     @property
     def by(self) -> list[str]:
@@ -45,21 +54,46 @@ class Ranges:
         """
         earlier = Window.partitionBy(*self.keys).orderBy(PIECE).rowsBetween(Window.unboundedPreceding, -1)
         carried = (
-            self.df.groupBy(*self.by)
+            self.df.where(F.col(PIECE) >= 0).groupBy(*self.by)
             .agg(summary.alias("_summary"))
             .select(*[F.col(c).alias(f"_k_{c}") for c in self.by], fold("_summary").over(earlier).alias("_carry"))
             .where(F.col("_carry").isNotNull())
         )
+        if not self.cut:
+            return Ranges(self.df.withColumn("_carry", F.lit(None).cast(carried.schema["_carry"].dataType)), self.keys, False)
         same_piece = [self.df[c].eqNullSafe(carried[f"_k_{c}"]) for c in self.by]
-        return Ranges(self.df.join(carried, same_piece, "left").select(*self.df.columns, "_carry"), self.keys)
+        return Ranges(self.df.join(F.broadcast(carried), same_piece, "left").select(*self.df.columns, "_carry"), self.keys)
+
+
+def _place(cuts: Column, at: Column, most: int) -> Column:
+    """Number of ascending ``cuts`` that are not above ``at``, by bisection; ``most`` is the largest number of cuts."""
+    steps = F.array(*[F.lit(1 << k) for k in reversed(range(most.bit_length()))])
+    return F.aggregate(steps, F.lit(0), lambda low, step: F.when(F.get(cuts, low + step - 1) <= at, low + step).otherwise(low))
 
 
-def split_by_range(df: DataFrame, keys: list[str], *order: Column | str, partitions: int | None = None) -> Ranges:
-    """Partition the rows by (keys, order) into the session's shuffle partitions; small neighbours are merged.
+def split_large_keys(df: DataFrame, keys: list[str], *order: str, piece_rows: int | None = None) -> Ranges:
+    """Cut keys with more than ``piece_rows`` rows into pieces by the ``order`` columns, ascending with nulls first.
 
-    ``order`` should end in a column that tells rows of one time apart. With
-    ``partitions`` the number of ranges is fixed.
+    ``order`` should end in a column that tells rows of one time apart. One
+    aggregate over the key columns finds out whether there is anything to cut.
     """
-    by = [*keys, *order]
-    ranged = df.repartitionByRange(partitions, *by) if partitions else df.repartitionByRange(*by)
-    return Ranges(materialize(ranged.withColumn(PIECE, F.spark_partition_id()), "ranges"), keys)
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    total, largest = counts.agg(F.sum("_n"), F.max("_n")).first()
+    limit = piece_rows or max(LEAST_ROWS, (total or 0) // MOST_PIECES)
+    if not total or largest <= limit:
+        return Ranges(df.withColumn(PIECE, F.lit(-1)), keys, False)
+    every = max(1, limit // SAMPLES)
+    at = F.struct(*order)
+    names = [f"_c_{c}" for c in keys]
+    large = counts.where(F.col("_n") > limit).select(*[F.col(c).alias(n) for c, n in zip(keys, names)])
+    same = [F.col(c).eqNullSafe(F.col(n)) for c, n in zip(keys, names)]
+    drawn = df.where(F.pmod(F.xxhash64(*keys, *order), F.lit(every)) == 0).join(F.broadcast(large), same)
+    each = max(1, limit // (2 * every))
+    borders = F.filter(F.sort_array(F.collect_list(at)), lambda _, i: (i + 1) % each == 0)
+    cuts = materialize(drawn.groupBy(*names).agg(borders.alias("_cuts")), "cuts")
+    most = cuts.agg(F.max(F.size("_cuts"))).first()[0] or 0
+    if not most:
+        return Ranges(df.withColumn(PIECE, F.lit(-1)), keys, False)
+    met = df.join(F.broadcast(cuts), same, "left")
+    piece = F.when(F.col("_cuts").isNull(), -1).otherwise(_place(F.col("_cuts"), at, most))
+    return Ranges(met.select(*df.columns, piece.alias(PIECE)), keys)

@@ -6,15 +6,15 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewake.functions.ais import seconds_between
-from tidewake.operators.ranges import split_by_range
+from tidewake.operators.ranges import split_large_keys
 
 
 def hours_since_previous(
     df: DataFrame, key: str = "imo_number", ts: str = "timestamp_collected", tie: str = "id",
-    partitions: int | None = None,
+    piece_rows: int | None = None,
 ) -> DataFrame:
     """Add ``time_diff``: hours since the previous row of the key, NULL for its first row and without a key."""
-    pieces = split_by_range(df, [key], F.col(ts).asc_nulls_first(), tie, partitions=partitions).carry(F.max(ts), F.max)
+    pieces = split_large_keys(df, [key], ts, tie, piece_rows=piece_rows).carry(F.max(ts), F.max)
     order = pieces.window(F.col(ts).asc_nulls_first(), tie)
     previous = F.coalesce(F.lag(ts).over(order), F.col("_carry"))
     hours = seconds_between(F.col("_previous"), F.col(ts)) / 3600
@@ -24,13 +24,13 @@ def hours_since_previous(
 
 
 def systematic_sample(
-    df: DataFrame, keys: list[str], ts: str, every: int, tie: str = "id", partitions: int | None = None,
+    df: DataFrame, keys: list[str], ts: str, every: int, tie: str = "id", piece_rows: int | None = None,
 ) -> DataFrame:
     """Keep rows 1, 1 + every, 1 + 2 * every, ... of each key in time order.
 
     The test is ``row_number % every = 1``; with ``every=1`` nothing passes.
     """
-    pieces = split_by_range(df, keys, F.col(ts).asc_nulls_first(), tie, partitions=partitions).carry(F.count(F.lit(1)), F.sum)
+    pieces = split_large_keys(df, keys, ts, tie, piece_rows=piece_rows).carry(F.count(F.lit(1)), F.sum)
     order = pieces.window(F.col(ts).asc_nulls_first(), tie)
     row_num = F.row_number().over(order) + F.coalesce(F.col("_carry"), F.lit(0))
     return pieces.df.withColumn("_row_num", row_num).where(F.col("_row_num") % every == 1).select(*df.columns)
@@ -44,7 +44,7 @@ def chunk_of(ts, start, days: int):
 
 def asof_last(
     left: DataFrame, right: DataFrame, key: str, ts: str, tie: str, value: list[str],
-    partitions: int | None = None, include_equal: bool = True,
+    piece_rows: int | None = None, include_equal: bool = True,
 ) -> DataFrame:
     """Add to each left row the ``value`` columns (and ``asof_ts``) of the last right row before it.
 
@@ -62,7 +62,7 @@ def asof_last(
         key, F.col(ts).alias("_t"), F.lit(1).alias("_side"), (F.col(tie) if tie in left.columns else F.lit(None)).alias("_tie"),
         F.lit(None).alias("_seen"), F.struct(*left.columns).alias("_row"),
     )
-    pieces = split_by_range(seen.unionByName(asked), [key], "_t", "_side", "_tie", partitions=partitions).carry(F.max("_seen"), F.max)
+    pieces = split_large_keys(seen.unionByName(asked), [key], "_t", "_side", "_tie", piece_rows=piece_rows).carry(F.max("_seen"), F.max)
     so_far = pieces.window("_t", "_side", "_tie").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     last = F.coalesce(F.last("_seen", ignorenulls=True).over(so_far), F.col("_carry"))
     found = pieces.df.withColumn("_last", F.when(F.col(key).isNotNull(), last)).where(F.col("_row").isNotNull())
@@ -75,13 +75,13 @@ def asof_last(
 
 def asof_latest_within(
     left: DataFrame, right: DataFrame, key: str, ts: str, tie: str, value: str,
-    max_age_seconds: float, partitions: int | None = None,
+    max_age_seconds: float, piece_rows: int | None = None,
 ) -> DataFrame:
     """Add ``recent_<value>`` from the last right row that is younger than ``max_age_seconds``.
 
     The last right row decides: if it is too old, or its value is NULL, the result is NULL.
     """
-    found = asof_last(left, right, key, ts, tie, [value], partitions)
+    found = asof_last(left, right, key, ts, tie, [value], piece_rows)
     fresh = seconds_between(F.col("asof_ts"), F.col(ts)) < max_age_seconds
     return found.select(*left.columns, F.when(fresh, F.col(f"asof_{value}")).alias(f"recent_{value}"))
 

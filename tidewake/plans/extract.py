@@ -36,7 +36,7 @@ def ship_stats(ships: DataFrame, positions: DataFrame, scrubbers: DataFrame, by:
 
 def sampled_extract(
     ships: DataFrame, positions: DataFrame, scrubbers: DataFrame, start: str, end: str,
-    chunk_days: int = 7, every: int = 1000, partitions: int | None = None,
+    chunk_days: int = 7, every: int = 1000, piece_rows: int | None = None,
 ) -> DataFrame:
     """Every ``every``-th position per ship and chunk within ``[start, end)``, with the chunk's ship statistics.
 
@@ -49,7 +49,7 @@ def sampled_extract(
         chunk_of(F.col("timestamp_collected"), start, chunk_days).alias("chunk"),
     )
     stats = ship_stats(ships, in_time, scrubbers, by=("chunk",))
-    kept = systematic_sample(in_time, ["chunk", "imo_number"], "timestamp_collected", every, "id", partitions)
+    kept = systematic_sample(in_time, ["chunk", "imo_number"], "timestamp_collected", every, "id", piece_rows)
     return kept.join(stats, ["chunk", "imo_number"]).select(*EXTRACT_COLUMNS)
 
 
