@@ -4,12 +4,15 @@ import json
 import math
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from tidewake.functions import geo
 from tidewake.functions.geo import EARTH_RADIUS_NM
-from tidewake.operators.spatial import any_site_within, is_inland, keep_region, nearest_site, within_region
+from tidewake.operators import cells, regions, spatial
+from tidewake.operators.regions import is_inland, keep_region, within_region
+from tidewake.operators.spatial import any_site_within, nearest_site
 from tidewake.plans.pollution import PortRule, CountryRule, discharge_allowed
 from tidewake.sources.regions import read_rings
 
@@ -155,20 +158,100 @@ def test_border_of_a_radius(spark, unrolled, nm):
     assert at["near"]
 
 
-def test_many_sites_in_one_place(spark):
-    """5,000 sites within a few miles: every point still finds its own nearest one."""
+def nearest_by_hand(points, sites):
+    """Largest inner product of unit vectors, ties to the lowest id."""
+    def vector(la, lo):
+        la, lo = np.radians(la), np.radians(lo)
+        return np.stack([np.cos(la) * np.cos(lo), np.cos(la) * np.sin(lo), np.sin(la)], axis=-1)
+
+    at, to = vector(*np.array(points).T), vector(*np.array(sites).T)
+    return [(int((to @ p).argmax()), to @ p) for p in at]
+
+
+def spots(rng, kind, n):
+    if kind == "cluster":
+        return [(52 + rng.random() * 0.2, 4 + rng.random() * 0.2) for _ in range(n)]
+    if kind == "pole":
+        return [(90 - rng.random(), rng.uniform(-180, 180)) for _ in range(n)]
+    if kind == "date line":
+        return [(rng.uniform(-5, 5), (179 + rng.random() * 2 + 180) % 360 - 180) for _ in range(n)]
+    return [(rng.uniform(-90, 90), rng.uniform(-180, 180)) for _ in range(n)]
+
+
+@pytest.mark.parametrize("kind", ["cluster", "pole", "date line", "globe"])
+def test_many_sites(spark, kind):
+    """Sites close together, around a pole, across the date line and everywhere: near and far points find their own nearest one."""
     rng = random.Random(8)
-    sites = [(i, "X", 52 + rng.random() * 0.2, 4 + rng.random() * 0.2) for i in range(5000)]
-    points = [(i, 52 + rng.random() * 0.2, 4 + rng.random() * 0.2) for i in range(60)]
-    found = nearest_site(
-        spark.createDataFrame(points, "id int, latitude double, longitude double"),
-        spark.createDataFrame(sites, "port_id int, country string, latitude double, longitude double"),
-    ).collect()
-    for r in found:
-        def away(s):
-            a, b = math.radians(r["latitude"]), math.radians(s[2])
-            h = math.sin((b - a) / 2) ** 2 + math.cos(a) * math.cos(b) * math.sin(math.radians(s[3] - r["longitude"]) / 2) ** 2
-            return math.asin(math.sqrt(h))
-
-        best = min(sites, key=away)
-        assert r["nearest_port_id"] == best[0] or math.isclose(away(best), away(sites[r["nearest_port_id"]]), rel_tol=1e-9)
+    sites = spots(rng, kind, 400)
+    points = spots(rng, kind, 150) + spots(rng, "globe", 150) + sites[:20] + [(90.0, 0.0), (-90.0, 5.0), (0.0, 180.0), (0.0, -180.0)]
+    found = nearest_site(points_frame(spark, points), sites_frame(spark, sites)).orderBy("id").collect()
+    for row, (best, products) in zip(found, nearest_by_hand(points, sites)):
+        assert row["nearest_port_id"] == best or products[row["nearest_port_id"]] > products[best] - 1e-15
+
+
+def test_lists_stay_short(spark):
+    """2,000 sites in one place: no cell lists many, whatever the number of sites."""
+    sites = sites_frame(spark, spots(random.Random(9), "cluster", 2000))
+    index = spatial.site_index(sites, "port_id")
+    longest = max(leaves.agg(F.max(F.size("_sites"))).first()[0] for leaves in index.values())
+    assert longest <= spatial.MOST_SITES
+    assert sum(leaves.count() for leaves in index.values()) < 300_000
+
+
+@pytest.mark.parametrize("unrolled", [48, 0])
+def test_both_ways_take_the_same_site(spark, unrolled):
+    """Equal products go to the lowest id, in unrolled lists and by cell."""
+    sites = sites_frame(spark, [(10.0, 20.0), (10.0, -20.0), (10.0, 20.0), (10.0, 340.0), (-10.0, 180.0), (-10.0, -180.0)])
+    points = points_frame(spark, [(10.0, 0.0), (10.0, 20.0), (-10.0, 179.0), (10.0, -21.0), (95.0, 10.0), (10.0, 725.0)])
+    found = nearest_site(points, sites, max_unrolled=unrolled).orderBy("id").collect()
+    assert [r["nearest_port_id"] for r in found] == [0, 0, 4, 1, 1, 0]
+
+
+def coast(n):
+    """A star-shaped coast line of ``n`` edges around (52, 4), and its radius by angle."""
+    angle = np.linspace(0, 2 * math.pi, n, endpoint=False)
+
+    def radius(a):
+        return 3 + np.sin(5 * a) + 0.3 * np.sin(47 * a) + 0.02 * np.sin(97 * a)
+
+    return angle, radius
+
+
+def coast_rings(spark, n):
+    angle, radius = coast(n)
+    lon, lat = 4 + radius(angle) * np.cos(angle), 52 + radius(angle) * np.sin(angle)
+    return spark.createDataFrame([("coast", 0, [{"lon": float(x), "lat": float(y)} for x, y in zip(lon, lat)])],
+                                 "region_id string, ring_id int, vertices array<struct<lon double, lat double>>")
+
+
+def test_long_coast(spark):
+    """A coast of 4,000 edges: no leaf holds many of them, and points near and far from it are told apart."""
+    n = 4_000
+    rings = coast_rings(spark, n)
+    index = regions.region_index(rings)
+    assert set(index) - {0} and all(level % cells.STEP == 0 for level in index)
+    most = max(leaves.agg(F.max(F.aggregate("_leaf.regions", F.lit(0), lambda k, r: k + F.size(r["edges"])))).first()[0] for leaves in index.values())
+    assert most <= regions.MOST_EDGES
+    rng = np.random.default_rng(5)
+    a = rng.uniform(0, 2 * math.pi, 2000)
+    _, radius = coast(n)
+    r = np.where(rng.random(2000) < 0.5, rng.uniform(0, 6, 2000), radius(a) + rng.choice([-1e-3, 1e-3], 2000))
+    points = [(52 + float(x * math.sin(t)), 4 + float(x * math.cos(t))) for x, t in zip(r, a)]
+    rows = within_region(points_frame(spark, points), rings).orderBy("id").collect()
+    assert [row["in_region"] for row in rows] == (r < radius(a)).tolist()
+
+
+@pytest.mark.parametrize("most_edges", [32, 2])
+def test_overlapping_regions_in_small_cells(spark, rings, most_edges):
+    """The union of all regions, whether cells are split or not."""
+    rng = random.Random(6)
+    more = [(f"box{k}", 0, [{"lon": float(x), "lat": y} for x, y in ((k, 48.0), (k + 1.5, 48.0), (k + 1.5, 55.0), (k, 55.0))]) for k in range(5, 20)]
+    every = rings.select("region_id", "ring_id", "vertices").unionByName(spark.createDataFrame(more, rings.schema))
+    points = [(rng.uniform(47, 56), rng.uniform(-1, 23)) for _ in range(800)] + [(52.0, float(k)) for k in range(23)]
+
+    def inside(la, lo):
+        square = 0 < lo < 4 and 50 < la < 54 and not (1 <= lo <= 2 and 51 <= la <= 52)
+        return square or abs(lo - 10) + abs(la - 52) < 2 or (48 < la < 55 and any(k < lo < k + 1.5 for k in range(5, 20)))
+
+    rows = within_region(points_frame(spark, points), every, most_edges=most_edges).orderBy("id").collect()
+    assert [r["in_region"] for r in rows] == [inside(*p) for p in points]

@@ -1,25 +1,25 @@
-"""Nearest sites, sites within a radius, points in polygons, density grids."""
+"""Nearest sites, sites within a radius, density grids."""
 
 from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewake.functions import geo
-from tidewake.functions.binding import bind
+from tidewake.operators import cells
+from tidewake.session import materialize
 
 # Up to this many sites every distance is an expression of its own. The limit
 # keeps the generated method small enough (8,000 bytes) for the JVM to compile.
 MAX_UNROLLED_SITES = 48
 
-# Finest cell of the site grid: 1/512 of the earth's radius (about 7 nm); a
-# coarser level doubles the side, and twelve doublings cover the whole globe.
-FINEST_CELL = 1 / 512
-LEVELS = 12
+# Sites that a cell lists. More than this many are only listed together where a cell of the finest level has them.
+MOST_SITES = 48
 
-LATITUDE_BAND = 0.05
+# The first level whose cells are listed: 16 degrees.
+COARSEST = 2 * cells.STEP
 
 
 # ---------------------------------------------------------------- nearest site
@@ -34,12 +34,13 @@ def nearest_site(
     Rows without a position get NULLs, sites without one are passed over. The
     inner product of unit vectors orders sites like great-circle distance and
     costs no trigonometry per site, so the haversine is computed only once per
-    row. A site list of at most ``max_unrolled`` rows becomes part of the
-    projection; longer lists are joined by grid cell, with the same result.
+    row. The products of at most ``max_unrolled`` sites become part of the
+    projection; of longer lists a row looks up the few sites of its cell and
+    takes the same products, so which way is taken can't change the result.
     """
     carried = [site_id, *payload, "latitude", "longitude"]
     sites = placed(sites)
-    rows = sites.select(*carried).limit(max_unrolled + 1).collect()
+    rows = _with_solid_vector(sites.select(*carried), "latitude", "longitude").limit(max_unrolled + 1).collect()
     if not rows:
         kinds = {f.name: f.dataType for f in sites.schema.fields}
         empty = [F.lit(None).cast(kinds[c]).alias(prefix + c) for c in (site_id, *payload)]
@@ -64,8 +65,7 @@ def placed(sites: DataFrame) -> DataFrame:
 def _inner_products(rows: list) -> list[Column]:
     """Inner product of the row's unit vector (``_x``, ``_y``, ``_z``) with each site's."""
     def product(row) -> Column:
-        x, y, z = geo.unit_vector_of(row["latitude"], row["longitude"])
-        return F.col("_x") * F.lit(x) + F.col("_y") * F.lit(y) + F.col("_z") * F.lit(z)
+        return F.col("_x") * F.lit(row["_x"]) + F.col("_y") * F.lit(row["_y"]) + F.col("_z") * F.lit(row["_z"])
 
     return [product(row) for row in rows]
 
@@ -87,82 +87,83 @@ def _nearest_unrolled(df: DataFrame, rows: list, sites: DataFrame, lat: str, lon
     return measured.withColumn("_site", F.when(known, F.try_element_at(listed, first_best)))
 
 
-def _cell_columns(level: Column | int) -> list[Column]:
-    side = F.lit(FINEST_CELL) * F.pow(F.lit(2.0), F.lit(level) if isinstance(level, int) else level)
-    return [F.floor((F.col(f"_{n}") + 1) / side).cast("int").alias(f"_c{n}") for n in "xyz"]
+def _radius(level: int) -> Column:
+    """No point of the row's cell is farther from its centre than this, as a chord: half its height and half its greatest width."""
+    _, south = cells.corner(level)
+    half = cells.side(level) / 2
+    nearest_equator = F.greatest(F.lit(0.0), F.abs(south + half) - half)
+    return math.radians(half) * (1 + F.cos(F.radians(F.least(nearest_equator, F.lit(90.0)))))
 
 
-def _with_vector(df: DataFrame, lat: str, lon: str) -> DataFrame:
-    vector = geo.unit_vector(F.col(lat), F.col(lon))
-    return df.select("*", *[axis.alias(f"_{n}") for n, axis in zip("xyz", vector)])
+def _dot(v: Column, *axes: Column) -> Column:
+    return axes[0] * v["_x"] + axes[1] * v["_y"] + axes[2] * v["_z"]
 
 
-def _nearest_by_cell(df: DataFrame, sites: DataFrame, site_id: str, lat: str, lon: str) -> DataFrame:
-    """Exact nearest site through candidate lists per occupied grid cell.
+def _could_be_nearest(listed: DataFrame, level: int) -> DataFrame:
+    """Of rows (cell, ``_site``) those whose site may be the nearest to a point of the cell, with their number ``_n`` in it.
 
-    Cells are cubes of the unit-sphere's space. For each cell with points, take
-    the finest level at which the 27 cubes around it hold a site: the nearest
-    site is then at most 2 * sqrt(3) sides away, so the 27 cubes two levels up
-    (sides four times as long) hold it. Of these, a cell keeps the sites that are
-    farther from its centre than the closest one by no more than its diagonal; no
-    point of the cell can be nearer to another. All steps are equi-joins on
-    cells; the number of cells is bounded by the surface of the globe.
+    With ``b`` the site that is nearest to the centre, site ``s`` is farther than ``b``
+    everywhere in the cell if ``(s - b) * centre`` is below ``-|s - b| * radius``.
     """
-    cell = ["_cx", "_cy", "_cz"]
-    points = _with_vector(df, lat, lon).select("*", *_cell_columns(0))
-    cells = points.select(*cell).dropna().distinct()
-    levels = F.sequence(F.lit(0), F.lit(LEVELS + 2))
-    placed_sites = (
-        _with_vector(sites, "latitude", "longitude")
-        .withColumn("_level", F.explode(levels))
-        .select(
-            F.struct(*sites.columns, "_x", "_y", "_z").alias("_site"), "_level", *_cell_columns(F.col("_level"))
-        )
-    )
-
-    def around(at_cells: DataFrame, level: Column) -> DataFrame:
-        steps = F.array(*[F.lit(d) for d in (-1, 0, 1)])
-        spread = at_cells.withColumn("_level", level)
-        shifted = [F.floor(F.col(c) / F.pow(F.lit(2.0), F.col("_level"))).cast("int") for c in cell]
-        spread = spread.select(*[F.col(c).alias(f"_p{c}") for c in cell], "_level", *[
-            s.alias(c) for s, c in zip(shifted, cell)
-        ])
-        for c in cell:
-            spread = spread.withColumn("_d", F.explode(steps)).withColumn(c, F.col(c) + F.col("_d")).drop("_d")
-        return spread
-
-    parent = [f"_p{c}" for c in cell]
-    occupied = placed_sites.select("_level", *cell).distinct()
-    finest = (
-        around(cells, F.explode(F.sequence(F.lit(0), F.lit(LEVELS))))
-        .join(occupied, ["_level", *cell], "left_semi")
-        .groupBy(*parent).agg(F.min("_level").alias("_found"))
-        .select(*[F.col(p).alias(c) for p, c in zip(parent, cell)], "_found")
-    )
-    wider = around(finest, F.col("_found") + 2)
-    centre = [(F.col(p) + 0.5) * F.lit(FINEST_CELL) - 1 for p in parent]
-    gaps = [F.col("_site")[f"_{n}"] - c for n, c in zip("xyz", centre)]
-    far = F.sqrt(gaps[0] * gaps[0] + gaps[1] * gaps[1] + gaps[2] * gaps[2])
-    # A little more than the diagonal, for rounding.
-    diagonal = math.sqrt(3) * FINEST_CELL * 1.000001
-
-    def closest(found: Column) -> Column:
-        limit = F.array_min(F.transform(found, lambda s: s["far"])) + F.lit(diagonal)
-        return bind(limit, lambda most: F.transform(F.filter(found, lambda s: s["far"] <= most), lambda s: s["site"]))
-
-    candidates = (
-        wider.join(placed_sites, ["_level", *cell])
-        .groupBy(*parent).agg(F.collect_list(F.struct(far.alias("far"), F.col("_site").alias("site"))).alias("_found"))
-        .select(*[F.col(p).alias(c) for p, c in zip(parent, cell)], closest(F.col("_found")).alias("_sites"))
-    )
-    x, y, z = F.col("_x"), F.col("_y"), F.col("_z")
+    west, south = cells.corner(level)
+    half = cells.side(level) / 2
+    centre = geo.unit_vector(south + half, west + half)
+    cell = Window.partitionBy(*cells.CELL)
+    met = listed.withColumn("_best", F.max(F.struct(_dot(F.col("_site"), *centre).alias("near"), F.col("_site").alias("site"))).over(cell)["site"])
+    gaps = [F.col("_site")[f"_{n}"] - F.col("_best")[f"_{n}"] for n in "xyz"]
+    apart = F.sqrt(gaps[0] * gaps[0] + gaps[1] * gaps[1] + gaps[2] * gaps[2])
+    nearer = gaps[0] * centre[0] + gaps[1] * centre[1] + gaps[2] * centre[2]
+    # A little room for rounding.
+    kept = met.where(nearer >= -apart * _radius(level) - 1e-12).select(*cells.CELL, "_site")
+    return kept.withColumn("_n", F.count(F.lit(1)).over(cell))
+
+
+def _on_globe(level: int) -> Column:
+    west, south = cells.corner(level)
+    width = cells.side(level)
+    return (west <= 180) & (west + width > -180) & (south <= 90) & (south + width > -90)
+
+
+def site_index(sites: DataFrame, site_id: str, most_sites: int = MOST_SITES) -> dict[int, DataFrame]:
+    """Leaf cells by level (see ``cells``) with ``_sites``: all sites that are nearest to some point of the cell.
+
+    Cells that list more than ``most_sites`` are split, and their sites dealt to
+    the children by the same rule. Of sites in one place only the lowest id is kept.
+    """
+    vector = _with_solid_vector(sites, "latitude", "longitude")
+    one = vector.groupBy("_x", "_y", "_z").agg(F.min_by(F.struct(*vector.columns), site_id).alias("_site")).select("_site")
+    many = 1 << COARSEST
+    axis = F.sequence(F.lit(0), F.lit(many - 1))
+    placed_ = one.withColumn("_level", F.lit(COARSEST)).withColumn("_cx", F.explode(axis)).withColumn("_cy", F.explode(axis)).where(_on_globe(COARSEST))
+    index, level = {}, COARSEST
+    listed = materialize(_could_be_nearest(placed_.select(*cells.CELL, "_site"), level), "sites")
+    while True:
+        split = (F.col("_n") > most_sites) & (level + cells.STEP <= cells.FINEST)
+        leaves = listed.where(~split).groupBy(*cells.CELL).agg(F.collect_list("_site").alias("_sites"))
+        index[level] = materialize(leaves.select("_cx", "_cy", "_sites"), "sites-leaves")
+        dense = listed.where(split)
+        if dense.isEmpty():
+            return index
+        level += cells.STEP
+        spread = dense.withColumn("_child", F.explode(cells.children())).select("_child.*", "_site").where(_on_globe(level))
+        listed = materialize(_could_be_nearest(spread, level), "sites")
+
+
+def _nearest_by_cell(df: DataFrame, sites: DataFrame, site_id: str, lat: str, lon: str, most_sites: int = MOST_SITES) -> DataFrame:
+    """The nearest site among those of the point's cell, by the same inner products as in ``_nearest_unrolled``."""
+    points = _with_solid_vector(df, lat, lon)
+    # Positions beyond a pole or the date line, as the unit vector sees them.
+    usual = F.col(lat).between(-90, 90) & F.col(lon).between(-180, 180)
+    at_lat = F.when(usual, F.col(lat)).otherwise(F.degrees(F.asin("_z")))
+    at_lon = F.when(usual, F.col(lon)).otherwise(F.degrees(F.atan2("_y", "_x")))
+    found = cells.look_up(points, site_index(sites, site_id, most_sites), at_lon, at_lat, "_sites")
 
     def ranked(s: Column) -> Column:
-        dx, dy, dz = x - s["_x"], y - s["_y"], z - s["_z"]
-        return F.struct((dx * dx + dy * dy + dz * dz).alias("far"), s[site_id].alias("id"), s.alias("site"))
+        product = F.col("_x") * s["_x"] + F.col("_y") * s["_y"] + F.col("_z") * s["_z"]
+        return F.struct((-product).alias("far"), s[site_id].alias("id"), s.alias("site"))
 
-    joined = points.join(candidates, cell, "left")
-    return joined.withColumn("_site", F.array_min(F.transform("_sites", ranked))["site"])
+    known = F.col(lat).isNotNull() & F.col(lon).isNotNull()
+    return found.withColumn("_site", F.when(known, F.array_min(F.transform("_sites", ranked))["site"]))
 
 
 def any_site_within(
@@ -180,102 +181,6 @@ def any_site_within(
     return near.select(*df.columns, F.coalesce(F.col("_near_nm") <= nm, F.lit(False)).alias(flag))
 
 
-# ---------------------------------------------------------- points in polygons
-
-def ring_edges(rings: DataFrame) -> DataFrame:
-    """One row per polygon edge from ``(region_id, ring_id, vertices)``, closing each ring."""
-    n = F.size("vertices")
-    pairs = F.transform(
-        F.col("vertices"),
-        lambda v, i: F.struct(
-            v["lon"].alias("x1"), v["lat"].alias("y1"),
-            F.col("vertices")[(i + 1) % n]["lon"].alias("x2"), F.col("vertices")[(i + 1) % n]["lat"].alias("y2"),
-        ),
-    )
-    return rings.select("region_id", F.explode(pairs).alias("e")).select("region_id", "e.*")
-
-
-def edges_by_band(rings: DataFrame, band: float = LATITUDE_BAND) -> DataFrame:
-    """Every edge once per latitude band it reaches."""
-    south, north = F.least("y1", "y2"), F.greatest("y1", "y2")
-    bands = F.sequence(geo.grid_cell(south, band), geo.grid_cell(north, band))
-    return ring_edges(rings).withColumn("_index_band", F.explode(bands))
-
-
-def latitude_index(edges: DataFrame) -> DataFrame:
-    """Edges grouped by latitude band and region.
-
-    Only edges that reach into a point's band can touch its horizontal ray, so
-    a point has to be compared with those few instead of the whole coast line.
-    """
-    per_region = (
-        edges.groupBy("_index_band", "region_id")
-        .agg(
-            F.min(F.least("x1", "x2")).alias("west"), F.max(F.greatest("x1", "x2")).alias("east"),
-            F.collect_list(F.struct("x1", "y1", "x2", "y2")).alias("edges"),
-        )
-    )
-    return per_region.groupBy("_index_band").agg(
-        F.collect_list(F.struct("region_id", "west", "east", "edges")).alias("_regions")
-    )
-
-
-def _inside(regions: Column, lat: Column, lon: Column) -> Column:
-    """Whether the point is strictly inside any region: even-odd rule, edges are outside."""
-
-    def crosses(e: Column) -> Column:
-        spans = (e["y1"] > lat) != (e["y2"] > lat)
-        at = (e["x2"] - e["x1"]) * (lat - e["y1"]) / F.nullif(e["y2"] - e["y1"], F.lit(0.0)) + e["x1"]
-        return F.when(spans & (lon < at), 1).otherwise(0)
-
-    def touches(e: Column) -> Column:
-        turn = (e["x2"] - e["x1"]) * (lat - e["y1"]) - (e["y2"] - e["y1"]) * (lon - e["x1"])
-        return (
-            (turn == 0)
-            & lon.between(F.least(e["x1"], e["x2"]), F.greatest(e["x1"], e["x2"]))
-            & lat.between(F.least(e["y1"], e["y2"]), F.greatest(e["y1"], e["y2"]))
-        )
-
-    def holds(r: Column) -> Column:
-        crossings = F.aggregate(r["edges"], F.lit(0), lambda n, e: n + crosses(e))
-        return lon.between(r["west"], r["east"]) & (crossings % 2 == 1) & ~F.exists(r["edges"], touches)
-
-    return F.coalesce(F.exists(regions, holds), F.lit(False))
-
-
-def within_region(
-    df: DataFrame, rings: DataFrame, flag: str = "in_region", lat: str = "latitude", lon: str = "longitude",
-    shifts: tuple[float, ...] = (0.0,), band: float = LATITUDE_BAND,
-) -> DataFrame:
-    """Add ``flag``: the point is inside some polygon. Missing positions and points on an edge are not.
-
-    With several ``shifts`` the point is moved by each of them in longitude and
-    all moved points must be inside.
-    """
-    edges = edges_by_band(rings, band)
-    index = latitude_index(edges)
-    at_band = geo.grid_cell(F.col(lat), band)
-    tests = [_inside(F.col("_regions"), F.col(lat), F.col(lon) + F.lit(s) if s else F.col(lon)) for s in shifts]
-    combined = tests[0]
-    for test in tests[1:]:
-        combined = combined & test
-    return df.join(index, at_band == F.col("_index_band"), "left").select(*df.columns, combined.alias(flag))
-
-
-def is_inland(df: DataFrame, land: DataFrame, flag: str = "inland", eps: float = 0.01) -> DataFrame:
-    """Add ``flag``: there is land both ``eps`` degrees west and ``eps`` degrees east."""
-    return within_region(df, land, flag, shifts=(-eps, eps))
-
-
-def keep_region(df: DataFrame, rings: DataFrame, dry_run: bool = False) -> tuple[DataFrame, DataFrame]:
-    """(rows kept inside the region, audit counts); with ``dry_run`` all rows are kept."""
-    from tidewake.operators.aggregate import retention_audit
-
-    flagged = within_region(df, rings, "_kept")
-    kept = flagged if dry_run else flagged.where("_kept")
-    return kept.drop("_kept"), retention_audit(flagged, F.col("_kept"))
-
-
 # --------------------------------------------------------------------- density
 
 def heat_points(df: DataFrame) -> DataFrame:

@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewake.functions.ais import MODES, emission_for_interval, rate_of_mode, sum_or_zero
-from tidewake.operators.spatial import any_site_within, is_inland, nearest_site
+from tidewake.operators.regions import is_inland
+from tidewake.operators.spatial import any_site_within, nearest_site
 from tidewake.operators.temporal import hours_since_previous
 
 
@@ -98,7 +99,7 @@ def discharge_allowed(
 
 def pollution(
     df: DataFrame, ports: DataFrame, port_rules=PORT_RULES, country_rules=COUNTRY_RULES,
-    land: DataFrame | None = None, partitions: int | None = None,
+    land: DataFrame | None = None, piece_rows: int | None = None,
 ) -> DataFrame:
     """Per report: hours since the ship's previous one, allowed or not, kilograms, country and date.
 
@@ -111,7 +112,7 @@ def pollution(
         "id", "imo_number", "timestamp_collected", "latitude", "longitude", "operation_mode",
         rate_of_mode(mode, rates).alias("_rate"),
     )
-    timed = hours_since_previous(slim, partitions=partitions)
+    timed = hours_since_previous(slim, piece_rows=piece_rows)
     ruled = discharge_allowed(with_nearest_port(timed, ports), ports, port_rules, country_rules, land)
     country = F.when(F.col("nearest_nm") <= COUNTRY_RADIUS_NM, F.col("nearest_country")).otherwise(INTERNATIONAL)
     emitted = emission_for_interval(F.col("discharge_allowed"), mode, F.col("time_diff"), F.col("_rate"))

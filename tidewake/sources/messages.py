@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewake.functions.ais import parse_ais_timestamp, vessel_dimensions
-from tidewake.operators.spatial import within_region
+from tidewake.operators.regions import within_region
 from tidewake.schemas import MESSAGE
 
 
