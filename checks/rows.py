@@ -9,9 +9,8 @@ from checks.views import cleaned, corrected, given, haversine, in_region, inland
 from tidewake.functions import ais, geo
 from tidewake.functions import destinations as dest
 from tidewake.operators.lookups import category_of_type, enrich_positions, enrich_ships, exclude_rows
-from tidewake.operators.spatial import (
-    any_site_within, density_grid, heat_points, is_inland, marker_points, nearest_site, within_region,
-)
+from tidewake.operators.regions import is_inland, within_region
+from tidewake.operators.spatial import any_site_within, density_grid, heat_points, marker_points, nearest_site
 from tidewake.operators.temporal import latest_state, recent
 from tidewake.plans.destinations import normalize_destinations, profile_destinations
 from tidewake.plans.extract import movement_extract

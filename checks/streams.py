@@ -5,7 +5,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from checks.fixtures import SQL, Fixtures
 from checks.registry import query, rounded
-from checks.rows import messages, region
+from checks.rows import region
 from checks.tables import OLD_SHIPS, uncorrected_ships
 from checks.views import given, ts
 from tidewake.operators import temporal
@@ -74,14 +74,9 @@ def collected(fx, keep_unknown=False) -> str:
     return path
 
 
-def kinds(fx):
-    """Schema of ingested messages."""
-    return messages(fx).schema
-
-
 @query("stream_upsert_ships", given("master") + "SELECT * FROM master")
 def _(fx):
-    return jobs.current_ships(fx.spark, collected(fx), kinds(fx))
+    return jobs.current_ships(fx.spark, collected(fx) + "-checkpoint")
 
 
 @query("stream_positions", given("unstored", "statics") + """
@@ -89,12 +84,12 @@ SELECT p.seq, p.mmsi, p.imo_number, (SELECT arg_max(s.destination, (s.timestamp_
  AND s.timestamp_ais <= p.timestamp_ais AND s.timestamp_ais > p.timestamp_ais - INTERVAL 5 HOUR) AS destination
 FROM unstored p WHERE p.imo_number IS NOT NULL""")
 def _(fx):
-    return fx.spark.read.parquet(collected(fx) + "/positions").select("seq", "mmsi", "imo_number", "destination")
+    return jobs.collected(fx.spark, collected(fx), "positions").select("seq", "mmsi", "imo_number", "destination")
 
 
 @query("stream_unknown_positions", given("unstored") + "SELECT seq, mmsi, CAST(-1 AS BIGINT) AS imo_number FROM unstored WHERE imo_number IS NULL")
 def _(fx):
-    unknown = fx.spark.read.parquet(collected(fx, keep_unknown=True) + "/unknown_ships")
+    unknown = jobs.collected(fx.spark, collected(fx, keep_unknown=True), "unknown_ships")
     return unknown.where("sog IS NOT NULL").select("seq", "mmsi", "imo_number")
 
 
@@ -102,24 +97,16 @@ def _(fx):
 SELECT seq, mmsi, CAST(-1 AS BIGINT) AS imo_number, CAST(NULL AS VARCHAR) AS name FROM unstored WHERE imo_number IS NULL
 UNION ALL SELECT seq, mmsi, coalesce(raw_imo, -1), coalesce(name, 'Unknown') FROM routed WHERE route = 'no_imo'""")
 def _(fx):
-    unknown = fx.spark.read.parquet(collected(fx, keep_unknown=True) + "/unknown_ships")
+    unknown = jobs.collected(fx.spark, collected(fx, keep_unknown=True), "unknown_ships")
     return unknown.select("seq", "mmsi", "imo_number", "name")
 
 
-# Files of a micro-batch, each written by a task of its own.
-BATCH_FILES = 8
-
-
-def in_batches(fx, raw, n):
-    """The same messages as a stream of ``n`` micro-batches, oldest first, each in the same number of files."""
+def in_batches(fx, raw, n, start):
+    """Land the messages in ``n`` parts, oldest first, and after each let the stream take what is new and stop."""
     path, last = shared_dir(fx.spark, "landed"), raw.agg(F.max("seq")).first()[0]
-    parts = [raw.where((F.col("seq") * n >= i * (last + 1)) & (F.col("seq") * n < (i + 1) * (last + 1))) for i in range(n)]
-    # No file is empty, and so left out, if some task deals out a row to each: sure with this many rows.
-    enough = BATCH_FILES * raw.rdd.getNumPartitions()
-    files = BATCH_FILES if all(p.count() >= enough for p in parts) else 1
-    for part in parts:
-        part.repartition(files).write.mode("append").parquet(path)
-    return fx.spark.readStream.schema(raw.schema).option("maxFilesPerTrigger", files).parquet(path)
+    for i in range(n):
+        raw.where((F.col("seq") * n >= i * (last + 1)) & (F.col("seq") * n < (i + 1) * (last + 1))).write.mode("append").parquet(path)
+        finish(start(fx.spark.readStream.schema(raw.schema).parquet(path)))
 
 
 @query("stream_identity_batches", given("routed", "statics") + """
@@ -127,13 +114,13 @@ def in_batches(fx, raw, n):
 SELECT p.seq, p.mmsi, (SELECT arg_max(s.raw_imo, s.seq) FROM changed s WHERE s.route = 'static' AND s.mmsi = p.mmsi AND s.seq < p.seq) AS imo_number
 FROM changed p WHERE p.route = 'position'""")
 def _(fx):
-    """Ships change their MMSI back and forth; the newest identity of an MMSI holds over the borders of micro-batches."""
+    """Ships change their MMSI back and forth; the newest identity of an MMSI holds over micro-batches and restarts."""
     text = F.when(F.col("event_id") % 8 >= 4, F.replace("raw", F.lit('"MMSI":2'), F.lit('"MMSI":3'))).otherwise(F.col("raw"))
     raw = fx.messages.select(F.col("event_id").alias("seq"), text.alias("raw"))
     path = shared_dir(fx.spark, "collector")
-    finish(jobs.start_collector(in_batches(fx, raw, 3), region(fx), path, path + "-checkpoint", keep_unknown=True))
-    found = fx.spark.read.parquet(path + "/positions").select("seq", "mmsi", "imo_number")
-    lost = fx.spark.read.parquet(path + "/unknown_ships").where("sog IS NOT NULL")
+    in_batches(fx, raw, 3, lambda stream: jobs.start_collector(stream, region(fx), path, path + "-checkpoint", keep_unknown=True))
+    found = jobs.collected(fx.spark, path, "positions").select("seq", "mmsi", "imo_number")
+    lost = jobs.collected(fx.spark, path, "unknown_ships").where("sog IS NOT NULL")
     return found.unionByName(lost.select("seq", "mmsi", F.lit(None).cast("bigint").alias("imo_number")))
 
 
@@ -150,10 +137,10 @@ COUNTS = """
 
 
 def measured(fx) -> str:
-    path = shared_dir(fx.spark, "metrics")
+    checkpoint = shared_dir(fx.spark, "metrics")
     routed = ingest(raw_messages(fx, with_time=True), region(fx))
-    finish(jobs.start_metrics(routed, path, path + "-checkpoint"))
-    return path
+    finish(jobs.start_metrics(routed, checkpoint))
+    return checkpoint
 
 
 @query("stream_minute_metrics", METRICS + f"""
@@ -181,9 +168,9 @@ SELECT s.imo_number, CASE WHEN f.imo_number IS NOT NULL AND NOT s.done THEN f.le
  CASE WHEN f.imo_number IS NOT NULL AND NOT s.done THEN f.width ELSE s.width END AS width, s.done OR f.imo_number IS NOT NULL AS lw_correction
 FROM {OLD_SHIPS} s LEFT JOIN fixes f ON f.imo_number = s.imo_number""")
 def _(fx):
-    path = shared_dir(fx.spark, "dimensions")
-    finish(jobs.start_dimension_fix(raw_messages(fx), region(fx), uncorrected_ships(fx), path, path + "-checkpoint"))
-    return jobs.corrected_ships(uncorrected_ships(fx), path, kinds(fx)).select("imo_number", "length", "width", "lw_correction")
+    checkpoint = shared_dir(fx.spark, "dimensions")
+    finish(jobs.start_dimension_fix(raw_messages(fx), region(fx), uncorrected_ships(fx), checkpoint))
+    return jobs.corrected_ships(uncorrected_ships(fx), checkpoint).select("imo_number", "length", "width", "lw_correction")
 
 
 # ------------------------------------------------------------------- forecast
@@ -260,53 +247,104 @@ def _(fx):
     return rounded(fc.backtest_by_series(week_ago(fx)[0].withColumn("fitted", F.col("lag_7"))), mae=4, rmse=4)
 
 
-# Forests are random; what SQL can say are the rows, the dates, and that values stay among the observed ones.
+# Without bootstrap every tree of a forest is the one regression tree that SQL can grow too: at each node the first cut with the
+# largest decrease of variance, over all features and all midpoints between neighbouring values.
+
+DEPTH = 2
+TREES = 3
+
+
+def regression_tree() -> str:
+    """CTEs ``long`` (values by feature), ``split`` (feature and cut of each node) and ``leaf`` (mean of each node), ``at_n`` (node of each row at depth n)."""
+    long = " UNION ALL ".join(f"SELECT country, date, pollution AS p, {k} AS f, CAST({c} AS DOUBLE) AS v FROM used" for k, c in enumerate(fc.FEATURES))
+    text = f"""
+, used AS (SELECT * FROM lagged WHERE lag_14 IS NOT NULL)
+, long AS ({long})
+, at_0 AS (SELECT country, date, 1 AS node FROM used)"""
+    for d in range(DEPTH):
+        text += f"""
+, sums_{d} AS (SELECT country, node, f, v, count(*) AS n, sum(p) AS s, sum(p * p) AS q FROM long JOIN at_{d} USING (country, date) GROUP BY country, node, f, v)
+, cuts_{d} AS (SELECT *, sum(n) OVER w AS ln, sum(s) OVER w AS ls, sum(n) OVER t AS tn, sum(s) OVER t AS ts, lead(v) OVER w AS nv FROM sums_{d}
+ WINDOW w AS (PARTITION BY country, node, f ORDER BY v), t AS (PARTITION BY country, node, f))
+, split_{d} AS (SELECT country, node, f, (v + nv) / 2 AS cut FROM (
+ SELECT *, (ls * ls / ln + (ts - ls) * (ts - ls) / (tn - ln) - ts * ts / tn) / tn AS gain FROM cuts_{d} WHERE nv IS NOT NULL) WHERE gain > 1e-9
+ QUALIFY row_number() OVER (PARTITION BY country, node ORDER BY round(gain, 6) DESC, f, v) = 1)
+, at_{d + 1} AS (SELECT a.country, a.date, CASE WHEN s.f IS NULL THEN a.node WHEN l.v <= s.cut THEN 2 * a.node ELSE 2 * a.node + 1 END AS node
+ FROM at_{d} a LEFT JOIN split_{d} s ON s.country = a.country AND s.node = a.node LEFT JOIN long l ON l.country = a.country AND l.date = a.date AND l.f = s.f)"""
+    return text + f"""
+, split AS ({" UNION ALL ".join(f"SELECT * FROM split_{d}" for d in range(DEPTH))})
+, leaf AS (SELECT country, node, avg(pollution) AS value FROM at_{DEPTH} JOIN used USING (country, date) GROUP BY country, node)
+, fit AS (SELECT country, date, pollution, value AS fitted FROM at_{DEPTH} JOIN used USING (country, date) JOIN leaf USING (country, node))
+"""
+
 
-OBSERVED = given("fx_daily") + """
-, lagged AS (SELECT CAST(date AS VARCHAR) AS date, country, pollution, lag(pollution, 14) OVER (PARTITION BY country ORDER BY date) AS lag_14 FROM fx_daily),
-used AS (SELECT * FROM lagged WHERE lag_14 IS NOT NULL)
+def recursive_forecast() -> str:
+    """CTE ``ahead``: 31 days from the last one on, each fed by the predictions before it."""
+    def value(split: str) -> str:
+        lags = " ".join(f"WHEN {3 + k} THEN r.line[{15 - lag} + r.step]" for k, lag in enumerate(fc.LAGS))
+        return f"CASE {split}.f WHEN 0 THEN isodow(r.day) - 1 WHEN 1 THEN month(r.day) WHEN 2 THEN day(r.day) {lags} END"
+
+    first = f"CASE WHEN {value('a')} <= a.cut THEN 2 ELSE 3 END"
+    return f"""
+, newest AS (SELECT country, max(date) AS last, list(pollution ORDER BY date)[-14:] AS line FROM whole WHERE country <> 'error' GROUP BY country)
+, run AS (
+ SELECT country, 0 AS step, CAST(last AS DATE) AS day, line FROM newest
+ UNION ALL
+ SELECT r.country, r.step + 1, CAST(r.day + 1 AS DATE), list_append(r.line, l.value) FROM run r
+ LEFT JOIN split a ON a.country = r.country AND a.node = 1
+ LEFT JOIN split b ON b.country = r.country AND b.node = {first}
+ JOIN leaf l ON l.country = r.country AND l.node = CASE WHEN a.f IS NULL THEN 1 WHEN b.f IS NULL THEN {first}
+  WHEN {value('b')} <= b.cut THEN 2 * {first} ELSE 2 * {first} + 1 END
+ WHERE r.step < {fc.HORIZON}
+)
+, ahead AS (SELECT country, CAST(CAST(day - 1 AS DATE) AS VARCHAR) AS date, line[14 + step] AS prediction FROM run WHERE step > 0)
 """
 
 
-def forecasted(fx):
-    return fc.forecast_job(fx.daily)
+# Whole numbers: their sums are exact, so cuts that part the rows alike have equal gains in both engines and the first one counts.
+WHOLE = ", whole AS (SELECT date, country, round(pollution) AS pollution FROM fx_daily)\n, lagged AS"
+FOREST = LAGGED.replace("WITH ", "WITH RECURSIVE ", 1).replace(", lagged AS", WHOLE).replace("FROM fx_daily WHERE", "FROM whole WHERE") + regression_tree()
+
+
+def whole(fx):
+    return fx.daily.withColumn("pollution", F.round("pollution"))
 
 
-def among_observed(fx, values, column):
-    """Whether values lie within the range that the forests have seen."""
-    seen = fc.forecast_features(fx.daily).groupBy("country").agg(F.min("pollution").alias("low"), F.max("pollution").alias("high"))
-    near = F.col(column).between(F.col("low") - 1e-6, F.col("high") + 1e-6)
-    return values.join(seen, "country").withColumn("among_observed", near)
+def forests(fx):
+    """The forests SQL can grow: trees of two levels on all rows."""
+    return fc.forecast_job(whole(fx), exclude="error", trees=TREES, max_depth=DEPTH, bootstrap=False)
+
+
+@query("forecast_fit", FOREST + "SELECT country, date, pollution, round(fitted, 4) AS fitted FROM fit")
+def _(fx):
+    return rounded(forests(fx).fitted(), fitted=4)
 
 
-@query("forecast_fit", OBSERVED + "SELECT country, date, pollution, TRUE AS among_observed FROM used")
+@query("forecast_band", FOREST + recursive_forecast() + """
+SELECT country, date, 'forecast' AS kind, round(prediction, 4) AS prediction, 0e0 AS std, round(prediction, 4) AS lower, round(prediction, 4) AS upper FROM ahead
+UNION ALL SELECT country, CAST(last AS VARCHAR), 'actual', round(line[14], 4), 0e0, round(line[14], 4), round(line[14], 4) FROM newest""")
 def _(fx):
-    return among_observed(fx, forecasted(fx)[1], "fitted").select("country", "date", "pollution", "among_observed")
+    job = forests(fx)
+    extended = fc.with_last_actual(job.ahead(), whole(fx))
+    return rounded(extended, prediction=4, std=4, lower=4, upper=4).select("country", "date", "kind", "prediction", "std", "lower", "upper")
 
 
-@query("forecast_band", OBSERVED + """
-, last AS (SELECT country, max(CAST(date AS DATE)) AS last FROM lagged GROUP BY country)
-SELECT country, CAST(CAST(last + CAST(step AS INTEGER) AS DATE) AS VARCHAR) AS date, 'forecast' AS kind, TRUE AS among_observed, TRUE AS in_band FROM last, range(31) r(step)
-UNION ALL SELECT country, CAST(last AS VARCHAR), 'actual', TRUE, TRUE FROM last""")
+@query("forecast_scale", FOREST + recursive_forecast() + """
+, seen AS (SELECT max(pollution) AS hi, min(pollution) AS lo FROM used), next AS (SELECT max(prediction) AS hi, min(prediction) AS lo FROM ahead)
+SELECT round(greatest(0, s.hi, n.hi), 4) AS max_pollution, round(least(s.lo, n.lo), 4) AS min_pollution FROM seen s, next n""")
 def _(fx):
-    extended = among_observed(fx, fc.with_last_actual(forecasted(fx)[2], fx.daily), "prediction")
-    in_band = (F.col("std") >= 0) & F.col("prediction").between(F.col("lower"), F.col("upper"))
-    return extended.select("country", "date", "kind", "among_observed", in_band.alias("in_band"))
+    job = forests(fx)
+    return rounded(fc.common_scale(job.features, job.ahead()), max_pollution=4, min_pollution=4)
 
 
-@query("forecast_scale", OBSERVED + "SELECT TRUE AS holds_highest, TRUE AS holds_lowest FROM used HAVING count(*) > 0")
+@query("forecast_backtest", FOREST + """
+SELECT country, round(avg(abs(fitted - pollution)), 4) AS mae, round(sqrt(avg((fitted - pollution) ** 2)), 4) AS rmse, count(*) AS days FROM fit GROUP BY country""")
 def _(fx):
-    features, _, ahead = forecasted(fx)
-    seen = features.agg(F.max("pollution").alias("hi"), F.min("pollution").alias("lo"))
-    scale = fc.common_scale(features, ahead)
-    return scale.crossJoin(seen).select(
-        (F.col("max_pollution") >= F.col("hi")).alias("holds_highest"), (F.col("min_pollution") <= F.col("lo")).alias("holds_lowest"))
+    return rounded(fc.backtest_by_series(forests(fx).fitted()), mae=4, rmse=4)
 
 
-@query("forecast_backtest", OBSERVED + """
-SELECT country, count(*) AS days, TRUE AS better_than_mean FROM used GROUP BY country""")
+@query("forecast_forest")
 def _(fx):
-    fitted = forecasted(fx)[1]
-    spread = fitted.groupBy("country").agg(F.stddev_pop("pollution").alias("spread"))
-    errors = fc.backtest_by_series(fitted).join(spread, "country")
-    return errors.select("country", "days", (F.col("rmse") < F.col("spread")).alias("better_than_mean"))
+    """The forest as users fit it, on random samples; the tests hold it to its own trees."""
+    job = fc.forecast_job(fx.daily)
+    return fc.with_last_actual(job.ahead(), fx.daily)

@@ -8,7 +8,7 @@ from checks.rows import extract, land, messages, region, stored_extract, stored_
 from checks.views import ALLOWED, ISO_ALLOWED, given, in_region, polluted, ts
 from tidewake import schemas
 from tidewake.operators import aggregate, lookups, maintain, temporal
-from tidewake.operators.spatial import keep_region, within_region
+from tidewake.operators.regions import keep_region, within_region
 from tidewake.plans import extract as extract_plan
 from tidewake.plans import pollution as pollution_plan
 from tidewake.plans import profile
@@ -135,7 +135,7 @@ def _(fx):
 @query("sampled_extract_split_keys", SAMPLED)
 def _(fx):
     sampled = extract_plan.sampled_extract(
-        fx.ships, fx.positions, fx.scrubbers, "2024-01-01", "2024-01-27", 7, every=3, partitions=50
+        fx.ships, fx.positions, fx.scrubbers, "2024-01-01", "2024-01-27", 7, every=3, piece_rows=3
     )
     return rounded(sampled, avg_speed=10)
 
@@ -235,7 +235,7 @@ def _(fx):
 
 @query("asof_destination_split_keys", ASOF)
 def _(fx):
-    return asof(fx, partitions=40)
+    return asof(fx, piece_rows=3)
 
 
 @query("latest_recent_destination", given("fx_positions") + """
@@ -263,7 +263,7 @@ def _(fx):
 
 @query("resolve_identity_split_keys", IDENTITY)
 def _(fx):
-    return identity(fx, partitions=40)
+    return identity(fx, piece_rows=3)
 
 
 # -------------------------------------------------------------------- windows
@@ -280,7 +280,7 @@ def _(fx):
 
 @query("time_gap_hours_split_keys", GAPS)
 def _(fx):
-    return rounded(temporal.hours_since_previous(fx.positions, partitions=40).select("id", "time_diff"), time_diff=6)
+    return rounded(temporal.hours_since_previous(fx.positions, piece_rows=3).select("id", "time_diff"), time_diff=6)
 
 
 @query("systematic_sample", given("fx_positions") + """

@@ -12,7 +12,6 @@ from tidewake.operators.temporal import asof_latest_within
 from tidewake.schemas import SHIPS
 from tidewake.sources.messages import identified_statics, ingest, read_messages
 from tidewake.streaming import ingest as jobs
-from tidewake.streaming.versions import Changes
 
 
 @pytest.fixture(scope="module")
@@ -46,57 +45,101 @@ def test_routing_equals_batch(spark, fx, slices, tmp_path, same):
 
 def test_collector_over_several_batches(spark, fx, slices, tmp_path, same):
     messages, stream = slices
-    path = str(tmp_path / "out")
-    progress = run(jobs.start_collector(stream(), region(fx), path, str(tmp_path / "cp"), keep_unknown=True))
+    path, checkpoint = str(tmp_path / "out"), str(tmp_path / "cp")
+    progress = run(jobs.start_collector(stream(), region(fx), path, checkpoint, keep_unknown=True))
     assert progress["batchId"] >= 3
+    run(jobs.start_collector(stream(), region(fx), path, checkpoint, keep_unknown=True))  # a restart adds nothing
     routed = ingest(messages, region(fx))
     statics = routed.where("route = 'static'")
     ships = upsert_ships(statics)
-    same(jobs.current_ships(spark, path, routed.schema).select(ships.columns), ships)
+    same(jobs.current_ships(spark, checkpoint).select(ships.columns), ships)
+    newest = jobs.collected(spark, path, "ships").groupBy("imo_number").agg(F.max_by(F.struct("mmsi", "name"), "seq").alias("x"))
+    same(newest.select("imo_number", "x.*"), ships.select("imo_number", "mmsi", "name"))
+    assert jobs.collected(spark, path, "static_log").count() == statics.count()
 
     reports = routed.where("route = 'position'").drop("imo_number")
     named = resolve_identity(reports, statics, ships.limit(0))
     found = asof_latest_within(
         named.where("imo_number IS NOT NULL"), statics, "imo_number", "timestamp_ais", "seq", "destination", 5 * 3600,
     ).select("seq", "imo_number", F.col("recent_destination").alias("destination"))
-    assert same(spark.read.parquet(path + "/positions").select("seq", "imo_number", "destination"), found) > 0
-    unknown = spark.read.parquet(path + "/unknown_ships").where("sog IS NOT NULL")
+    assert same(jobs.collected(spark, path, "positions").select("seq", "imo_number", "destination"), found) > 0
+    unknown = jobs.collected(spark, path, "unknown_ships").where("sog IS NOT NULL")
     assert unknown.count() == named.where("imo_number IS NULL").count()
 
 
-def test_repeated_batch_leaves_no_duplicates(spark, fx, slices, tmp_path):
-    routed = ingest(slices[0], region(fx))
-    commit = jobs.commit_batch(str(tmp_path))
-    commit(routed, 0)
-    tables = ("static_log", "ships/changes", "identities/changes", "positions")
-    counts = [spark.read.parquet(f"{tmp_path}/{t}").count() for t in tables]
-    commit(routed, 0)
-    assert counts == [spark.read.parquet(f"{tmp_path}/{t}").count() for t in tables]
+def test_batches_do_not_matter(spark, fx, slices, tmp_path, same):
+    """Four micro-batches and a single one give the same tables and the same master."""
+    messages, stream = slices
+    messages.write.parquet(str(tmp_path / "whole"))
+    one = spark.readStream.schema(messages.schema).parquet(str(tmp_path / "whole"))
+    for name, source in (("many", stream()), ("one", one)):
+        run(jobs.start_collector(source, region(fx), str(tmp_path / name), str(tmp_path / f"{name}-cp"), keep_unknown=True))
+    for table in ("positions", "static_log", "unknown_ships"):
+        assert same(*(jobs.collected(spark, str(tmp_path / name), table) for name in ("many", "one"))) > 0
+    same(*(jobs.current_ships(spark, str(tmp_path / f"{name}-cp")) for name in ("many", "one")))
+
+
+def test_failed_batch_leaves_nothing_visible(spark, fx, slices, tmp_path, same):
+    """A batch that breaks off while it writes shows in no table; the restart makes up for it."""
+    messages, stream = slices
+    path, checkpoint, flag = str(tmp_path / "out"), str(tmp_path / "cp"), tmp_path / "broken"
+    flag.touch()
+
+    @F.udf("string")
+    def fragile(raw, seq):
+        from pathlib import Path
+
+        if seq == 400 and Path(str(flag)).exists():
+            raise ValueError("broken")
+        return raw
+
+    def source():
+        return stream().withColumn("raw", fragile("raw", "seq"))
+
+    query = jobs.start_collector(source(), region(fx), path, checkpoint, keep_unknown=True)
+    with pytest.raises(Exception, match="broken"):
+        query.awaitTermination()
+    seen = spark.read.parquet(path)
+    assert seen.agg(F.max("seq")).first()[0] < 250 and seen.select("table").distinct().count() == 4
+    flag.unlink()
+    run(jobs.start_collector(source(), region(fx), path, checkpoint, keep_unknown=True))
+    whole = str(tmp_path / "whole")
+    run(jobs.start_collector(stream(), region(fx), whole, str(tmp_path / "whole-cp"), keep_unknown=True))
+    same(spark.read.parquet(path), spark.read.parquet(whole))
+
+
+def test_batch_reads_only_its_own_rows(spark, fx, slices, tmp_path):
+    """No micro-batch reads a table that an earlier one has written."""
+    _, stream = slices
+    query = jobs.start_collector(stream(), region(fx), str(tmp_path / "out"), str(tmp_path / "cp"))
+    run(query)
+    assert [p["numInputRows"] for p in query.recentProgress if p["numInputRows"]] == [250] * 4
+    for progress in query.recentProgress:
+        assert len(progress["sources"]) == 1 and len(progress["stateOperators"]) == 2
 
 
 def test_dimension_fix_over_several_batches(spark, fx, slices, tmp_path, same):
     messages, stream = slices
     ships = fx.ships.select("imo_number", "mmsi", "length", "width")
-    path = str(tmp_path / "out")
-    run(jobs.start_dimension_fix(stream(), region(fx), ships, path, str(tmp_path / "cp")))
+    checkpoint = str(tmp_path / "cp")
+    run(jobs.start_dimension_fix(stream(), region(fx), ships, checkpoint))
     statics = identified_statics(ingest(messages, region(fx)))
     expected = correct_dimensions(ships, statics)
-    same(jobs.corrected_ships(ships, path, messages_schema(fx)).select(expected.columns), expected)
-
-
-def messages_schema(fx):
-    return ingest(fx.messages.withColumnRenamed("event_id", "seq"), region(fx)).schema
+    same(jobs.corrected_ships(ships, checkpoint).select(expected.columns), expected)
+    run(jobs.start_dimension_fix(stream(), region(fx), ships, checkpoint))  # a restart changes nothing
+    same(jobs.corrected_ships(ships, checkpoint).select(expected.columns), expected)
+    assert jobs.corrections(spark, checkpoint).count() == expected.where("lw_correction").count()
 
 
 def test_minute_metrics_total(spark, fx, slices, tmp_path):
     """Every minute is written, and a repeated or late message is not lost."""
     messages, stream = slices
     timed = ingest(stream(), region(fx)).withColumn("ts", F.lit("2024-01-01").cast("timestamp") + F.make_dt_interval(secs=F.col("seq") * 3))
-    path = str(tmp_path / "out")
-    run(jobs.start_metrics(timed, path, str(tmp_path / "cp")))
+    checkpoint = str(tmp_path / "cp")
+    run(jobs.start_metrics(timed, checkpoint))
     routed = ingest(messages, region(fx))
-    totals = jobs.running_totals(spark, path).first()
-    minutes = jobs.minute_metrics(spark, path).agg(*[F.sum(c).alias(c) for c in jobs.COUNTERS], F.count("minute").alias("n")).first()
+    totals = jobs.running_totals(spark, checkpoint).first()
+    minutes = jobs.minute_metrics(spark, checkpoint).agg(*[F.sum(c).alias(c) for c in jobs.COUNTERS], F.count("minute").alias("n")).first()
     assert minutes["n"] == 50
     for c in jobs.COUNTERS:
         assert minutes[c] == totals[c]
@@ -106,28 +149,6 @@ def test_minute_metrics_total(spark, fx, slices, tmp_path):
     assert 0 < totals["vessels_with_imo"] <= totals["unique_vessels"]
 
 
-def changes(path):
-    schema = "key long, value string"
-    return Changes(str(path), spark_schema(schema), lambda rows: rows.groupBy("key").agg(F.max_by("value", "batch_id").alias("value")), every=3)
-
-
-def spark_schema(text):
-    from pyspark.sql.types import StructType
-
-    return StructType.fromDDL(text)
-
-
-def test_changes_over_many_batches(spark, tmp_path):
-    table, state = changes(tmp_path), {}
-    for n in range(10):
-        assert dict(map(tuple, table.before(spark, n).collect())) == state
-        new = {n % 4: f"v{n}", 100 + n: "x"} if n != 5 else {}
-        table.commit(spark.createDataFrame(list(new.items()), table.schema), n)
-        table.commit(spark.createDataFrame(list(new.items()), table.schema), n)
-        state |= new
-    assert dict(map(tuple, table.current(spark).collect())) == state
-
-
 def test_identity_holds_over_batches(spark, fx, tmp_path):
     """A ship changes its MMSI; a report with the new one finds it in a later batch."""
     def static(seq, mmsi):
@@ -136,11 +157,12 @@ def test_identity_holds_over_batches(spark, fx, tmp_path):
 
     report = (3, '{"MessageType":"PositionReport","MetaData":{"MMSI":222,"latitude":52.0,"longitude":2.0,"time_utc":"2024-01-01 00:00:09.1 +0000 UTC"},'
                  '"Message":{"PositionReport":{"Sog":1}}}')
-    commit = jobs.commit_batch(str(tmp_path))
-    for n, row in enumerate([static(1, 111), static(2, 222), report]):
-        commit(ingest(spark.createDataFrame([row], "seq long, raw string"), region(fx)), n)
-    assert [r["imo_number"] for r in spark.read.parquet(f"{tmp_path}/positions").collect()] == [1000]
-    ships = jobs.current_ships(spark, str(tmp_path), messages_schema(fx)).collect()
+    landed, path, checkpoint = (str(tmp_path / x) for x in ("landed", "out", "cp"))
+    for row in (static(1, 111), static(2, 222), report):
+        spark.createDataFrame([row], "seq long, raw string").write.mode("append").parquet(landed)
+        run(jobs.start_collector(spark.readStream.schema("seq long, raw string").parquet(landed), region(fx), path, checkpoint))
+    assert [r["imo_number"] for r in jobs.collected(spark, path, "positions").collect()] == [1000]
+    ships = jobs.current_ships(spark, checkpoint).collect()
     assert [(r["imo_number"], r["mmsi"]) for r in ships] == [(1000, 111)]
 
 
@@ -220,19 +242,3 @@ def test_trigger_of_ten_seconds(spark, fx, slices, tmp_path):
         assert query.isActive and query.lastProgress["numInputRows"] > 0
     finally:
         query.stop()
-
-
-def test_batches_are_written_by_several_tasks(fx):
-    """Each micro-batch has its own range of messages in several files; few messages go into one file."""
-    from checks.streams import BATCH_FILES, in_batches
-
-    for count, files in ((3000, BATCH_FILES), (6, 1), (3 * BATCH_FILES - 1, 1)):
-        raw, seen = fx.spark.range(count, numPartitions=1).withColumnRenamed("id", "seq"), []
-
-        def take(batch, _):
-            rows = batch.select("seq", F.input_file_name().alias("file")).collect()
-            seen.append((len({r.file for r in rows}), sorted(r.seq for r in rows)))
-
-        in_batches(fx, raw, 3).writeStream.foreachBatch(take).trigger(availableNow=True).start().awaitTermination()
-        assert [f for f, _ in seen] == [files] * 3
-        assert [x for _, xs in seen for x in xs] == list(range(count))

@@ -4,30 +4,24 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from tidewake.operators.lookups import enrich_positions, resolve_identity
-from tidewake.operators.maintain import SHIP_FIRST, SHIP_LAST, correct_dimensions, first_dimensions, upsert_latest, upsert_ships
-from tidewake.operators.temporal import asof_latest_within
+from tidewake.operators.lookups import enrich_positions
+from tidewake.operators.maintain import SHIP_FIRST, SHIP_LAST, correct_dimensions, first_dimensions
 from tidewake.schemas import UNKNOWN_SHIPS
-from tidewake.session import materialize
 from tidewake.sources.messages import identified_statics, ingest
-from tidewake.streaming.versions import Changes
+from tidewake.streaming.state import COUNTERS, Identities, Metrics, Ships, read_state, use_state_store
 
-DESTINATION_AGE_SECONDS = 5 * 3600
+DESTINATION_AGE_HOURS = 5
 COMMIT_PERIOD = "10 seconds"
 
 STATIC_COLUMNS = [
     "seq", "imo_number", "mmsi", "name", "ship_type", "length", "width", "max_draught", "destination",
     "timestamp_ais", "latitude", "longitude",
 ]
-REPORT_COLUMNS = [
-    "seq", "mmsi", "timestamp_ais", "latitude", "longitude", "sog", "cog", "navigational_status_code",
-    "rate_of_turn", "true_heading",
-]
 
 
 def _trigger(writer, once: bool):
@@ -35,26 +29,6 @@ def _trigger(writer, once: bool):
     return writer.trigger(availableNow=True) if once else writer.trigger(processingTime=COMMIT_PERIOD)
 
 
-def _append_log(statics: DataFrame, path: str, batch_id: int) -> None:
-    """Append to the static log, by day; repeating a batch replaces its own folders."""
-    dated = statics.select("*", F.to_date("timestamp_ais").alias("day"), F.lit(batch_id).alias("batch_id"))
-    writer = dated.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    writer.partitionBy("day", "batch_id").parquet(path)
-
-
-def _log_around(statics: DataFrame, path: str, batch_id: int, reports: DataFrame) -> DataFrame:
-    """Log rows up to this micro-batch, of the days and ships that its reports look back on."""
-    age = F.make_dt_interval(secs=F.lit(DESTINATION_AGE_SECONDS))
-    days = reports.where(F.col("timestamp_ais").isNotNull()).select(F.explode(
-        F.sequence(F.to_date(F.col("timestamp_ais") - age), F.to_date("timestamp_ais"))).alias("day")).distinct()
-    # Days of one micro-batch's reports.
-    wanted = [r["day"] for r in days.collect()]
-    parts = [T.StructField("day", T.DateType()), T.StructField("batch_id", T.IntegerType())]
-    schema = T.StructType([*statics.schema.fields, *parts])
-    log = statics.sparkSession.read.schema(schema).parquet(path).where((F.col("batch_id") <= batch_id) & F.col("day").isin(wanted))
-    return log.join(reports.select("imo_number").distinct(), "imo_number", "left_semi").select(*statics.columns)
-
-
 def start_routing(raw: DataFrame, rings: DataFrame, path: str, checkpoint: str, keep_unknown: bool = False,
                   once: bool = True) -> StreamingQuery:
     """Ingest: parse, filter, route, and append every message to its route's folder.
@@ -74,153 +48,97 @@ def start_static_only(raw: DataFrame, rings: DataFrame, path: str, checkpoint: s
     return _trigger(writer.option("checkpointLocation", checkpoint).outputMode("append"), once).start()
 
 
-def ship_changes(path: str, kinds: T.StructType) -> Changes:
-    """The ship master: first MMSI, last name, type and dimensions."""
-    schema = T.StructType([kinds[c] for c in ("imo_number", *SHIP_FIRST, *SHIP_LAST)])
-    return Changes(path, schema, lambda rows: upsert_latest(rows, "imo_number", SHIP_FIRST, SHIP_LAST, "batch_id"))
-
-
-def identity_changes(path: str, kinds: T.StructType) -> Changes:
-    """The newest identity of each MMSI, by the order of the messages."""
-    schema = T.StructType([kinds[c] for c in ("mmsi", "imo_number", "seq")])
-    return Changes(path, schema, newest_identity)
-
+def _by_key(rows: DataFrame, column: str) -> DataFrame:
+    """Add ``key``: the column, or for rows without it one of some numbers below 0, so that these rows spread over the tasks."""
+    return rows.withColumn("key", F.coalesce(column, -1 - F.pmod(F.xxhash64("seq"), F.lit(64))))
 
-def newest_identity(rows: DataFrame) -> DataFrame:
-    known = rows.where(F.col("mmsi").isNotNull() & (F.col("imo_number") != 0))
-    newest = F.max(F.struct("seq", "imo_number")).alias("_newest")
-    return known.groupBy("mmsi").agg(newest).select("mmsi", "_newest.imo_number", "_newest.seq")
 
+def collected_rows(messages: DataFrame, keep_hours: int | None = None) -> DataFrame:
+    """Rows of all tables of the collector, with ``table``, from routed messages.
 
-def identify(batch: DataFrame, batch_id: int, identities: Changes) -> DataFrame:
-    """Positions of a routed micro-batch with their identity; the batch's own identities are kept for later ones.
-
-    The newest ship message before the position counts, in this batch or any
-    earlier one, so results don't depend on where batches end.
+    A position gets its identity from the newest ship message of its MMSI before
+    it (by ``seq``) and its destination from the last ship message of its ship
+    up to its own time. Both are state by key, so what a batch reads is
+    its own rows and their keys' state. Tables: ``positions``, ``static_log``, ``ships`` (each
+    changed row of the master) and ``unknown_ships``: what has no identity, ship
+    messages and positions alike.
     """
-    statics = batch.where(F.col("route") == "static").select("seq", "mmsi", "imo_number")
-    identities.commit(newest_identity(statics), batch_id)
-    reports = batch.where(F.col("route") == "position").drop("imo_number")
-    return resolve_identity(reports, statics, identities.before(batch.sparkSession, batch_id))
+    use_state_store(messages.sparkSession)
+    rows = messages.where(F.col("route").isin("static", "position", "unknown")).select("seq", "route", *UNKNOWN_SHIPS.fieldNames())
+    schema = T.StructType([T.StructField(f.name, f.dataType) for f in rows.schema.fields])
+    named = _by_key(rows, "mmsi").groupBy("key").transformWithStateInPandas(Identities(schema), schema, "Append", "None")
+    # The number that stands for an unknown identity is none.
+    ship = F.when(F.col("route") != "unknown", F.col("imo_number"))
+    keyed = _by_key(named.withColumn("_ship", ship), "_ship").drop("_ship")
+    tables = T.StructType([*schema.fields, T.StructField("table", T.StringType())])
+    return keyed.groupBy("key").transformWithStateInPandas(
+        Ships(schema, DESTINATION_AGE_HOURS, keep_hours), tables, "Append", "ProcessingTime" if keep_hours else "None").drop("route")
 
 
-def commit_batch(path: str, keep_unknown: bool = False) -> Callable[[DataFrame, int], None]:
-    """Micro-batch commit: static log, ship master, identities and looked-up positions under ``path``.
+def start_collector(raw: DataFrame, rings: DataFrame, path: str, checkpoint: str, once: bool = True,
+                    keep_unknown: bool = False, keep_hours: int | None = None) -> StreamingQuery:
+    """The whole collector: routing, ship master, identity and destination lookups.
 
-    A position gets its identity from the newest ship message before it (by
-    ``seq``) and its destination from the last ship message up to its own time
-    in the log. With ``keep_unknown`` what has no identity, ship messages and
-    positions alike, goes to ``unknown_ships``. Every output folder carries the
-    batch id and is overwritten when a batch is repeated, so a restart leaves
-    no duplicates.
+    ``raw`` needs a ``seq`` column that orders the messages. All rows of a
+    micro-batch are one write with ``table`` as a partition column, and one
+    commit: readers see a batch in all tables or in none, and a
+    restart repeats nothing (see ``collected``).
     """
-    base = path.rstrip("/")
-
-    def folder(table: str, batch_id: int) -> str:
-        return f"{base}/{table}/batch_id={batch_id}"
-
-    def commit(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist()
-        try:
-            statics = batch.where(F.col("route") == "static").select(*STATIC_COLUMNS)
-            _append_log(statics, f"{base}/static_log", batch_id)
-            ship_changes(f"{base}/ships", statics.schema).commit(upsert_ships(statics), batch_id)
-            named = materialize(identify(batch, batch_id, identity_changes(f"{base}/identities", statics.schema)), "named")
-            located = named.where(F.col("imo_number").isNotNull()).select(*REPORT_COLUMNS, "imo_number")
-            if located.isEmpty():
-                located = located.withColumn("destination", F.lit(None).cast("string"))
-            else:
-                fresh = _log_around(statics, f"{base}/static_log", batch_id, located)
-                located = asof_latest_within(
-                    located, fresh, "imo_number", "timestamp_ais", "seq", "destination", DESTINATION_AGE_SECONDS,
-                ).withColumnRenamed("recent_destination", "destination")
-            located.write.mode("overwrite").parquet(folder("positions", batch_id))
-            if keep_unknown:
-                lost = named.where(F.col("imo_number").isNull()).withColumn("imo_number", F.lit(-1).cast("bigint"))
-                nameless = batch.where(F.col("route") == "unknown")
-                columns = ["seq", *[c for c in UNKNOWN_SHIPS.fieldNames()]]
-                unknown = nameless.select(*columns).unionByName(lost.select(*columns))
-                unknown.write.mode("overwrite").parquet(folder("unknown_ships", batch_id))
-        finally:
-            batch.unpersist()
-
-    return commit
+    rows = collected_rows(ingest(raw, rings, keep_unknown), keep_hours)
+    if not keep_unknown:
+        rows = rows.where(F.col("table") != "unknown_ships")
+    writer = rows.writeStream.format("parquet").partitionBy("table").option("path", path)
+    return _trigger(writer.option("checkpointLocation", checkpoint).outputMode("append"), once).start()
 
 
-def start_collector(raw: DataFrame, rings: DataFrame, path: str, checkpoint: str, once: bool = True,
-                    keep_unknown: bool = False) -> StreamingQuery:
-    """The whole collector: routing, ship master, identity and destination lookups per micro-batch.
-
-    ``raw`` needs a ``seq`` column that orders the messages.
-    """
-    writer = ingest(raw, rings, keep_unknown).writeStream.foreachBatch(commit_batch(path, keep_unknown))
-    return _trigger(writer.option("checkpointLocation", checkpoint), once).start()
+def collected(spark: SparkSession, path: str, table: str) -> DataFrame:
+    """A table of the collector, as of its last commit."""
+    return spark.read.parquet(path).where(F.col("table") == table).drop("table")
 
 
-def current_ships(spark: SparkSession, path: str, kinds: T.StructType) -> DataFrame:
-    """The collector's ship master after its last batch; ``kinds`` is the schema of its messages."""
-    return ship_changes(f"{path.rstrip('/')}/ships", kinds).current(spark)
+def current_ships(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """The collector's ship master after its last batch, from its state: one row per ship, however long the stream has run."""
+    # Operators are numbered from the sink's end of the plan.
+    ships = read_state(spark, checkpoint, 0, "ship")
+    return ships.select(F.col("key").alias("imo_number"), *SHIP_FIRST, *SHIP_LAST)
 
 
-COUNTERS = ("collected", "filtered", "static_data", "position_data", "no_imo")
+def start_metrics(messages: DataFrame, checkpoint: str, ts: str = "ts", once: bool = True) -> StreamingQuery:
+    """Minute metrics of routed messages, with identities as the collector finds them.
 
+    The counters are state by vessel and minute; nothing is waited for, left out
+    or written anywhere else.
+    """
+    use_state_store(messages.sparkSession)
+    rows = messages.select("seq", "route", "mmsi", "imo_number", F.date_trunc("minute", ts).cast("timestamp_ntz").alias("arrived"))
+    counted = _by_key(rows, "mmsi").groupBy("key").transformWithStateInPandas(Metrics(rows.schema), "mmsi long", "Append", "None")
+    return _trigger(counted.writeStream.format("noop").option("checkpointLocation", checkpoint), once).start()
 
-def metric_parts(messages: DataFrame, ts: str = "ts") -> DataFrame:
-    """Counts per minute of arrival and vessel; such parts of any batches can be added up."""
-    used = F.col("route").isin("static", "position", "no_imo", "unknown")
-    known = F.coalesce(F.col("imo_number") > 0, F.lit(False))
-    vessel = F.when(used & (F.col("mmsi") != 0), F.col("mmsi"))
-    return messages.groupBy(F.date_trunc("minute", ts).cast("timestamp_ntz").alias("minute"), vessel.alias("vessel")).agg(
-        F.count_if(used).alias("collected"), F.count_if(F.col("route") == "outside").alias("filtered"),
-        F.count_if(F.col("route") == "static").alias("static_data"),
-        F.count_if((F.col("route") == "position") & known).alias("position_data"),
-        F.count_if(used & ~known).alias("no_imo"), F.coalesce(F.bool_or(used & known), F.lit(False)).alias("identified"),
-    )
 
+def _vessel_minutes(spark: SparkSession, checkpoint: str) -> DataFrame:
+    state = read_state(spark, checkpoint, 0, "minutes")
+    return state.withColumn("vessel", F.when((F.col("key") > 0) & (F.col("collected") > 0), F.col("key")))
 
-def start_metrics(messages: DataFrame, path: str, checkpoint: str, ts: str = "ts", once: bool = True) -> StreamingQuery:
-    """Minute metrics of routed messages: every micro-batch writes its parts, nothing is waited for or left out.
 
-    Identities are kept beside them, so that positions count as the collector
-    counts them.
-    """
-    base = path.rstrip("/")
+def _totals() -> list[Column]:
+    return [
+        *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in COUNTERS], F.count_distinct("vessel").alias("unique_vessels"),
+        F.count_distinct(F.when(F.col("identified"), F.col("vessel"))).alias("vessels_with_imo"),
+    ]
 
-    def commit(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist()
-        try:
-            kinds = T.StructType([batch.schema[c] for c in ("mmsi", "imo_number", "seq")])
-            named = identify(batch, batch_id, identity_changes(f"{base}/identities", kinds))
-            rest = batch.where(~F.col("route").eqNullSafe("position"))
-            parts = metric_parts(rest.unionByName(named.select(*rest.columns)), ts)
-            parts.write.mode("overwrite").parquet(f"{base}/parts/batch_id={batch_id}")
-        finally:
-            batch.unpersist()
 
-    return _trigger(messages.writeStream.foreachBatch(commit).option("checkpointLocation", checkpoint), once).start()
+def _with_coverage(totals: DataFrame) -> DataFrame:
+    return totals.withColumn("coverage", F.coalesce(F.try_divide("vessels_with_imo", "unique_vessels"), F.lit(0.0)))
 
 
-def minute_metrics(spark: SparkSession, path: str) -> DataFrame:
+def minute_metrics(spark: SparkSession, checkpoint: str) -> DataFrame:
     """Per minute: the counters, distinct vessels, those with an identity, and their share."""
-    parts = spark.read.parquet(f"{path.rstrip('/')}/parts")
-    per_vessel = parts.groupBy("minute", "vessel").agg(
-        *[F.sum(c).alias(c) for c in COUNTERS], F.bool_or("identified").alias("identified"))
-    per_minute = per_vessel.groupBy("minute").agg(
-        *[F.sum(c).alias(c) for c in COUNTERS], F.count("vessel").alias("unique_vessels"),
-        F.count_if(F.col("vessel").isNotNull() & F.col("identified")).alias("vessels_with_imo"),
-    )
-    return per_minute.withColumn("coverage", F.coalesce(F.try_divide("vessels_with_imo", "unique_vessels"), F.lit(0.0)))
-
-
-def running_totals(spark: SparkSession, path: str) -> DataFrame:
-    """One row: the counters, vessels and coverage over everything written so far."""
-    parts = spark.read.parquet(f"{path.rstrip('/')}/parts")
-    per_vessel = parts.groupBy("vessel").agg(*[F.sum(c).alias(c) for c in COUNTERS], F.bool_or("identified").alias("identified"))
-    totals = per_vessel.agg(
-        *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in COUNTERS], F.count("vessel").alias("unique_vessels"),
-        F.count_if(F.col("vessel").isNotNull() & F.col("identified")).alias("vessels_with_imo"),
-    )
-    return totals.withColumn("coverage", F.coalesce(F.try_divide("vessels_with_imo", "unique_vessels"), F.lit(0.0)))
+    return _with_coverage(_vessel_minutes(spark, checkpoint).groupBy("minute").agg(*_totals()))
+
+
+def running_totals(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """One row: the counters, vessels and coverage over everything so far."""
+    return _with_coverage(_vessel_minutes(spark, checkpoint).agg(*_totals()))
 
 
 def start_enrichment(rows: DataFrame, lookup: DataFrame, path: str, checkpoint: str, once: bool = True,
@@ -234,39 +152,28 @@ def start_enrichment(rows: DataFrame, lookup: DataFrame, path: str, checkpoint:
     return _trigger(writer.option("checkpointLocation", checkpoint).outputMode("append"), once).start()
 
 
-def dimension_changes(path: str, kinds: T.StructType) -> Changes:
-    """Corrections made so far: the first one of each ship."""
-    fields = [T.StructField("imo_number", kinds["imo_number"].dataType), T.StructField("length", T.IntegerType()),
-              T.StructField("width", T.IntegerType()), T.StructField("timestamp_ais", T.TimestampNTZType()), T.StructField("seq", kinds["seq"].dataType)]
-    columns = [f.name for f in fields[1:]]
-
-    def first(rows: DataFrame) -> DataFrame:
-        picked = rows.groupBy("imo_number").agg(F.min_by(F.struct(*columns), "batch_id").alias("_first"))
-        return picked.select("imo_number", "_first.*")
+def start_dimension_fix(raw: DataFrame, rings: DataFrame, ships: DataFrame, checkpoint: str, once: bool = True) -> StreamingQuery:
+    """One-time correction of length and width of the ``ships`` from the static-only stream.
 
-    return Changes(path, T.StructType(fields), first)
-
-
-def dimension_batch(path: str, ships: DataFrame) -> Callable[[DataFrame, int], None]:
-    """Corrections of a micro-batch: first dimensions of ships in ``ships`` that no batch has corrected yet."""
-    def correct(batch: DataFrame, batch_id: int) -> None:
-        fixes = dimension_changes(path, batch.schema)
-        done = fixes.before(batch.sparkSession, batch_id).select("imo_number")
-        first = first_dimensions(batch).select("imo_number", "_fix.length", "_fix.width", F.col("_fix.at").alias("timestamp_ais"), F.col("_fix.order").alias("seq"))
-        known = ships.select("imo_number").distinct()
-        fixes.commit(first.join(done, "imo_number", "left_anti").join(known, "imo_number", "left_semi"), batch_id)
-
-    return correct
+    The first valid message of each ship is a streaming aggregate; its state is
+    the table of corrections (see ``corrections``).
+    """
+    use_state_store(raw.sparkSession)
+    known = ships.select("imo_number").distinct()
+    statics = identified_statics(ingest(raw, rings)).select(*STATIC_COLUMNS).join(known, "imo_number", "left_semi")
+    writer = first_dimensions(statics).writeStream.outputMode("update").format("noop")
+    return _trigger(writer.option("checkpointLocation", checkpoint), once).start()
 
 
-def start_dimension_fix(raw: DataFrame, rings: DataFrame, ships: DataFrame, path: str, checkpoint: str,
-                        once: bool = True) -> StreamingQuery:
-    """One-time correction of length and width from the static-only stream."""
-    statics = identified_statics(ingest(raw, rings)).select(*STATIC_COLUMNS)
-    writer = statics.writeStream.foreachBatch(dimension_batch(path, ships))
-    return _trigger(writer.option("checkpointLocation", checkpoint), once).start()
+def corrections(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """The first valid dimensions of each ship so far, as ship messages: one row a ship."""
+    state = read_state(spark, checkpoint)
+    first = state.columns[1]
+    return state.select(
+        "imo_number", F.col(first)["length"].alias("length"), F.col(first)["width"].alias("width"),
+        F.col(first)["at"].alias("timestamp_ais"), F.col(first)["order"].alias("seq"))
 
 
-def corrected_ships(ships: DataFrame, path: str, kinds: T.StructType) -> DataFrame:
-    """``ships`` with all corrections made so far; ``kinds`` is the schema of the messages."""
-    return correct_dimensions(ships, dimension_changes(path, kinds).current(ships.sparkSession))
+def corrected_ships(ships: DataFrame, checkpoint: str) -> DataFrame:
+    """``ships`` with all corrections made so far."""
+    return correct_dimensions(ships, corrections(ships.sparkSession, checkpoint))
