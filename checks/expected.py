@@ -21,3 +21,12 @@ CORRECTIONS = [
     ("^0$", ""), ("^GBLGP.*$", "LONDON"), ("^GBHRW.*$", "HARWICH"), ("^DEHAM.*$", "HAMBURG"), ("^BERGENMOBERGEN$", "BERGEN"),
     ("^ANTWERPEN$", "ANTWERP"), ("^ROTTHULLROTT$", "ROTTERDAM"), ("^ROTTHULL$", "ROTTERDAM"), ("^HULLROTT$", "HULL"),
 ]
+
+NAV_STATUSES = [
+    "Underway using engine", "At anchor", "Not under command", "Restricted maneuverability", "Constrained by her draught", "Moored", "Aground",
+    "Engaged in fishing", "Underway sailing",
+    "Reserved for future amendment of navigational status for ships carrying DG, HS or IMO hazard or pollutant category C, HSC",
+    "Reserved for future amendment of navigational status for ships carrying DG, HS, MP or IMO hazard or pollutant category A, WIG",
+    "Power-driven vessel towing astern", "Power-driven vessel pushing ahead or towing alongside", "Reserved for future use",
+    "AIS-SART Active, AIS-MOB, AIS-EPIRB", "Undefined",
+]

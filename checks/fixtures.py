@@ -1,4 +1,4 @@
-"""Fixture views over the given ``events`` table.
+"""Fixture views over the given tables, most of them over ``events``.
 
 The texts run unchanged in Spark SQL and in DuckDB, so queries and their
 oracles start from the same rows. ``NEEDS`` names the views a view reads.
@@ -6,6 +6,8 @@ oracles start from the same rows. ``NEEDS`` names the views a view reads.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 
 SQL = {
@@ -66,6 +68,17 @@ SELECT CAST(ts AS DATE) AS date, event_type AS country, round(sum(value), 4) AS
     "fx_land": """
 SELECT * FROM (VALUES (0,0,9.7e0,53.4e0),(0,1,10.1e0,53.4e0),(0,2,10.1e0,53.65e0),(0,3,9.7e0,53.65e0),
  (1,0,8.5e0,53.0e0),(1,1,8.9e0,53.0e0),(1,2,8.9e0,53.25e0),(1,3,8.5e0,53.25e0)) AS t(region_id,seq,lon,lat)
+""",
+    # Reference tables of the size of the given ones.
+    "fx_harbours": """
+SELECT CAST(s_suppkey AS INT) AS port_id, s_name AS port_name, n_name AS country, round(50 + (s_suppkey % 997) / 100e0, 2) AS latitude,
+ round((s_suppkey * 7 % 1500) / 100e0, 2) AS longitude FROM supplier JOIN nation ON n_nationkey = s_nationkey
+""",
+    "fx_harbour_bans": """
+SELECT s_name AS port_name, CAST(s_suppkey % 3 AS INT) AS scrubber_status FROM supplier WHERE s_suppkey % 4 < 2
+""",
+    "fx_part_codes": """
+SELECT CAST(p_partkey % 97 AS INT) AS type_code, p_type AS type, CASE WHEN p_partkey % 5 = 0 THEN NULL ELSE p_brand END AS remark FROM part
 """,
     # Reports with a tenth of them stored twice.
     "fx_duplicated": """
@@ -95,11 +108,15 @@ def with_views(*names: str, extra: dict[str, tuple[list[str], str]] | None = Non
     return "WITH " + ",\n".join(ordered.values())
 
 
+# Given tables that views read beside ``events``.
+GIVEN = ("supplier", "nation", "part")
+
+
 class Fixtures:
     """Fixture views as DataFrames: ``Fixtures(spark, sf_dir).positions`` is ``fx_positions``."""
 
     def __init__(self, spark: SparkSession, sf_dir: str, events: DataFrame | None = None):
-        self.spark = spark
+        self.spark, self.sf_dir = spark, sf_dir
         self.events = events if events is not None else spark.read.parquet(f"{sf_dir}/events.parquet")
 
     def __getattr__(self, name: str) -> DataFrame:
@@ -112,4 +129,8 @@ class Fixtures:
             for word in ("FROM", "JOIN"):
                 text = text.replace(f"{word} {v} ", f"{word} {{{v}}} ")
         used = {"events": self.events} if "{events}" in text else {}
+        for name in GIVEN:
+            text, found = re.subn(rf"\b(FROM|JOIN) {name}\b", rf"\1 {{{name}}}", text)
+            if found:
+                used[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
         return self.spark.sql(text, **used, **needed)

@@ -5,7 +5,7 @@ from pyspark.sql import types as T
 
 from checks.registry import query, rounded
 from checks.rows import extract, land, messages, region, stored_extract, stored_messages
-from checks.views import ALLOWED, ISO_ALLOWED, given, in_region, polluted, ts
+from checks.views import STATUS_ROWS, ALLOWED, ISO_ALLOWED, given, in_region, polluted, ts
 from tidewake import schemas
 from tidewake.operators import aggregate, lookups, maintain, temporal
 from tidewake.operators.regions import keep_region, within_region
@@ -720,13 +720,14 @@ def _(fx):
     return with_flag.select(*columns).unionByName(without.select(*columns))
 
 
-@query("table_preview", given("fx_ships") + "SELECT count(*) AS total, least(count(*), 5) AS shown FROM fx_ships")
+@query("table_preview", given("fx_ships") + """
+SELECT (SELECT count(*) FROM fx_ships) AS total, imo_number, name, ship_type, length FROM fx_ships ORDER BY imo_number LIMIT 5""")
 def _(fx):
     path = shared_dir(fx.spark, "ships_table")
     name = "tidewake_" + path.rsplit("-", 1)[1]
     tables.save_table(fx.ships, name, path=path)
-    total, preview = tables.verify_table(fx.spark, name, 5)
-    return preview.agg(F.lit(total).cast("bigint").alias("total"), F.count(F.lit(1)).alias("shown"))
+    total, preview = tables.verify_table(fx.spark, name, 5, "imo_number")
+    return preview.select(F.lit(total).cast("bigint").alias("total"), "imo_number", "name", "ship_type", "length")
 
 
 @query("region_from_geojson", given("fx_positions") + f"SELECT id, {in_region('latitude', 'longitude')} AS in_region FROM fx_positions")
@@ -742,18 +743,29 @@ def _(fx):
     return within_region(fx.positions, read_rings(fx.spark, path)).select("id", "in_region")
 
 
+@query("region_from_feature_lines", given("fx_positions") + f"SELECT id, {in_region('latitude', 'longitude')} AS in_region FROM fx_positions")
+def _(fx):
+    """The same region with a feature per line, in as many files as there are tasks."""
+    corner = F.sort_array(F.collect_list(F.struct("seq", "lon", "lat")))
+    ring = F.transform(corner, lambda p: F.array(p["lon"], p["lat"]))
+    shapes = fx.region.groupBy("region_id").agg(F.array(ring).alias("coordinates"))
+    path = shared_dir(fx.spark, "features")
+    shapes.select(F.to_json(F.struct(F.struct(F.lit("Polygon").alias("type"), "coordinates").alias("geometry"))).alias("value")).write.text(path)
+    return within_region(fx.positions, read_rings(fx.spark, path, lines=True)).select("id", "in_region")
+
+
 def reference_folder(fx):
     """Reference tables as CSV, with reordered and upper-case headers."""
     path = shared_dir(fx.spark, "reference")
-    files.write_csv(fx.ship_type_codes.select("remark", "type", "type_code"), path + "/ship_type_codes.csv")
-    ports = fx.ports.select("country", "port_name", "latitude", "longitude", "port_id")
+    files.write_csv(fx.part_codes.select("remark", "type", "type_code"), path + "/ship_type_codes.csv")
+    ports = fx.harbours.select("country", "port_name", "latitude", "longitude", "port_id")
     files.write_csv(ports.toDF(*[c.upper() for c in ports.columns]), path + "/ports.csv")
-    files.write_csv(fx.port_bans, path + "/port_bans.csv")
+    files.write_csv(fx.harbour_bans, path + "/port_bans.csv")
     return path
 
 
-@query("reference_tables", given("fx_ports", "fx_port_bans") + """
-SELECT p.port_id, p.port_name, p.country, p.latitude, coalesce(b.scrubber_status, 0) AS scrubber_status FROM fx_ports p LEFT JOIN fx_port_bans b ON b.port_name = p.port_name""")
+@query("reference_tables", given("fx_harbours", "fx_harbour_bans") + """
+SELECT p.port_id, p.port_name, p.country, p.latitude, coalesce(b.scrubber_status, 0) AS scrubber_status FROM fx_harbours p LEFT JOIN fx_harbour_bans b ON b.port_name = p.port_name""")
 def _(fx):
     path = reference_folder(fx)
     prefix = "tidewake_" + path.rsplit("-", 1)[1] + "_"
@@ -761,9 +773,22 @@ def _(fx):
     return fx.spark.read.table(prefix + "ports").select("port_id", "port_name", "country", "latitude", "scrubber_status")
 
 
-@query("reference_tables_audit", given("fx_ship_type_codes") + """
-SELECT 'nulls' AS kind, 'type_code' AS name, 0 AS n UNION ALL SELECT 'nulls', 'type', 0 UNION ALL SELECT 'nulls', 'remark', count(*) FILTER (WHERE remark IS NULL) FROM fx_ship_type_codes
-UNION ALL SELECT 'type_code', CAST(type_code AS VARCHAR), count(*) FROM fx_ship_type_codes GROUP BY type_code""")
+@query("reference_statuses", given("fx_positions") + f"""
+SELECT s.code AS navigational_status_code, s.status AS navigational_status, count(p.id) AS n FROM (VALUES {STATUS_ROWS}) s(code, status)
+LEFT JOIN fx_positions p ON p.navigational_status_code = s.code GROUP BY s.code, s.status""")
+def _(fx):
+    """All loaded statuses, and how many reports have them."""
+    path = reference_folder(fx)
+    prefix = "tidewake_" + path.rsplit("-", 1)[1] + "_"
+    tables.load_reference_tables(fx.spark, path, "update", prefix, path + "/tables")
+    counts = fx.positions.groupBy("navigational_status_code").agg(F.count(F.lit(1)).alias("n"))
+    statuses = fx.spark.read.table(prefix + "navigational_status").join(counts, "navigational_status_code", "left")
+    return statuses.select("navigational_status_code", "navigational_status", F.coalesce("n", F.lit(0)).alias("n"))
+
+
+@query("reference_tables_audit", given("fx_part_codes") + """
+SELECT 'nulls' AS kind, 'type_code' AS name, 0 AS n UNION ALL SELECT 'nulls', 'type', 0 UNION ALL SELECT 'nulls', 'remark', count(*) FILTER (WHERE remark IS NULL) FROM fx_part_codes
+UNION ALL SELECT 'type_code', CAST(type_code AS VARCHAR), count(*) FROM fx_part_codes GROUP BY type_code""")
 def _(fx):
     read = files.read_reference_csv(fx.spark, reference_folder(fx) + "/ship_type_codes.csv", schemas.SHIP_TYPE_CODES)
     return tables.load_audit(read, "type_code")
@@ -797,25 +822,25 @@ def _(fx):
     return files.read_reference_csv(fx.spark, f"{path}/files/ships", kinds).select("imo_number", "name", "length")
 
 
-@query("port_coordinates", given("fx_ports") + """
+@query("port_coordinates", given("fx_harbours") + """
 SELECT upper(port_name) AS port_name, arg_max(latitude, port_id) AS latitude, upper(arg_max(country, port_id)) AS country FROM
- (SELECT port_id, port_name, country, latitude FROM fx_ports UNION ALL SELECT port_id + 100, lower(port_name), lower(country), latitude + 1 FROM fx_ports WHERE port_id % 2 = 0)
+ (SELECT port_id, port_name, country, latitude FROM fx_harbours UNION ALL SELECT port_id + 1000000, lower(port_name), lower(country), latitude + 1 FROM fx_harbours WHERE port_id % 2 = 0)
 GROUP BY upper(port_name)""")
 def _(fx):
-    again = fx.ports.where("port_id % 2 = 0").select(
-        (F.col("port_id") + 100).alias("port_id"), F.lower("port_name").alias("port_name"), F.lower("country").alias("country"),
+    again = fx.harbours.where("port_id % 2 = 0").select(
+        (F.col("port_id") + 1000000).alias("port_id"), F.lower("port_name").alias("port_name"), F.lower("country").alias("country"),
         (F.col("latitude") + 1).alias("latitude"), "longitude")
-    return tables.port_coordinates(fx.ports.unionByName(again)).select("port_name", "latitude", "country")
+    return tables.port_coordinates(fx.harbours.unionByName(again)).select("port_name", "latitude", "country")
 
 
-@query("import_wide_ports", given("fx_ports", "fx_port_bans") + """
+@query("import_wide_ports", given("fx_harbours", "fx_harbour_bans") + """
 SELECT CAST(p.port_id AS INTEGER) AS world_port_index_number, p.port_name, p.country, p.latitude, coalesce(b.scrubber_status, 0) AS scrubber_status
-FROM fx_ports p LEFT JOIN fx_port_bans b ON b.port_name = p.port_name""")
+FROM fx_harbours p LEFT JOIN fx_harbour_bans b ON b.port_name = p.port_name""")
 def _(fx):
     path = shared_dir(fx.spark, "wide_ports")
-    wide = fx.ports.select(
+    wide = fx.harbours.select(
         F.col("port_id").alias("World Port Index (Number)"), F.col("port_name").alias("PORT_NAME"), F.col("country").alias("COUNTRY"),
         F.col("latitude").alias("LATITUDE"), F.col("longitude").alias("LONGITUDE"), F.lit(None).cast("string").alias("Remark, other"))
     files.write_csv(wide, path)
-    ports = tables.import_ports(fx.spark, path, fx.port_bans)
+    ports = tables.import_ports(fx.spark, path, fx.harbour_bans)
     return ports.select("world_port_index_number", "port_name", "country", "latitude", "scrubber_status")

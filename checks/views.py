@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from checks.expected import CORRECTIONS, PORT_CODES, PROFILE_CODES, PROFILE_CORRECTIONS
+from checks.expected import CORRECTIONS, NAV_STATUSES, PORT_CODES, PROFILE_CODES, PROFILE_CORRECTIONS
 from checks.fixtures import with_views
 
 
@@ -57,6 +57,7 @@ def corrected(text: str, rules) -> str:
     return text
 
 
+STATUS_ROWS = ", ".join(f"({i}, '{text}')" for i, text in enumerate(NAV_STATUSES))
 CODE_ROWS = ", ".join(f"({i}, '{c}', '{n}')" for i, (c, n) in enumerate(PORT_CODES.items()))
 
 SPLIT = f"""

@@ -85,6 +85,25 @@ def rings(spark, tmp_path):
     return read_rings(spark, str(tmp_path / "region.geojson"))
 
 
+def test_features_by_line(spark, rings, tmp_path):
+    """One feature a line gives the same rings, from several tasks."""
+    shapes = [("Polygon", [SQUARE, HOLE]), ("MultiPolygon", [[DIAMOND]])] + [("Polygon", [[[k, 0], [k + 1, 0], [k, 1]]]) for k in range(300)]
+    lines = [json.dumps({"type": "Feature", "geometry": {"type": kind, "coordinates": shape}}) for kind, shape in shapes]
+    (tmp_path / "features.geojsonl").write_text("\n".join([*lines, json.dumps({"type": "Feature", "geometry": None})]))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "8k")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1k")
+    try:
+        found = read_rings(spark, str(tmp_path / "features.geojsonl"), lines=True)
+        assert found.rdd.getNumPartitions() > 2
+        assert found.select("region_id").distinct().count() == len(shapes) and found.count() == len(shapes) + 1
+        first = found.where(F.size("vertices") == 5).select("ring_id", "vertices").collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert sorted(map(tuple, first)) == sorted(map(tuple, rings.select("ring_id", "vertices").collect()))
+
+
 def test_polygons(spark, rings):
     cases = {
         (53.0, 3.0): True, (51.5, 1.5): False, (52.0, 9.0): True, (50.5, 9.0): False, (40.0, 3.0): False, (53.0, 30.0): False,

@@ -44,10 +44,10 @@ def save_table(df: DataFrame, name: str, mode: str = "overwrite", path: str | No
     writer.saveAsTable(name)
 
 
-def verify_table(spark: SparkSession, name: str, n: int = 5) -> tuple[int, DataFrame]:
-    """Row count and a short preview."""
+def verify_table(spark: SparkSession, name: str, n: int = 5, order: str | None = None) -> tuple[int, DataFrame]:
+    """Row count and a short preview: the first rows by ``order``, or any."""
     df = spark.read.table(name)
-    return df.count(), df.limit(n)
+    return df.count(), (df.orderBy(order) if order else df).limit(n)
 
 
 def export_all_tables(spark: SparkSession, directory: str, fmt: str = "csv") -> list[str]:
