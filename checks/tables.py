@@ -5,7 +5,7 @@ from pyspark.sql import types as T
 
 from checks.registry import query, rounded
 from checks.rows import extract, land, messages, region, stored_extract, stored_messages
-from checks.views import STATUS_ROWS, ALLOWED, ISO_ALLOWED, given, in_region, polluted, ts
+from checks.views import ALLOWED, ISO_ALLOWED, STATUS_ROWS, given, in_region, polluted, ts
 from tidewake import schemas
 from tidewake.operators import aggregate, lookups, maintain, temporal
 from tidewake.operators.regions import keep_region, within_region
@@ -15,7 +15,7 @@ from tidewake.plans import profile
 from tidewake.plans.destinations import normalize_destinations
 from tidewake.plans.report import destination_report, latest_positions, movement_report
 from tidewake.session import shared_dir
-from tidewake.sources import files, tables
+from tidewake.sources import files, tables, writeback
 from tidewake.sources.messages import identified_statics
 from tidewake.sources.regions import read_rings
 
@@ -730,6 +730,29 @@ def _(fx):
     return preview.select(F.lit(total).cast("bigint").alias("total"), "imo_number", "name", "ship_type", "length")
 
 
+def by_day(fx, rows):
+    """The rows as a catalog table by day of their message time."""
+    path = shared_dir(fx.spark, "by_day")
+    name = "tidewake_" + path.rsplit("-", 1)[1]
+    dated = rows.withColumn("day", F.date_format("timestamp_ais", "yyyy-MM-dd"))
+    dated.write.partitionBy("day").option("path", path).saveAsTable(name)
+    return name
+
+
+@query("delete_outside_region", given("fx_positions") + f"SELECT id FROM fx_positions WHERE {in_region('latitude', 'longitude')}")
+def _(fx):
+    name = by_day(fx, fx.positions)
+    writeback.delete_outside(fx.spark, name, "day", region(fx), at_a_time=4)
+    return fx.spark.read.table(name).select("id")
+
+
+@query("delete_outside_audit", given("fx_positions") + f"""
+SELECT strftime(timestamp_ais, '%Y-%m-%d') AS day, count(*) AS total, count(*) FILTER (WHERE {in_region('latitude', 'longitude')}) AS kept,
+ count(*) FILTER (WHERE NOT {in_region('latitude', 'longitude')}) AS deleted FROM fx_positions GROUP BY ALL""")
+def _(fx):
+    return writeback.delete_outside(fx.spark, by_day(fx, fx.positions), "day", region(fx), dry_run=True)
+
+
 @query("region_from_geojson", given("fx_positions") + f"SELECT id, {in_region('latitude', 'longitude')} AS in_region FROM fx_positions")
 def _(fx):
     """The region written as a GeoJSON file and read back."""

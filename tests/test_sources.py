@@ -113,3 +113,32 @@ def test_catalog_modes(spark, tmp_path):
     tables.save_table(df, "modes", "ignore")
     assert spark.table("modes").count() == 6
     assert spark.table("modes").schema == T.StructType([T.StructField("id", T.LongType())])
+
+
+def test_deletes_write_back(spark, tmp_path):
+    """Untouched partitions keep their files, emptied ones go, a dry run changes nothing, a second run finds nothing."""
+    from tidewake.sources.writeback import rewrite_partitions
+
+    rows = [(i, "ab c"[i % 4].strip() or None, i % 4 != 1 and i % 8 != 0) for i in range(80)]
+    spark.createDataFrame(rows, "id long, part string, good boolean").select("id", "good", "part").write.partitionBy("part").option(
+        "path", str(tmp_path / "t")).saveAsTable("written_back")
+
+    def files():
+        return {p.parent.name: p.name for p in (tmp_path / "t").rglob("*.parquet")}
+
+    def good(df):
+        return df.where("good")
+
+    try:
+        before = files()
+        audit = rewrite_partitions(spark, "written_back", "part", good, dry_run=True)
+        expected = {"a": (20, 10, 10), "b": (20, 0, 20), None: (20, 20, 0), "c": (20, 20, 0)}
+        assert {r["part"]: tuple(r)[1:] for r in audit.collect()} == expected and files() == before
+        rewrite_partitions(spark, "written_back", "part", good, at_a_time=1)
+        after = files()
+        parts = {r[0] for r in spark.sql("SHOW PARTITIONS written_back").collect()}
+        assert "part=b" not in parts and len(parts) == 3 and after["part=c"] == before["part=c"] and after["part=a"] != before["part=a"]
+        assert sorted(r["id"] for r in spark.read.table("written_back").collect()) == [i for i, _, keep in rows if keep]
+        assert rewrite_partitions(spark, "written_back", "part", good).agg({"deleted": "sum"}).first()[0] == 0 and files() == after
+    finally:
+        spark.sql("DROP TABLE IF EXISTS written_back")
