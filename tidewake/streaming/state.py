@@ -24,6 +24,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 HOUR = 3_600_000_000  # microseconds
+DAY = 24 * HOUR
 
 
 def use_state_store(spark: SparkSession) -> None:
@@ -55,6 +56,13 @@ def micros(times: pd.Series) -> list[int | None]:
     return [None if x is pd.NaT else x.value // 1000 for x in times]
 
 
+def in_order(rows: Iterator[pd.DataFrame]) -> pd.DataFrame:
+    """The rows of a key by ``seq``."""
+    parts = list(rows)
+    batch = parts[0] if len(parts) == 1 else pd.concat(parts, ignore_index=True)
+    return batch if len(batch) == 1 else batch.sort_values("seq", kind="stable", ignore_index=True)
+
+
 class Identities(StatefulProcessor):
     """By MMSI: positions get the identity of the newest ship message before them.
 
@@ -68,18 +76,20 @@ class Identities(StatefulProcessor):
         self.newest = handle.getValueState("newest", T.StructType([self.schema["imo_number"]]))
 
     def named(self, key, rows: Iterator[pd.DataFrame]) -> pd.DataFrame:
-        batch = pd.concat(list(rows)).sort_values("seq", kind="stable").reset_index(drop=True)
+        batch = in_order(rows)
         if key[0] < 0:
             return batch
-        # Positions have no identity of their own, and 0 is none.
-        said = batch["imo_number"].where((batch["route"] == "static") & (batch["imo_number"] != 0))
-        so_far = said.ffill()
-        if self.newest.exists():
-            so_far = so_far.fillna(self.newest.get()[0])
-        if said.notna().any():
-            self.newest.update((int(said.dropna().iloc[-1]),))
-        at = batch["route"] == "position"
-        batch.loc[at, "imo_number"] = so_far[at]
+        newest = before = self.newest.get()[0] if self.newest.exists() else None
+        identities = []
+        for route, imo in zip(batch["route"].tolist(), batch["imo_number"].tolist()):
+            if route == "position":
+                imo = newest
+            elif route == "static" and imo == imo and imo:  # 0 is no identity
+                newest = int(imo)
+            identities.append(imo)
+        if newest != before:
+            self.newest.update((newest,))
+        batch["imo_number"] = pd.array([None if x is None or x != x else int(x) for x in identities], dtype="Int64")
         return batch
 
     def handleInputRows(self, key, rows, timerValues):
@@ -120,8 +130,8 @@ class Ships(StatefulProcessor):
     """By IMO number: the ship master, and the destination of every position.
 
     A position takes the destination of the last ship message up to its own
-    time, if that is younger than ``age`` hours. Ship messages are kept by the hour
-    of their time, so a position asks for a handful of hours however long the stream has run;
+    time, if that is younger than ``age`` hours. Ship messages are kept by the day
+    of their time, so a position asks for one or two days however long the stream has run;
     ``keep`` hours after their arrival they may be forgotten (None: never).
     Keys below 0 stand for rows without identity.
     """
@@ -134,19 +144,20 @@ class Ships(StatefulProcessor):
         self.ship = handle.getValueState("ship", T.StructType(fields))
         said = T.ArrayType(T.StructType([T.StructField("at", T.LongType()), self.schema["seq"], T.StructField("destination", T.StringType())]))
         kept = {"ttlDurationMs": self.keep * 3_600_000} if self.keep else {}
-        self.hours = handle.getMapState("hours", T.StructType([T.StructField("hour", T.LongType())]), T.StructType([T.StructField("said", said)]), **kept)
+        self.days = handle.getMapState("days", T.StructType([T.StructField("day", T.LongType())]), T.StructType([T.StructField("said", said)]), **kept)
 
-    def _said(self, hour: int) -> list[tuple]:
-        return [tuple(x) for x in self.hours.getValue((hour,))[0]] if self.hours.containsKey((hour,)) else []
+    def _said(self, day: int) -> list[tuple]:
+        found = self.days.getValue((day,))
+        return [tuple(x) for x in found[0]] if found else []
 
     def _remember(self, statics: pd.DataFrame) -> pd.DataFrame:
-        """Update the master and the messages by hour; the ship's new row."""
-        by_hour: dict[int, list[tuple]] = {}
+        """Update the master and the messages by day; the ship's new row."""
+        by_day: dict[int, list[tuple]] = {}
         for at, seq, destination in zip(micros(statics["timestamp_ais"]), statics["seq"], statics["destination"]):
             if at is not None:
-                by_hour.setdefault(at // HOUR, []).append((at, plain(seq, self.schema["seq"].dataType), destination))
-        for hour, new in by_hour.items():
-            self.hours.updateValue((hour,), (sorted({*self._said(hour), *new}, key=lambda x: x[:2]),))
+                by_day.setdefault(at // DAY, []).append((at, plain(seq, self.schema["seq"].dataType), destination))
+        for day, new in by_day.items():
+            self.days.updateValue((day,), (sorted({*self._said(day), *new}, key=lambda x: x[:2]),))
         old = self.ship.get() if self.ship.exists() else None
         first, last = statics.iloc[0], statics.iloc[-1]
         mmsi = old[0] if old else plain(first["mmsi"], T.LongType())
@@ -157,8 +168,8 @@ class Ships(StatefulProcessor):
 
     def _destinations(self, positions: pd.DataFrame) -> list[str | None]:
         times, span = micros(positions["timestamp_ais"]), self.age * HOUR
-        wanted = {h for t in times if t is not None for h in range((t - span) // HOUR, t // HOUR + 1)}
-        said = [x for h in sorted(wanted) for x in self._said(h)]
+        wanted = {d for t in times if t is not None for d in range((t - span) // DAY, t // DAY + 1)}
+        said = [x for d in sorted(wanted) for x in self._said(d)]
         starts = [x[0] for x in said]
         out = []
         for t in times:
@@ -167,18 +178,22 @@ class Ships(StatefulProcessor):
         return out
 
     def handleInputRows(self, key, rows, timerValues):
-        batch = pd.concat(list(rows)).sort_values("seq", kind="stable").reset_index(drop=True)
+        batch = in_order(rows)
         if key[0] < 0:
-            nameless = batch.assign(table="unknown_ships")
-            nameless["imo_number"] = nameless["imo_number"].where(nameless["route"] == "unknown", -1)
-            yield nameless[[*self.schema.names, "table"]]
+            batch["table"] = "unknown_ships"
+            batch["imo_number"] = batch["imo_number"].where(batch["route"] == "unknown", -1)
+            yield batch[[*self.schema.names, "table"]]
             return
-        statics, positions = (batch[batch["route"] == r] for r in ("static", "position"))
-        if len(statics):
-            yield self._remember(statics).assign(table="ships")[[*self.schema.names, "table"]]
-            yield statics.assign(table="static_log")[[*self.schema.names, "table"]]
-        if len(positions):
-            yield positions.assign(table="positions", destination=self._destinations(positions))[[*self.schema.names, "table"]]
+        static = batch["route"] == "static"
+        if static.any():
+            ship = self._remember(batch[static])
+            ship["table"] = "ships"
+            yield ship
+        position = ~static
+        if position.any():
+            batch.loc[position, "destination"] = self._destinations(batch[position])
+        batch["table"] = ["static_log" if x else "positions" for x in static]
+        yield batch[[*self.schema.names, "table"]]
 
     def close(self) -> None:
         pass
