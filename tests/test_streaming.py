@@ -12,6 +12,7 @@ from tidewake.operators.temporal import asof_latest_within
 from tidewake.schemas import SHIPS
 from tidewake.sources.messages import identified_statics, ingest, read_messages
 from tidewake.streaming import ingest as jobs
+from tidewake.streaming import state
 
 
 @pytest.fixture(scope="module")
@@ -166,6 +167,45 @@ def test_identity_holds_over_batches(spark, fx, tmp_path):
     assert [(r["imo_number"], r["mmsi"]) for r in ships] == [(1000, 111)]
 
 
+def test_state_by_bucket(spark, fx, tmp_path, same, monkeypatch):
+    """Calls for state go by buckets of vessels and by parts of counters, not by vessel, ship, day or minute."""
+    monkeypatch.setattr(jobs, "BUCKETS", 4, raising=False)
+    monkeypatch.setattr(state, "PART", 100, raising=False)
+    vessel = F.col("seq") % 100
+    common = (F.lit('"MetaData":{"MMSI":'), (vessel + 1).cast("string"), F.lit(',"latitude":52.0,"longitude":2.0,"time_utc":"2024-01-01 0'), (F.col("seq") % 8).cast("string"), F.lit(':00:00.1 +0000 UTC"}'))
+    static = F.concat(F.lit('{"MessageType":"ShipStaticData",'), *common, F.lit(',"Message":{"ShipStaticData":{"ImoNumber":'), (vessel + 1000).cast("string"), F.lit(',"Destination":"D'), F.col("seq").cast("string"), F.lit('"}}}'))
+    report = F.concat(F.lit('{"MessageType":"PositionReport",'), *common, F.lit(',"Message":{"PositionReport":{"Sog":1}}}'))
+    at = F.lit("2024-01-01").cast("timestamp") + F.make_dt_interval(mins=F.col("seq").cast("int"))
+    messages = spark.range(1200).withColumnRenamed("id", "seq").select("seq", F.when(F.col("seq") % 300 < 100, static).otherwise(report).alias("raw"), at.alias("ts"))
+    for i in range(2):
+        messages.where(F.col("seq") % 2 == i).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(messages.schema).parquet(str(tmp_path / "in"))
+    path = str(tmp_path / "out")
+    query = jobs.start_collector(stream.drop("ts"), region(fx), path, path + "-cp")
+    run(query)
+    first = query.recentProgress[0]["stateOperators"]
+    assert sum(o["numRowsUpdated"] for o in first) <= 4 * (1 + 1 + 8)
+    routed = ingest(messages, region(fx))
+    statics = routed.where("route = 'static'")
+    named = resolve_identity(routed.where("route = 'position'").drop("imo_number"), statics, fx.ships.limit(0))
+    found = asof_latest_within(named, statics, "imo_number", "timestamp_ais", "seq", "destination", 5 * 3600)
+    got = jobs.collected(spark, path, "positions").select("seq", "imo_number", "destination")
+    assert same(got, found.select("seq", "imo_number", F.col("recent_destination").alias("destination"))) == 800
+    same(jobs.current_ships(spark, path + "-cp"), upsert_ships(statics).drop("seq"))
+
+    # The counters of a vessel that is cut off from its others by a restart and by full parts add up.
+    cut, checkpoint = str(tmp_path / "cut"), str(tmp_path / "cut-cp")
+    for low in (0, 500):
+        messages.where((F.col("seq") >= low) & (F.col("seq") < low + 700)).write.mode("append").parquet(cut)
+        query = jobs.start_metrics(ingest(spark.readStream.schema(messages.schema).parquet(cut), region(fx)), checkpoint)
+        run(query)
+        assert query.recentProgress[0]["stateOperators"][0]["numRowsUpdated"] <= 4 * (1 + 1 + 4)
+    minutes = jobs.minute_metrics(spark, checkpoint)
+    assert minutes.count() == 1200 and minutes.where("collected = 2 AND unique_vessels = 1").count() == 200
+    total = jobs.running_totals(spark, checkpoint).first()
+    assert (total["collected"], total["static_data"], total["unique_vessels"], total["vessels_with_imo"]) == (1400, 500, 100, 100)
+
+
 def test_correction_needs_no_time(spark, fx, tmp_path):
     raw = '{"MessageType":"ShipStaticData","MetaData":{"MMSI":1,"latitude":52.0,"longitude":2.0,"time_utc":"bad"},"Message":{"ShipStaticData":{"ImoNumber":1000,"Dimension":{"A":5,"B":6}}}}'
     routed = ingest(spark.createDataFrame([(1, raw)], "seq long, raw string"), region(fx))

@@ -13,10 +13,12 @@ from tidewake.operators.lookups import enrich_positions
 from tidewake.operators.maintain import SHIP_FIRST, SHIP_LAST, correct_dimensions, first_dimensions
 from tidewake.schemas import UNKNOWN_SHIPS
 from tidewake.sources.messages import identified_statics, ingest
-from tidewake.streaming.state import COUNTERS, Identities, Metrics, Ships, read_state, use_state_store
+from tidewake.streaming.state import COUNTERS, Identities, Metrics, Ships, read_rows, read_state, use_state_store
 
 DESTINATION_AGE_HOURS = 5
 COMMIT_PERIOD = "10 seconds"
+# Keys of the state: so many buckets of MMSIs, or of IMO numbers. A stream keeps its number for as long as its checkpoint.
+BUCKETS = 1024
 
 STATIC_COLUMNS = [
     "seq", "imo_number", "mmsi", "name", "ship_type", "length", "width", "max_draught", "destination",
@@ -49,8 +51,9 @@ def start_static_only(raw: DataFrame, rings: DataFrame, path: str, checkpoint: s
 
 
 def _by_key(rows: DataFrame, column: str) -> DataFrame:
-    """Add ``key``: the column, or for rows without it one of some numbers below 0, so that these rows spread over the tasks."""
-    return rows.withColumn("key", F.coalesce(column, -1 - F.pmod(F.xxhash64("seq"), F.lit(64))))
+    """Add ``key``: the bucket of the column's value, or for rows without one a number below 0, so that these rows spread over the tasks."""
+    bucket, spread = F.pmod(F.xxhash64(column), F.lit(BUCKETS)), -1 - F.pmod(F.xxhash64("seq"), F.lit(64))
+    return rows.withColumn("key", F.when(F.col(column) >= 0, bucket).otherwise(spread))
 
 
 def collected_rows(messages: DataFrame, keep_hours: int | None = None) -> DataFrame:
@@ -58,8 +61,8 @@ def collected_rows(messages: DataFrame, keep_hours: int | None = None) -> DataFr
 
     A position gets its identity from the newest ship message of its MMSI before
     it (by ``seq``) and its destination from the last ship message of its ship
-    up to its own time. Both are state by key, so what a batch reads is
-    its own rows and their keys' state. Tables: ``positions``, ``static_log``, ``ships`` (each
+    up to its own time. Both are state by bucket of numbers, so what a batch reads is
+    its own rows and their buckets' state. Tables: ``positions``, ``static_log``, ``ships`` (each
     changed row of the master) and ``unknown_ships``: what has no identity, ship
     messages and positions alike.
     """
@@ -99,8 +102,7 @@ def collected(spark: SparkSession, path: str, table: str) -> DataFrame:
 def current_ships(spark: SparkSession, checkpoint: str) -> DataFrame:
     """The collector's ship master after its last batch, from its state: one row per ship, however long the stream has run."""
     # Operators are numbered from the sink's end of the plan.
-    ships = read_state(spark, checkpoint, 0, "ship")
-    return ships.select(F.col("key").alias("imo_number"), *SHIP_FIRST, *SHIP_LAST)
+    return read_rows(spark, checkpoint, 0, "ships").select("imo_number", *SHIP_FIRST, *SHIP_LAST)
 
 
 def start_metrics(messages: DataFrame, checkpoint: str, ts: str = "ts", once: bool = True) -> StreamingQuery:
@@ -111,13 +113,14 @@ def start_metrics(messages: DataFrame, checkpoint: str, ts: str = "ts", once: bo
     """
     use_state_store(messages.sparkSession)
     rows = messages.select("seq", "route", "mmsi", "imo_number", F.date_trunc("minute", ts).cast("timestamp_ntz").alias("arrived"))
-    counted = _by_key(rows, "mmsi").groupBy("key").transformWithStateInPandas(Metrics(rows.schema), "mmsi long", "Append", "None")
+    counted = _by_key(rows, "mmsi").groupBy("key").transformWithStateInPandas(Metrics(rows.schema), "key long", "Append", "None")
     return _trigger(counted.writeStream.format("noop").option("checkpointLocation", checkpoint), once).start()
 
 
 def _vessel_minutes(spark: SparkSession, checkpoint: str) -> DataFrame:
-    state = read_state(spark, checkpoint, 0, "minutes")
-    return state.withColumn("vessel", F.when((F.col("key") > 0) & (F.col("collected") > 0), F.col("key")))
+    minute = F.expr("TIMESTAMP_NTZ '1970-01-01' + INTERVAL '1' MINUTE * minute")
+    state = read_rows(spark, checkpoint, 0, "minutes").withColumns({"minute": minute, "identified": F.col("identified") > 0})
+    return state.withColumn("vessel", F.when((F.col("mmsi") > 0) & (F.col("collected") > 0), F.col("mmsi")))
 
 
 def _totals() -> list[Column]:
