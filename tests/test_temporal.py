@@ -115,6 +115,24 @@ def test_number_of_pieces_is_bounded(spark, monkeypatch):
         assert sample.agg(F.sum("id")).first()[0] == sum(range(0, n, 10))
 
 
+def test_many_pieces_are_not_broadcast(skewed, same, monkeypatch):
+    """A named size that makes more pieces than MOST_PIECES allows: neither borders nor summaries go to every task."""
+    df, _ = skewed
+    left, right = df.where("id % 3 <> 0"), df.where("id % 3 = 0")
+    makers = (
+        lambda rows: temporal.hours_since_previous(df, piece_rows=rows),
+        lambda rows: temporal.systematic_sample(df, ["imo_number"], "timestamp_collected", 7, piece_rows=rows),
+        lambda rows: temporal.asof_latest_within(left, right, "imo_number", "timestamp_collected", "id", "destination", 3600.0, piece_rows=rows),
+    )
+    monkeypatch.setattr(ranges, "MOST_PIECES", 100)
+    for make in makers:
+        found = make(3)
+        assert "Broadcast" not in found._jdf.queryExecution().executedPlan().toString()
+        same(make(None), found)
+    pieces = ranges.split_large_keys(df, ["imo_number"], "timestamp_collected", "id", piece_rows=3)
+    assert largest_piece(pieces.df.where("_piece >= 0"), pieces.by) == 3
+
+
 @pytest.mark.parametrize("piece_rows", [None, 40])
 def test_one_exchange_of_the_rows(skewed, piece_rows):
     """Rows go through one hash exchange, by key and piece, whether keys are cut or not."""

@@ -8,7 +8,8 @@ by (key, piece). What must cross a border is carried over from a
 summary with one row per piece of a cut key.
 
 The number of pieces is bounded whatever the size of the table, since a piece grows
-with it; so borders and summaries are small enough to broadcast. Any borders
+with it; so borders and summaries are small enough to broadcast. Where the caller names
+a size of pieces that makes more of them, borders and summaries are joined through exchanges. Any borders
 give the same result, they only decide how even the pieces are.
 """
 
@@ -38,6 +39,7 @@ class Ranges:
     df: DataFrame
     keys: list[str]
     cut: bool = True
+    few: bool = True  # few enough pieces to broadcast what is known of them
 
     @property
     def by(self) -> list[str]:
@@ -62,7 +64,12 @@ class Ranges:
         if not self.cut:
             return Ranges(self.df.withColumn("_carry", F.lit(None).cast(carried.schema["_carry"].dataType)), self.keys, False)
         same_piece = [self.df[c].eqNullSafe(carried[f"_k_{c}"]) for c in self.by]
-        return Ranges(self.df.join(F.broadcast(carried), same_piece, "left").select(*self.df.columns, "_carry"), self.keys)
+        return Ranges(self.df.join(_small(carried, self.few), same_piece, "left").select(*self.df.columns, "_carry"), self.keys, True, self.few)
+
+
+def _small(df: DataFrame, few: bool) -> DataFrame:
+    """With few pieces a broadcast, else whatever join fits."""
+    return F.broadcast(df) if few else df.hint("merge")
 
 
 def _place(cuts: Column, at: Column, most: int) -> Column:
@@ -82,18 +89,20 @@ def split_large_keys(df: DataFrame, keys: list[str], *order: str, piece_rows: in
     limit = piece_rows or max(LEAST_ROWS, (total or 0) // MOST_PIECES)
     if not total or largest <= limit:
         return Ranges(df.withColumn(PIECE, F.lit(-1)), keys, False)
+    few = total // limit <= 2 * MOST_PIECES
     every = max(1, limit // SAMPLES)
     at = F.struct(*order)
     names = [f"_c_{c}" for c in keys]
     large = counts.where(F.col("_n") > limit).select(*[F.col(c).alias(n) for c, n in zip(keys, names)])
     same = [F.col(c).eqNullSafe(F.col(n)) for c, n in zip(keys, names)]
-    drawn = df.where(F.pmod(F.xxhash64(*keys, *order), F.lit(every)) == 0).join(F.broadcast(large), same)
-    each = max(1, limit // (2 * every))
+    drawn = df.where(F.pmod(F.xxhash64(*keys, *order), F.lit(every)) == 0).join(_small(large, few), same)
+    # Where all rows are drawn, pieces are as large as they may be.
+    each = limit if every == 1 else limit // (2 * every)
     borders = F.filter(F.sort_array(F.collect_list(at)), lambda _, i: (i + 1) % each == 0)
     cuts = materialize(drawn.groupBy(*names).agg(borders.alias("_cuts")), "cuts")
     most = cuts.agg(F.max(F.size("_cuts"))).first()[0] or 0
     if not most:
         return Ranges(df.withColumn(PIECE, F.lit(-1)), keys, False)
-    met = df.join(F.broadcast(cuts), same, "left")
+    met = df.join(_small(cuts, few), same, "left")
     piece = F.when(F.col("_cuts").isNull(), -1).otherwise(_place(F.col("_cuts"), at, most))
-    return Ranges(met.select(*df.columns, piece.alias(PIECE)), keys)
+    return Ranges(met.select(*df.columns, piece.alias(PIECE)), keys, True, few)
